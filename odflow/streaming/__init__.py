@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference reads bounded Parquet tables only; it has no stream source,
+watermark or stateful streaming operator (its "sliding window buffer" lives
+inside a batch pass, rebuilt here as the per-slice scan of
+``odflow.operators.chain``). Nothing is added here beyond what it computes.
+"""
