@@ -170,7 +170,7 @@ def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool)
         cv = carry["value"].to_numpy()
         for cid, cz, cp, cd, val, csl in zip(carry["id"].tolist(), carry["dest"].tolist(), carry["p"].tolist(),
                                              carry["d"].tolist(), cv.tolist(), carry["slice"].tolist()):
-            if val is None or (isinstance(val, float) and math.isnan(val)):
+            if pd.isna(val):
                 continue
             heap.append((int(cd), int(cp), int(cid), int(cz), int(val), int(csl)))
         heapq.heapify(heap)
@@ -259,13 +259,18 @@ def _run_pass(left: DataFrame, carry: DataFrame | None, gap: int, allow_start: b
     spark = left.sparkSession
     if carry is None:
         carry = spark.createDataFrame([], "t int, id long, dest long, p long, d long, value long, src int")
-    c = carry.select(F.col("t").alias("slice"), "id", "dest", "p", "d", "value", F.col("src").alias("cslice"))
+    # Distinct names: cogroup drops right-side attributes that the left side
+    # shares (both sides derive from the same checkpoint).
+    c = carry.select(F.col("t").alias("slice"), F.col("id").alias("c_id"), F.col("dest").alias("c_dest"),
+                     F.col("p").alias("c_p"), F.col("d").alias("c_d"), F.col("value").alias("c_value"),
+                     F.col("src").alias("c_slice"))
     keep_schema = "".join(f", {k} long" for k in keep)
     schema = f"{_SLICED_SCHEMA}{keep_schema}, {_PASS_FIELDS}"
     fn = _pass_fn(gap, allow_start, keep)
 
     def cogrouped(l_pdf: pd.DataFrame, r_pdf: pd.DataFrame) -> pd.DataFrame:
-        r_pdf = r_pdf.rename(columns={"slice": "target", "cslice": "slice"})
+        r_pdf = r_pdf.rename(columns={"slice": "target", "c_id": "id", "c_dest": "dest", "c_p": "p", "c_d": "d",
+                                      "c_value": "value", "c_slice": "slice"})
         return fn(l_pdf, r_pdf)
 
     return (left.groupBy("slice").cogroup(c.groupBy("slice"))
@@ -273,9 +278,11 @@ def _run_pass(left: DataFrame, carry: DataFrame | None, gap: int, allow_start: b
 
 
 def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_000_000,
-                slices: int | None = None) -> tuple[DataFrame, int]:
+                slices: int | None = None, min_slice_rows: int = 1000) -> tuple[DataFrame, int]:
     """Assign each trip its slice and the last slice its end can link into.
 
+    By default there are ``ceil(n / slice_rows)`` slices, but at least one per
+    core of the cluster once every slice still holds ``min_slice_rows`` trips.
     Returns the sliced trips, hash partitioned by slice and checkpointed, and
     the number of slices.
     """
@@ -288,7 +295,8 @@ def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_
     base = trips.select(*_TRIP_COLS).withColumn("k", key)
     if slices is None:
         n = base.count()
-        slices = max(1, math.ceil(n / slice_rows))
+        cores = spark.sparkContext.defaultParallelism
+        slices = max(1, math.ceil(n / slice_rows), min(cores, n // max(min_slice_rows, 1)))
     cuts: list[float] = []
     if slices > 1:
         probs = [i / slices for i in range(1, slices)]
@@ -413,7 +421,7 @@ def _root_fn():
                 root_prev[i], root_pslice[i] = int(pid), int(psl)
             else:
                 root_prev[i], root_pslice[i] = root_prev[int(pid)], root_pslice[int(pid)]
-        ids = [int(x) for x in wanted["id"].tolist()]
+        ids = [int(x) for x in wanted["t_id"].tolist()]
         return pd.DataFrame({"id": pd.array(ids, dtype="int64"),
                              "slice": pd.array([sl] * len(ids), dtype="int32"),
                              "nxt": pd.array([root_prev[x] for x in ids], dtype="Int64"),
@@ -428,7 +436,7 @@ def _segment_fn():
         sl = int(vals["slice"].iloc[0])
         prev = dict(zip(vals["id"].tolist(), zip(vals["prev_id"].tolist(), vals["prev_slice"].tolist())))
         out = []
-        for x in exits["id"].tolist():
+        for x in exits["t_id"].tolist():
             cur = int(x)
             while True:
                 out.append(cur)
@@ -456,7 +464,7 @@ def longest_chain(values: DataFrame, nslices: int) -> DataFrame:
                .unionByName(spark.createDataFrame([(int(end["id"]), int(end["slice"]))], "id long, slice int"))
                .distinct())
     jump = (values.select("id", "slice", "p", "prev_id", "prev_slice").groupBy("slice")
-            .cogroup(targets.groupBy("slice"))
+            .cogroup(targets.select(F.col("slice"), F.col("id").alias("t_id")).groupBy("slice"))
             .applyInPandas(_root_fn(), "id long, slice int, nxt long, nxt_slice int")).checkpoint()
     # Pointer doubling: level k maps a node to the node 2^k cross hops back.
     levels = [jump.select("id", "nxt")]
@@ -472,7 +480,8 @@ def longest_chain(values: DataFrame, nslices: int) -> DataFrame:
         path = path.unionByName(step).distinct().checkpoint()  # at most one exit per slice
     exits = path.join(jump.select("id", "slice"), "id")
     seg = (values.select("id", "slice", "prev_id", "prev_slice").groupBy("slice")
-           .cogroup(exits.groupBy("slice")).applyInPandas(_segment_fn(), "id long"))
+           .cogroup(exits.select("slice", F.col("id").alias("t_id")).groupBy("slice"))
+           .applyInPandas(_segment_fn(), "id long"))
     return seg
 
 
