@@ -306,9 +306,13 @@ def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_
     splits = [-math.inf, *cuts, math.inf]
     nslices = len(splits) - 1
     reach = (F.col("d") + F.lit(gap + 1)).cast("double") * _SPAN - 0.5
-    b1 = Bucketizer(splits=splits, inputCol="k", outputCol="slice_d")
-    b2 = Bucketizer(splits=splits, inputCol="reach", outputCol="last_d")
-    s = b2.transform(b1.transform(base).withColumn("reach", reach))
+    if nslices == 1:
+        s = base.withColumn("slice_d", F.lit(0.0)).withColumn("last_d", F.lit(0.0))
+    else:
+        # Binary search over the cut points, JVM-side.
+        b1 = Bucketizer(splits=splits, inputCol="k", outputCol="slice_d")
+        b2 = Bucketizer(splits=splits, inputCol="reach", outputCol="last_d")
+        s = b2.transform(b1.transform(base).withColumn("reach", reach))
     parts = min(max(shuffle_partitions(spark), 1), nslices)
     sliced = (s.select(*_TRIP_COLS, F.col("slice_d").cast("int").alias("slice"),
                        F.col("last_d").cast("int").alias("last_slice"))
