@@ -40,8 +40,11 @@ leave at the front, so the best predecessor is the front. O(n log n) per slice.
 from __future__ import annotations
 
 import heapq
+import logging
 import math
 from collections import deque
+from contextlib import contextmanager
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -61,6 +64,50 @@ _SPAN = float(1 << _HASH_BITS)
 
 _TRIP_COLS = ["id", "origin", "dest", "p", "d"]
 
+log = logging.getLogger(__name__)
+#: Counters of the last ``chain_lengths`` call (slices, verify rounds, reruns).
+last_stats: dict = {}
+
+
+@contextmanager
+def _static_plan(spark):
+    """Plan the passes without AQE, so the hash partitioning by slice survives
+    each checkpoint and every pass reads its trips co-partitioned (only the small
+    carry-in side is shuffled). The slices are balanced by construction, which
+    is what AQE would otherwise be needed for."""
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
+def _store_by_slice(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as a Parquet table bucketed and sorted by slice, in the
+    session's checkpoint folder, and read it back.
+
+    This cuts the lineage like a checkpoint, but the read-back scan declares its
+    hash partitioning by slice, so the next pass reads the trips co-partitioned
+    (no exchange of the trips; only the small carry-in side is shuffled). The
+    input is already clustered by slice, so each task writes one file per bucket
+    it holds.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    name = f"odflow_{tag}_{uuid.uuid4().hex[:12]}"
+    (df.write.format("parquet").mode("overwrite").option("path", f"{base}/{name}")
+     .bucketBy(max(shuffle_partitions(spark), 1), "slice").sortBy("slice").saveAsTable(name))
+    _tables.append(name)
+    return spark.table(name)
+
+
+_tables: list[str] = []
+
 
 # --------------------------------------------------------------------------- C1
 
@@ -313,10 +360,12 @@ def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_
         b1 = Bucketizer(splits=splits, inputCol="k", outputCol="slice_d")
         b2 = Bucketizer(splits=splits, inputCol="reach", outputCol="last_d")
         s = b2.transform(b1.transform(base).withColumn("reach", reach))
-    parts = min(max(shuffle_partitions(spark), 1), nslices)
-    sliced = (s.select(*_TRIP_COLS, F.col("slice_d").cast("int").alias("slice"),
-                       F.col("last_d").cast("int").alias("last_slice"))
-              .repartition(parts, "slice").checkpoint())
+    # As many partitions as the session's shuffles use, so that the planner keeps
+    # this partitioning for the cogroups instead of reshuffling the trips.
+    parts = max(shuffle_partitions(spark), 1)
+    sliced = _store_by_slice(s.select(*_TRIP_COLS, F.col("slice_d").cast("int").alias("slice"),
+                                      F.col("last_d").cast("int").alias("last_slice"))
+                             .repartition(parts, "slice"), "trips")
     return sliced, nslices
 
 
@@ -350,53 +399,64 @@ def chain_lengths(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int =
     ``slice_rows`` trips per slice. The result is exact for any slicing.
     """
     spark = trips.sparkSession
-    sliced, nslices = slice_trips(trips, gap, slice_rows, slices)
-
-    if nslices == 1:
-        values = _run_pass(sliced, None, gap, True, []).checkpoint()
-    else:
-        lpass = _run_pass(sliced, None, gap, True, []).withColumnRenamed("value", "lval") \
-            .drop("prev_id", "prev_slice").checkpoint()
-        rpass = (_run_pass(lpass, _frontier(lpass, "lval"), gap, False, ["lval"])
-                 .withColumnRenamed("value", "rval").drop("prev_id", "prev_slice").checkpoint())
-        diff = F.col("rval") - F.col("lval")
-        hist = (rpass.where(F.col("last_slice") > F.col("slice"))
-                .groupBy("slice", diff.alias("diff")).agg(F.count(F.lit(1)).alias("n")))
-        top = hist.withColumn("r", F.row_number().over(
-            Window.partitionBy("slice").orderBy(F.col("n").desc(), F.col("diff"))))
-        offsets = _fold_offsets(top.where(F.col("r") <= 8).collect(), nslices)
-        off_df = spark.createDataFrame([(s, o) for s, o in offsets.items()], "slice int, off long")
-        guessed = (rpass.join(F.broadcast(off_df), "slice", "left")  # one row per slice
-                   .withColumn("guess", F.when(F.col("rval").isNull(), F.col("lval"))
-                               .otherwise(F.greatest(F.col("lval"), F.col("rval") + F.coalesce("off", F.lit(0)))))
-                   .select("id", "origin", "dest", "p", "d", "slice", "last_slice", "guess"))
-        used = _frontier(guessed, "guess").select("t", "id", F.col("value").alias("used")).checkpoint()
-        values = _run_pass(guessed, _frontier(guessed, "guess"), gap, True, []).checkpoint()
-        rounds = 0
-        limit = max_rounds if max_rounds is not None else nslices + 1
-        while True:
-            now = _frontier(values, "value")
-            cmp = now.join(used, ["t", "id"])
-            dirty = sorted(r["t"] for r in cmp.where(~F.col("value").eqNullSafe(F.col("used")))
-                           .select("t").distinct().collect())
-            if not dirty:
-                break
-            rounds += 1
-            if rounds > limit:
-                raise RuntimeError("chain verification did not settle")
-            carry = now.where(F.col("t").isin(dirty))
-            redo = _run_pass(values.where(F.col("slice").isin(dirty)).drop("value", "prev_id", "prev_slice"),
-                             carry, gap, True, [])
-            values = values.where(~F.col("slice").isin(dirty)).unionByName(redo).checkpoint()
-            used = (used.where(~F.col("t").isin(dirty))
-                    .unionByName(carry.select("t", "id", F.col("value").alias("used"))).checkpoint())
-        values = values.select("id", "origin", "dest", "p", "d", "slice", "last_slice", "value",
-                               "prev_id", "prev_slice")
+    with _static_plan(spark):
+        values, nslices, rounds, reruns = _chain_values(trips, gap, slice_rows, slices, max_rounds)
+    last_stats.clear()
+    last_stats.update(slices=nslices, verify_rounds=rounds, reruns=reruns)
+    log.info("chain: %d slices, %d verify rounds, %d slice reruns", nslices, rounds, reruns)
     if return_sliced:
         return values, nslices
     return values.select("id", F.col("value").cast("int").alias("chain_length"), "prev_id")
 
 
+def _chain_values(trips, gap, slice_rows, slices, max_rounds):
+    spark = trips.sparkSession
+    sliced, nslices = slice_trips(trips, gap, slice_rows, slices)
+    if nslices == 1:
+        return _store_by_slice(_run_pass(sliced, None, gap, True, []), "values"), 1, 0, 0
+
+    lpass = _store_by_slice(_run_pass(sliced, None, gap, True, []).withColumnRenamed("value", "lval")
+                            .drop("prev_id", "prev_slice"), "lpass")
+    rpass = _store_by_slice(_run_pass(lpass, _frontier(lpass, "lval"), gap, False, ["lval"])
+                            .withColumnRenamed("value", "rval").drop("prev_id", "prev_slice"), "rpass")
+    diff = F.col("rval") - F.col("lval")
+    hist = (rpass.where(F.col("last_slice") > F.col("slice"))
+            .groupBy("slice", diff.alias("diff")).agg(F.count(F.lit(1)).alias("n")))
+    top = hist.withColumn("r", F.row_number().over(
+        Window.partitionBy("slice").orderBy(F.col("n").desc(), F.col("diff"))))
+    offsets = _fold_offsets(top.where(F.col("r") <= 8).collect(), nslices)
+    off_df = spark.createDataFrame([(s, o) for s, o in offsets.items()], "slice int, off long")
+    guessed = (rpass.join(F.broadcast(off_df), "slice", "left")  # one row per slice
+               .withColumn("guess", F.when(F.col("rval").isNull(), F.col("lval"))
+                           .otherwise(F.greatest(F.col("lval"), F.col("rval") + F.coalesce("off", F.lit(0)))))
+               .select("id", "origin", "dest", "p", "d", "slice", "last_slice", "guess"))
+    used = _frontier(guessed, "guess").select("t", "id", F.col("value").alias("used")).checkpoint()
+    values = _store_by_slice(_run_pass(guessed, _frontier(guessed, "guess"), gap, True, []), "values")
+    rounds = reruns = 0
+    limit = max_rounds if max_rounds is not None else nslices + 1
+    while True:
+        now = _frontier(values, "value")
+        cmp = now.join(used, ["t", "id"])
+        dirty = sorted(r["t"] for r in cmp.where(~F.col("value").eqNullSafe(F.col("used")))
+                       .select("t").distinct().collect())
+        if not dirty:
+            break
+        rounds += 1
+        reruns += len(dirty)
+        if rounds > limit:
+            raise RuntimeError("chain verification did not settle")
+        carry = now.where(F.col("t").isin(dirty))
+        redo = _run_pass(values.where(F.col("slice").isin(dirty)).drop("value", "prev_id", "prev_slice"),
+                         carry, gap, True, [])
+        values = _store_by_slice(values.where(~F.col("slice").isin(dirty)).unionByName(redo)
+                                 .repartition(max(shuffle_partitions(spark), 1), "slice"), "values")
+        used = (used.where(~F.col("t").isin(dirty))
+                .unionByName(carry.select("t", "id", F.col("value").alias("used"))).checkpoint())
+    values = values.select("id", "origin", "dest", "p", "d", "slice", "last_slice", "value",
+                           "prev_id", "prev_slice")
+    return values, nslices, rounds, reruns
+
+
 # ------------------------------------------------------------------ C7 - C10
 
 def chain_stats(lengths: DataFrame) -> DataFrame:
