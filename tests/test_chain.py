@@ -127,3 +127,27 @@ def test_predecessor_pairs_match_brute_force(spark):
 
 def test_empty_table(spark):
     assert run(spark, [], slices=None) == {}
+
+
+def _dense_rows(seed, n=1500, zones=3, span=15000):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        s = rnd.randint(0, span)
+        rows.append((i, rnd.randint(0, zones - 1), rnd.randint(0, zones - 1), s, s + rnd.randint(0, 200)))
+    return rows
+
+
+def test_dense_chains_cross_slices_exactly(spark):
+    rows = _dense_rows(1)
+    want = brute(rows, 300)
+    assert max(v[0] for v in want.values()) > 100  # chains run through every slice
+    assert run(spark, rows, slices=6) == want
+    assert chain.last_stats["slices"] == 6
+
+
+def test_verify_loop_repairs_a_bad_guess(spark, monkeypatch):
+    rows = _dense_rows(2)
+    monkeypatch.setattr(chain, "_fold_offsets", lambda rows_, n: {s: 0 for s in range(n)})
+    assert run(spark, rows, slices=5) == brute(rows, 300)
+    assert chain.last_stats["verify_rounds"] >= 1
