@@ -171,6 +171,14 @@ def chain_filter_report(df: DataFrame, roles: TripRoles, threshold=None, start_m
                       .alias("removed_time_pct"))
 
 
+def first_trips(trips: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` trips in start order (ties by id).
+
+    Plans as TakeOrderedAndProject: a top-n per partition, never a global sort.
+    """
+    return trips.orderBy("p", "id").limit(n).select("id", "origin", "dest", "p", "d")
+
+
 # --------------------------------------------------------------------------- J1
 
 def predecessor_pairs(trips: DataFrame, gap: int = DEFAULT_GAP_S) -> DataFrame:

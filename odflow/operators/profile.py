@@ -157,3 +157,54 @@ def duration_profile(df: DataFrame, start, end, unit: str = "minutes", probs=PRO
     mean = t.agg((F.try_divide(F.sum("secs").cast("double"), F.count("secs").cast("double")) / F.lit(div))
                  .alias("mean")).withColumn("column", F.lit(label))
     return prof.join(mean, "column")
+
+
+# The column groups of the reference's trip profile.
+DIMENSIONS = ("VendorID", "RatecodeID", "passenger_count", "payment_type")
+QUANTITIES = ("trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+              "improvement_surcharge")
+FLAGS = ("store_and_fwd_flag",)
+FARE_COMPONENTS = ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount")
+
+
+def profile_bundle(df: DataFrame, start: str = "tpep_pickup_datetime", end: str = "tpep_dropoff_datetime",
+                   expected_month: str | None = None, method: str = "exact") -> dict[str, DataFrame]:
+    """The whole profile of a trip table as named DataFrames.
+
+    Sections whose columns are absent are left out (P11). Each entry is one or
+    two shared passes over the table; nothing is collected here except the few
+    rows the exact quantiles need to place their second pass.
+    """
+    from odflow.sources.parquet import schema_report
+
+    out: dict[str, DataFrame] = {"schema": schema_report(df), "rows": row_count(df), "nulls": null_profile(df)}
+    dims = present(df, DIMENSIONS)
+    if dims:
+        labels = PAYMENT_TYPE_LABELS if "payment_type" in dims else None
+        d = distribution(df, dims)
+        if labels:
+            d = d.withColumn("description", F.when((F.col("column") == "payment_type") & F.col("value").isNotNull(),
+                                                   _label_col(F.col("value"), labels)))
+        out["dimensions"] = d
+    qty = present(df, QUANTITIES)
+    if qty:
+        out["quantities"] = quantile_profile(df, qty, method=method)
+    flags = present(df, FLAGS)
+    if flags:
+        out["flags"] = distribution(df, flags)
+    if start in df.columns and end in df.columns:
+        out["duration"] = duration_profile(df, start, end, "minutes", method=method)
+    if start in df.columns:
+        out["months"] = period_counts(df, start, "month", expected_month)
+        out["years"] = period_counts(df, start, "year", expected_month[:4] if expected_month else None)
+        out["date_range"] = date_range(df, start)
+        if expected_month:
+            y, m = (int(x) for x in expected_month.split("-"))
+            nxt = f"{y + (m == 12):04d}-{m % 12 + 1:02d}-01"
+            out["in_period"] = period_split(df, start, f"{expected_month}-01", nxt)
+    neg = present(df, FARE_COMPONENTS)
+    if neg:
+        out["negatives"] = negative_check(df, neg)
+    if "fare_amount" in df.columns and "payment_type" in df.columns:
+        out["negative_breakdown"] = payment_breakdown(df)
+    return out

@@ -132,7 +132,8 @@ def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None) -
                                                  .rowsBetween(Window.unboundedPreceding, 0)))
               .where((F.col("run") >= F.col("k")) & (F.col("run") - F.col("c") < F.col("k")))
               .select("cid", "pi", F.col("v").alias("value")))
-    return (tdf.join(picked, ["cid", "pi"], "left")
+    # Keep every (column, p), also for empty columns; the targets are broadcast.
+    return (picked.join(F.broadcast(tdf), ["cid", "pi"], "right")
             .select("column", "p", "value"))
 
 

@@ -250,6 +250,10 @@ def _chain_trips(spark, sf):
     return chain.prepare_trips(table(spark, sf, "events"), chain_roles())
 
 
+def q_first_trips(spark, sf):
+    return chain.first_trips(_chain_trips(spark, sf), 5)
+
+
 def q_predecessor_pairs(spark, sf):
     return chain.predecessor_pairs(_chain_trips(spark, sf), CHAIN_GAP)
 
@@ -330,6 +334,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_neighbour_pairs": q_top_neighbour_pairs,
     "neighbour_totals": q_neighbour_totals,
     "expansion_stats": q_expansion_stats,
+    "first_trips": q_first_trips,
     "predecessor_pairs": q_predecessor_pairs,
     "chain_lengths": q_chain_lengths,
     "chain_lengths_3600": q_chain_lengths_3600,
@@ -457,6 +462,8 @@ SELECT canonical_origin, canonical_dest, total_amount_sum, total_trip_count FROM
     "expansion_stats": f"""WITH src AS ({PAIR_SQL}), {_neighbour_sql('')}
 SELECT (SELECT count(*) FROM ps) AS unique_pairs, (SELECT count(*) FROM ex) AS expanded_rows,
   CAST((SELECT count(*) FROM ex) AS DOUBLE) / CAST((SELECT count(*) FROM ps) AS DOUBLE) AS expansion_ratio""",
+    "first_trips": f"""WITH trips AS ({CHAIN_SQL})
+SELECT id, origin, dest, p, d FROM trips WHERE d >= p ORDER BY p, id LIMIT 5""",
     "predecessor_pairs": f"""WITH trips AS ({CHAIN_SQL}), ok AS (SELECT * FROM trips WHERE d >= p)
 SELECT a.id AS prev_id, b.id AS id, b.p - a.d AS gap_s FROM ok a JOIN ok b
   ON a.dest = b.origin AND b.p - a.d > 0 AND b.p - a.d <= {CHAIN_GAP}""",
@@ -598,6 +605,8 @@ SELECT canonical_origin, canonical_dest, total_amount_sum, total_trip_count FROM
     "expansion_stats": f"""WITH src AS ({PAIR_SQL}), {_neighbour_sql('')}
 SELECT (SELECT count(*) FROM ps) AS unique_pairs, (SELECT count(*) FROM ex) AS expanded_rows,
   CAST((SELECT count(*) FROM ex) AS DOUBLE) / CAST((SELECT count(*) FROM ps) AS DOUBLE) AS expansion_ratio""",
+    "first_trips": f"""WITH trips AS ({CHAIN_SQL})
+SELECT id, origin, dest, p, d FROM trips WHERE d >= p ORDER BY p, id LIMIT 5""",
     "predecessor_pairs": f"""WITH trips AS ({CHAIN_SQL}), ok AS (SELECT * FROM trips WHERE d >= p)
 SELECT a.id AS prev_id, b.id AS id, b.p - a.d AS gap_s FROM ok a JOIN ok b
   ON a.dest = b.origin AND b.p - a.d > 0 AND b.p - a.d <= {CHAIN_GAP}""",

@@ -151,3 +151,13 @@ def test_verify_loop_repairs_a_bad_guess(spark, monkeypatch):
     monkeypatch.setattr(chain, "_fold_offsets", lambda rows_, n: {s: 0 for s in range(n)})
     assert run(spark, rows, slices=5) == brute(rows, 300)
     assert chain.last_stats["verify_rounds"] >= 1
+
+
+def test_generated_ids_and_first_trips(spark):
+    rows = [(None, 0, 1, 30, 40), (None, 1, 2, 10, 20), (None, 2, 0, 50, 60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    roles = TripRoles(origin="o", dest="d", start="s", end="e", distance=None, amount=None, id=None)
+    trips = chain.prepare_trips(df, roles)
+    ids = [r["id"] for r in trips.collect()]
+    assert len(set(ids)) == 3 and ids == [r["id"] for r in trips.collect()]  # stable once written
+    assert [r["p"] for r in chain.first_trips(trips, 2).collect()] == [10, 30]

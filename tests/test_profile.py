@@ -67,3 +67,14 @@ def test_duration_profile_keeps_negatives(spark):
     r = profile.duration_profile(_trips(spark), "pu", "do", probs=(0.5,)).first()
     assert r["min"] == -60.0 and r["max"] == 30.0
     assert r["mean"] == (10 + 30 - 60 + 1) / 4
+
+
+def test_profile_bundle_on_trip_schema(spark):
+    df = _trips(spark).withColumnRenamed("pu", "tpep_pickup_datetime").withColumnRenamed("do", "tpep_dropoff_datetime")
+    b = profile.profile_bundle(df, expected_month="2018-09")
+    assert {"schema", "rows", "nulls", "dimensions", "quantities", "flags", "duration", "months", "years",
+            "date_range", "in_period", "negatives", "negative_breakdown"} <= set(b)
+    assert b["rows"].first()["rows"] == 4
+    assert b["in_period"].first()["in_period"] == 2
+    dims = {(r["column"], r["value"]): r["description"] for r in b["dimensions"].collect()}
+    assert dims[("payment_type", "4")] == "Dispute" and dims[("VendorID", "1")] is None
