@@ -78,3 +78,25 @@ def test_profile_bundle_on_trip_schema(spark):
     assert b["in_period"].first()["in_period"] == 2
     dims = {(r["column"], r["value"]): r["description"] for r in b["dimensions"].collect()}
     assert dims[("payment_type", "4")] == "Dispute" and dims[("VendorID", "1")] is None
+
+
+def test_empty_table_everywhere(spark):
+    from odflow.operators import outliers, pairs, quantiles
+    from odflow.roles import TripRoles
+
+    empty = _trips(spark).where(F.lit(False))
+    assert profile.distribution(empty, ["VendorID"]).count() == 0
+    assert profile.period_counts(empty, "pu").count() == 0
+    r = profile.negative_check(empty, ["fare_amount"]).first()
+    assert (r["negative_count"], r["negative_pct"], r["min"]) == (0, 0.0, None)
+    s = profile.period_split(empty, "pu", "2018-09-01", "2018-10-01").first()
+    assert (s["total"], s["in_pct"]) == (0, 0.0)
+    q = quantiles.quantile_profile(empty, ["fare_amount"]).first()
+    assert q["min"] is None and q["p50"] is None
+    assert outliers.find_threshold(empty, "fare_amount") is None
+    roles = TripRoles(origin="VendorID", dest="payment_type", start=None, end=None,
+                      distance="passenger_count", amount="fare_amount")
+    assert pairs.top_pairs(empty, roles).count() == 0
+    assert pairs.top_neighbour_pairs(empty, roles).count() == 0
+    st = pairs.expansion_stats(empty, roles).first()
+    assert (st["unique_pairs"], st["expanded_rows"], st["expansion_ratio"]) == (0, 0, None)
