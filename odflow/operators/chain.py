@@ -63,6 +63,7 @@ _HASH_BITS = 20
 _SPAN = float(1 << _HASH_BITS)
 
 _TRIP_COLS = ["id", "origin", "dest", "p", "d"]
+_GRID = 1024  # key quantiles taken with the row count
 
 log = logging.getLogger(__name__)
 #: Counters of the last ``chain_lengths`` call (slices, verify rounds, reruns).
@@ -348,16 +349,24 @@ def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_
     key = (F.col("p").cast("double") * _SPAN
            + F.pmod(F.xxhash64(F.col("id")), F.lit(1 << _HASH_BITS)).cast("double"))
     base = trips.select(*_TRIP_COLS).withColumn("k", key)
+    grid = None
     if slices is None:
-        n = base.count()
+        # One aggregate gives the row count and a fine grid of key quantiles,
+        # from which the cuts are taken when the slice count fits the grid.
+        probs = [i / _GRID for i in range(1, _GRID)]
+        row = base.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("k", probs, 10000).alias("q")).first()
+        n = row["n"]
+        grid = row["q"] or []
         cores = spark.sparkContext.defaultParallelism
         slices = max(1, math.ceil(n / slice_rows), min(cores, n // max(min_slice_rows, 1)))
     cuts: list[float] = []
     if slices > 1:
-        probs = [i / slices for i in range(1, slices)]
-        acc = max(10000, 50 * slices)
-        row = base.agg(F.percentile_approx("k", probs, acc).alias("q")).first()
-        cuts = sorted({float(x) for x in (row["q"] or []) if x is not None})
+        if grid and slices <= _GRID:
+            picked = [grid[round(i * _GRID / slices) - 1] for i in range(1, slices)]
+        else:
+            probs = [i / slices for i in range(1, slices)]
+            picked = base.agg(F.percentile_approx("k", probs, max(10000, 50 * slices)).alias("q")).first()["q"]
+        cuts = sorted({float(x) for x in (picked or []) if x is not None})
     splits = [-math.inf, *cuts, math.inf]
     nslices = len(splits) - 1
     reach = (F.col("d") + F.lit(gap + 1)).cast("double") * _SPAN - 0.5
@@ -438,28 +447,29 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
                .withColumn("guess", F.when(F.col("rval").isNull(), F.col("lval"))
                            .otherwise(F.greatest(F.col("lval"), F.col("rval") + F.coalesce("off", F.lit(0)))))
                .select("id", "origin", "dest", "p", "d", "slice", "last_slice", "guess"))
-    used = _frontier(guessed, "guess").select("t", "id", F.col("value").alias("used")).checkpoint()
-    values = _store_by_slice(_run_pass(guessed, _frontier(guessed, "guess"), gap, True, []), "values")
+    # ``used`` is the value each trip passed on as carry-in in the last run of
+    # the slices it reaches. A trip's value change makes all of those slices
+    # dirty at once, so one column per trip is enough; no frontier table or join.
+    values = _store_by_slice(_run_pass(guessed.withColumn("used", F.col("guess")),
+                                       _frontier(guessed, "guess"), gap, True, ["used"]), "values")
     rounds = reruns = 0
     limit = max_rounds if max_rounds is not None else nslices + 1
     while True:
-        now = _frontier(values, "value")
-        cmp = now.join(used, ["t", "id"])
-        dirty = sorted(r["t"] for r in cmp.where(~F.col("value").eqNullSafe(F.col("used")))
-                       .select("t").distinct().collect())
+        changed = values.where((F.col("last_slice") > F.col("slice")) & ~F.col("value").eqNullSafe(F.col("used")))
+        dirty = sorted(r["t"] for r in changed.select(
+            F.explode(F.sequence(F.col("slice") + 1, F.col("last_slice"))).alias("t")).distinct().collect())
         if not dirty:
             break
         rounds += 1
         reruns += len(dirty)
         if rounds > limit:
             raise RuntimeError("chain verification did not settle")
-        carry = now.where(F.col("t").isin(dirty))
-        redo = _run_pass(values.where(F.col("slice").isin(dirty)).drop("value", "prev_id", "prev_slice"),
-                         carry, gap, True, [])
-        values = _store_by_slice(values.where(~F.col("slice").isin(dirty)).unionByName(redo)
+        current = values.withColumn("used", F.col("value"))
+        carry = _frontier(current, "value", dirty)
+        redo = _run_pass(current.where(F.col("slice").isin(dirty)).drop("value", "prev_id", "prev_slice"),
+                         carry, gap, True, ["used"])
+        values = _store_by_slice(current.where(~F.col("slice").isin(dirty)).unionByName(redo)
                                  .repartition(max(shuffle_partitions(spark), 1), "slice"), "values")
-        used = (used.where(~F.col("t").isin(dirty))
-                .unionByName(carry.select("t", "id", F.col("value").alias("used"))).checkpoint())
     values = values.select("id", "origin", "dest", "p", "d", "slice", "last_slice", "value",
                            "prev_id", "prev_slice")
     return values, nslices, rounds, reruns
