@@ -530,11 +530,13 @@ def _segment_fn():
     return run
 
 
-def longest_chain(values: DataFrame, nslices: int) -> DataFrame:
+def longest_chain(values: DataFrame, nslices: int, max_driver_links: int = 200_000) -> DataFrame:
     """C7 + C8: ids of the trips of the longest chain.
 
     The chain ends at the longest trip with the earliest start (then smallest
-    id). Pointer doubling runs over cross-slice links only.
+    id). Only cross-slice links are followed: if there are at most
+    ``max_driver_links`` of them they are walked on the driver (at most one hop
+    per slice), otherwise by pointer doubling (log P joins).
     """
     spark = values.sparkSession
     end = values.orderBy(F.col("value").desc(), F.col("p"), F.col("id")).select("id", "slice").first()
@@ -548,18 +550,28 @@ def longest_chain(values: DataFrame, nslices: int) -> DataFrame:
     jump = (values.select("id", "slice", "p", "prev_id", "prev_slice").groupBy("slice")
             .cogroup(targets.select(F.col("slice"), F.col("id").alias("t_id")).groupBy("slice"))
             .applyInPandas(_root_fn(), "id long, slice int, nxt long, nxt_slice int")).checkpoint()
-    # Pointer doubling: level k maps a node to the node 2^k cross hops back.
-    levels = [jump.select("id", "nxt")]
-    for _ in range(max(1, math.ceil(math.log2(max(nslices, 2)))) ):
-        a, b = levels[-1].alias("a"), levels[-1].alias("b")
-        nxt = (a.join(b, F.col("a.nxt") == F.col("b.id"), "left")
-               .select(F.col("a.id").alias("id"),
-                       F.when(F.col("a.nxt").isNull(), F.lit(None)).otherwise(F.col("b.nxt")).alias("nxt")))
-        levels.append(nxt.checkpoint())
-    path = spark.createDataFrame([(int(end["id"]),)], "id long")
-    for lvl in reversed(levels):
-        step = path.join(lvl, "id").where(F.col("nxt").isNotNull()).select(F.col("nxt").alias("id"))
-        path = path.unionByName(step).distinct().checkpoint()  # at most one exit per slice
+    nlinks = jump.count()
+    if nlinks <= max_driver_links:
+        # Small link table (size checked above): walk the <= P hops on the driver.
+        nxt = {r["id"]: r["nxt"] for r in jump.select("id", "nxt").collect()}
+        ids, cur = [], int(end["id"])
+        while cur is not None:
+            ids.append(cur)
+            cur = nxt.get(cur)
+        path = spark.createDataFrame([(i,) for i in ids], "id long")
+    else:
+        # Pointer doubling: level k maps a node to the node 2^k cross hops back.
+        levels = [jump.select("id", "nxt")]
+        for _ in range(max(1, math.ceil(math.log2(max(nslices, 2))))):
+            a, b = levels[-1].alias("a"), levels[-1].alias("b")
+            nxt_df = (a.join(b, F.col("a.nxt") == F.col("b.id"), "left")
+                      .select(F.col("a.id").alias("id"),
+                              F.when(F.col("a.nxt").isNull(), F.lit(None)).otherwise(F.col("b.nxt")).alias("nxt")))
+            levels.append(nxt_df.checkpoint())
+        path = spark.createDataFrame([(int(end["id"]),)], "id long")
+        for lvl in reversed(levels):
+            step = path.join(lvl, "id").where(F.col("nxt").isNotNull()).select(F.col("nxt").alias("id"))
+            path = path.unionByName(step).distinct()  # at most one exit per slice
     exits = path.join(jump.select("id", "slice"), "id")
     seg = (values.select("id", "slice", "prev_id", "prev_slice").groupBy("slice")
            .cogroup(exits.select("slice", F.col("id").alias("t_id")).groupBy("slice"))

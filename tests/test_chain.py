@@ -111,6 +111,8 @@ def test_longest_chain_and_listing(spark):
         cur = want[cur][1]
     listing = chain.chain_listing(values, chain.longest_chain(values, n)).orderBy("seq").collect()
     assert [r["id"] for r in listing] == list(reversed(path))
+    doubled = chain.longest_chain(values, n, max_driver_links=0).collect()  # distributed branch
+    assert sorted(r["id"] for r in doubled) == sorted(path)
     assert [r["seq"] for r in listing] == list(range(1, longest + 1))
     assert listing[0]["gap_s"] is None and all(0 < r["gap_s"] <= 300 for r in listing[1:])
     stats = chain.chain_stats(values.select("id", F.col("value").alias("chain_length"))).first()
