@@ -63,7 +63,7 @@ _HASH_BITS = 20
 _SPAN = float(1 << _HASH_BITS)
 
 _TRIP_COLS = ["id", "origin", "dest", "p", "d"]
-_GRID = 1024  # key quantiles taken with the row count
+_GRID = 256  # key quantiles taken with the row count (more slices: one more job)
 
 log = logging.getLogger(__name__)
 #: Counters of the last ``chain_lengths`` call (slices, verify rounds, reruns).
