@@ -273,7 +273,7 @@ def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool)
     return vals, prevs, pslices
 
 
-_SLICED_SCHEMA = "id long, origin long, dest long, p long, d long, slice int, last_slice int"
+_SLICED_SCHEMA = "id long, origin long, dest long, p long, d long, slice int, first_slice int, last_slice int"
 _PASS_FIELDS = "value long, prev_id long, prev_slice int"
 
 
@@ -283,10 +283,10 @@ def _pass_fn(gap: int, allow_start: bool, keep: list[str]):
     def run(trips: pd.DataFrame, carry: pd.DataFrame) -> pd.DataFrame:
         if len(trips) == 0:
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in
-                                 ["id", "origin", "dest", "p", "d", "slice", "last_slice", *keep,
+                                 ["id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", *keep,
                                   "value", "prev_id", "prev_slice"]})
         vals, prevs, pslices = _scan(trips, carry, gap, allow_start)
-        out = trips[["id", "origin", "dest", "p", "d", "slice", "last_slice", *keep]].copy()
+        out = trips[["id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", *keep]].copy()
         out["value"] = vals
         out["prev_id"] = prevs
         sl = int(trips["slice"].iloc[0])
@@ -300,11 +300,21 @@ def _pass_fn(gap: int, allow_start: bool, keep: list[str]):
 _EMPTY_CARRY = "slice int, id long, dest long, p long, d long, value long"
 
 
+def _is_frontier() -> Column:
+    """The trip may precede trips of a later slice."""
+    return F.col("last_slice") >= F.col("first_slice")
+
+
+def _targets() -> Column:
+    """The later slices a frontier trip is carried into."""
+    return F.sequence(F.col("first_slice"), F.col("last_slice"))
+
+
 def _frontier(values: DataFrame, value_col: str, slices: list[int] | None = None) -> DataFrame:
-    """Carry-in rows (slice = target slice) from per-trip values: trips whose
-    end + gap reaches into later slices, one row per later slice they reach."""
-    f = (values.where(F.col("last_slice") > F.col("slice"))
-         .select(F.explode(F.sequence(F.col("slice") + 1, F.col("last_slice"))).alias("t"),
+    """Carry-in rows (slice = target slice) from per-trip values: one row per
+    later slice that holds starts within (end, end + gap] of the trip."""
+    f = (values.where(_is_frontier())
+         .select(F.explode(_targets()).alias("t"),
                  "id", "dest", "p", "d", F.col(value_col).alias("value"), F.col("slice").alias("src")))
     if slices is not None:
         f = f.where(F.col("t").isin(slices))
@@ -369,18 +379,26 @@ def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_
         cuts = sorted({float(x) for x in (picked or []) if x is not None})
     splits = [-math.inf, *cuts, math.inf]
     nslices = len(splits) - 1
+    # A trip can only precede trips starting in (d, d + gap]: the slices holding
+    # keys from (d + 1) * 2^20 to (d + gap + 1) * 2^20 - 1 are all it can reach,
+    # however long the trip itself is.
+    opens = (F.col("d") + F.lit(1)).cast("double") * _SPAN
     reach = (F.col("d") + F.lit(gap + 1)).cast("double") * _SPAN - 0.5
     if nslices == 1:
-        s = base.withColumn("slice_d", F.lit(0.0)).withColumn("last_d", F.lit(0.0))
+        s = (base.withColumn("slice_d", F.lit(0.0)).withColumn("open_d", F.lit(0.0))
+             .withColumn("last_d", F.lit(0.0)))
     else:
         # Binary search over the cut points, JVM-side.
         b1 = Bucketizer(splits=splits, inputCol="k", outputCol="slice_d")
-        b2 = Bucketizer(splits=splits, inputCol="reach", outputCol="last_d")
-        s = b2.transform(b1.transform(base).withColumn("reach", reach))
+        b2 = Bucketizer(splits=splits, inputCol="opens", outputCol="open_d")
+        b3 = Bucketizer(splits=splits, inputCol="reach", outputCol="last_d")
+        s = b3.transform(b2.transform(b1.transform(base).withColumn("opens", opens)).withColumn("reach", reach))
     # As many partitions as the session's shuffles use, so that the planner keeps
     # this partitioning for the cogroups instead of reshuffling the trips.
     parts = max(shuffle_partitions(spark), 1)
     sliced = _store_by_slice(s.select(*_TRIP_COLS, F.col("slice_d").cast("int").alias("slice"),
+                                      F.greatest(F.col("slice_d") + 1, F.col("open_d")).cast("int")
+                                      .alias("first_slice"),
                                       F.col("last_d").cast("int").alias("last_slice"))
                              .repartition(parts, "slice"), "trips")
     return sliced, nslices
@@ -437,7 +455,7 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
     rpass = _store_by_slice(_run_pass(lpass, _frontier(lpass, "lval"), gap, False, ["lval"])
                             .withColumnRenamed("value", "rval").drop("prev_id", "prev_slice"), "rpass")
     diff = F.col("rval") - F.col("lval")
-    hist = (rpass.where(F.col("last_slice") > F.col("slice"))
+    hist = (rpass.where(_is_frontier())
             .groupBy("slice", diff.alias("diff")).agg(F.count(F.lit(1)).alias("n")))
     top = hist.withColumn("r", F.row_number().over(
         Window.partitionBy("slice").orderBy(F.col("n").desc(), F.col("diff"))))
@@ -446,7 +464,7 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
     guessed = (rpass.join(F.broadcast(off_df), "slice", "left")  # one row per slice
                .withColumn("guess", F.when(F.col("rval").isNull(), F.col("lval"))
                            .otherwise(F.greatest(F.col("lval"), F.col("rval") + F.coalesce("off", F.lit(0)))))
-               .select("id", "origin", "dest", "p", "d", "slice", "last_slice", "guess"))
+               .select("id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", "guess"))
     # ``used`` is the value each trip passed on as carry-in in the last run of
     # the slices it reaches. A trip's value change makes all of those slices
     # dirty at once, so one column per trip is enough; no frontier table or join.
@@ -455,9 +473,8 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
     rounds = reruns = 0
     limit = max_rounds if max_rounds is not None else nslices + 1
     while True:
-        changed = values.where((F.col("last_slice") > F.col("slice")) & ~F.col("value").eqNullSafe(F.col("used")))
-        dirty = sorted(r["t"] for r in changed.select(
-            F.explode(F.sequence(F.col("slice") + 1, F.col("last_slice"))).alias("t")).distinct().collect())
+        changed = values.where(_is_frontier() & ~F.col("value").eqNullSafe(F.col("used")))
+        dirty = sorted(r["t"] for r in changed.select(F.explode(_targets()).alias("t")).distinct().collect())
         if not dirty:
             break
         rounds += 1
@@ -470,7 +487,7 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
                          carry, gap, True, ["used"])
         values = _store_by_slice(current.where(~F.col("slice").isin(dirty)).unionByName(redo)
                                  .repartition(max(shuffle_partitions(spark), 1), "slice"), "values")
-    values = values.select("id", "origin", "dest", "p", "d", "slice", "last_slice", "value",
+    values = values.select("id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", "value",
                            "prev_id", "prev_slice")
     return values, nslices, rounds, reruns
 
