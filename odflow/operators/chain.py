@@ -42,12 +42,14 @@ from __future__ import annotations
 import heapq
 import logging
 import math
+import sys
 from collections import deque
 from contextlib import contextmanager
 import uuid
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +68,10 @@ _TRIP_COLS = ["id", "origin", "dest", "p", "d"]
 _GRID = 256  # key quantiles taken with the row count (more slices: one more job)
 
 log = logging.getLogger(__name__)
+
+# The per-slice functions below run in Python workers; ship their code with the
+# tasks so that executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Counters of the last ``chain_lengths`` call (slices, verify rounds, reruns).
 last_stats: dict = {}
 
