@@ -12,12 +12,14 @@ Plan. The recurrence runs on time slices in parallel, never on one task:
 * Slicing. Trips are cut into P slices of about ``slice_rows`` trips at
   approximate quantiles of a key ``start * 2^20 + hash(id) mod 2^20``, so even a
   single second holding a large share of the trips is split (trips with equal
-  starts never link, so any split among them is exact). Slices are hash
-  partitioned and written once (checkpoint) before the passes.
+  starts never link, so any split among them is exact). Inputs too small for
+  four slices of ``min_slice_rows`` trips run as a single slice. Pass L runs on
+  the hash-partitioned slices and is stored bucketed by slice: that is the trip
+  table every later pass reads co-partitioned.
 * Frontier. Slice t needs from its past only the trips that start before it and
   end no earlier than its first start minus ``gap``: its carry-in.
 * Pass L (no carry-in) and pass R (carry-in = L values, no chain may start in
-  the slice) run all slices at once. After a few hours of trips nearly all
+  the slice) run all slices at once; R keeps only its frontier trips. After a few hours of trips nearly all
   lengths differ from the L lengths by one shift per slice (rank convergence);
   a fold over per-slice shift histograms (P small rows) guesses every slice's
   carry-in.
@@ -283,7 +285,10 @@ _SLICED_SCHEMA = "id long, origin long, dest long, p long, d long, slice int, fi
 _PASS_FIELDS = "value long, prev_id long, prev_slice int"
 
 
-def _pass_fn(gap: int, allow_start: bool, keep: list[str]):
+def _pass_fn(gap: int, allow_start: bool, keep: list[str], frontier_only: bool = False):
+    """Per-slice pass. ``frontier_only`` returns just the trips that reach a
+    later slice (a small share of the slice), for passes whose values are only
+    needed as carry-in."""
     keep = list(keep)
 
     def run(trips: pd.DataFrame, carry: pd.DataFrame) -> pd.DataFrame:
@@ -298,6 +303,8 @@ def _pass_fn(gap: int, allow_start: bool, keep: list[str]):
         sl = int(trips["slice"].iloc[0])
         out["prev_slice"] = np.where(pslices == -1, sl, np.where(pslices == -2, -1, pslices)).astype(np.int32)
         out.loc[out["prev_id"].isna(), "prev_slice"] = -1
+        if frontier_only:
+            out = out[out["last_slice"] >= out["first_slice"]]
         return out
 
     return run
@@ -327,7 +334,8 @@ def _frontier(values: DataFrame, value_col: str, slices: list[int] | None = None
     return f
 
 
-def _run_pass(left: DataFrame, carry: DataFrame | None, gap: int, allow_start: bool, keep: list[str]) -> DataFrame:
+def _run_pass(left: DataFrame, carry: DataFrame | None, gap: int, allow_start: bool, keep: list[str],
+              frontier_only: bool = False) -> DataFrame:
     spark = left.sparkSession
     if carry is None:
         carry = spark.createDataFrame([], "t int, id long, dest long, p long, d long, value long, src int")
@@ -338,7 +346,7 @@ def _run_pass(left: DataFrame, carry: DataFrame | None, gap: int, allow_start: b
                      F.col("src").alias("c_slice"))
     keep_schema = "".join(f", {k} long" for k in keep)
     schema = f"{_SLICED_SCHEMA}{keep_schema}, {_PASS_FIELDS}"
-    fn = _pass_fn(gap, allow_start, keep)
+    fn = _pass_fn(gap, allow_start, keep, frontier_only)
 
     def cogrouped(l_pdf: pd.DataFrame, r_pdf: pd.DataFrame) -> pd.DataFrame:
         r_pdf = r_pdf.rename(columns={"slice": "target", "c_id": "id", "c_dest": "dest", "c_p": "p", "c_d": "d",
@@ -350,13 +358,17 @@ def _run_pass(left: DataFrame, carry: DataFrame | None, gap: int, allow_start: b
 
 
 def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_000_000,
-                slices: int | None = None, min_slice_rows: int = 1000) -> tuple[DataFrame, int]:
+                slices: int | None = None, min_slice_rows: int = 100_000,
+                min_parallel: int = 4) -> tuple[DataFrame, int]:
     """Assign each trip its slice and the last slice its end can link into.
 
-    By default there are ``ceil(n / slice_rows)`` slices, but at least one per
-    core of the cluster once every slice still holds ``min_slice_rows`` trips.
-    Returns the sliced trips, hash partitioned by slice and checkpointed, and
-    the number of slices.
+    By default there are ``ceil(n / slice_rows)`` slices, or one per core of the
+    cluster (each with at least ``min_slice_rows`` trips) if that is more. The
+    parallel form costs three or more passes over the trips instead of one, so
+    fewer than ``min_parallel`` slices are not worth it: such inputs run as one
+    slice. Returns the sliced trips, hash partitioned by slice (not yet
+    stored: the first pass runs on them and stores its output), and the number
+    of slices.
     """
     from pyspark.ml.feature import Bucketizer
 
@@ -374,7 +386,8 @@ def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_
         n = row["n"]
         grid = row["q"] or []
         cores = spark.sparkContext.defaultParallelism
-        slices = max(1, math.ceil(n / slice_rows), min(cores, n // max(min_slice_rows, 1)))
+        per_core = min(cores, n // max(min_slice_rows, 1))
+        slices = max(1, math.ceil(n / slice_rows), per_core if per_core >= min_parallel else 1)
     cuts: list[float] = []
     if slices > 1:
         if grid and slices <= _GRID:
@@ -400,13 +413,12 @@ def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_
         b3 = Bucketizer(splits=splits, inputCol="reach", outputCol="last_d")
         s = b3.transform(b2.transform(b1.transform(base).withColumn("opens", opens)).withColumn("reach", reach))
     # As many partitions as the session's shuffles use, so that the planner keeps
-    # this partitioning for the cogroups instead of reshuffling the trips.
+    # this partitioning for the first pass's cogroup instead of reshuffling.
     parts = max(shuffle_partitions(spark), 1)
-    sliced = _store_by_slice(s.select(*_TRIP_COLS, F.col("slice_d").cast("int").alias("slice"),
-                                      F.greatest(F.col("slice_d") + 1, F.col("open_d")).cast("int")
-                                      .alias("first_slice"),
-                                      F.col("last_d").cast("int").alias("last_slice"))
-                             .repartition(parts, "slice"), "trips")
+    sliced = (s.select(*_TRIP_COLS, F.col("slice_d").cast("int").alias("slice"),
+                       F.greatest(F.col("slice_d") + 1, F.col("open_d")).cast("int").alias("first_slice"),
+                       F.col("last_d").cast("int").alias("last_slice"))
+              .repartition(parts, "slice"))
     return sliced, nslices
 
 
@@ -456,30 +468,35 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
     if nslices == 1:
         return _store_by_slice(_run_pass(sliced, None, gap, True, []), "values"), 1, 0, 0
 
+    # Pass L runs on the freshly sliced trips; its stored output is the one
+    # slice-bucketed trip table every later pass reads co-partitioned.
     lpass = _store_by_slice(_run_pass(sliced, None, gap, True, []).withColumnRenamed("value", "lval")
                             .drop("prev_id", "prev_slice"), "lpass")
-    rpass = _store_by_slice(_run_pass(lpass, _frontier(lpass, "lval"), gap, False, ["lval"])
-                            .withColumnRenamed("value", "rval").drop("prev_id", "prev_slice"), "rpass")
+    # Pass R only feeds the guess, which needs its values on frontier trips
+    # alone: it returns those rows, a small share of each slice.
+    rfront = _store_by_slice(_run_pass(lpass, _frontier(lpass, "lval"), gap, False, ["lval"], frontier_only=True)
+                             .withColumnRenamed("value", "rval").drop("prev_id", "prev_slice"), "rfront")
     diff = F.col("rval") - F.col("lval")
-    hist = (rpass.where(_is_frontier())
-            .groupBy("slice", diff.alias("diff")).agg(F.count(F.lit(1)).alias("n")))
+    hist = rfront.groupBy("slice", diff.alias("diff")).agg(F.count(F.lit(1)).alias("n"))
     top = hist.withColumn("r", F.row_number().over(
         Window.partitionBy("slice").orderBy(F.col("n").desc(), F.col("diff"))))
     offsets = _fold_offsets(top.where(F.col("r") <= 8).collect(), nslices)
     off_df = spark.createDataFrame([(s, o) for s, o in offsets.items()], "slice int, off long")
-    guessed = (rpass.join(F.broadcast(off_df), "slice", "left")  # one row per slice
+    guessed = (rfront.join(F.broadcast(off_df), "slice", "left")  # one row per slice
                .withColumn("guess", F.when(F.col("rval").isNull(), F.col("lval"))
                            .otherwise(F.greatest(F.col("lval"), F.col("rval") + F.coalesce("off", F.lit(0)))))
-               .select("id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", "guess"))
-    # ``used`` is the value each trip passed on as carry-in in the last run of
-    # the slices it reaches. A trip's value change makes all of those slices
-    # dirty at once, so one column per trip is enough; no frontier table or join.
-    values = _store_by_slice(_run_pass(guessed.withColumn("used", F.col("guess")),
-                                       _frontier(guessed, "guess"), gap, True, ["used"]), "values")
+               .select("id", "dest", "p", "d", "slice", "first_slice", "last_slice", "guess"))
+    trips_only = lpass.drop("lval")
+    values = _store_by_slice(_run_pass(trips_only, _frontier(guessed, "guess"), gap, True, []), "values")
+    # ``used``: the value each frontier trip passed on as carry-in in the last
+    # run of the slices it reaches. A change of a trip's value makes all of
+    # those slices dirty at once, so one row per frontier trip is enough.
+    used = guessed.select("id", F.col("guess").alias("used"))
     rounds = reruns = 0
     limit = max_rounds if max_rounds is not None else nslices + 1
     while True:
-        changed = values.where(_is_frontier() & ~F.col("value").eqNullSafe(F.col("used")))
+        front = values.where(_is_frontier()).select("id", "first_slice", "last_slice", "value")
+        changed = front.join(used, "id").where(~F.col("value").eqNullSafe(F.col("used")))
         dirty = sorted(r["t"] for r in changed.select(F.explode(_targets()).alias("t")).distinct().collect())
         if not dirty:
             break
@@ -487,11 +504,11 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
         reruns += len(dirty)
         if rounds > limit:
             raise RuntimeError("chain verification did not settle")
-        current = values.withColumn("used", F.col("value"))
-        carry = _frontier(current, "value", dirty)
-        redo = _run_pass(current.where(F.col("slice").isin(dirty)).drop("value", "prev_id", "prev_slice"),
-                         carry, gap, True, ["used"])
-        values = _store_by_slice(current.where(~F.col("slice").isin(dirty)).unionByName(redo)
+        carry = _frontier(values, "value", dirty)
+        redo = _run_pass(values.where(F.col("slice").isin(dirty)).drop("value", "prev_id", "prev_slice"),
+                         carry, gap, True, [])
+        used = front.select("id", F.col("value").alias("used"))  # the stored table of this round
+        values = _store_by_slice(values.where(~F.col("slice").isin(dirty)).unionByName(redo)
                                  .repartition(max(shuffle_partitions(spark), 1), "slice"), "values")
     values = values.select("id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", "value",
                            "prev_id", "prev_slice")

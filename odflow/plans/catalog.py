@@ -283,6 +283,20 @@ def q_longest_chain_3600(spark, sf):
     return _longest(spark, sf, 3600)
 
 
+# The parallel form on the whole table, whatever its size: small inputs would
+# otherwise run as one slice.
+SLICED = 8
+
+
+def q_chain_lengths_sliced(spark, sf):
+    return chain.chain_lengths(_chain_trips(spark, sf), CHAIN_GAP, slices=SLICED)
+
+
+def q_longest_chain_3600_sliced(spark, sf):
+    values, nslices = chain.chain_lengths(_chain_trips(spark, sf), 3600, slices=SLICED, return_sliced=True)
+    return chain.chain_listing(values, chain.longest_chain(values, nslices))
+
+
 def q_chain_filter_report(spark, sf):
     return chain.chain_filter_report(table(spark, sf, "events"), chain_roles(),
                                      start_min="2024-01-02 00:00:00", start_max="2024-01-29 23:59:59")
@@ -341,6 +355,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chain_stats": q_chain_stats,
     "longest_chain": q_longest_chain,
     "longest_chain_3600": q_longest_chain_3600,
+    "chain_lengths_sliced": q_chain_lengths_sliced,
+    "longest_chain_3600_sliced": q_longest_chain_3600_sliced,
     "chain_filter_report": q_chain_filter_report,
     "union_by_position": q_union_by_position,
     "union_by_name": q_union_by_name,
@@ -407,149 +423,6 @@ def _period_sql(fmt: str, expected: str) -> str:
 FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1"""
 
 
-ORACLE: dict[str, str] = {
-    "top_pairs": f"""WITH src AS ({PAIR_SQL}), {_elbow_ctes('src', 'distance')}, {_pair_totals_sql(
-        "AND distance <= (SELECT threshold FROM thr)")}
-SELECT CAST(row_number() OVER (ORDER BY total_amount_sum DESC, origin, dest) AS INTEGER) AS rank,
-  origin, dest, total_amount_sum, trip_count, avg_distance, avg_amount FROM tot
-ORDER BY total_amount_sum DESC, origin, dest LIMIT 10""",
-    "pair_totals": f"""WITH src AS ({PAIR_SQL}), {_pair_totals_sql('')}
-SELECT origin, dest, total_amount_sum, trip_count, avg_distance, avg_amount FROM tot""",
-    "elbow_table": f"""WITH src AS (SELECT value AS x FROM events), {_elbow_ctes('src', 'x')}
-SELECT p, value, jump, is_jump FROM tab""",
-    "elbow_jump": f"""WITH src AS (SELECT {JUMP_VALUE_SQL} AS x FROM events), {_elbow_ctes('src', 'x')}
-SELECT p, value, jump, is_jump FROM tab""",
-    "elbow_no_jump": f"""WITH src AS (SELECT value AS x FROM events), {_elbow_ctes('src', 'x')}
-SELECT threshold, percentile, has_jump FROM thr""",
-    "elbow_threshold_jump": f"""WITH src AS (SELECT {JUMP_VALUE_SQL} AS x FROM events), {_elbow_ctes('src', 'x')}
-SELECT threshold, percentile, has_jump FROM thr""",
-    "removal_report": f"""WITH src AS (SELECT {JUMP_VALUE_SQL} AS x FROM events), {_elbow_ctes('src', 'x')}
-SELECT count(*) AS total, count(*) FILTER (WHERE x <= (SELECT threshold FROM thr)) AS kept,
-  count(*) - count(*) FILTER (WHERE x <= (SELECT threshold FROM thr)) AS removed,
-  coalesce(CAST(count(*) - count(*) FILTER (WHERE x <= (SELECT threshold FROM thr)) AS DOUBLE) * 100
-           / CAST(count(*) AS DOUBLE), 0.0) AS removed_pct
-FROM src""",
-    "null_profile": _null_profile_sql(),
-    "distribution": _distribution_sql("lineitem", ["l_returnflag", "l_linestatus", "l_linenumber"]),
-    "distribution_labelled": _distribution_sql("lineitem", ["l_linenumber"], labels=PAYMENT_TYPE_LABELS),
-    "negative_check": _negative_sql("customer", "c_acctbal"),
-    "negative_check_supplier": _negative_sql("supplier", "s_acctbal"),
-    "negative_breakdown": _distribution_sql("customer", ["c_mktsegment"], where="WHERE c_acctbal < 0"),
-    "quantile_profile": _qprofile_sql("lineitem", ["l_extendedprice", "l_quantity", "l_discount"]),
-    "quantile_profile_events": _qprofile_sql("events", ["value"]),
-    "quantile_profile_orders": _qprofile_sql("orders", ["o_totalprice"]),
-    "duration_profile": _duration_sql(),
-    "period_counts_month": _period_sql("%Y-%m", "1998-09"),
-    "period_counts_year": _period_sql("%Y", "1998"),
-    "date_range": "SELECT min(CAST(o_orderdate AS DATE)) AS min_date, max(CAST(o_orderdate AS DATE)) AS max_date "
-                  "FROM orders",
-    "period_split": """SELECT count(*) AS total,
-  count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01') AS in_period,
-  coalesce(CAST(count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01')
-     AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE), 0.0) AS in_pct,
-  count(*) - count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01')
-     AS out_period,
-  coalesce(CAST(count(*) - count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01'
-     AND o_orderdate < TIMESTAMP '1999-01-01') AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE), 0.0) AS out_pct
-FROM orders""",
-    "top_neighbour_pairs": f"""WITH src AS ({PAIR_SQL}), {_elbow_ctes('src', 'distance')}, {_neighbour_sql(
-        "AND distance <= (SELECT threshold FROM thr)")}
-SELECT CAST(row_number() OVER (ORDER BY total_amount_sum DESC, canonical_origin, canonical_dest) AS INTEGER) AS rank,
-  canonical_origin, canonical_dest, total_amount_sum, total_trip_count FROM nt
-ORDER BY total_amount_sum DESC, canonical_origin, canonical_dest LIMIT 10""",
-    "neighbour_totals": f"""WITH src AS ({PAIR_SQL}), {_neighbour_sql('')}
-SELECT canonical_origin, canonical_dest, total_amount_sum, total_trip_count FROM nt""",
-    "expansion_stats": f"""WITH src AS ({PAIR_SQL}), {_neighbour_sql('')}
-SELECT (SELECT count(*) FROM ps) AS unique_pairs, (SELECT count(*) FROM ex) AS expanded_rows,
-  CAST((SELECT count(*) FROM ex) AS DOUBLE) / CAST((SELECT count(*) FROM ps) AS DOUBLE) AS expansion_ratio""",
-    "first_trips": f"""WITH trips AS ({CHAIN_SQL})
-SELECT id, origin, dest, p, d FROM trips WHERE d >= p ORDER BY p, id LIMIT 5""",
-    "predecessor_pairs": f"""WITH trips AS ({CHAIN_SQL}), ok AS (SELECT * FROM trips WHERE d >= p)
-SELECT a.id AS prev_id, b.id AS id, b.p - a.d AS gap_s FROM ok a JOIN ok b
-  ON a.dest = b.origin AND b.p - a.d > 0 AND b.p - a.d <= {CHAIN_GAP}""",
-    "chain_lengths": _chain_sql(CHAIN_GAP) + "\nSELECT id, chain_length, prev_id FROM final",
-    "chain_lengths_3600": _chain_sql(3600) + "\nSELECT id, chain_length, prev_id FROM final",
-    "chain_stats": _chain_sql(CHAIN_GAP) + """
-SELECT count(*) AS trips, max(chain_length) AS longest,
-  CAST(sum(chain_length) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mean_length,
-  CAST(max(chain_length) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE) AS longest_pct FROM final""",
-    "chain_filter_report": """WITH t AS (SELECT ts, user_id % 8 AS origin,
-  CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) % 8 AS dest,
-  epoch_us(ts) // 1000000 AS p, epoch_us(ts) // 1000000 + CAST(floor(value) AS BIGINT) AS d FROM events),
-f AS (SELECT count(*) AS total,
-  count(*) FILTER (WHERE origin IS NOT NULL AND dest IS NOT NULL AND p IS NOT NULL AND d IS NOT NULL) AS valid,
-  count(*) FILTER (WHERE origin IS NOT NULL AND dest IS NOT NULL AND p IS NOT NULL AND d IS NOT NULL AND d >= p
-    AND ts >= TIMESTAMP '2024-01-02 00:00:00' AND ts <= TIMESTAMP '2024-01-29 23:59:59') AS in_range
-  FROM t)
-SELECT total, valid, total - valid AS removed_invalid,
-  coalesce(CAST(total - valid AS DOUBLE) * 100 / CAST(total AS DOUBLE), 0.0) AS removed_invalid_pct,
-  in_range, valid - in_range AS removed_time,
-  coalesce(CAST(valid - in_range AS DOUBLE) * 100 / CAST(valid AS DOUBLE), 0.0) AS removed_time_pct FROM f""",
-    "union_by_position": q_union_by_position,
-    "union_by_name": q_union_by_name,
-    "schema_report": q_schema_report,
-    "row_count": q_row_count,
-}
-
-
-# ------------------------------------------------------------------ oracles
-
-def _null_profile_sql() -> str:
-    cols = []
-    for c in LINEITEM_COLS:
-        cols.append(f"nullif({c}, '{NULLED[c]}') AS {c}" if c in NULLED else c)
-    parts = [f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS null_count,
-  coalesce(CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE), 0.0) AS null_pct
-  FROM li""" for c in LINEITEM_COLS]
-    return f"WITH li AS (SELECT {', '.join(cols)} FROM lineitem)\n" + "\nUNION ALL\n".join(parts)
-
-
-def _distribution_sql(tbl: str, cols, where: str = "", labels: dict | None = None) -> str:
-    u = "\nUNION ALL\n".join(
-        f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value FROM base""" for c in cols)
-    desc = ""
-    if labels:
-        cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in labels.items())
-        desc = (", CASE WHEN value IS NULL THEN NULL ELSE CASE value " + cases +
-                " ELSE 'Unknown code (' || value || ')' END END AS description")
-    return f"""WITH base AS (SELECT * FROM {tbl} {where}), u AS ({u})
-SELECT "column", value, count(*) AS count,
-  CAST(count(*) AS DOUBLE) * 100 / CAST((SELECT count(*) FROM base) AS DOUBLE) AS pct{desc}
-FROM u GROUP BY "column", value"""
-
-
-def _negative_sql(tbl: str, c: str) -> str:
-    return f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} < 0) AS negative_count,
-  coalesce(CAST(count(*) FILTER (WHERE {c} < 0) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE), 0.0) AS negative_pct,
-  CAST(min({c}) AS DOUBLE) AS min, count(*) FILTER (WHERE {c} < 0) > 0 AS issue FROM {tbl}"""
-
-
-def _qprofile_sql(tbl: str, cols, label_expr=None) -> str:
-    parts = []
-    for c in cols:
-        x = f"CAST({c} AS DOUBLE)"
-        qs = ", ".join(f"quantile_disc(x, {p}) AS {quantiles.prob_label(p)}" for p in quantiles.PROFILE_PROBS)
-        parts.append(f"""SELECT '{c}' AS "column", min(x) AS min, {qs}, max(x) AS max
-FROM (SELECT {x} AS x FROM {tbl}) WHERE x IS NOT NULL""")
-    return "\nUNION ALL\n".join(parts)
-
-
-def _duration_sql() -> str:
-    qs = ", ".join(f"quantile_disc(x, {p}) AS {quantiles.prob_label(p)}" for p in quantiles.PROFILE_PROBS)
-    return f"""WITH j AS (SELECT epoch_us(l_shipdate) // 1000000 - epoch_us(o_orderdate) // 1000000 AS secs
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-x AS (SELECT secs, CAST(secs AS DOUBLE) / 86400.0 AS x FROM j)
-SELECT 'duration_days' AS "column", min(x) FILTER (WHERE x IS NOT NULL) AS min, {qs},
-  max(x) AS max, CAST(sum(secs) AS DOUBLE) / CAST(count(secs) AS DOUBLE) / 86400.0 AS mean FROM x"""
-
-
-def _period_sql(fmt: str, expected: str) -> str:
-    return f"""SELECT strftime(o_orderdate, '{fmt}') AS period, count(*) AS count,
-  CAST(count(*) AS DOUBLE) * 100 / CAST((SELECT count(*) FROM orders) AS DOUBLE) AS pct,
-  strftime(o_orderdate, '{fmt}') = '{expected}' AS expected
-FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1"""
-
-
 ORACLE: dict[str, str] = {
     "top_pairs": f"""WITH src AS ({PAIR_SQL}), {_elbow_ctes('src', 'distance')}, {_pair_totals_sql(
         "AND distance <= (SELECT threshold FROM thr)")}
@@ -631,9 +504,20 @@ SELECT total, valid, total - valid AS removed_invalid,
     "union_by_name": "SELECT n_name AS name, n_regionkey AS key FROM nation UNION ALL BY NAME "
                      "SELECT r_regionkey AS key, r_name AS name FROM region",
     "row_count": "SELECT count(*) AS rows FROM lineitem",
+    "schema_report": """SELECT CAST(ordinal_position AS INTEGER) AS position, column_name AS "column",
+  CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'SMALLINT' THEN 'smallint'
+    WHEN 'TINYINT' THEN 'tinyint' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT' THEN 'float'
+    WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DATE' THEN 'date'
+    WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp'
+    WHEN 'BLOB' THEN 'binary' ELSE lower(data_type) END AS type,
+  is_nullable = 'YES' AS nullable
+FROM information_schema.columns WHERE table_name = 'lineitem'""",
 }
 
-for _gap, _key in ((CHAIN_GAP, "longest_chain"), (3600, "longest_chain_3600")):
+ORACLE["chain_lengths_sliced"] = ORACLE["chain_lengths"]
+
+for _gap, _key in ((CHAIN_GAP, "longest_chain"), (3600, "longest_chain_3600"),
+                   (3600, "longest_chain_3600_sliced")):
     ORACLE[_key] = _chain_sql(_gap) + """,
 fin AS (SELECT * FROM final ORDER BY chain_length DESC, p, id LIMIT 1),
 walk(id) AS (SELECT id FROM fin UNION ALL
