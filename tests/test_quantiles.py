@@ -56,3 +56,20 @@ def test_profile_exact_shape(spark):
     r = quantile_profile(df, ["x"], mean=True, mean_scale=2).first()
     assert r["min"] == 1 and r["max"] == 1000 and r["p50"] == 500 and r["p99_9"] == 999
     assert math.isclose(r["mean"], 500.5)
+
+
+def test_exact_with_nan_and_odd_names(spark):
+    # NaN sorts above every number (as in percentile_disc), so a range bound may
+    # be NaN; a column name with a space goes through the SQL-text predicate.
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(7)
+    rows = [(float("nan") if i % 97 == 0 else rnd.random() * 50, float(i % 13)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "`odd name` double, b double")
+    cols = ["odd name", ("b2", F.col("b") * 2)]
+    got = {(r["column"], r["p"]): r["value"] for r in exact_quantiles(df, cols, PROBS, 8).collect()}
+    for label, expr in [("odd name", "`odd name`"), ("b2", "b * 2")]:
+        for p in PROBS:
+            want = df.selectExpr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {expr}) AS q").first()["q"]
+            g = got[(label, p)]
+            assert (math.isnan(g) and math.isnan(want)) or g == want, (label, p, g, want)
