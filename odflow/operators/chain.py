@@ -33,15 +33,16 @@ Plan. The recurrence runs on time slices in parallel, never on one task:
   finds the chain's exit trip in every slice it visits; each such slice then
   walks its own segment. No per-link job, nothing chain-long on the driver.
 
-Within a slice the recurrence is a single pass in start order (``_scan``): a heap
-releases finished trips once their end is before the current start, and each
-zone keeps a deque of candidates with falling length from which stale entries
-leave at the front, so the best predecessor is the front. O(n log n) per slice.
+Within a slice the recurrence is a single pass in start order (``_scan``):
+finished trips become candidates, in (end, start, id) order sorted once up
+front, when their end is before the current start, and each zone keeps a deque
+of candidates with falling length from which stale entries leave at the front,
+so the best predecessor is the front. O(n log n) for the sorts, amortised O(1)
+per trip in the pass.
 """
 
 from __future__ import annotations
 
-import heapq
 import logging
 import math
 import sys
@@ -218,67 +219,77 @@ def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool)
     of earlier trips that may link into this slice. Returns arrays aligned with
     ``trips`` rows: value (None = unreachable when chains may not start here),
     prev id, prev slice (-1 = inside this slice, -2 = none).
+
+    A trip becomes a candidate once its end is before the current start. Such
+    a trip started before the current one, so it has already been scanned: the
+    order in which trips become candidates is simply (end, start, id) over the
+    slice and its carry-in, sorted once up front (no heap).
     """
     n = len(trips)
     ids = trips["id"].to_numpy(np.int64)
     ps = trips["p"].to_numpy(np.int64)
-    order = np.lexsort((ids, ps))
-    o_ids = ids[order].tolist()
-    o_p = ps[order].tolist()
-    o_d = trips["d"].to_numpy(np.int64)[order].tolist()
-    o_org = trips["origin"].to_numpy(np.int64)[order].tolist()
-    o_dst = trips["dest"].to_numpy(np.int64)[order].tolist()
-
-    heap: list = []
+    ds = trips["d"].to_numpy(np.int64)
+    order = np.lexsort((ids, ps)).tolist()
+
+    # Rows 0..n-1 are the slice's trips, rows n.. the carry-in trips with a value.
+    val: list = [None] * n
+    src: list = [-1] * n
+    r_id, r_p, r_d, r_dest = ids, ps, ds, trips["dest"].to_numpy(np.int64)
     if len(carry):
-        cv = carry["value"].to_numpy()
-        for cid, cz, cp, cd, val, csl in zip(carry["id"].tolist(), carry["dest"].tolist(), carry["p"].tolist(),
-                                             carry["d"].tolist(), cv.tolist(), carry["slice"].tolist()):
-            if pd.isna(val):
-                continue
-            heap.append((int(cd), int(cp), int(cid), int(cz), int(val), int(csl)))
-        heapq.heapify(heap)
+        c = carry[carry["value"].notna()]
+        val += c["value"].astype("int64").tolist()
+        src += c["slice"].astype("int64").tolist()
+        r_id = np.concatenate([ids, c["id"].to_numpy(np.int64)])
+        r_p = np.concatenate([ps, c["p"].to_numpy(np.int64)])
+        r_d = np.concatenate([ds, c["d"].to_numpy(np.int64)])
+        r_dest = np.concatenate([r_dest, c["dest"].to_numpy(np.int64)])
+    release = np.lexsort((r_id, r_p, r_d))
+    rel_d = r_d[release].tolist()
+    rel_row = release.tolist()
+    id_l, p_l, dest_l = r_id.tolist(), r_p.tolist(), r_dest.tolist()
+    org_l = trips["origin"].to_numpy(np.int64).tolist()
 
     zones: dict = {}
-    val_out = [None] * n
-    prev_out = [None] * n
+    prev_out: list = [None] * n
     pslice_out = [-2] * n
-    push, pop = heapq.heappush, heapq.heappop
-    for i in range(n):
-        pb = o_p[i]
-        while heap and heap[0][0] < pb:
-            d_a, p_a, id_a, z, v, sl = pop(heap)
-            dq = zones.get(z)
-            if dq is None:
-                dq = zones[z] = deque()
-            while dq and (dq[-1][1] < v or (dq[-1][1] == v and (dq[-1][2], dq[-1][3]) > (p_a, id_a))):
-                dq.pop()
-            dq.append((d_a, v, p_a, id_a, sl))
-        dq = zones.get(o_org[i])
-        best = None
+    j, nrel = 0, len(rel_row)
+    for i in order:
+        pb = p_l[i]
+        # Release finished trips; per zone keep a deque with falling value
+        # (equal values: earliest start, then smallest id first).
+        while j < nrel and rel_d[j] < pb:
+            r = rel_row[j]
+            v = val[r]
+            if v is not None:
+                pa, ida = p_l[r], id_l[r]
+                dq = zones.get(dest_l[r])
+                if dq is None:
+                    dq = zones[dest_l[r]] = deque()
+                while dq:
+                    last = dq[-1]
+                    if last[1] < v or (last[1] == v and (last[2] > pa or (last[2] == pa and last[3] > ida))):
+                        dq.pop()
+                    else:
+                        break
+                dq.append((rel_d[j], v, pa, ida, src[r]))
+            j += 1
+        dq = zones.get(org_l[i])
         if dq:
             lim = pb - gap
             while dq and dq[0][0] < lim:
                 dq.popleft()
             if dq:
                 best = dq[0]
-        if best is not None:
-            v = best[1] + 1
-            prev_out[i] = best[3]
-            pslice_out[i] = best[4]
-        elif allow_start:
-            v = 1
-        else:
-            continue
-        val_out[i] = v
-        push(heap, (o_d[i], pb, o_ids[i], o_dst[i], v, -1))
-
-    inv = np.empty(n, dtype=np.int64)
-    inv[order] = np.arange(n)
-    vals = pd.array([val_out[j] for j in inv], dtype="Int64")
-    prevs = pd.array([prev_out[j] for j in inv], dtype="Int64")
-    pslices = np.array([pslice_out[j] for j in inv], dtype=np.int64)
-    return vals, prevs, pslices
+                val[i] = best[1] + 1
+                prev_out[i] = best[3]
+                pslice_out[i] = best[4]
+                continue
+        if allow_start:
+            val[i] = 1
+
+    vals = pd.array(val[:n], dtype="Int64")
+    prevs = pd.array(prev_out, dtype="Int64")
+    return vals, prevs, np.array(pslice_out, dtype=np.int64)
 
 
 _SLICED_SCHEMA = "id long, origin long, dest long, p long, d long, slice int, first_slice int, last_slice int"
