@@ -7,7 +7,8 @@ earliest start, then the smallest id (the order in which a chronological scan
 meets them). Every predecessor starts strictly earlier, so lengths do not depend
 on the order of equal starts.
 
-Plan. The recurrence runs on time slices in parallel, never on one task:
+Plan. The recurrence runs on time slices in parallel; one task holds one slice
+(at most about ``slice_rows`` trips), never the whole table:
 
 * Slicing. Trips are cut into P slices of about ``slice_rows`` trips at
   approximate quantiles of a key ``start * 2^20 + hash(id) mod 2^20``, so even a
@@ -19,8 +20,9 @@ Plan. The recurrence runs on time slices in parallel, never on one task:
 * Frontier. Slice t needs from its past only the trips that start before it and
   end no earlier than its first start minus ``gap``: its carry-in.
 * Pass L (no carry-in) and pass R (carry-in = L values, no chain may start in
-  the slice) run all slices at once; R keeps only its frontier trips. After a few hours of trips nearly all
-  lengths differ from the L lengths by one shift per slice (rank convergence);
+  the slice) run all slices at once; R keeps only its frontier trips. After a
+  few hours of trips nearly all lengths differ from the L lengths by one shift
+  per slice (rank convergence);
   a fold over per-slice shift histograms (P small rows) guesses every slice's
   carry-in.
 * Verify. All slices rerun from the guessed carry-in. A slice whose carry-in
@@ -593,6 +595,10 @@ def longest_chain(values: DataFrame, nslices: int, max_driver_links: int = 200_0
     end = values.orderBy(F.col("value").desc(), F.col("p"), F.col("id")).select("id", "slice").first()
     if end is None:
         return spark.createDataFrame([], "id long")
+    if nslices == 1:
+        # No cross-slice links: the end trip is the one exit to walk back from.
+        return _walk_segments(values, spark.createDataFrame([(int(end["id"]), int(end["slice"]))],
+                                                            "id long, slice int"))
     # Trips that some later slice's pointer lands on, plus the end trip.
     targets = (values.where((F.col("prev_slice") >= 0) & (F.col("prev_slice") != F.col("slice")))
                .select(F.col("prev_id").alias("id"), F.col("prev_slice").alias("slice"))
@@ -623,11 +629,15 @@ def longest_chain(values: DataFrame, nslices: int, max_driver_links: int = 200_0
         for lvl in reversed(levels):
             step = path.join(lvl, "id").where(F.col("nxt").isNotNull()).select(F.col("nxt").alias("id"))
             path = path.unionByName(step).distinct()  # at most one exit per slice
-    exits = path.join(jump.select("id", "slice"), "id")
-    seg = (values.select("id", "slice", "prev_id", "prev_slice").groupBy("slice")
-           .cogroup(exits.select("slice", F.col("id").alias("t_id")).groupBy("slice"))
-           .applyInPandas(_segment_fn(), "id long"))
-    return seg
+    return _walk_segments(values, path.join(jump.select("id", "slice"), "id"))
+
+
+def _walk_segments(values: DataFrame, exits: DataFrame) -> DataFrame:
+    """Each slice walks the chain back from its exit trip (id, slice) to the
+    first trip of the chain inside that slice."""
+    return (values.select("id", "slice", "prev_id", "prev_slice").groupBy("slice")
+            .cogroup(exits.select("slice", F.col("id").alias("t_id")).groupBy("slice"))
+            .applyInPandas(_segment_fn(), "id long"))
 
 
 def chain_listing(values: DataFrame, chain_ids: DataFrame) -> DataFrame:
