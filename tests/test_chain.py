@@ -163,3 +163,17 @@ def test_generated_ids_and_first_trips(spark):
     ids = [r["id"] for r in trips.collect()]
     assert len(set(ids)) == 3 and ids == [r["id"] for r in trips.collect()]  # stable once written
     assert [r["p"] for r in chain.first_trips(trips, 2).collect()] == [10, 30]
+
+
+def test_slice_count_rule(spark):
+    rows = _dense_rows(3, n=1500)
+    trips = chain.prepare_trips(spark.createDataFrame(rows, SCHEMA), ROLES)
+    assert chain.slice_trips(trips, 300)[1] == 1  # far below four slices of min_slice_rows
+    assert chain.slice_trips(trips, 300, slice_rows=500)[1] == 3  # bounded slice size wins
+    cores = spark.sparkContext.defaultParallelism
+    got = chain.slice_trips(trips, 300, min_slice_rows=100)[1]
+    assert got == (min(cores, 15) if min(cores, 15) >= 4 else 1)
+    # the rule-chosen slicing is exact too
+    res = chain.chain_lengths(trips, 300, slice_rows=500).collect()
+    assert {r["id"]: (r["chain_length"], r["prev_id"]) for r in res} == brute(rows, 300)
+    assert chain.last_stats["slices"] == 3
