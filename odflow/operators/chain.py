@@ -30,10 +30,11 @@ Plan. The recurrence runs on time slices in parallel; one task holds one slice
   (which has no carry-in). Slices whose carry-in changed are rerun until none
   does; each round settles at least one more slice, so the loop ends whatever
   the guess.
-* Trace back. Each slice maps every trip to the trip in an earlier slice its
-  pointers lead to. Pointer doubling over those cross-slice links (log P joins)
-  finds the chain's exit trip in every slice it visits; each such slice then
-  walks its own segment. No per-link job, nothing chain-long on the driver.
+* Trace back. Each pass records for every trip the trip in an earlier slice
+  its pointers lead to (its root). Pointer doubling over those cross-slice
+  links (log P joins) finds the chain's exit trip in every slice it visits;
+  each such slice then walks its own segment. No per-link job, nothing
+  chain-long on the driver.
 
 Within a slice the recurrence is a single pass in start order (``_scan``):
 finished trips become candidates, in (end, start, id) order sorted once up
@@ -220,7 +221,9 @@ def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool)
     ``trips``: id, origin, dest, p, d. ``carry``: id, dest, p, d, value, slice
     of earlier trips that may link into this slice. Returns arrays aligned with
     ``trips`` rows: value (None = unreachable when chains may not start here),
-    prev id, prev slice (-1 = inside this slice, -2 = none).
+    prev id, prev slice (-1 = inside this slice, -2 = none), and the root: the
+    carry-in trip (id, slice) that the trip's pointers inside this slice lead
+    to (None, -1 if the chain starts in this slice).
 
     A trip becomes a candidate once its end is before the current start. Such
     a trip started before the current one, so it has already been scanned: the
@@ -254,6 +257,8 @@ def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool)
     zones: dict = {}
     prev_out: list = [None] * n
     pslice_out = [-2] * n
+    root_id: list = [None] * n
+    root_sl = [-1] * n
     j, nrel = 0, len(rel_row)
     for i in order:
         pb = p_l[i]
@@ -273,7 +278,7 @@ def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool)
                         dq.pop()
                     else:
                         break
-                dq.append((rel_d[j], v, pa, ida, src[r]))
+                dq.append((rel_d[j], v, pa, ida, src[r], r))
             j += 1
         dq = zones.get(org_l[i])
         if dq:
@@ -285,17 +290,25 @@ def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool)
                 val[i] = best[1] + 1
                 prev_out[i] = best[3]
                 pslice_out[i] = best[4]
+                if best[4] == -1:  # predecessor in this slice: inherit its root
+                    root_id[i] = root_id[best[5]]
+                    root_sl[i] = root_sl[best[5]]
+                else:
+                    root_id[i] = best[3]
+                    root_sl[i] = best[4]
                 continue
         if allow_start:
             val[i] = 1
 
     vals = pd.array(val[:n], dtype="Int64")
     prevs = pd.array(prev_out, dtype="Int64")
-    return vals, prevs, np.array(pslice_out, dtype=np.int64)
+    return (vals, prevs, np.array(pslice_out, dtype=np.int64),
+            pd.array(root_id, dtype="Int64"), np.array(root_sl, dtype=np.int32))
 
 
 _SLICED_SCHEMA = "id long, origin long, dest long, p long, d long, slice int, first_slice int, last_slice int"
-_PASS_FIELDS = "value long, prev_id long, prev_slice int"
+_PASS_FIELDS = "value long, prev_id long, prev_slice int, root_id long, root_slice int"
+_PASS_COLS = ["value", "prev_id", "prev_slice", "root_id", "root_slice"]
 
 
 def _pass_fn(gap: int, allow_start: bool, keep: list[str], frontier_only: bool = False):
@@ -308,14 +321,16 @@ def _pass_fn(gap: int, allow_start: bool, keep: list[str], frontier_only: bool =
         if len(trips) == 0:
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in
                                  ["id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", *keep,
-                                  "value", "prev_id", "prev_slice"]})
-        vals, prevs, pslices = _scan(trips, carry, gap, allow_start)
+                                  *_PASS_COLS]})
+        vals, prevs, pslices, roots, root_slices = _scan(trips, carry, gap, allow_start)
         out = trips[["id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", *keep]].copy()
         out["value"] = vals
         out["prev_id"] = prevs
         sl = int(trips["slice"].iloc[0])
         out["prev_slice"] = np.where(pslices == -1, sl, np.where(pslices == -2, -1, pslices)).astype(np.int32)
         out.loc[out["prev_id"].isna(), "prev_slice"] = -1
+        out["root_id"] = roots
+        out["root_slice"] = root_slices
         if frontier_only:
             out = out[out["last_slice"] >= out["first_slice"]]
         return out
@@ -484,11 +499,11 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
     # Pass L runs on the freshly sliced trips; its stored output is the one
     # slice-bucketed trip table every later pass reads co-partitioned.
     lpass = _store_by_slice(_run_pass(sliced, None, gap, True, []).withColumnRenamed("value", "lval")
-                            .drop("prev_id", "prev_slice"), "lpass")
+                            .drop(*_PASS_COLS[1:]), "lpass")
     # Pass R only feeds the guess, which needs its values on frontier trips
     # alone: it returns those rows, a small share of each slice.
     rfront = _store_by_slice(_run_pass(lpass, _frontier(lpass, "lval"), gap, False, ["lval"], frontier_only=True)
-                             .withColumnRenamed("value", "rval").drop("prev_id", "prev_slice"), "rfront")
+                             .withColumnRenamed("value", "rval").drop(*_PASS_COLS[1:]), "rfront")
     diff = F.col("rval") - F.col("lval")
     hist = rfront.groupBy("slice", diff.alias("diff")).agg(F.count(F.lit(1)).alias("n"))
     top = hist.withColumn("r", F.row_number().over(
@@ -518,13 +533,12 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
         if rounds > limit:
             raise RuntimeError("chain verification did not settle")
         carry = _frontier(values, "value", dirty)
-        redo = _run_pass(values.where(F.col("slice").isin(dirty)).drop("value", "prev_id", "prev_slice"),
+        redo = _run_pass(values.where(F.col("slice").isin(dirty)).drop(*_PASS_COLS),
                          carry, gap, True, [])
         used = front.select("id", F.col("value").alias("used"))  # the stored table of this round
         values = _store_by_slice(values.where(~F.col("slice").isin(dirty)).unionByName(redo)
                                  .repartition(max(shuffle_partitions(spark), 1), "slice"), "values")
-    values = values.select("id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", "value",
-                           "prev_id", "prev_slice")
+    values = values.select("id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", *_PASS_COLS)
     return values, nslices, rounds, reruns
 
 
@@ -539,31 +553,6 @@ def chain_stats(lengths: DataFrame) -> DataFrame:
                       pct(F.col("longest"), F.col("trips")).alias("longest_pct"))
 
 
-def _root_fn():
-    def run(vals: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        cols = {"id": pd.Series(dtype="int64"), "slice": pd.Series(dtype="int32"),
-                "nxt": pd.Series(dtype="Int64"), "nxt_slice": pd.Series(dtype="int32")}
-        if len(vals) == 0 or len(wanted) == 0:
-            return pd.DataFrame(cols)
-        sl = int(vals["slice"].iloc[0])
-        v = vals.sort_values(["p", "id"])
-        root_prev: dict = {}
-        root_pslice: dict = {}
-        for i, pid, psl in zip(v["id"].tolist(), v["prev_id"].tolist(), v["prev_slice"].tolist()):
-            if pid is None or pd.isna(pid):
-                root_prev[i], root_pslice[i] = None, -1
-            elif int(psl) != sl:
-                root_prev[i], root_pslice[i] = int(pid), int(psl)
-            else:
-                root_prev[i], root_pslice[i] = root_prev[int(pid)], root_pslice[int(pid)]
-        ids = [int(x) for x in wanted["t_id"].tolist()]
-        return pd.DataFrame({"id": pd.array(ids, dtype="int64"),
-                             "slice": pd.array([sl] * len(ids), dtype="int32"),
-                             "nxt": pd.array([root_prev[x] for x in ids], dtype="Int64"),
-                             "nxt_slice": pd.array([root_pslice[x] for x in ids], dtype="int32")})
-    return run
-
-
 def _segment_fn():
     def run(vals: pd.DataFrame, exits: pd.DataFrame) -> pd.DataFrame:
         if len(vals) == 0 or len(exits) == 0:
@@ -599,14 +588,15 @@ def longest_chain(values: DataFrame, nslices: int, max_driver_links: int = 200_0
         # No cross-slice links: the end trip is the one exit to walk back from.
         return _walk_segments(values, spark.createDataFrame([(int(end["id"]), int(end["slice"]))],
                                                             "id long, slice int"))
-    # Trips that some later slice's pointer lands on, plus the end trip.
+    # Trips that some later slice's pointer lands on, plus the end trip. Each
+    # pass recorded every trip's root (the cross-slice trip its pointers lead
+    # to), so the link table is a JVM-side semi-join, not another pass.
     targets = (values.where((F.col("prev_slice") >= 0) & (F.col("prev_slice") != F.col("slice")))
-               .select(F.col("prev_id").alias("id"), F.col("prev_slice").alias("slice"))
-               .unionByName(spark.createDataFrame([(int(end["id"]), int(end["slice"]))], "id long, slice int"))
+               .select(F.col("prev_id").alias("id"))
+               .unionByName(spark.createDataFrame([(int(end["id"]),)], "id long"))
                .distinct())
-    jump = (values.select("id", "slice", "p", "prev_id", "prev_slice").groupBy("slice")
-            .cogroup(targets.select(F.col("slice"), F.col("id").alias("t_id")).groupBy("slice"))
-            .applyInPandas(_root_fn(), "id long, slice int, nxt long, nxt_slice int")).checkpoint()
+    jump = (values.join(targets, "id", "left_semi")
+            .select("id", "slice", F.col("root_id").alias("nxt"))).checkpoint()
     nlinks = jump.count()
     if nlinks <= max_driver_links:
         # Small link table (size checked above): walk the <= P hops on the driver.
@@ -635,7 +625,8 @@ def longest_chain(values: DataFrame, nslices: int, max_driver_links: int = 200_0
 def _walk_segments(values: DataFrame, exits: DataFrame) -> DataFrame:
     """Each slice walks the chain back from its exit trip (id, slice) to the
     first trip of the chain inside that slice."""
-    return (values.select("id", "slice", "prev_id", "prev_slice").groupBy("slice")
+    on_chain = values.join(exits.select("slice").distinct(), "slice", "left_semi")  # slices the chain visits
+    return (on_chain.select("id", "slice", "prev_id", "prev_slice").groupBy("slice")
             .cogroup(exits.select("slice", F.col("id").alias("t_id")).groupBy("slice"))
             .applyInPandas(_segment_fn(), "id long"))
 
