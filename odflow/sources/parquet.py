@@ -7,10 +7,10 @@ driver; the rows are read by one Parquet scan per distinct file layout.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 
 def list_parquet_files(spark: SparkSession, path: str) -> list[str]:
@@ -33,28 +33,49 @@ def list_parquet_files(spark: SparkSession, path: str) -> list[str]:
     return [full for _, full in names]
 
 
+def footer_layouts(spark: SparkSession, files: list[str], threads: int = 32) -> list[str]:
+    """The Parquet schema of each file, read from its footer through the Hadoop
+    FileSystem of the session (any store Spark reads), ``threads`` files at a
+    time. Only footers are read; rows never touch the driver."""
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def layout(path: str) -> str:
+        inp = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), hconf)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(inp)
+        try:
+            meta = reader.getFooter().getFileMetaData()
+            # Spark's own row schema, if a Spark job wrote the file, refines the types.
+            spark_meta = meta.getKeyValueMetaData().get("org.apache.spark.sql.parquet.row.metadata")
+            return f"{meta.getSchema().toString()}\n{spark_meta or ''}"
+        finally:
+            reader.close()
+
+    if len(files) <= 1:
+        return [layout(f) for f in files]
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        return list(pool.map(layout, files))
+
+
 def load_trips(spark: SparkSession, path: str, merge: str = "position") -> DataFrame:
     """Load every Parquet file of a directory as one DataFrame.
 
     ``merge='position'`` unions files by column position with the first file
-    naming the columns (the reference's behaviour). Files that share a layout
-    are read by a single scan, so a directory of thousands of same-schema files
-    is still one scan. ``merge='name'`` is a single scan with schema merging by
-    column name (missing columns become null).
+    naming the columns (the reference's behaviour). Files are grouped by their
+    footer's schema, read concurrently, and each distinct layout is one scan,
+    so a directory of thousands of same-schema files is a single scan.
+    ``merge='name'`` is a single scan with schema merging by column name
+    (missing columns become null).
     """
     files = list_parquet_files(spark, path)
     if merge == "name":
         return spark.read.option("mergeSchema", "true").parquet(*files)
     if merge != "position":
         raise ValueError("merge must be 'position' or 'name'")
-    groups: list[tuple[T.StructType, list[str]]] = []
-    for f in files:
-        schema = spark.read.parquet(f).schema
-        if groups and groups[-1][0] == schema:
-            groups[-1][1].append(f)
-        else:
-            groups.append((schema, [f]))
-    frames = [spark.read.parquet(*fs) for _, fs in groups]
+    groups: dict[str, list[str]] = {}  # layout -> files, in order of first appearance
+    for f, lay in zip(files, footer_layouts(spark, files)):
+        groups.setdefault(lay, []).append(f)
+    frames = [spark.read.parquet(*fs) for fs in groups.values()]
     first = frames[0].columns
     frames = [frames[0]] + [fr.toDF(*first) if len(fr.columns) == len(first) else fr for fr in frames[1:]]
     return reduce(lambda a, b: a.union(b), frames)

@@ -50,3 +50,19 @@ def test_schema_report(spark):
     df = spark.createDataFrame([(1, "a")], "x long, y string")
     rows = [tuple(r) for r in schema_report(df).collect()]
     assert rows == [(1, "x", "bigint", True), (2, "y", "string", True)]
+
+
+def test_layouts_grouped_across_the_listing(spark, tmp_path):
+    # a, c share a layout; b has its columns the other way round
+    _write(tmp_path / "a.parquet", {"x": [1], "y": [10]})
+    _write(tmp_path / "b.parquet", {"y": [90], "x": [9]})
+    _write(tmp_path / "c.parquet", {"x": [3], "y": [30]})
+    from odflow.sources.parquet import footer_layouts
+
+    lays = footer_layouts(spark, list_parquet_files(spark, str(tmp_path)))
+    assert lays[0] == lays[2] != lays[1]
+    df = load_trips(spark, str(tmp_path))
+    assert df.columns == ["x", "y"]
+    assert sorted(tuple(r) for r in df.collect()) == [(1, 10), (3, 30), (90, 9)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2  # one scan per layout
