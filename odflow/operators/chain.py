@@ -72,6 +72,7 @@ _SPAN = float(1 << _HASH_BITS)
 
 _TRIP_COLS = ["id", "origin", "dest", "p", "d"]
 _GRID = 256  # key quantiles taken with the row count (more slices: one more job)
+_BROADCAST_SLICES = 250_000  # per-slice tables up to this many rows (4 MB) are broadcast
 
 log = logging.getLogger(__name__)
 
@@ -510,7 +511,9 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
         Window.partitionBy("slice").orderBy(F.col("n").desc(), F.col("diff"))))
     offsets = _fold_offsets(top.where(F.col("r") <= 8).collect(), nslices)
     off_df = spark.createDataFrame([(s, o) for s, o in offsets.items()], "slice int, off long")
-    guessed = (rfront.join(F.broadcast(off_df), "slice", "left")  # one row per slice
+    # One row per slice (16 bytes): broadcast up to a bound, a plain join beyond it.
+    off_side = F.broadcast(off_df) if nslices <= _BROADCAST_SLICES else off_df
+    guessed = (rfront.join(off_side, "slice", "left")
                .withColumn("guess", F.when(F.col("rval").isNull(), F.col("lval"))
                            .otherwise(F.greatest(F.col("lval"), F.col("rval") + F.coalesce("off", F.lit(0)))))
                .select("id", "dest", "p", "d", "slice", "first_slice", "last_slice", "guess"))

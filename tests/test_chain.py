@@ -213,3 +213,9 @@ def test_scan_with_carry_matches_brute_force(seed):
         assert (None if pd.isna(roots[k]) else int(roots[k])) == root
         assert int(root_slices[k]) == (0 if root is not None else -1)
         assert int(pslices[k]) == (-2 if prev is None else (0 if prev in early_ids else -1))
+
+
+def test_offsets_joined_without_broadcast_beyond_bound(spark, monkeypatch):
+    rows = _dense_rows(4, n=800)
+    monkeypatch.setattr(chain, "_BROADCAST_SLICES", 0)
+    assert run(spark, rows, slices=4) == brute(rows, 300)
