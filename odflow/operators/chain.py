@@ -101,7 +101,7 @@ def _static_plan(spark):
             spark.conf.set(key, old)
 
 
-def _store_by_slice(df: DataFrame, tag: str) -> DataFrame:
+def _store_by_slice(df: DataFrame, tag: str, parts: int) -> DataFrame:
     """Write ``df`` as a Parquet table bucketed and sorted by slice, in the
     session's checkpoint folder, and read it back.
 
@@ -115,7 +115,7 @@ def _store_by_slice(df: DataFrame, tag: str) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     name = f"odflow_{tag}_{uuid.uuid4().hex[:12]}"
     (df.write.format("parquet").mode("overwrite").option("path", f"{base}/{name}")
-     .bucketBy(max(shuffle_partitions(spark), 1), "slice").sortBy("slice").saveAsTable(name))
+     .bucketBy(parts, "slice").sortBy("slice").saveAsTable(name))
     _tables.append(name)
     return spark.table(name)
 
@@ -441,9 +441,9 @@ def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_
         b2 = Bucketizer(splits=splits, inputCol="opens", outputCol="open_d")
         b3 = Bucketizer(splits=splits, inputCol="reach", outputCol="last_d")
         s = b3.transform(b2.transform(b1.transform(base).withColumn("opens", opens)).withColumn("reach", reach))
-    # As many partitions as the session's shuffles use, so that the planner keeps
-    # this partitioning for the first pass's cogroup instead of reshuffling.
-    parts = max(shuffle_partitions(spark), 1)
+    # A partition count under which the slices spread evenly over the tasks;
+    # the first pass's cogroup keeps this partitioning.
+    parts = slice_partitions(spark, nslices)
     sliced = (s.select(*_TRIP_COLS, F.col("slice_d").cast("int").alias("slice"),
                        F.greatest(F.col("slice_d") + 1, F.col("open_d")).cast("int").alias("first_slice"),
                        F.col("last_d").cast("int").alias("last_slice"))
@@ -451,6 +451,48 @@ def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_
     return sliced, nslices
 
 
+_SEARCH_SLICES = 4096  # beyond this many slices, hash spreading is even enough
+_MAX_SLICE_PARTITIONS = 100_000
+_parts_cache: dict = {}
+
+
+def slice_partitions(spark, nslices: int) -> int:
+    """Partition (and bucket) count for the slice passes.
+
+    Rows go to partition ``pmod(hash(slice), m)``. With about as many slices as
+    partitions that hash puts two or three slices on some tasks and none on
+    others, and a pass lasts as long as its fullest task. So ``m`` is searched
+    (from the larger of the shuffle width and the slice count, up to four
+    times that) for the count whose fullest partition holds the fewest slices:
+    one each when there are no more slices than cores. The hashes come from Spark itself (one tiny job), so the
+    placement is exactly the one the planner will use.
+    """
+    base = max(shuffle_partitions(spark), 1)
+    if nslices <= 1:
+        return base
+    if nslices > _SEARCH_SLICES:
+        # Many slices: about one per partition, so tasks stay one slice long
+        # and the scheduler balances them over the cores.
+        return max(base, min(nslices, _MAX_SLICE_PARTITIONS))
+    cores = max(spark.sparkContext.defaultParallelism, 1)
+    key = (nslices, base, cores)
+    if key in _parts_cache:
+        return _parts_cache[key]
+    hashes = np.array([r[0] for r in spark.range(nslices).select(F.hash(F.col("id").cast("int"))).collect()],
+                      dtype=np.int64)
+    target = math.ceil(nslices / cores)
+    lo = max(base, nslices)
+    best = (None, lo)
+    for m in range(lo, 4 * lo + 1):
+        worst = int(np.bincount(np.mod(hashes, m)).max())  # np.mod is pmod for m > 0
+        if best[0] is None or worst < best[0]:
+            best = (worst, m)
+        if worst <= target:
+            break
+    _parts_cache[key] = best[1]
+    return best[1]
+
+
 def _fold_offsets(hist_rows, nslices: int) -> dict[int, int]:
     """Guess per slice the shift (true - L) of its carry-in, from histograms of
     (R - L) over each slice's outgoing frontier trips (None = not reached)."""
@@ -494,17 +536,18 @@ def chain_lengths(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int =
 def _chain_values(trips, gap, slice_rows, slices, max_rounds):
     spark = trips.sparkSession
     sliced, nslices = slice_trips(trips, gap, slice_rows, slices)
+    parts = slice_partitions(spark, nslices)
     if nslices == 1:
-        return _store_by_slice(_run_pass(sliced, None, gap, True, []), "values"), 1, 0, 0
+        return _store_by_slice(_run_pass(sliced, None, gap, True, []), "values", parts), 1, 0, 0
 
     # Pass L runs on the freshly sliced trips; its stored output is the one
     # slice-bucketed trip table every later pass reads co-partitioned.
     lpass = _store_by_slice(_run_pass(sliced, None, gap, True, []).withColumnRenamed("value", "lval")
-                            .drop(*_PASS_COLS[1:]), "lpass")
+                            .drop(*_PASS_COLS[1:]), "lpass", parts)
     # Pass R only feeds the guess, which needs its values on frontier trips
     # alone: it returns those rows, a small share of each slice.
     rfront = _store_by_slice(_run_pass(lpass, _frontier(lpass, "lval"), gap, False, ["lval"], frontier_only=True)
-                             .withColumnRenamed("value", "rval").drop(*_PASS_COLS[1:]), "rfront")
+                             .withColumnRenamed("value", "rval").drop(*_PASS_COLS[1:]), "rfront", parts)
     diff = F.col("rval") - F.col("lval")
     hist = rfront.groupBy("slice", diff.alias("diff")).agg(F.count(F.lit(1)).alias("n"))
     top = hist.withColumn("r", F.row_number().over(
@@ -518,7 +561,7 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
                            .otherwise(F.greatest(F.col("lval"), F.col("rval") + F.coalesce("off", F.lit(0)))))
                .select("id", "dest", "p", "d", "slice", "first_slice", "last_slice", "guess"))
     trips_only = lpass.drop("lval")
-    values = _store_by_slice(_run_pass(trips_only, _frontier(guessed, "guess"), gap, True, []), "values")
+    values = _store_by_slice(_run_pass(trips_only, _frontier(guessed, "guess"), gap, True, []), "values", parts)
     # ``used``: the value each frontier trip passed on as carry-in in the last
     # run of the slices it reaches. A change of a trip's value makes all of
     # those slices dirty at once, so one row per frontier trip is enough.
@@ -540,7 +583,7 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
                          carry, gap, True, [])
         used = front.select("id", F.col("value").alias("used"))  # the stored table of this round
         values = _store_by_slice(values.where(~F.col("slice").isin(dirty)).unionByName(redo)
-                                 .repartition(max(shuffle_partitions(spark), 1), "slice"), "values")
+                                 .repartition(parts, "slice"), "values", parts)
     values = values.select("id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", *_PASS_COLS)
     return values, nslices, rounds, reruns
 

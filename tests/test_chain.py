@@ -219,3 +219,14 @@ def test_offsets_joined_without_broadcast_beyond_bound(spark, monkeypatch):
     rows = _dense_rows(4, n=800)
     monkeypatch.setattr(chain, "_BROADCAST_SLICES", 0)
     assert run(spark, rows, slices=4) == brute(rows, 300)
+
+
+def test_slice_partitions_spread_slices(spark):
+    # the planner's own placement: at most one slice per partition when there
+    # are no more slices than cores
+    cores = spark.sparkContext.defaultParallelism
+    for n in (2, 3, min(cores, 8)):
+        m = chain.slice_partitions(spark, n)
+        fullest = (spark.range(n).select(F.col("id").cast("int").alias("slice")).repartition(m, "slice")
+                   .groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
+        assert fullest == 1, (n, m)
