@@ -101,7 +101,7 @@ def _static_plan(spark):
             spark.conf.set(key, old)
 
 
-def _store_by_slice(df: DataFrame, tag: str, parts: int) -> DataFrame:
+def _store_by_slice(df: DataFrame, tag: str, parts: int, made: list | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table bucketed and sorted by slice, in the
     session's checkpoint folder, and read it back.
 
@@ -109,18 +109,42 @@ def _store_by_slice(df: DataFrame, tag: str, parts: int) -> DataFrame:
     hash partitioning by slice, so the next pass reads the trips co-partitioned
     (no exchange of the trips; only the small carry-in side is shuffled). The
     input is already clustered by slice, so each task writes one file per bucket
-    it holds.
+    it holds. The table is recorded in ``made`` (else in the module's list of
+    kept tables) so that it can be dropped once nothing reads it.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     name = f"odflow_{tag}_{uuid.uuid4().hex[:12]}"
-    (df.write.format("parquet").mode("overwrite").option("path", f"{base}/{name}")
+    path = f"{base}/{name}"
+    (df.write.format("parquet").mode("overwrite").option("path", path)
      .bucketBy(parts, "slice").sortBy("slice").saveAsTable(name))
-    _tables.append(name)
+    (made if made is not None else _tables).append((name, path))
     return spark.table(name)
 
 
-_tables: list[str] = []
+#: Result tables of earlier calls (name, path), kept until ``release_stored_tables``.
+_tables: list[tuple[str, str]] = []
+
+
+def _drop_stored(spark, entries) -> None:
+    """Drop tables written by ``_store_by_slice``, with their files (they are
+    external tables, so dropping the table alone would leave the files)."""
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name, path in entries:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(hconf).delete(jpath, True)
+
+
+def release_stored_tables(spark) -> int:
+    """Drop the result tables that earlier ``chain_lengths`` calls left in the
+    checkpoint folder (DataFrames read from them become unusable). Returns how
+    many were dropped."""
+    entries = list(_tables)
+    _drop_stored(spark, entries)
+    del _tables[: len(entries)]
+    return len(entries)
 
 
 # --------------------------------------------------------------------------- C1
@@ -523,8 +547,17 @@ def chain_lengths(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int =
     ``slice_rows`` trips per slice. The result is exact for any slicing.
     """
     spark = trips.sparkSession
-    with _static_plan(spark):
-        values, nslices, rounds, reruns = _chain_values(trips, gap, slice_rows, slices, max_rounds)
+    made: list = []
+    try:
+        with _static_plan(spark):
+            values, nslices, rounds, reruns = _chain_values(trips, gap, slice_rows, slices, max_rounds, made)
+    except BaseException:
+        _drop_stored(spark, made)
+        raise
+    # The last table written holds the result and nothing reads the others any
+    # more (each store cut the lineage): drop them, files included.
+    _drop_stored(spark, made[:-1])
+    _tables.extend(made[-1:])
     last_stats.clear()
     last_stats.update(slices=nslices, verify_rounds=rounds, reruns=reruns)
     log.info("chain: %d slices, %d verify rounds, %d slice reruns", nslices, rounds, reruns)
@@ -533,21 +566,21 @@ def chain_lengths(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int =
     return values.select("id", F.col("value").cast("int").alias("chain_length"), "prev_id")
 
 
-def _chain_values(trips, gap, slice_rows, slices, max_rounds):
+def _chain_values(trips, gap, slice_rows, slices, max_rounds, made):
     spark = trips.sparkSession
     sliced, nslices = slice_trips(trips, gap, slice_rows, slices)
     parts = slice_partitions(spark, nslices)
     if nslices == 1:
-        return _store_by_slice(_run_pass(sliced, None, gap, True, []), "values", parts), 1, 0, 0
+        return _store_by_slice(_run_pass(sliced, None, gap, True, []), "values", parts, made), 1, 0, 0
 
     # Pass L runs on the freshly sliced trips; its stored output is the one
     # slice-bucketed trip table every later pass reads co-partitioned.
     lpass = _store_by_slice(_run_pass(sliced, None, gap, True, []).withColumnRenamed("value", "lval")
-                            .drop(*_PASS_COLS[1:]), "lpass", parts)
+                            .drop(*_PASS_COLS[1:]), "lpass", parts, made)
     # Pass R only feeds the guess, which needs its values on frontier trips
     # alone: it returns those rows, a small share of each slice.
     rfront = _store_by_slice(_run_pass(lpass, _frontier(lpass, "lval"), gap, False, ["lval"], frontier_only=True)
-                             .withColumnRenamed("value", "rval").drop(*_PASS_COLS[1:]), "rfront", parts)
+                             .withColumnRenamed("value", "rval").drop(*_PASS_COLS[1:]), "rfront", parts, made)
     diff = F.col("rval") - F.col("lval")
     hist = rfront.groupBy("slice", diff.alias("diff")).agg(F.count(F.lit(1)).alias("n"))
     top = hist.withColumn("r", F.row_number().over(
@@ -561,7 +594,7 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
                            .otherwise(F.greatest(F.col("lval"), F.col("rval") + F.coalesce("off", F.lit(0)))))
                .select("id", "dest", "p", "d", "slice", "first_slice", "last_slice", "guess"))
     trips_only = lpass.drop("lval")
-    values = _store_by_slice(_run_pass(trips_only, _frontier(guessed, "guess"), gap, True, []), "values", parts)
+    values = _store_by_slice(_run_pass(trips_only, _frontier(guessed, "guess"), gap, True, []), "values", parts, made)
     # ``used``: the value each frontier trip passed on as carry-in in the last
     # run of the slices it reaches. A change of a trip's value makes all of
     # those slices dirty at once, so one row per frontier trip is enough.
@@ -583,7 +616,7 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds):
                          carry, gap, True, [])
         used = front.select("id", F.col("value").alias("used"))  # the stored table of this round
         values = _store_by_slice(values.where(~F.col("slice").isin(dirty)).unionByName(redo)
-                                 .repartition(parts, "slice"), "values", parts)
+                                 .repartition(parts, "slice"), "values", parts, made)
     values = values.select("id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", *_PASS_COLS)
     return values, nslices, rounds, reruns
 

@@ -230,3 +230,21 @@ def test_slice_partitions_spread_slices(spark):
         fullest = (spark.range(n).select(F.col("id").cast("int").alias("slice")).repartition(m, "slice")
                    .groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
         assert fullest == 1, (n, m)
+
+
+def test_intermediate_tables_dropped(spark):
+    import os
+
+    rows = _dense_rows(5, n=600)
+    before = list(chain._tables)
+    got = run(spark, rows, slices=4)  # L, R frontier and values tables are written
+    new = [t for t in chain._tables if t not in before]
+    assert len(new) == 1  # only the result table is kept
+    name, path = new[0]
+    assert got == brute(rows, 300)
+    base = os.path.dirname(path.replace("file:", ""))
+    left = [d for d in os.listdir(base) if d.startswith("odflow_")]
+    assert os.path.basename(path) in left
+    assert not [d for d in left if d.startswith(("odflow_lpass_", "odflow_rfront_"))]
+    assert chain.release_stored_tables(spark) >= 1
+    assert not [d for d in os.listdir(base) if d.startswith("odflow_")]
