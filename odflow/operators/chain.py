@@ -715,10 +715,12 @@ def chain_listing(values: DataFrame, chain_ids: DataFrame) -> DataFrame:
 
     seq is the chain length at the trip (the k-th trip of a longest chain has
     length k), and the gap comes from the predecessor's end, so no window over
-    the chain is needed.
+    the chain is needed. Every predecessor on the chain is itself on the chain,
+    so its end comes from a self-join of the chain's rows: the trip table is
+    only scanned, never shuffled, for the listing.
     """
     ch = values.join(chain_ids, "id", "left_semi")
-    prev = values.select(F.col("id").alias("prev_id"), F.col("d").alias("prev_d"))
+    prev = ch.select(F.col("id").alias("prev_id"), F.col("d").alias("prev_d"))
     return (ch.join(prev, "prev_id", "left")
             .select(F.col("value").cast("int").alias("seq"), "id", "origin", "dest",
                     F.col("p").alias("start_s"), F.col("d").alias("end_s"),
