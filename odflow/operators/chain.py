@@ -594,7 +594,8 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds, made):
                            .otherwise(F.greatest(F.col("lval"), F.col("rval") + F.coalesce("off", F.lit(0)))))
                .select("id", "dest", "p", "d", "slice", "first_slice", "last_slice", "guess"))
     trips_only = lpass.drop("lval")
-    values = _store_by_slice(_run_pass(trips_only, _frontier(guessed, "guess"), gap, True, []), "values", parts, made)
+    values = _store_by_slice(_run_pass(trips_only, _frontier(guessed, "guess"), gap, True, []),
+                             "values", parts, made)
     # ``used``: the value each frontier trip passed on as carry-in in the last
     # run of the slices it reaches. A change of a trip's value makes all of
     # those slices dirty at once, so one row per frontier trip is enough.
