@@ -14,7 +14,7 @@ Plan. The recurrence runs on time slices in parallel; one task holds one slice
   approximate quantiles of a key ``start * 2^20 + hash(id) mod 2^20``, so even a
   single second holding a large share of the trips is split (trips with equal
   starts never link, so any split among them is exact). Inputs too small for
-  four slices of ``min_slice_rows`` trips run as a single slice. Pass L runs on
+  eight slices of ``min_slice_rows`` trips run as a single slice. Pass L runs on
   the hash-partitioned slices and is stored bucketed by slice: that is the trip
   table every later pass reads co-partitioned.
 * Frontier. Slice t needs from its past only the trips that start before it and
@@ -411,8 +411,8 @@ def _run_pass(left: DataFrame, carry: DataFrame | None, gap: int, allow_start: b
 
 
 def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_000_000,
-                slices: int | None = None, min_slice_rows: int = 100_000,
-                min_parallel: int = 4) -> tuple[DataFrame, int]:
+                slices: int | None = None, min_slice_rows: int = 250_000,
+                min_parallel: int = 8) -> tuple[DataFrame, int]:
     """Assign each trip its slice and the last slice its end can link into.
 
     By default there are ``ceil(n / slice_rows)`` slices, or one per core of the

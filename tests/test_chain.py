@@ -171,8 +171,10 @@ def test_slice_count_rule(spark):
     assert chain.slice_trips(trips, 300)[1] == 1  # far below four slices of min_slice_rows
     assert chain.slice_trips(trips, 300, slice_rows=500)[1] == 3  # bounded slice size wins
     cores = spark.sparkContext.defaultParallelism
-    got = chain.slice_trips(trips, 300, min_slice_rows=100)[1]
+    got = chain.slice_trips(trips, 300, min_slice_rows=100, min_parallel=4)[1]
     assert got == (min(cores, 15) if min(cores, 15) >= 4 else 1)
+    got = chain.slice_trips(trips, 300, min_slice_rows=100)[1]  # default: at least 8 parallel slices
+    assert got == (min(cores, 15) if min(cores, 15) >= 8 else 1)
     # the rule-chosen slicing is exact too
     res = chain.chain_lengths(trips, 300, slice_rows=500).collect()
     assert {r["id"]: (r["chain_length"], r["prev_id"]) for r in res} == brute(rows, 300)
