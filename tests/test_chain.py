@@ -250,3 +250,22 @@ def test_intermediate_tables_dropped(spark):
     assert not [d for d in left if d.startswith(("odflow_lpass_", "odflow_rfront_"))]
     assert chain.release_stored_tables(spark) >= 1
     assert not [d for d in os.listdir(base) if d.startswith("odflow_")]
+
+
+def test_hot_second_and_hot_zone_split_evenly_and_exactly(spark):
+    # a third of the trips start in the same second, a third start in zone 0
+    rnd = random.Random(9)
+    rows = []
+    for i in range(1800):
+        if i % 3 == 0:
+            s = 5000  # the hot second
+        else:
+            s = rnd.randint(0, 10000)
+        o = 0 if i % 3 == 1 else rnd.randint(1, 3)
+        rows.append((i, o, rnd.randint(0, 3), s, s + rnd.randint(0, 250)))
+    rnd.shuffle(rows)
+    trips = chain.prepare_trips(spark.createDataFrame(rows, SCHEMA), ROLES)
+    sliced, n = chain.slice_trips(trips, 300, slices=6)
+    sizes = [r["count"] for r in sliced.groupBy("slice").count().collect()]
+    assert n == 6 and max(sizes) < 2 * (len(rows) / 6)  # the hot second is spread over slices
+    assert run(spark, rows, slices=6) == brute(rows, 300)
