@@ -547,17 +547,18 @@ def chain_lengths(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int =
     ``slice_rows`` trips per slice. The result is exact for any slicing.
     """
     spark = trips.sparkSession
-    made: list = []
+    made: list = []  # every table this call writes
+    keep: list = []  # the ones the result reads
     try:
         with _static_plan(spark):
-            values, nslices, rounds, reruns = _chain_values(trips, gap, slice_rows, slices, max_rounds, made)
+            values, nslices, rounds, reruns = _chain_values(trips, gap, slice_rows, slices, max_rounds, made, keep)
     except BaseException:
         _drop_stored(spark, made)
         raise
-    # The last table written holds the result and nothing reads the others any
-    # more (each store cut the lineage): drop them, files included.
-    _drop_stored(spark, made[:-1])
-    _tables.extend(made[-1:])
+    # Nothing reads the pass tables any more (each store cut the lineage):
+    # drop them, files included.
+    _drop_stored(spark, [t for t in made if t not in keep])
+    _tables.extend(keep)
     last_stats.clear()
     last_stats.update(slices=nslices, verify_rounds=rounds, reruns=reruns)
     log.info("chain: %d slices, %d verify rounds, %d slice reruns", nslices, rounds, reruns)
@@ -566,12 +567,14 @@ def chain_lengths(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int =
     return values.select("id", F.col("value").cast("int").alias("chain_length"), "prev_id")
 
 
-def _chain_values(trips, gap, slice_rows, slices, max_rounds, made):
+def _chain_values(trips, gap, slice_rows, slices, max_rounds, made, keep):
     spark = trips.sparkSession
     sliced, nslices = slice_trips(trips, gap, slice_rows, slices)
     parts = slice_partitions(spark, nslices)
     if nslices == 1:
-        return _store_by_slice(_run_pass(sliced, None, gap, True, []), "values", parts, made), 1, 0, 0
+        values = _store_by_slice(_run_pass(sliced, None, gap, True, []), "values", parts, made)
+        keep.append(made[-1])
+        return values, 1, 0, 0
 
     # Pass L runs on the freshly sliced trips; its stored output is the one
     # slice-bucketed trip table every later pass reads co-partitioned.
@@ -596,6 +599,7 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds, made):
     trips_only = lpass.drop("lval")
     values = _store_by_slice(_run_pass(trips_only, _frontier(guessed, "guess"), gap, True, []),
                              "values", parts, made)
+    keep.append(made[-1])
     # ``used``: the value each frontier trip passed on as carry-in in the last
     # run of the slices it reaches. A change of a trip's value makes all of
     # those slices dirty at once, so one row per frontier trip is enough.
@@ -613,11 +617,15 @@ def _chain_values(trips, gap, slice_rows, slices, max_rounds, made):
         if rounds > limit:
             raise RuntimeError("chain verification did not settle")
         carry = _frontier(values, "value", dirty)
-        redo = _run_pass(values.where(F.col("slice").isin(dirty)).drop(*_PASS_COLS),
+        # Only the dirty slices are read (bucket pruning on the slice) and
+        # shuffled into the slice placement; only they are written back, and
+        # the other slices keep being read from the tables before.
+        redo = _run_pass(values.where(F.col("slice").isin(dirty)).drop(*_PASS_COLS).repartition(parts, "slice"),
                          carry, gap, True, [])
-        used = front.select("id", F.col("value").alias("used"))  # the stored table of this round
-        values = _store_by_slice(values.where(~F.col("slice").isin(dirty)).unionByName(redo)
-                                 .repartition(parts, "slice"), "values", parts, made)
+        used = front.select("id", F.col("value").alias("used"))  # the values of this round's input
+        redone = _store_by_slice(redo, "redo", parts, made)
+        keep.append(made[-1])
+        values = values.where(~F.col("slice").isin(dirty)).unionByName(redone)
     values = values.select("id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", *_PASS_COLS)
     return values, nslices, rounds, reruns
 

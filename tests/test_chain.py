@@ -151,8 +151,11 @@ def test_dense_chains_cross_slices_exactly(spark):
 def test_verify_loop_repairs_a_bad_guess(spark, monkeypatch):
     rows = _dense_rows(2)
     monkeypatch.setattr(chain, "_fold_offsets", lambda rows_, n: {s: 0 for s in range(n)})
+    before = len(chain._tables)
     assert run(spark, rows, slices=5) == brute(rows, 300)
     assert chain.last_stats["verify_rounds"] >= 1
+    # the result reads the first values table plus one table of rerun slices per round
+    assert len(chain._tables) - before == 1 + chain.last_stats["verify_rounds"]
 
 
 def test_generated_ids_and_first_trips(spark):
