@@ -5,7 +5,6 @@ from odflow.functions.columns import (
     epoch_seconds,
     exact_sum,
     pct,
-    to_double,
 )
 
-__all__ = ["PAYMENT_TYPE_LABELS", "epoch_seconds", "exact_sum", "pct", "to_double"]
+__all__ = ["PAYMENT_TYPE_LABELS", "epoch_seconds", "exact_sum", "pct"]

@@ -45,7 +45,3 @@ def exact_sum(c: Column, scale: int | None) -> Column:
     if scale is None:
         return F.sum(c.cast("double"))
     return F.sum(c.cast(f"decimal(18,{scale})"))
-
-
-def to_double(c: Column) -> Column:
-    return c.cast("double")

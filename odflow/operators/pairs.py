@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from odflow.functions.columns import exact_sum
 from odflow.roles import TripRoles
 
 
@@ -31,12 +32,9 @@ def pair_totals(df: DataFrame, roles: TripRoles, threshold=None, full: bool = Tr
     Keys and amount must be non-null (P2).
     """
     t = _valid_trips(df, roles, threshold, full)
-    amt = F.col("amount").cast(f"decimal(18,{scale})") if scale is not None else F.col("amount").cast("double")
-    aggs = [F.sum(amt).alias("s_amt"), F.count(F.lit(1)).alias("trip_count")]
+    aggs = [exact_sum(F.col("amount"), scale).alias("s_amt"), F.count(F.lit(1)).alias("trip_count")]
     if full:
-        dist = (F.col("distance").cast(f"decimal(18,{scale})") if scale is not None
-                else F.col("distance").cast("double"))
-        aggs += [F.sum(dist).alias("s_dist"), F.count("distance").alias("n_dist")]
+        aggs += [exact_sum(F.col("distance"), scale).alias("s_dist"), F.count("distance").alias("n_dist")]
     g = t.groupBy("origin", "dest").agg(*aggs)
     cols = [F.col("origin"), F.col("dest"),
             F.col("s_amt").cast("double").alias("total_amount_sum"), F.col("trip_count")]
@@ -83,9 +81,8 @@ def _valid(o_col, d_col, min_id, max_id):
 def pair_sums(df: DataFrame, roles: TripRoles, threshold=None, scale: int | None = 2) -> DataFrame:
     """The 2-measure pair aggregate kept exact (decimal sum) for re-aggregation."""
     t = _valid_trips(df, roles, threshold, False)
-    amt = F.col("amount").cast(f"decimal(18,{scale})") if scale is not None else F.col("amount").cast("double")
     return (t.groupBy(F.col("origin").cast("long").alias("origin"), F.col("dest").cast("long").alias("dest"))
-            .agg(F.sum(amt).alias("s_amt"), F.count(F.lit(1)).alias("trip_count")))
+            .agg(exact_sum(F.col("amount"), scale).alias("s_amt"), F.count(F.lit(1)).alias("trip_count")))
 
 
 def expand_neighbours(pairs: DataFrame, radius: int = 1, min_id: int = 1, max_id: int | None = None) -> DataFrame:

@@ -13,9 +13,6 @@ from dataclasses import dataclass, fields
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RoleValue = "str | Column | None"
-
-
 @dataclass(frozen=True)
 class TripRoles:
     origin: object = "PULocationID"
