@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from odflow.session import shuffle_partitions
 
 _MAX_RANGES = 4096
+_BUCKETS = 4096  # per column; step 3 reads about 1/_BUCKETS of a column per wanted quantile
+_BUCKETS_FROM_BYTES = 1 << 30  # 'auto' counts buckets from this estimated input size on
 
 # The probabilities of the reference's quantile profile.
 PROFILE_PROBS = (0.001, 0.01, 0.05, 0.25, 0.50, 0.75, 0.95, 0.99, 0.999)
@@ -69,34 +71,40 @@ def _long_form(df: DataFrame, named: list[tuple[str, Column]]) -> DataFrame:
     return df.select(F.inline(F.array(*items))).where(F.col("v").isNotNull())
 
 
-def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None,
+                    strategy: str = "auto") -> DataFrame:
     """Long table (column, p, value) of exact ``percentile_disc`` quantiles.
 
-    ``cols`` are column names or (label, Column) pairs. Runs one aggregate job
-    eagerly (step 1 above); the returned DataFrame is the lazy step 3.
+    ``cols`` are column names or (label, Column) pairs. Step 1 runs eagerly and
+    yields, per column, disjoint value ranges with exact row counts; the
+    returned DataFrame is the lazy step 3. ``strategy='buckets'`` cuts each
+    column at sketch quantiles and counts rows per bucket, so only one row per
+    bucket and task is shuffled (one more scan, for the sketch);
+    ``strategy='ranges'`` range-partitions the whole value histogram, which
+    for a continuous column is nearly the column itself. ``'auto'`` takes
+    ranges when the optimizer estimates the input below
+    ``_BUCKETS_FROM_BYTES``, else buckets. ``partitions`` is the number of
+    buckets (or ranges).
     """
     spark = df.sparkSession
     named = _named(df, cols)
     probs = [float(p) for p in probs]
-    # Each wanted quantile makes step 3 read one range; with at least four
-    # ranges per wanted quantile, step 3 touches at most about a quarter of
-    # the histogram, whatever the session's shuffle width.
-    nparts = partitions or max(shuffle_partitions(spark), min(4 * len(named) * len(probs), _MAX_RANGES), 1)
-
-    hist = _long_form(df, named).groupBy("cid", "v").agg(F.count(F.lit(1)).alias("c"))
-    ranges = (hist.repartitionByRange(nparts, "cid", "v")
-              .select(F.spark_partition_id().alias("part"), "cid", "v", "c")
-              .groupBy("part", "cid")
-              .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-              .collect())
-
-    by_col: dict[int, list[tuple[float, float, int]]] = {}
-    for r in ranges:
-        by_col.setdefault(r["cid"], []).append((r["lo"], r["hi"], int(r["n"])))
+    if strategy == "auto":
+        strategy = "ranges" if _estimated_bytes(df) < _BUCKETS_FROM_BYTES else "buckets"
+    if strategy == "buckets":
+        by_col = _bucket_counts(df, named, partitions or _BUCKETS)
+    elif strategy == "ranges":
+        # Each wanted quantile makes step 3 read one range; with at least four
+        # ranges per wanted quantile, step 3 touches at most about a quarter of
+        # the histogram, whatever the session's shuffle width.
+        nparts = partitions or max(shuffle_partitions(spark), min(4 * len(named) * len(probs), _MAX_RANGES), 1)
+        by_col = _range_counts(df, named, nparts)
+    else:
+        raise ValueError("strategy must be 'buckets' or 'ranges'")
 
     targets = []  # (cid, column, pi, p, lo, hi, local_rank)
     for cid, (label, _) in enumerate(named):
-        rs = sorted(by_col.get(cid, []))
+        rs = [r[1:] for r in sorted(by_col.get(cid, []), key=lambda r: r[0])]  # in value order
         total = sum(n for _, _, n in rs)
         for pi, p in enumerate(probs):
             if total == 0:
@@ -140,6 +148,65 @@ def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None) -
             .select("column", "p", "value"))
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (file sizes for scans; joins
+    without statistics estimate high, which selects the bucket strategy)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no estimate: assume large
+        return _BUCKETS_FROM_BYTES
+
+
+def _range_counts(df: DataFrame, named, nparts: int) -> dict:
+    """Per column: (order, lo, hi, n) of disjoint value ranges, from the value
+    histogram range-partitioned on (column, value)."""
+    hist = _long_form(df, named).groupBy("cid", "v").agg(F.count(F.lit(1)).alias("c"))
+    rows = (hist.repartitionByRange(nparts, "cid", "v")
+            .select(F.spark_partition_id().alias("part"), "cid", "v", "c")
+            .groupBy("part", "cid")
+            .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
+            .collect())
+    by_col: dict = {}
+    for r in rows:
+        by_col.setdefault(r["cid"], []).append((r["part"], r["lo"], r["hi"], int(r["n"])))
+    return by_col
+
+
+def _bucket_counts(df: DataFrame, named, buckets: int) -> dict:
+    """Per column: (order, lo, hi, n) of disjoint value ranges, from exact row
+    counts per bucket. Buckets are cut at sketch quantiles (one aggregate) and
+    assigned by a JVM binary search (``Bucketizer``); the count is an aggregate
+    with at most one row per (column, bucket) and task to shuffle, never a
+    histogram of all values. The sketch only balances the buckets: lo, hi and n
+    are observed exactly, so the quantiles do not depend on it. NaN values get
+    a bucket of their own after all others (NaN sorts last)."""
+    from pyspark.ml.feature import Bucketizer
+
+    acc = max(10000, 2 * buckets)
+    wide = df.select(*[e.cast("double").alias(f"x{i}") for i, (_, e) in enumerate(named)])
+    # The grid goes to the JVM as SQL text: a Python list costs one round trip per element.
+    grid = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    row = (wide.agg(*[F.expr(f"percentile_approx(x{i}, array({grid}), {acc})").alias(f"g{i}")
+                      for i in range(len(named))]).first()
+           if buckets > 1 else None)
+    splits = []
+    for i in range(len(named)):
+        got = (row[f"g{i}"] if row is not None else None) or []
+        cuts = sorted({float(x) for x in got if x is not None and math.isfinite(x)})
+        splits.append([-math.inf, *(cuts or [0.0]), math.inf])
+    bz = Bucketizer(splitsArray=splits, inputCols=[f"x{i}" for i in range(len(named))],
+                    outputCols=[f"b{i}" for i in range(len(named))], handleInvalid="keep")
+    items = [F.struct(F.lit(i).alias("cid"), F.col(f"b{i}").cast("int").alias("b"), F.col(f"x{i}").alias("v"))
+             for i in range(len(named))]
+    rows = (bz.transform(wide).select(F.inline(F.array(*items))).where(F.col("v").isNotNull())
+            .groupBy("cid", "b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"))
+            .collect())  # at most #columns x (buckets + 1) rows
+    by_col: dict = {}
+    for r in rows:
+        by_col.setdefault(r["cid"], []).append((r["b"], r["lo"], r["hi"], int(r["n"])))
+    return by_col
+
+
 def _sql_name(cols, cid: int) -> str | None:
     """SQL text of column ``cid`` if it was given by name, else None."""
     c = list(cols)[cid]

@@ -73,3 +73,16 @@ def test_exact_with_nan_and_odd_names(spark):
             want = df.selectExpr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {expr}) AS q").first()["q"]
             g = got[(label, p)]
             assert (math.isnan(g) and math.isnan(want)) or g == want, (label, p, g, want)
+
+
+@pytest.mark.parametrize("strategy,parts", [("buckets", None), ("buckets", 2), ("ranges", None), ("ranges", 5)])
+def test_strategies_match_quantile_disc(spark, strategy, parts):
+    rnd = random.Random(17)
+    vals = [float(rnd.choice([rnd.randint(-5, 5), rnd.gauss(0, 100)])) for _ in range(4000)] + [None] * 30
+    df = spark.createDataFrame([(v,) for v in vals], "a double")
+    got = {r["p"]: r["value"] for r in exact_quantiles(df, ["a"], PROBS, parts, strategy=strategy).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(a DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?)", [(v,) for v in vals])
+    for p in PROBS:
+        assert got[p] == con.sql(f"SELECT quantile_disc(a, {p}) FROM t").fetchall()[0][0], (strategy, p)
