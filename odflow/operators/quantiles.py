@@ -82,7 +82,7 @@ def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None,
     bucket and task is shuffled (one more scan, for the sketch);
     ``strategy='ranges'`` range-partitions the whole value histogram, which
     for a continuous column is nearly the column itself. ``'auto'`` takes
-    ranges when the optimizer estimates the input below
+    ranges when the scans behind ``df`` are estimated below
     ``_BUCKETS_FROM_BYTES``, else buckets. ``partitions`` is the number of
     buckets (or ranges).
     """
@@ -149,10 +149,13 @@ def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None,
 
 
 def _estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (file sizes for scans; joins
-    without statistics estimate high, which selects the bucket strategy)."""
+    """Size of the data behind ``df``: the optimizer's estimates of its leaf
+    scans, summed (whole file sizes). The estimate at the top
+    of a join without statistics is a product of its inputs, which says
+    nothing about the data."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except Exception:  # no estimate: assume large
         return _BUCKETS_FROM_BYTES
 
