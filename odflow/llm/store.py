@@ -1,0 +1,43 @@
+"""Intermediate tables in the shared folder the cluster names in ``spark.checkpoint.dir``.
+
+A table written there cuts the lineage and survives lost executors. A ``Store`` owns the
+files of one operator call; ``drop`` removes a table that nothing needs any more and
+``release`` all of them. Tables behind a returned, not yet executed result are left
+in place: they belong to the caller, like any checkpoint file.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from odflow.session import ensure_checkpoint_dir
+
+
+class Store:
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        self.count = 0
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` once and read it back."""
+        self.count += 1
+        path = f"{self.root}/{self.count}"
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        back._stored_at = path
+        return back
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+    def drop(self, df: DataFrame) -> None:
+        """Remove the files of a table this store wrote."""
+        self._delete(df._stored_at)
+
+    def release(self) -> None:
+        self._delete(self.root)
