@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from odflow.llm import quality_rules as rules
 from odflow.llm.decontaminate import contamination
+from odflow.llm.mixing import mix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     judged = rules.quality_rules(docs, table(spark, sf_dir, "labels"))
@@ -51,6 +57,7 @@ FROM d LEFT JOIN pos USING (rid) LEFT JOIN it USING (rid)
 """
 
 QUERIES = {
+    "op6_mix_to_weights": op6_mix_to_weights,
     "op9_quality_rules": op9_quality_rules,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
