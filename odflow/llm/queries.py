@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from odflow.llm import quality_rules as rules
 from odflow.llm.decontaminate import contamination
 from odflow.llm.mixing import mix
+from odflow.llm.pii import KINDS, pseudonymise
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,13 @@ def op6_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    valid = F.filter("pii", lambda x: x["was_valid"])
+    counts = [F.size(F.filter("pii", lambda x, k=k: x["was_valid"] & (x["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    return done.select("doc_id", "text", F.coalesce(F.size(valid), F.lit(0)).cast("long").alias("n_replaced"), *counts)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     judged = rules.quality_rules(docs, table(spark, sf_dir, "labels"))
@@ -58,6 +66,7 @@ FROM d LEFT JOIN pos USING (rid) LEFT JOIN it USING (rid)
 
 QUERIES = {
     "op6_mix_to_weights": op6_mix_to_weights,
+    "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_quality_rules": op9_quality_rules,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
