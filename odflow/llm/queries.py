@@ -9,6 +9,7 @@ from odflow.llm import quality_rules as rules
 from odflow.llm.decontaminate import contamination
 from odflow.llm.mixing import mix
 from odflow.llm.pii import KINDS, pseudonymise
+from odflow.llm.quality_model import quality_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_quality_by_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
@@ -65,6 +71,7 @@ FROM d LEFT JOIN pos USING (rid) LEFT JOIN it USING (rid)
 """
 
 QUERIES = {
+    "op5_quality_by_compression": op5_quality_by_compression,
     "op6_mix_to_weights": op6_mix_to_weights,
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_quality_rules": op9_quality_rules,
