@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from odflow.llm.decontaminate import contamination
 from odflow.llm.mixing import mix
 from odflow.llm.pii import KINDS, pseudonymise
 from odflow.llm.quality_model import quality_scores
+from odflow.llm.token_counts import token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +34,12 @@ def op6_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
     valid = F.filter("pii", lambda x: x["was_valid"])
@@ -73,6 +81,7 @@ FROM d LEFT JOIN pos USING (rid) LEFT JOIN it USING (rid)
 QUERIES = {
     "op5_quality_by_compression": op5_quality_by_compression,
     "op6_mix_to_weights": op6_mix_to_weights,
+    "op7_token_counts": op7_token_counts,
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_quality_rules": op9_quality_rules,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
