@@ -43,7 +43,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
     valid = F.filter("pii", lambda x: x["was_valid"])
-    counts = [F.size(F.filter("pii", lambda x, k=k: x["was_valid"] & (x["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    one_kind = lambda k: lambda x: x["was_valid"] & (x["kind"] == k)
+    counts = [F.size(F.filter("pii", one_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return done.select("doc_id", "text", F.coalesce(F.size(valid), F.lit(0)).cast("long").alias("n_replaced"), *counts)
 
 
