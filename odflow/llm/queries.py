@@ -12,6 +12,7 @@ from odflow.llm.mixing import mix
 from odflow.llm.pii import KINDS, pseudonymise
 from odflow.llm.quality_model import quality_scores
 from odflow.llm.token_counts import token_counts
+from odflow.llm.toxicity import toxicity_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_quality_by_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
@@ -80,6 +86,7 @@ FROM d LEFT JOIN pos USING (rid) LEFT JOIN it USING (rid)
 """
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op5_quality_by_compression": op5_quality_by_compression,
     "op6_mix_to_weights": op6_mix_to_weights,
     "op7_token_counts": op7_token_counts,
