@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from odflow.llm import quality_rules as rules
 from odflow.llm.decontaminate import contamination
 from odflow.llm.mixing import mix
+from odflow.llm.near_duplicates import near_duplicates
 from odflow.llm.pii import KINDS, pseudonymise
 from odflow.llm.quality_model import quality_scores
 from odflow.llm.token_counts import token_counts
@@ -25,6 +26,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs, size=2, percent=80)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
@@ -85,7 +91,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN pos USING (rid) LEFT JOIN it USING (rid)
 """
 
+OP1_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+  JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
+  WHERE 100 * least(p.n, q.n) >= 80 * greatest(p.n, q.n)
+  GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+r AS (SELECT a AS doc_id, b AS other FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other),
+c AS (SELECT doc_id, min(other) AS low FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.low, d.doc_id)) AS component_id,
+       coalesce(c.low, d.doc_id) >= d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
     "op5_quality_by_compression": op5_quality_by_compression,
     "op6_mix_to_weights": op6_mix_to_weights,
@@ -96,5 +122,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_near_duplicates": OP1_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
