@@ -429,9 +429,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     src = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(keep, cols)], F.col(f"`{text_col}`").alias("_text"))
 
     def run(batches):
-        if _WORKER.get("id") != shared.id:
-            _WORKER.update(id=shared.id, scorer=Scorer(shared.value))
-        scorer = _WORKER["scorer"]
+        scorer = _WORKER.get("scorer")
+        if scorer is None or scorer.model is not shared.value:
+            scorer = _WORKER["scorer"] = Scorer(shared.value)
         for batch in batches:
             score = scorer.scores(batch.column(len(cols)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(cols)], pa.array(score, pa.float64())], [*cols, "score"])
