@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from odflow.llm import quality_rules as rules
 from odflow.llm.decontaminate import contamination
 from odflow.llm.html_extract import extract_main_text
+from odflow.llm.licenses import scan_licenses
 from odflow.llm.mixing import mix
 from odflow.llm.near_duplicates import near_duplicates
 from odflow.llm.pii import KINDS, pseudonymise
@@ -37,6 +38,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    joined = [F.array_join(c, ",").alias(c) for c in ("licenses", "leftovers")]
+    return scan_licenses(docs).select("doc_id", *joined, "n_sentences", F.size("licenses").cast("long").alias("n_licenses"))
+
+
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract_main_text(pages).select("page_id", "url", "text", "n_chars")
@@ -119,6 +126,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
+    "op3_license_scan": op3_license_scan,
     "op4_main_text": op4_main_text,
     "op5_quality_by_compression": op5_quality_by_compression,
     "op6_mix_to_weights": op6_mix_to_weights,
