@@ -89,7 +89,7 @@ _WORDS = re.compile(r"[a-z0-9]+")
 #: A sentence ends after . ! ? : or ; before white space, and at an empty line.
 _END = re.compile(r"(?<=[.!?:;])\s+|\n[ \t\r]*(?=\n)")
 #: Every known sentence has one of these words, so a text without them has none.
-_QUICK = re.compile(r"licen[sc]e|spdx|reserved|permission|permitted|copyright|redistribution|software|warrant|\bmpl\b", re.I)
+_QUICK = re.compile(r"licen[sc]e|spdx|reserved|permission|permitted|copyright|redistribution|software|warrant|\bmpl\b|\bcc0\b", re.I)
 
 
 def normalise(sentence: str) -> str:

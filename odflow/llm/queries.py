@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from odflow.llm import quality_rules as rules
 from odflow.llm.decontaminate import contamination
 from odflow.llm.html_extract import extract_main_text
@@ -124,6 +125,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
     "op3_license_scan": op3_license_scan,

@@ -443,9 +443,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             .select(*keep, "held_out", "score", "predicted"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, **names) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **fit_options) -> DataFrame:
     """The documents that are not predicted toxic, with the columns they came with."""
-    marked = docs.withColumns({})
-    scored = toxicity_scores(marked.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text"),
-                             labels, keep_text=False, **names)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    scored = toxicity_scores(docs.select(whole, F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")),
+                             labels.withColumnRenamed(id_col, "_id"), "_id", "_text", **fit_options)
     return scored.filter("predicted = 0").select("_row.*")
