@@ -25,13 +25,11 @@ HEADLINE = [
     "removal_report", "predecessor_pairs", "chain_lengths", "chain_stats", "longest_chain",
     "chain_lengths_3600", "longest_chain_3600",
 ]
-# The ``*_sliced`` queries force the parallel chain form on inputs the default rule runs as one
-# slice; at sf0.1 they measure fixed per-job cost only. Add them with BENCH_QUERIES if wanted.
+# The ``*_sliced`` queries run the same plan with shorter time units; add them with BENCH_QUERIES if wanted.
 
 
 def _scan_rate(spark, sf_dir: str) -> float:
-    """Rate of the per-slice chain recurrence on one core (the part the reference ran
-    on one task): the prepared events trips of this scale factor as one slice, scanned
+    """Rate of the per-slice chain recurrence on one core (the sequential part): the prepared events trips of this scale factor as one slice, scanned
     inside one Spark task, which returns only (trips, seconds)."""
     import pandas as pd
 

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Payment-type codes of the trip data and their descriptions, as the
-# reference prints them; any other code is shown as "Unknown code (n)".
+# Payment-type codes of the trip data and their descriptions; any other
+# code is shown as "Unknown code (n)".
 PAYMENT_TYPE_LABELS = {
     0: "Flex Fare trip",
     1: "Credit card",
@@ -36,12 +36,12 @@ def pct(part: Column, whole: Column) -> Column:
 
 
 def exact_sum(c: Column, scale: int | None) -> Column:
-    """Sum that does not depend on row order.
+    """Sum that does not depend on row order, as DECIMAL(38, scale).
 
-    With ``scale`` the values are summed as DECIMAL(18, scale) (money in cents,
-    distances in hundredths), which makes the result independent of partitioning;
-    ``None`` keeps a plain double sum.
+    Every value is kept to ``scale`` decimals (12 by default throughout, more than a double of up to 1,000 holds) and
+    the total to 38 - scale whole digits; a larger total raises an error. ``None`` is a plain double sum,
+    for values beyond that range.
     """
     if scale is None:
         return F.sum(c.cast("double"))
-    return F.sum(c.cast(f"decimal(18,{scale})"))
+    return F.sum(c.cast(f"decimal(38,{scale})"))

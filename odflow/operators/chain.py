@@ -7,51 +7,40 @@ earliest start, then the smallest id (the order in which a chronological scan
 meets them). Every predecessor starts strictly earlier, so lengths do not depend
 on the order of equal starts.
 
-Plan. The recurrence runs on time slices in parallel; one task holds one slice
-(at most about ``slice_rows`` trips), never the whole table:
-
-* Slicing. Trips are cut into P slices of about ``slice_rows`` trips at
-  approximate quantiles of a key ``start * 2^20 + hash(id) mod 2^20``, so even a
-  single second holding a large share of the trips is split (trips with equal
-  starts never link, so any split among them is exact). Inputs too small for
-  eight slices of ``min_slice_rows`` trips run as a single slice. Pass L runs on
-  the hash-partitioned slices and is stored bucketed by slice: that is the trip
-  table every later pass reads co-partitioned.
-* Frontier. Slice t needs from its past only the trips that start before it and
-  end no earlier than its first start minus ``gap``: its carry-in.
+Plan, the same at every size:
+
+* Rides. A length depends on a trip's origin and start second only, so trips
+  that agree in origin, destination, start and end are one ride (smallest id).
+* Slices. Rides are counted per time unit of ``UNIT_GAPS`` gaps; prefix sums over the
+  units (one row per unit of time) cut slices of about ``slice_rows`` rides.
+  A slice is one Python group; no slice is shorter than a unit.
+* Carry-in. A later slice needs of an earlier one, per zone and end second,
+  only the best ride ending there: one JVM aggregate, so a slice's carry-in is at
+  most zones x seconds rows however dense the data.
 * Pass L (no carry-in) and pass R (carry-in = L values, no chain may start in
-  the slice) run all slices at once; R keeps only its frontier trips. After a
-  few hours of trips nearly all lengths differ from the L lengths by one shift
-  per slice (rank convergence);
-  a fold over per-slice shift histograms (P small rows) guesses every slice's
-  carry-in.
-* Verify. All slices rerun from the guessed carry-in. A slice whose carry-in
-  equals the frontier of the values upstream is exact by induction from slice 0
-  (which has no carry-in). Slices whose carry-in changed are rerun until none
-  does; each round settles at least one more slice, so the loop ends whatever
-  the guess.
-* Trace back. Each pass records for every trip the trip in an earlier slice
+  the slice) run all slices at once. After a few hours of trips nearly all
+  lengths differ from the L lengths by one shift per slice (rank convergence);
+  the shifts add up over the slices as a waiting line does (prefix sums and a running
+  minimum over one row per slice), which gives a guess of every carry-in.
+* Verify. All slices run from the guessed carry-in. A slice whose carry-in
+  equals what the values upstream give is exact by induction from the first slice
+  (which has none). The others are rerun until nothing changes; each round
+  settles at least one more slice, so the loop ends whatever the guess.
+* Trace back. Each pass records for every ride the ride of an earlier slice
   its pointers lead to (its root). Pointer doubling over those cross-slice
-  links (log P joins) finds the chain's exit trip in every slice it visits;
-  each such slice then walks its own segment. No per-link job, nothing
-  chain-long on the driver.
-
-Within a slice the recurrence is a single pass in start order (``_scan``):
-finished trips become candidates, in (end, start, id) order sorted once up
-front, when their end is before the current start, and each zone keeps a deque
-of candidates with falling length from which stale entries leave at the front,
-so the best predecessor is the front. O(n log n) for the sorts, amortised O(1)
-per trip in the pass.
+  links finds the chain's exit in every slice it visits; each such slice then walks
+  its own segment. Nothing chain-long or slice-many is collected.
+
+Every table a call writes belongs to its ``Store`` (``Chain.release``); nothing enters the catalogue, and
+session settings stay as they are.
 """
 
 from __future__ import annotations
 
 import logging
-import math
 import sys
 from collections import deque
-from contextlib import contextmanager
-import uuid
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -62,89 +51,18 @@ from pyspark.sql import types as T
 
 from odflow.functions.columns import pct
 from odflow.roles import TripRoles
-from odflow.session import ensure_checkpoint_dir, shuffle_partitions
+from odflow.store import Store
 
-# Fixed value: the reference's chain rule links trips at most 300 seconds apart.
+# Fixed value: the chain rule links trips at most 300 seconds apart.
 DEFAULT_GAP_S = 300
-
-_HASH_BITS = 20
-_SPAN = float(1 << _HASH_BITS)
-
-_TRIP_COLS = ["id", "origin", "dest", "p", "d"]
-_GRID = 256  # key quantiles taken with the row count (more slices: one more job)
-_BROADCAST_SLICES = 250_000  # per-slice tables up to this many rows (4 MB) are broadcast
+#: Rides a slice aims at, and length of the time unit slices are made of, in gaps.
+SLICE_ROWS, UNIT_GAPS = 200_000, 4
 
 log = logging.getLogger(__name__)
 
 # The per-slice functions below run in Python workers; ship their code with the
 # tasks so that executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
-#: Counters of the last ``chain_lengths`` call (slices, verify rounds, reruns).
-last_stats: dict = {}
-
-
-@contextmanager
-def _static_plan(spark):
-    """Plan the passes without AQE, so the hash partitioning by slice survives
-    each checkpoint and every pass reads its trips co-partitioned (only the small
-    carry-in side is shuffled). The slices are balanced by construction, which
-    is what AQE would otherwise be needed for."""
-    key = "spark.sql.adaptive.enabled"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
-
-
-def _store_by_slice(df: DataFrame, tag: str, parts: int, made: list | None = None) -> DataFrame:
-    """Write ``df`` as a Parquet table bucketed and sorted by slice, in the
-    session's checkpoint folder, and read it back.
-
-    This cuts the lineage like a checkpoint, but the read-back scan declares its
-    hash partitioning by slice, so the next pass reads the trips co-partitioned
-    (no exchange of the trips; only the small carry-in side is shuffled). The
-    input is already clustered by slice, so each task writes one file per bucket
-    it holds. The table is recorded in ``made`` (else in the module's list of
-    kept tables) so that it can be dropped once nothing reads it.
-    """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    name = f"odflow_{tag}_{uuid.uuid4().hex[:12]}"
-    path = f"{base}/{name}"
-    (df.write.format("parquet").mode("overwrite").option("path", path)
-     .bucketBy(parts, "slice").sortBy("slice").saveAsTable(name))
-    (made if made is not None else _tables).append((name, path))
-    return spark.table(name)
-
-
-#: Result tables of earlier calls (name, path), kept until ``release_stored_tables``.
-_tables: list[tuple[str, str]] = []
-
-
-def _drop_stored(spark, entries) -> None:
-    """Drop tables written by ``_store_by_slice``, with their files (they are
-    external tables, so dropping the table alone would leave the files)."""
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    for name, path in entries:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(hconf).delete(jpath, True)
-
-
-def release_stored_tables(spark) -> int:
-    """Drop the result tables that earlier ``chain_lengths`` calls left in the
-    checkpoint folder (DataFrames read from them become unusable). Returns how
-    many were dropped."""
-    entries = list(_tables)
-    _drop_stored(spark, entries)
-    del _tables[: len(entries)]
-    return len(entries)
 
 
 # --------------------------------------------------------------------------- C1
@@ -163,8 +81,7 @@ def prepare_trips(df: DataFrame, roles: TripRoles, threshold=None, start_min=Non
     Keys and times must be non-null, ``distance <= threshold`` if given,
     ``start_min <= start <= start_max`` if given (compared on the raw start
     column, so the range is pushed to the Parquet scan), and ``end >= start``.
-    Without an id role a ``monotonically_increasing_id`` is assigned and written
-    once (checkpoint) so that it is stable across the passes.
+    Without an id role ids are assigned in chronological order (``chronological_ids``).
     """
     st, en = roles.col("start"), roles.col("end")
     t = df
@@ -180,10 +97,18 @@ def prepare_trips(df: DataFrame, roles: TripRoles, threshold=None, start_min=Non
         roles.col("origin").cast("long").alias("origin"), roles.col("dest").cast("long").alias("dest"),
         _seconds(df, st).alias("p"), _seconds(df, en).alias("d"))
     out = out.where(F.col("p").isNotNull() & F.col("d").isNotNull() & (F.col("d") >= F.col("p")))
-    if roles.id is None:
-        ensure_checkpoint_dir(df.sparkSession)
-        out = out.withColumn("id", F.monotonically_increasing_id()).checkpoint()
-    return out
+    return chronological_ids(out) if roles.id is None else out
+
+
+def chronological_ids(trips: DataFrame) -> DataFrame:
+    """The trips in start order with an id that follows it.
+
+    Range partitioned on the start and sorted within partitions, so no task sorts the whole table; the ids
+    grow from partition to partition and inside each. Written once, so that they stay the same for every reader.
+    """
+    ordered = trips.drop("id").repartitionByRange("p", "origin", "dest", "d").sortWithinPartitions("p", "origin", "dest", "d")
+    return Store(trips.sparkSession, "chronological").cut(
+        ordered.withColumn("id", F.monotonically_increasing_id()).select("id", "origin", "dest", "p", "d"))
 
 
 def chain_filter_report(df: DataFrame, roles: TripRoles, threshold=None, start_min=None, start_max=None) -> DataFrame:
@@ -331,303 +256,156 @@ def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool)
             pd.array(root_id, dtype="Int64"), np.array(root_sl, dtype=np.int32))
 
 
-_SLICED_SCHEMA = "id long, origin long, dest long, p long, d long, slice int, first_slice int, last_slice int"
-_PASS_FIELDS = "value long, prev_id long, prev_slice int, root_id long, root_slice int"
-_PASS_COLS = ["value", "prev_id", "prev_slice", "root_id", "root_slice"]
-
-
-def _pass_fn(gap: int, allow_start: bool, keep: list[str], frontier_only: bool = False):
-    """Per-slice pass. ``frontier_only`` returns just the trips that reach a
-    later slice (a small share of the slice), for passes whose values are only
-    needed as carry-in."""
-    keep = list(keep)
-
-    def run(trips: pd.DataFrame, carry: pd.DataFrame) -> pd.DataFrame:
-        if len(trips) == 0:
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in
-                                 ["id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", *keep,
-                                  *_PASS_COLS]})
-        vals, prevs, pslices, roots, root_slices = _scan(trips, carry, gap, allow_start)
-        out = trips[["id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", *keep]].copy()
-        out["value"] = vals
-        out["prev_id"] = prevs
-        sl = int(trips["slice"].iloc[0])
-        out["prev_slice"] = np.where(pslices == -1, sl, np.where(pslices == -2, -1, pslices)).astype(np.int32)
-        out.loc[out["prev_id"].isna(), "prev_slice"] = -1
-        out["root_id"] = roots
-        out["root_slice"] = root_slices
-        if frontier_only:
-            out = out[out["last_slice"] >= out["first_slice"]]
-        return out
-
-    return run
-
-
-_EMPTY_CARRY = "slice int, id long, dest long, p long, d long, value long"
-
-
-def _is_frontier() -> Column:
-    """The trip may precede trips of a later slice."""
-    return F.col("last_slice") >= F.col("first_slice")
+_RIDE = ["id", "origin", "dest", "p", "d", "slice", "front"]
+_RIDE_SCHEMA = "id long, origin long, dest long, p long, d long, slice long, front boolean"
+_PASS_SCHEMA = "value long, prev_id long, prev_slice long, root_id long, root_slice long"
+_CARRY = ["slice", "dest", "d", "value", "p", "id", "src"]
 
 
-def _targets() -> Column:
-    """The later slices a frontier trip is carried into."""
-    return F.sequence(F.col("first_slice"), F.col("last_slice"))
+def _pass_fn(gap: int, allow_start: bool, keep: list[str], frontier_only: bool):
+    """One slice: rides and carry-in -> rides with value, predecessor and root."""
 
+    def run(rides: pd.DataFrame, carry: pd.DataFrame) -> pd.DataFrame:
+        out = rides[[*_RIDE, *keep]].copy()
+        carry = carry.rename(columns={"c_" + c: c for c in _CARRY}).drop(columns="slice").rename(columns={"src": "slice"})
+        vals, prevs, sources, roots, root_slices = _scan(rides, carry, gap, allow_start)
+        own = int(rides["slice"].iloc[0]) if len(rides) else 0
+        out["value"], out["prev_id"] = vals, prevs
+        out["prev_slice"] = np.where(sources == -1, own, np.where(sources == -2, -1, sources)).astype(np.int64)
+        out["root_id"], out["root_slice"] = roots, np.asarray(root_slices, dtype=np.int64)
+        return out[out["front"]] if frontier_only else out
 
-def _frontier(values: DataFrame, value_col: str, slices: list[int] | None = None) -> DataFrame:
-    """Carry-in rows (slice = target slice) from per-trip values: one row per
-    later slice that holds starts within (end, end + gap] of the trip."""
-    f = (values.where(_is_frontier())
-         .select(F.explode(_targets()).alias("t"),
-                 "id", "dest", "p", "d", F.col(value_col).alias("value"), F.col("slice").alias("src")))
-    if slices is not None:
-        f = f.where(F.col("t").isin(slices))
-    return f
+    return run
 
 
-def _run_pass(left: DataFrame, carry: DataFrame | None, gap: int, allow_start: bool, keep: list[str],
-              frontier_only: bool = False) -> DataFrame:
-    spark = left.sparkSession
-    if carry is None:
-        carry = spark.createDataFrame([], "t int, id long, dest long, p long, d long, value long, src int")
-    # Distinct names: cogroup drops right-side attributes that the left side
-    # shares (both sides derive from the same checkpoint).
-    c = carry.select(F.col("t").alias("slice"), F.col("id").alias("c_id"), F.col("dest").alias("c_dest"),
-                     F.col("p").alias("c_p"), F.col("d").alias("c_d"), F.col("value").alias("c_value"),
-                     F.col("src").alias("c_slice"))
-    keep_schema = "".join(f", {k} long" for k in keep)
-    schema = f"{_SLICED_SCHEMA}{keep_schema}, {_PASS_FIELDS}"
-    fn = _pass_fn(gap, allow_start, keep, frontier_only)
+@dataclass
+class Chain:
+    """Lengths of a trip table: ``values`` has one row per ride (id, origin, dest, p, d, slice, value, prev_id,
+    prev_slice, root_id, root_slice); the counters tell what the run took."""
+
+    trips: DataFrame
+    values: DataFrame
+    store: Store
+    slices: int
+    rounds: int
+    reruns: int
+
+    def lengths(self) -> DataFrame:
+        """(id, chain_length, prev_id) of every trip."""
+        v = self.values.select("origin", "dest", "p", "d", F.col("value").cast("int").alias("chain_length"), "prev_id")
+        return self.trips.join(v, ["origin", "dest", "p", "d"]).select("id", "chain_length", "prev_id")
+
+    def release(self) -> None:
+        """Remove all files of this call; results not yet read become unusable."""
+        self.store.release()
+
+
+class _Slices:
+    """Slices of a ride table, and the passes over them."""
+
+    def __init__(self, trips: DataFrame, gap: int, slice_rows: int, unit_gaps: float, store: Store):
+        self.gap, self.store = gap, store
+        self.unit = max(1, int(gap * unit_gaps))
+        rides = trips.groupBy("origin", "dest", "p", "d").agg(F.min("id").alias("id"))
+        rides = store.cut(rides.withColumn("unit", F.floor(F.col("p") / self.unit)))
+        before = Window.orderBy("unit").rowsBetween(Window.unboundedPreceding, -1)
+        counts = rides.groupBy("unit").agg(F.count(F.lit(1)).alias("n"))  # one row per unit of time
+        self.units = store.cut(counts.select(
+            "unit", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / slice_rows).alias("slice")))
+        front = F.floor((F.col("d") + gap) / self.unit) > F.col("unit")
+        self.rides = store.cut(rides.join(self.units, "unit").withColumn("front", front).select(*_RIDE))
+        store.drop(rides)
+
+    def carry(self, values: DataFrame, value: Column) -> DataFrame:
+        """Best ride per (later slice, zone, end second): largest value, then earliest start, then smallest id."""
+        reach = F.sequence(F.floor((F.col("d") + 1) / self.unit), F.floor((F.col("d") + self.gap) / self.unit))
+        out = (values.where("front").select("id", "dest", "p", "d", value.alias("value"), F.col("slice").alias("src"),
+                                            F.explode(reach).alias("unit"))
+               .where(F.col("value").isNotNull())
+               .join(self.units, "unit").where(F.col("slice") > F.col("src")))
+        best = F.max(F.struct(F.col("value"), (-F.col("p")).alias("p"), (-F.col("id")).alias("id"), F.col("src"))).alias("b")
+        return out.groupBy("slice", "dest", "d").agg(best).select(
+            "slice", "dest", "d", "b.value", (-F.col("b.p")).alias("p"), (-F.col("b.id")).alias("id"), "b.src")
+
+    def run(self, rides: DataFrame, carry: DataFrame | None, allow_start: bool = True, keep: tuple[str, ...] = (),
+            frontier_only: bool = False) -> DataFrame:
+        if carry is None:
+            carry = rides.sparkSession.createDataFrame([], "slice long, dest long, d long, value long, p long, id long, src long")
+        # Names of their own: cogroup drops right-side columns that the left side shares.
+        right = carry.select(*[F.col(c).alias("c_" + c) for c in _CARRY])
+        schema = _RIDE_SCHEMA + "".join(f", {k} long" for k in keep) + ", " + _PASS_SCHEMA
+        fn = _pass_fn(self.gap, allow_start, list(keep), frontier_only)
+        return (rides.select(*_RIDE, *keep).groupBy("slice").cogroup(right.groupBy("c_slice")).applyInPandas(fn, schema))
+
+    def guess(self) -> DataFrame:
+        """Carry-in of every slice from passes L and R and the shifts they show."""
+        low = self.store.cut(self.run(self.rides, None).select(*_RIDE, F.col("value").alias("lval")))
+        high = self.run(low, self.carry(low, F.col("lval")), allow_start=False, keep=("lval",), frontier_only=True)
+        high = self.store.cut(high.select(*_RIDE, "lval", F.col("value").alias("rval")))
+        counts = high.groupBy("slice", (F.col("rval") - F.col("lval")).alias("shift")).agg(F.count(F.lit(1)).alias("n"))
+        usual = counts.groupBy("slice").agg(F.max_by("shift", F.struct("n", -F.coalesce("shift", F.lit(0)))).alias("shift"))
+        # carry(s + 1) = max(0, carry(s) + shift(s)), and 0 where rides of s mostly were not reached.
+        order = Window.orderBy("slice")
+        before = order.rowsBetween(Window.unboundedPreceding, -1)
+        usual = usual.withColumn("part", F.coalesce(F.sum(F.col("shift").isNull().cast("int")).over(before), F.lit(0)))
+        inside = Window.partitionBy("part").orderBy("slice")
+        earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+        usual = usual.withColumn("sum", F.sum(F.coalesce("shift", F.lit(0))).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        off = usual.select("slice", (F.coalesce(F.sum(F.coalesce("shift", F.lit(0))).over(earlier), F.lit(0))
+                                     - F.least(F.lit(0), F.coalesce(F.min("sum").over(earlier), F.lit(0)))).alias("off"))
+        guess = F.greatest("lval", F.coalesce(F.col("rval") + F.coalesce("off", F.lit(0)), F.col("lval")))
+        out = self.store.cut(self.carry(high.join(off, "slice", "left"), guess))
+        self.store.drop(low)
+        self.store.drop(high)
+        return out
 
-    def cogrouped(l_pdf: pd.DataFrame, r_pdf: pd.DataFrame) -> pd.DataFrame:
-        r_pdf = r_pdf.rename(columns={"slice": "target", "c_id": "id", "c_dest": "dest", "c_p": "p", "c_d": "d",
-                                      "c_value": "value", "c_slice": "slice"})
-        return fn(l_pdf, r_pdf)
 
-    return (left.groupBy("slice").cogroup(c.groupBy("slice"))
-            .applyInPandas(cogrouped, schema))
+def _changed(used: DataFrame, now: DataFrame) -> DataFrame:
+    """Slices whose carry-in differs."""
+    key, rest = ["slice", "dest", "d"], ["value", "p", "id", "src"]
+    a = used.select(*key, F.struct(*rest).alias("a"))
+    b = now.select(*key, F.struct(*rest).alias("b"))
+    return a.join(b, key, "full").where(~F.col("a").eqNullSafe(F.col("b"))).select("slice").distinct()
 
 
-def slice_trips(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_000_000,
-                slices: int | None = None, min_slice_rows: int = 250_000,
-                min_parallel: int = 8) -> tuple[DataFrame, int]:
-    """Assign each trip its slice and the last slice its end can link into.
+def solve_chain(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = SLICE_ROWS, unit_gaps: float = UNIT_GAPS) -> Chain:
+    """Chain values of ``prepare_trips``' table, exact for any slicing; see the module text for the plan.
 
-    By default there are ``ceil(n / slice_rows)`` slices, or one per core of the
-    cluster (each with at least ``min_slice_rows`` trips) if that is more. The
-    parallel form costs three or more passes over the trips instead of one, so
-    fewer than ``min_parallel`` slices are not worth it: such inputs run as one
-    slice. Returns the sliced trips, hash partitioned by slice (not yet
-    stored: the first pass runs on them and stores its output), and the number
-    of slices.
+    Raises ValueError when an id occurs twice.
     """
-    from pyspark.ml.feature import Bucketizer
-
     spark = trips.sparkSession
-    ensure_checkpoint_dir(spark)
-    key = (F.col("p").cast("double") * _SPAN
-           + F.pmod(F.xxhash64(F.col("id")), F.lit(1 << _HASH_BITS)).cast("double"))
-    base = trips.select(*_TRIP_COLS).withColumn("k", key)
-    grid = None
-    if slices is None:
-        # One aggregate gives the row count and a fine grid of key quantiles,
-        # from which the cuts are taken when the slice count fits the grid.
-        probs = [i / _GRID for i in range(1, _GRID)]
-        row = base.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("k", probs, 10000).alias("q")).first()
-        n = row["n"]
-        grid = row["q"] or []
-        cores = spark.sparkContext.defaultParallelism
-        per_core = min(cores, n // max(min_slice_rows, 1))
-        slices = max(1, math.ceil(n / slice_rows), per_core if per_core >= min_parallel else 1)
-    cuts: list[float] = []
-    if slices > 1:
-        if grid and slices <= _GRID:
-            picked = [grid[round(i * _GRID / slices) - 1] for i in range(1, slices)]
-        else:
-            probs = [i / slices for i in range(1, slices)]
-            picked = base.agg(F.percentile_approx("k", probs, max(10000, 50 * slices)).alias("q")).first()["q"]
-        cuts = sorted({float(x) for x in (picked or []) if x is not None})
-    splits = [-math.inf, *cuts, math.inf]
-    nslices = len(splits) - 1
-    # A trip can only precede trips starting in (d, d + gap]: the slices holding
-    # keys from (d + 1) * 2^20 to (d + gap + 1) * 2^20 - 1 are all it can reach,
-    # however long the trip itself is.
-    opens = (F.col("d") + F.lit(1)).cast("double") * _SPAN
-    reach = (F.col("d") + F.lit(gap + 1)).cast("double") * _SPAN - 0.5
-    if nslices == 1:
-        s = (base.withColumn("slice_d", F.lit(0.0)).withColumn("open_d", F.lit(0.0))
-             .withColumn("last_d", F.lit(0.0)))
-    else:
-        # Binary search over the cut points, JVM-side.
-        b1 = Bucketizer(splits=splits, inputCol="k", outputCol="slice_d")
-        b2 = Bucketizer(splits=splits, inputCol="opens", outputCol="open_d")
-        b3 = Bucketizer(splits=splits, inputCol="reach", outputCol="last_d")
-        s = b3.transform(b2.transform(b1.transform(base).withColumn("opens", opens)).withColumn("reach", reach))
-    # A partition count under which the slices spread evenly over the tasks;
-    # the first pass's cogroup keeps this partitioning.
-    parts = slice_partitions(spark, nslices)
-    sliced = (s.select(*_TRIP_COLS, F.col("slice_d").cast("int").alias("slice"),
-                       F.greatest(F.col("slice_d") + 1, F.col("open_d")).cast("int").alias("first_slice"),
-                       F.col("last_d").cast("int").alias("last_slice"))
-              .repartition(parts, "slice"))
-    return sliced, nslices
-
-
-_SEARCH_SLICES = 4096  # beyond this many slices, hash spreading is even enough
-_MAX_SLICE_PARTITIONS = 100_000
-_parts_cache: dict = {}
-
-
-def slice_partitions(spark, nslices: int) -> int:
-    """Partition (and bucket) count for the slice passes.
-
-    Rows go to partition ``pmod(hash(slice), m)``. With about as many slices as
-    partitions that hash puts two or three slices on some tasks and none on
-    others, and a pass lasts as long as its fullest task. So ``m`` is searched
-    (from the larger of the shuffle width and the slice count, up to four
-    times that) for the count whose fullest partition holds the fewest slices:
-    one each when there are no more slices than cores. The hashes come from Spark itself (one tiny job), so the
-    placement is exactly the one the planner will use.
-    """
-    base = max(shuffle_partitions(spark), 1)
-    if nslices <= 1:
-        return base
-    if nslices > _SEARCH_SLICES:
-        # Many slices: about one per partition, so tasks stay one slice long
-        # and the scheduler balances them over the cores.
-        return max(base, min(nslices, _MAX_SLICE_PARTITIONS))
-    cores = max(spark.sparkContext.defaultParallelism, 1)
-    key = (nslices, base, cores)
-    if key in _parts_cache:
-        return _parts_cache[key]
-    hashes = np.array([r[0] for r in spark.range(nslices).select(F.hash(F.col("id").cast("int"))).collect()],
-                      dtype=np.int64)
-    target = math.ceil(nslices / cores)
-    lo = max(base, nslices)
-    best = (None, lo)
-    for m in range(lo, 4 * lo + 1):
-        worst = int(np.bincount(np.mod(hashes, m)).max())  # np.mod is pmod for m > 0
-        if best[0] is None or worst < best[0]:
-            best = (worst, m)
-        if worst <= target:
-            break
-    _parts_cache[key] = best[1]
-    return best[1]
-
-
-def _fold_offsets(hist_rows, nslices: int) -> dict[int, int]:
-    """Guess per slice the shift (true - L) of its carry-in, from histograms of
-    (R - L) over each slice's outgoing frontier trips (None = not reached)."""
-    by_slice: dict[int, dict] = {}
-    for r in hist_rows:
-        by_slice.setdefault(r["slice"], {})[r["diff"]] = r["n"]
-    offsets = {0: 0}
-    o = 0
-    for s in range(nslices):
-        offsets[s] = o  # shift applied to R of slice s (carry-in shift)
-        h = by_slice.get(s)
-        if not h:
-            o = 0 if s + 1 < nslices else o
-            continue
-        counts: dict[int, int] = {}
-        for diff, n in h.items():
-            shift = 0 if diff is None else max(0, diff + o)
-            counts[shift] = counts.get(shift, 0) + n
-        o = max(counts.items(), key=lambda kv: (kv[1], -kv[0]))[0]
-    return offsets
-
-
-def chain_lengths(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = 2_000_000,
-                  slices: int | None = None, max_rounds: int | None = None, return_sliced: bool = False):
-    """(id, chain_length, prev_id) for every trip of ``prepare_trips``.
-
-    ``slices`` forces the number of slices (tests); otherwise about
-    ``slice_rows`` trips per slice. The result is exact for any slicing.
-    """
-    spark = trips.sparkSession
-    made: list = []  # every table this call writes
-    keep: list = []  # the ones the result reads
+    store = Store(spark, "chain")
     try:
-        with _static_plan(spark):
-            values, nslices, rounds, reruns = _chain_values(trips, gap, slice_rows, slices, max_rounds, made, keep)
+        twice = trips.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id").first()
+        if twice is not None:
+            raise ValueError(f"trip id {twice['id']} occurs more than once")
+        parts = _Slices(trips, gap, slice_rows, unit_gaps, store)
+        used = parts.guess()
+        values = store.cut(parts.run(parts.rides, used))
+        rounds = reruns = 0
+        while True:
+            now = store.cut(parts.carry(values, F.col("value")))
+            dirty = store.cut(_changed(used, now))
+            n = dirty.count()
+            if n == 0:
+                break
+            rounds, reruns = rounds + 1, reruns + n
+            redo = parts.run(values.join(dirty, "slice", "left_semi"), now.join(dirty, "slice", "left_semi"))
+            merged = store.cut(values.join(dirty, "slice", "left_anti").select(*redo.columns).unionByName(redo))
+            for old in (values, used, dirty):
+                store.drop(old)
+            values, used = merged, now
+        slices = parts.units.agg(F.countDistinct("slice")).first()[0]
     except BaseException:
-        _drop_stored(spark, made)
+        store.release()
         raise
-    # Nothing reads the pass tables any more (each store cut the lineage):
-    # drop them, files included.
-    _drop_stored(spark, [t for t in made if t not in keep])
-    _tables.extend(keep)
-    last_stats.clear()
-    last_stats.update(slices=nslices, verify_rounds=rounds, reruns=reruns)
-    log.info("chain: %d slices, %d verify rounds, %d slice reruns", nslices, rounds, reruns)
-    if return_sliced:
-        return values, nslices
-    return values.select("id", F.col("value").cast("int").alias("chain_length"), "prev_id")
-
-
-def _chain_values(trips, gap, slice_rows, slices, max_rounds, made, keep):
-    spark = trips.sparkSession
-    sliced, nslices = slice_trips(trips, gap, slice_rows, slices)
-    parts = slice_partitions(spark, nslices)
-    if nslices == 1:
-        values = _store_by_slice(_run_pass(sliced, None, gap, True, []), "values", parts, made)
-        keep.append(made[-1])
-        return values, 1, 0, 0
-
-    # Pass L runs on the freshly sliced trips; its stored output is the one
-    # slice-bucketed trip table every later pass reads co-partitioned.
-    lpass = _store_by_slice(_run_pass(sliced, None, gap, True, []).withColumnRenamed("value", "lval")
-                            .drop(*_PASS_COLS[1:]), "lpass", parts, made)
-    # Pass R only feeds the guess, which needs its values on frontier trips
-    # alone: it returns those rows, a small share of each slice.
-    rfront = _store_by_slice(_run_pass(lpass, _frontier(lpass, "lval"), gap, False, ["lval"], frontier_only=True)
-                             .withColumnRenamed("value", "rval").drop(*_PASS_COLS[1:]), "rfront", parts, made)
-    diff = F.col("rval") - F.col("lval")
-    hist = rfront.groupBy("slice", diff.alias("diff")).agg(F.count(F.lit(1)).alias("n"))
-    top = hist.withColumn("r", F.row_number().over(
-        Window.partitionBy("slice").orderBy(F.col("n").desc(), F.col("diff"))))
-    offsets = _fold_offsets(top.where(F.col("r") <= 8).collect(), nslices)
-    off_df = spark.createDataFrame([(s, o) for s, o in offsets.items()], "slice int, off long")
-    # One row per slice (16 bytes): broadcast up to a bound, a plain join beyond it.
-    off_side = F.broadcast(off_df) if nslices <= _BROADCAST_SLICES else off_df
-    guessed = (rfront.join(off_side, "slice", "left")
-               .withColumn("guess", F.when(F.col("rval").isNull(), F.col("lval"))
-                           .otherwise(F.greatest(F.col("lval"), F.col("rval") + F.coalesce("off", F.lit(0)))))
-               .select("id", "dest", "p", "d", "slice", "first_slice", "last_slice", "guess"))
-    trips_only = lpass.drop("lval")
-    values = _store_by_slice(_run_pass(trips_only, _frontier(guessed, "guess"), gap, True, []),
-                             "values", parts, made)
-    keep.append(made[-1])
-    # ``used``: the value each frontier trip passed on as carry-in in the last
-    # run of the slices it reaches. A change of a trip's value makes all of
-    # those slices dirty at once, so one row per frontier trip is enough.
-    used = guessed.select("id", F.col("guess").alias("used"))
-    rounds = reruns = 0
-    limit = max_rounds if max_rounds is not None else nslices + 1
-    while True:
-        front = values.where(_is_frontier()).select("id", "first_slice", "last_slice", "value")
-        changed = front.join(used, "id").where(~F.col("value").eqNullSafe(F.col("used")))
-        dirty = sorted(r["t"] for r in changed.select(F.explode(_targets()).alias("t")).distinct().collect())
-        if not dirty:
-            break
-        rounds += 1
-        reruns += len(dirty)
-        if rounds > limit:
-            raise RuntimeError("chain verification did not settle")
-        carry = _frontier(values, "value", dirty)
-        # Only the dirty slices are read (bucket pruning on the slice) and
-        # shuffled into the slice placement; only they are written back, and
-        # the other slices keep being read from the tables before.
-        redo = _run_pass(values.where(F.col("slice").isin(dirty)).drop(*_PASS_COLS).repartition(parts, "slice"),
-                         carry, gap, True, [])
-        used = front.select("id", F.col("value").alias("used"))  # the values of this round's input
-        redone = _store_by_slice(redo, "redo", parts, made)
-        keep.append(made[-1])
-        values = values.where(~F.col("slice").isin(dirty)).unionByName(redone)
-    values = values.select("id", "origin", "dest", "p", "d", "slice", "first_slice", "last_slice", *_PASS_COLS)
-    return values, nslices, rounds, reruns
+    log.info("chain: %d slices, %d verify rounds, %d slice reruns", slices, rounds, reruns)
+    return Chain(trips, values, store, slices, rounds, reruns)
+
+
+def chain_lengths(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(id, chain_length, prev_id) for every trip of ``prepare_trips``."""
+    return solve_chain(trips, gap, slice_rows).lengths()
 
 
 # ------------------------------------------------------------------ C7 - C10
@@ -642,95 +420,71 @@ def chain_stats(lengths: DataFrame) -> DataFrame:
 
 
 def _segment_fn():
+    """One slice: from each exit back to the first ride of the chain in this slice."""
+
     def run(vals: pd.DataFrame, exits: pd.DataFrame) -> pd.DataFrame:
-        if len(vals) == 0 or len(exits) == 0:
-            return pd.DataFrame({"id": pd.Series(dtype="int64")})
-        sl = int(vals["slice"].iloc[0])
-        prev = dict(zip(vals["id"].tolist(), zip(vals["prev_id"].tolist(), vals["prev_slice"].tolist())))
-        out = []
-        for x in exits["t_id"].tolist():
-            cur = int(x)
-            while True:
-                out.append(cur)
-                pid, psl = prev[cur]
-                if pid is None or pd.isna(pid) or int(psl) != sl:
-                    break
-                cur = int(pid)
+        out: list[int] = []
+        if len(vals) and len(exits):
+            ids = vals["id"].to_numpy(np.int64)
+            order = np.argsort(ids)
+            ids = ids[order]
+            own = (vals["prev_slice"].to_numpy(np.int64) == vals["slice"].to_numpy(np.int64))[order]
+            prev = vals["prev_id"].fillna(-1).to_numpy(np.int64)[order]
+            for x in exits["t_id"].tolist():
+                at = int(np.searchsorted(ids, x))
+                while True:
+                    out.append(int(ids[at]))
+                    if not own[at]:
+                        break
+                    at = int(np.searchsorted(ids, prev[at]))
         return pd.DataFrame({"id": pd.array(out, dtype="int64")})
+
     return run
 
 
-def longest_chain(values: DataFrame, nslices: int, max_driver_links: int = 200_000) -> DataFrame:
+def longest_chain(chain: Chain) -> DataFrame:
     """C7 + C8: ids of the trips of the longest chain.
 
     The chain ends at the longest trip with the earliest start (then smallest
-    id). Only cross-slice links are followed: if there are at most
-    ``max_driver_links`` of them they are walked on the driver (at most one hop
-    per slice), otherwise by pointer doubling (log P joins).
+    id). Cross-slice links are followed by pointer doubling: level k maps a ride to the
+    one 2^k hops back, until no link is left.
     """
+    values, store = chain.values, chain.store
     spark = values.sparkSession
-    end = values.orderBy(F.col("value").desc(), F.col("p"), F.col("id")).select("id", "slice").first()
-    if end is None:
-        return spark.createDataFrame([], "id long")
-    if nslices == 1:
-        # No cross-slice links: the end trip is the one exit to walk back from.
-        return _walk_segments(values, spark.createDataFrame([(int(end["id"]), int(end["slice"]))],
-                                                            "id long, slice int"))
-    # Trips that some later slice's pointer lands on, plus the end trip. Each
-    # pass recorded every trip's root (the cross-slice trip its pointers lead
-    # to), so the link table is a JVM-side semi-join, not another pass.
-    targets = (values.where((F.col("prev_slice") >= 0) & (F.col("prev_slice") != F.col("slice")))
-               .select(F.col("prev_id").alias("id"))
-               .unionByName(spark.createDataFrame([(int(end["id"]),)], "id long"))
-               .distinct())
-    jump = (values.join(targets, "id", "left_semi")
-            .select("id", "slice", F.col("root_id").alias("nxt"))).checkpoint()
-    nlinks = jump.count()
-    if nlinks <= max_driver_links:
-        # Small link table (size checked above): walk the <= P hops on the driver.
-        nxt = {r["id"]: r["nxt"] for r in jump.select("id", "nxt").collect()}
-        ids, cur = [], int(end["id"])
-        while cur is not None:
-            ids.append(cur)
-            cur = nxt.get(cur)
-        path = spark.createDataFrame([(i,) for i in ids], "id long")
-    else:
-        # Pointer doubling: level k maps a node to the node 2^k cross hops back.
-        levels = [jump.select("id", "nxt")]
-        for _ in range(max(1, math.ceil(math.log2(max(nslices, 2))))):
-            a, b = levels[-1].alias("a"), levels[-1].alias("b")
-            nxt_df = (a.join(b, F.col("a.nxt") == F.col("b.id"), "left")
-                      .select(F.col("a.id").alias("id"),
-                              F.when(F.col("a.nxt").isNull(), F.lit(None)).otherwise(F.col("b.nxt")).alias("nxt")))
-            levels.append(nxt_df.checkpoint())
-        path = spark.createDataFrame([(int(end["id"]),)], "id long")
-        for lvl in reversed(levels):
-            step = path.join(lvl, "id").where(F.col("nxt").isNotNull()).select(F.col("nxt").alias("id"))
-            path = path.unionByName(step).distinct()  # at most one exit per slice
-    return _walk_segments(values, path.join(jump.select("id", "slice"), "id"))
-
-
-def _walk_segments(values: DataFrame, exits: DataFrame) -> DataFrame:
-    """Each slice walks the chain back from its exit trip (id, slice) to the
-    first trip of the chain inside that slice."""
-    on_chain = values.join(exits.select("slice").distinct(), "slice", "left_semi")  # slices the chain visits
-    return (on_chain.select("id", "slice", "prev_id", "prev_slice").groupBy("slice")
-            .cogroup(exits.select("slice", F.col("id").alias("t_id")).groupBy("slice"))
-            .applyInPandas(_segment_fn(), "id long"))
-
-
-def chain_listing(values: DataFrame, chain_ids: DataFrame) -> DataFrame:
-    """Seq, id, origin, dest, start_s, end_s, gap_s of the chain, by start.
+    end = values.orderBy(F.col("value").desc(), F.col("p"), F.col("id")).select("id", "slice").limit(1)
+    end = store.cut(end)
+    # Rides that some later slice's pointer lands on, and the end; each pass recorded every ride's root.
+    landed = values.where("prev_slice >= 0 and prev_slice <> slice").select(F.col("prev_id").alias("id"))
+    nodes = landed.unionByName(end.select("id")).distinct()
+    level = store.cut(values.join(nodes, "id", "left_semi").select("id", F.col("root_id").alias("nxt")))
+    levels = []
+    while not level.where("nxt is not null").isEmpty():
+        levels.append(level)
+        a, b = level.alias("a"), level.alias("b")
+        level = store.cut(a.join(b, F.col("a.nxt") == F.col("b.id"), "left").select("a.id", F.col("b.nxt").alias("nxt")))
+    path = end.select("id")
+    for level in reversed(levels):
+        path = store.cut(path.unionByName(path.join(level, "id").where("nxt is not null").select(F.col("nxt").alias("id"))).distinct())
+    exits = values.join(path, "id", "left_semi").select(F.col("slice").alias("t_slice"), F.col("id").alias("t_id"))
+    visited = values.join(exits.select(F.col("t_slice").alias("slice")).distinct(), "slice", "left_semi")
+    return (visited.select("id", "slice", "prev_id", "prev_slice").groupBy("slice")
+            .cogroup(exits.groupBy("t_slice")).applyInPandas(_segment_fn(), "id long"))
+
+
+def chain_listing(chain: Chain, chain_ids: DataFrame) -> DataFrame:
+    """Seq, id, origin, dest, start_s, end_s, start_time, end_time, gap_s, gap_text of the chain.
 
     seq is the chain length at the trip (the k-th trip of a longest chain has
     length k), and the gap comes from the predecessor's end, so no window over
-    the chain is needed. Every predecessor on the chain is itself on the chain,
-    so its end comes from a self-join of the chain's rows: the trip table is
-    only scanned, never shuffled, for the listing.
+    the chain is needed. Times are zone-less; gap_text is the gap in seconds, START for the chain's first
+    trip, and N/A where a predecessor is missing.
     """
-    ch = values.join(chain_ids, "id", "left_semi")
+    ch = chain.values.join(chain_ids, "id", "left_semi")
     prev = ch.select(F.col("id").alias("prev_id"), F.col("d").alias("prev_d"))
+    gap = F.col("p") - F.col("prev_d")
+    text = F.when(F.col("value") == 1, F.lit("START")).otherwise(F.coalesce(gap.cast("string"), F.lit("N/A")))
     return (ch.join(prev, "prev_id", "left")
             .select(F.col("value").cast("int").alias("seq"), "id", "origin", "dest",
                     F.col("p").alias("start_s"), F.col("d").alias("end_s"),
-                    (F.col("p") - F.col("prev_d")).alias("gap_s")))
+                    F.timestamp_seconds("p").cast("timestamp_ntz").alias("start_time"),
+                    F.timestamp_seconds("d").cast("timestamp_ntz").alias("end_time"), gap.alias("gap_s"), text.alias("gap_text")))

@@ -4,8 +4,7 @@ The rule: take the values v_i at increasing tail probabilities p_i; the jump at
 i is v_i / v_{i-1}. The **last** i whose jump exceeds ``ratio`` sets the
 threshold to ``v_{i-1} * factor`` (reported percentile p_{i-1}). Without any
 jump the threshold is the last value, not multiplied. A previous value of 0
-with a positive current value counts as a jump (the reference's Infinity),
-without a division error.
+with a positive current value counts as a jump, without a division error.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from odflow.functions.columns import pct
 from odflow.operators.quantiles import quantiles
 
-# The tail probabilities and constants of the reference's elbow rule.
+# The tail probabilities and constants of the elbow rule.
 ELBOW_PROBS = (0.999, 0.9995, 0.9996, 0.9997, 0.9998, 0.99985, 0.9999)
 JUMP_RATIO = 2.0
 SAFETY_FACTOR = 2.0

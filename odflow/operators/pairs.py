@@ -1,10 +1,11 @@
 """Origin -> destination pair totals, top-N, and neighbourhood totals.
 
-Amounts are summed as DECIMAL of ``scale`` digits (cents) so totals do not
-depend on partitioning; the outputs are doubles cast from the exact sums.
+Amounts and distances are summed as DECIMAL(38, ``scale``) with 12 decimals by default, so totals
+do not depend on partitioning and nothing is rounded before it is added; the
+outputs are doubles cast from the exact sums.
 
-Neighbourhoods aggregate first, then expand: the expansion multiplies the
-number of distinct pairs (bounded by zones squared), never the trips.
+Trips are totalled per pair before a pair is copied to its neighbours: copies grow with the
+number of distinct pairs (at most zones squared), never with the trips.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def _valid_trips(df: DataFrame, roles: TripRoles, threshold, with_distance: bool
 
 
 def pair_totals(df: DataFrame, roles: TripRoles, threshold=None, full: bool = True,
-                scale: int | None = 2) -> DataFrame:
+                scale: int | None = 12) -> DataFrame:
     """A10: per (origin, dest): total_amount_sum, trip_count (+ avg_distance, avg_amount).
 
     ``threshold`` applies the outlier cut ``distance <= threshold`` first (P3).
@@ -55,7 +56,7 @@ def top_n(df: DataFrame, n: int, order: list, rank_col: str = "rank") -> DataFra
     return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("int"))
 
 
-def top_pairs(df: DataFrame, roles: TripRoles, threshold=None, n: int = 10, scale: int | None = 2) -> DataFrame:
+def top_pairs(df: DataFrame, roles: TripRoles, threshold=None, n: int = 10, scale: int | None = 12) -> DataFrame:
     """Rank, origin, dest, total_amount_sum, trip_count, avg_distance, avg_amount.
 
     Ties in the total are broken by origin, then dest, so the top-N is deterministic.
@@ -78,7 +79,7 @@ def _valid(o_col, d_col, min_id, max_id):
     return lambda o: ok(o_col + o["di"]) & ok(d_col + o["dj"])
 
 
-def pair_sums(df: DataFrame, roles: TripRoles, threshold=None, scale: int | None = 2) -> DataFrame:
+def pair_sums(df: DataFrame, roles: TripRoles, threshold=None, scale: int | None = 12) -> DataFrame:
     """The 2-measure pair aggregate kept exact (decimal sum) for re-aggregation."""
     t = _valid_trips(df, roles, threshold, False)
     return (t.groupBy(F.col("origin").cast("long").alias("origin"), F.col("dest").cast("long").alias("dest"))
@@ -101,7 +102,7 @@ def expand_neighbours(pairs: DataFrame, radius: int = 1, min_id: int = 1, max_id
 
 
 def neighbour_totals(df: DataFrame, roles: TripRoles, threshold=None, radius: int = 1, min_id: int = 1,
-                     max_id: int | None = None, scale: int | None = 2) -> DataFrame:
+                     max_id: int | None = None, scale: int | None = 12) -> DataFrame:
     """Per canonical pair, the amount and trip count of its whole neighbourhood."""
     ex = expand_neighbours(pair_sums(df, roles, threshold, scale), radius, min_id, max_id)
     return (ex.groupBy("canonical_origin", "canonical_dest")
@@ -110,7 +111,7 @@ def neighbour_totals(df: DataFrame, roles: TripRoles, threshold=None, radius: in
 
 
 def top_neighbour_pairs(df: DataFrame, roles: TripRoles, threshold=None, n: int = 10, radius: int = 1,
-                        min_id: int = 1, max_id: int | None = None, scale: int | None = 2) -> DataFrame:
+                        min_id: int = 1, max_id: int | None = None, scale: int | None = 12) -> DataFrame:
     """Rank, canonical_origin, canonical_dest, total_amount_sum, total_trip_count."""
     tot = neighbour_totals(df, roles, threshold, radius, min_id, max_id, scale)
     order = [F.col("total_amount_sum").desc(), F.col("canonical_origin").asc(), F.col("canonical_dest").asc()]
@@ -119,7 +120,7 @@ def top_neighbour_pairs(df: DataFrame, roles: TripRoles, threshold=None, n: int
 
 
 def expansion_stats(df: DataFrame, roles: TripRoles, threshold=None, radius: int = 1, min_id: int = 1,
-                    max_id: int | None = None, scale: int | None = 2) -> DataFrame:
+                    max_id: int | None = None, scale: int | None = 12) -> DataFrame:
     """unique_pairs, expanded_rows, expansion_ratio, in one aggregate over the pairs."""
     pairs = pair_sums(df, roles, threshold, scale)
     valid = _valid(F.col("origin"), F.col("dest"), min_id, max_id)

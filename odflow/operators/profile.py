@@ -1,19 +1,19 @@
 """Table profile (D8): nulls, distributions, periods, negatives, durations.
 
-The reference runs about fifty separate full-table actions; here each result
-is one or two shared passes: one aggregate with a conditional count per column,
+Each result is one or two shared passes: one aggregate with a conditional count per column,
 unpivoted afterwards, or one ``groupBy(column, value)`` over an unpivoted
-projection. Totals for percentages are scalar subqueries (one extra aggregate,
-no join). Percentages are of all rows unless stated.
+projection. Totals for percentages come from the groups themselves (a window over
+the few result rows), not from a second scan. Percentages are of all rows unless stated.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odflow.functions.columns import PAYMENT_TYPE_LABELS, epoch_seconds, pct
 from odflow.operators.quantiles import PROFILE_PROBS, quantile_profile
+from odflow.store import Store
 
 
 def present(df: DataFrame, cols) -> list[str]:
@@ -41,30 +41,36 @@ def null_profile(df: DataFrame, cols=None) -> DataFrame:
 
 
 def _label_col(value: Column, labels: dict) -> Column:
-    expr = None
-    for code, text in labels.items():
-        cond = value == F.lit(str(code))
-        expr = F.when(cond, F.lit(text)) if expr is None else expr.when(cond, F.lit(text))
-    return expr.otherwise(F.concat(F.lit("Unknown code ("), value, F.lit(")")))
+    """Description of a code shown as text; the code is compared as a number, so 1 and 1.0 are one code."""
+    code = value.try_cast("double")
+    shown = F.when(code == F.floor(code), code.cast("decimal(38,0)").cast("string")).otherwise(value)
+    expr = F.when(F.lit(False), F.lit(None).cast("string"))
+    for number, text in labels.items():
+        expr = expr.when(code == F.lit(float(number)), F.lit(text))
+    return expr.otherwise(F.concat(F.lit("Unknown code ("), shown, F.lit(")")))
 
 
-def distribution(df: DataFrame, cols, labels: dict | None = None, where: Column | None = None) -> DataFrame:
-    """A1: (column, value, count, pct [, description]) for every value of every column.
+def distribution(df: DataFrame, cols, labels: dict | None = None, where: Column | None = None, ranked: bool = False) -> DataFrame:
+    """A1: (column, value, count, pct [, description] [, rank]) for every value of every column.
 
     One unpivot + one ``groupBy`` for all columns (partial aggregation before the
     shuffle). A null value is its own group. ``pct`` is of all rows of the
-    (filtered) table. ``labels`` maps codes to descriptions (J4) with
-    "Unknown code (n)" for others; it is a small literal map, evaluated JVM-side.
+    (filtered) table; a column's groups hold every row once, so their counts add up to it. ``labels`` maps codes
+    to descriptions (J4) with "Unknown code (n)" for others; it is a small literal map, evaluated JVM-side, and
+    compares numbers, whatever the column's type. ``ranked`` adds the place by falling count, then value, nulls last.
     """
     cols = present(df, cols)
     base = df if where is None else df.where(where)
     items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]
-    total = base.select(F.count(F.lit(1))).scalar()
     g = (base.select(F.inline(F.array(*items))).groupBy("column", "value")
          .agg(F.count(F.lit(1)).alias("count")))
+    total = F.sum("count").over(Window.partitionBy("column"))
     out = g.select("column", "value", "count", pct(F.col("count"), total).alias("pct"))
     if labels:
         out = out.withColumn("description", F.when(F.col("value").isNotNull(), _label_col(F.col("value"), labels)))
+    if ranked:
+        order = Window.partitionBy("column").orderBy(F.col("count").desc(), F.col("value").asc_nulls_last())
+        out = out.withColumn("rank", F.row_number().over(order))
     return out
 
 
@@ -95,27 +101,21 @@ def payment_breakdown(df: DataFrame, measure: str = "fare_amount", by: str = "pa
 _GRAIN_FMT = {"month": "yyyy-MM", "year": "yyyy", "day": "yyyy-MM-dd"}
 
 
-def period_counts(df: DataFrame, ts, grain: str = "month", expected: str | None = None) -> DataFrame:
-    """A4: (period, count, pct, expected) over non-null dates; pct of all rows.
+def period_counts(df: DataFrame, ts, grain: str = "month", expected: str | None = None, ranked: bool = False) -> DataFrame:
+    """A4: (period, count, pct, expected [, rank]) over non-null dates; pct of all rows.
 
-    Years are rolled up from months (aggregate of an aggregate), not rescanned.
-    ``expected`` marks one period (e.g. '2018-09'); null flags when not given.
+    ``expected`` marks one period (e.g. '2018-09'); null flags when not given. ``ranked`` adds the place by period. Rows
+    without a date are counted as a group of their own for the total, and left out of the result.
     """
     c = F.col(ts) if isinstance(ts, str) else ts
-    total = df.select(F.count(F.lit(1))).scalar()
-    months = (df.where(c.isNotNull()).groupBy(F.date_format(c, "yyyy-MM").alias("period"))
-              .agg(F.count(F.lit(1)).alias("count")))
-    if grain == "month":
-        g = months
-    elif grain == "year":
-        g = months.groupBy(F.substring("period", 1, 4).alias("period")).agg(F.sum("count").alias("count"))
-    elif grain == "day":
-        g = (df.where(c.isNotNull()).groupBy(F.date_format(c, _GRAIN_FMT["day"]).alias("period"))
-             .agg(F.count(F.lit(1)).alias("count")))
-    else:
+    if grain not in _GRAIN_FMT:
         raise ValueError("grain must be day, month or year")
+    g = df.groupBy(F.date_format(c, _GRAIN_FMT[grain]).alias("period")).agg(F.count(F.lit(1)).alias("count"))
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # one row per period
     exp = (F.col("period") == F.lit(expected)) if expected is not None else F.lit(None).cast("boolean")
-    return g.select("period", "count", pct(F.col("count"), total).alias("pct"), exp.alias("expected"))
+    out = (g.withColumn("total", F.sum("count").over(everything)).where(F.col("period").isNotNull())
+           .select("period", "count", pct(F.col("count"), F.col("total")).alias("pct"), exp.alias("expected")))
+    return out.withColumn("rank", F.row_number().over(Window.orderBy("period"))) if ranked else out
 
 
 def date_range(df: DataFrame, ts) -> DataFrame:
@@ -127,7 +127,7 @@ def date_range(df: DataFrame, ts) -> DataFrame:
 def period_split(df: DataFrame, ts, start, end) -> DataFrame:
     """Rows with ``start <= ts < end`` and all others, with % of all rows.
 
-    Compares the raw timestamp with literals, so the range can be pushed down.
+    One aggregate over the timestamp column; both sides are counted, so no filter reaches the scan.
     """
     c = F.col(ts) if isinstance(ts, str) else ts
     inside = (c >= F.lit(start).cast("timestamp_ntz")) & (c < F.lit(end).cast("timestamp_ntz"))
@@ -151,7 +151,8 @@ def duration_profile(df: DataFrame, start, end, unit: str = "minutes", probs=PRO
     s = F.col(start) if isinstance(start, str) else start
     e = F.col(end) if isinstance(end, str) else end
     secs = (epoch_seconds(e) - epoch_seconds(s))
-    t = df.select(secs.alias("secs"))
+    # Written once: the durations of a join are read again for the counting and the picking pass.
+    t = Store(df.sparkSession, "durations").cut(df.select(secs.alias("secs")))
     label = f"duration_{unit}"
     prof = quantile_profile(t, [(label, F.col("secs") / F.lit(div))], probs, method=method, accuracy=accuracy)
     mean = t.agg((F.try_divide(F.sum("secs").cast("double"), F.count("secs").cast("double")) / F.lit(div))
@@ -159,7 +160,7 @@ def duration_profile(df: DataFrame, start, end, unit: str = "minutes", probs=PRO
     return prof.join(mean, "column")
 
 
-# The column groups of the reference's trip profile.
+# The column groups of the trip profile.
 DIMENSIONS = ("VendorID", "RatecodeID", "passenger_count", "payment_type")
 QUANTITIES = ("trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
               "improvement_surcharge")
@@ -167,6 +168,28 @@ FLAGS = ("store_and_fwd_flag",)
 FARE_COMPONENTS = ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount")
 
 
+def profile_table(df: DataFrame, dimensions, quantities) -> DataFrame:
+    """D8 as one table: (section, column, item, number), from two shared passes.
+
+    Sections nulls (item null_count), range (min, max, negative_count of each quantity) and distribution
+    (item = value, number = count; the null group has a null item).
+    """
+    dims, qty = present(df, dimensions), present(df, quantities)
+    facts = [("nulls", c, "null_count", F.count_if(F.col(c).isNull())) for c in df.columns]
+    for c in qty:
+        x = F.col(c).cast("double")
+        facts += [("range", c, "min", F.min(x)), ("range", c, "max", F.max(x)), ("range", c, "negative_count", F.count_if(x < 0))]
+    one = df.agg(*[e.cast("double").alias(f"f{i}") for i, (_, _, _, e) in enumerate(facts)])
+    items = [F.struct(F.lit(s).alias("section"), F.lit(c).alias("column"), F.lit(n).alias("item"), F.col(f"f{i}").alias("number"))
+             for i, (s, c, n, _) in enumerate(facts)]
+    out = one.select(F.inline(F.array(*items)))
+    if not dims:
+        return out
+    d = distribution(df, dims).select(F.lit("distribution").alias("section"), "column", F.col("value").alias("item"),
+                                      F.col("count").cast("double").alias("number"))
+    return out.unionByName(d)
+
+
 def profile_bundle(df: DataFrame, start: str = "tpep_pickup_datetime", end: str = "tpep_dropoff_datetime",
                    expected_month: str | None = None, method: str = "exact") -> dict[str, DataFrame]:
     """The whole profile of a trip table as named DataFrames.

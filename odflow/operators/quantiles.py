@@ -4,21 +4,20 @@ Exact quantiles follow ``percentile_disc``: for probability p over n non-null
 values, the value of 1-based rank ``max(ceil(p * n), 1)`` in ascending order,
 with ``p * n`` computed exactly from the decimal text of p.
 
-At scale the exact method never gathers a column into one task (Spark's
-``percentile_disc`` merges one buffer of every distinct value in a single final
-task). Instead:
-
-1. *Histogram and ranges.* ``groupBy(column, value).count()`` (map-side partial
-   aggregation), range-partitioned on (column, value) into P partitions. One
-   small aggregate per (partition, column) gives disjoint value ranges with exact
-   row counts: at most P + #columns rows reach the driver. P is at least four
-   per wanted quantile, so step 3 reads a small share of the histogram.
-2. *Locate.* On the driver, prefix sums over those ranges find, for every
-   (column, p), the one range holding the wanted rank and the rank within it.
-3. *Pick.* A second scan reads only rows inside the wanted ranges (the range
-   predicate is pushed to the Parquet reader), counts them per value, and a
-   running sum per range picks the value. A range holds about 1/P of a column's
-   distinct values.
+The exact method is the same at every size and never gathers a column into one task (Spark's
+``percentile_disc`` merges one buffer of every distinct value in a single final task):
+
+1. *Cut.* One sketch aggregate over all columns gives cut points.
+2. *Count.* One aggregate counts rows per (column, bucket) exactly, with the smallest and largest value of
+   each bucket: at most #columns x (buckets + 1) rows reach the driver. Prefix sums over
+   them find, for every (column, p), the bucket holding the wanted rank and the rank within it.
+3. *Pick.* A scan reads only rows inside the wanted buckets (the range predicate is pushed to the Parquet
+   reader) and counts them per value. These counts are range partitioned on
+   (quantile, value) and stored; partition totals tell the partition that holds the rank, and a running
+   sum goes over that partition's values only.
+
+Integer and decimal columns are compared and returned in their own type where all columns of a call have
+one; a call that mixes kinds works in double, which holds whole numbers up to 2^53 exactly.
 
 The approximate method is ``percentile_approx`` in one aggregate over all
 columns, at the accuracy the caller chooses (Spark's default 10,000 unless set).
@@ -32,14 +31,14 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from odflow.session import shuffle_partitions
+from odflow.store import Store
 
-_MAX_RANGES = 4096
 _BUCKETS = 4096  # per column; step 3 reads about 1/_BUCKETS of a column per wanted quantile
-_BUCKETS_FROM_BYTES = 1 << 30  # 'auto' counts buckets from this estimated input size on
 
-# The probabilities of the reference's quantile profile.
+# The probabilities of the quantile profile.
 PROFILE_PROBS = (0.001, 0.01, 0.05, 0.25, 0.50, 0.75, 0.95, 0.99, 0.999)
 
 
@@ -65,142 +64,102 @@ def _named(df: DataFrame, cols) -> list[tuple[str, Column]]:
     return out
 
 
-def _long_form(df: DataFrame, named: list[tuple[str, Column]]) -> DataFrame:
-    """Unpivot to (cid, v) with non-null doubles only."""
-    items = [F.struct(F.lit(i).alias("cid"), e.cast("double").alias("v")) for i, (_, e) in enumerate(named)]
+def _common_type(df: DataFrame, named: list[tuple[str, Column]]) -> T.DataType:
+    """bigint for whole-number columns, the widest decimal for decimal (and whole-number) ones, else double."""
+    types = [f.dataType for f in df.select(*[e.alias(f"x{i}") for i, (_, e) in enumerate(named)]).schema.fields]
+    if all(isinstance(t, T.IntegralType) for t in types):
+        return T.LongType()
+    if all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in types):
+        scale = max(t.scale for t in types if isinstance(t, T.DecimalType))
+        whole = max(t.precision - t.scale if isinstance(t, T.DecimalType) else 19 for t in types)
+        if whole + scale <= 38:
+            return T.DecimalType(whole + scale, scale)
+    return T.DoubleType()
+
+
+def _long_form(df: DataFrame, named: list[tuple[str, Column]], kind: T.DataType) -> DataFrame:
+    """Unpivot to (cid, v) with non-null values only."""
+    items = [F.struct(F.lit(i).alias("cid"), e.cast(kind).alias("v")) for i, (_, e) in enumerate(named)]
     return df.select(F.inline(F.array(*items))).where(F.col("v").isNotNull())
 
 
-def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None,
-                    strategy: str = "auto") -> DataFrame:
+def exact_quantiles(df: DataFrame, cols, probs, buckets: int = _BUCKETS) -> DataFrame:
     """Long table (column, p, value) of exact ``percentile_disc`` quantiles.
 
-    ``cols`` are column names or (label, Column) pairs. Step 1 runs eagerly and
-    yields, per column, disjoint value ranges with exact row counts; the
-    returned DataFrame is the lazy step 3. ``strategy='buckets'`` cuts each
-    column at sketch quantiles and counts rows per bucket, so only one row per
-    bucket and task is shuffled (one more scan, for the sketch);
-    ``strategy='ranges'`` range-partitions the whole value histogram, which
-    for a continuous column is nearly the column itself. ``'auto'`` takes
-    ranges when the scans behind ``df`` are estimated below
-    ``_BUCKETS_FROM_BYTES``, else buckets. ``partitions`` is the number of
-    buckets (or ranges).
+    ``cols`` are column names or (label, Column) pairs. Steps 1 to 3 run eagerly up to the stored value
+    counts; the returned DataFrame is the lazy rest. A column without values has null quantiles.
     """
     spark = df.sparkSession
     named = _named(df, cols)
+    kind = _common_type(df, named)
     probs = [float(p) for p in probs]
-    if strategy == "auto":
-        strategy = "ranges" if _estimated_bytes(df) < _BUCKETS_FROM_BYTES else "buckets"
-    if strategy == "buckets":
-        by_col = _bucket_counts(df, named, partitions or _BUCKETS)
-    elif strategy == "ranges":
-        # Each wanted quantile makes step 3 read one range; with at least four
-        # ranges per wanted quantile, step 3 touches at most about a quarter of
-        # the histogram, whatever the session's shuffle width.
-        nparts = partitions or max(shuffle_partitions(spark), min(4 * len(named) * len(probs), _MAX_RANGES), 1)
-        by_col = _range_counts(df, named, nparts)
-    else:
-        raise ValueError("strategy must be 'buckets' or 'ranges'")
-
+    by_col = _bucket_counts(df, named, kind, buckets)
     targets = []  # (cid, column, pi, p, lo, hi, local_rank)
     for cid, (label, _) in enumerate(named):
         rs = [r[1:] for r in sorted(by_col.get(cid, []), key=lambda r: r[0])]  # in value order
         total = sum(n for _, _, n in rs)
         for pi, p in enumerate(probs):
-            if total == 0:
-                targets.append((cid, label, pi, p, None, None, None))
-                continue
-            k = target_rank(p, total)
-            seen = 0
+            k, seen = target_rank(p, total), 0
             for lo, hi, n in rs:
                 if seen + n >= k:
                     targets.append((cid, label, pi, p, lo, hi, k - seen))
                     break
                 seen += n
-    tdf = spark.createDataFrame(
-        targets, "cid int, column string, pi int, p double, lo double, hi double, k long")
-
-    wanted = sorted({(cid, lo, hi) for cid, _, _, _, lo, hi, k in targets if k is not None})
+            else:
+                targets.append((cid, label, pi, p, None, None, None))
+    schema = T.StructType([T.StructField(c, t) for c, t in (
+        ("cid", T.IntegerType()), ("column", T.StringType()), ("pi", T.IntegerType()), ("p", T.DoubleType()), ("lo", kind), ("hi", kind), ("k", T.LongType()))])
+    tdf = spark.createDataFrame(targets, schema)
+    wanted = sorted({(cid, lo, hi) for cid, _, _, _, lo, hi, k in targets if k is not None}, key=lambda w: (w[0], str(w[1])))
     if not wanted:
-        return tdf.select("column", "p", F.lit(None).cast("double").alias("value"))
+        return tdf.select("column", "p", F.lit(None).cast(kind).alias("value"))
 
-    # Step 3: rescan only rows whose value lies in a wanted range; the OR of
-    # BETWEENs on the raw columns is what the Parquet reader can push down.
-    # Written as one SQL expression where possible: every Column operation is
-    # a round trip to the JVM, and there are several per range.
+    # Only rows whose value lies in a wanted bucket; the OR of BETWEENs on the raw columns is what
+    # the Parquet reader can push down. Written as one SQL expression where possible: every Column
+    # operation is a round trip to the JVM, and there are several per range.
     raw_pred = _any_between([(named[cid][1], _sql_name(cols, cid), lo, hi) for cid, lo, hi in wanted])
-    long_pred = _any_between([(F.col("v"), "v", lo, hi) for _, lo, hi in wanted],
-                             [cid for cid, _, _ in wanted])
-    local = (_long_form(df.where(raw_pred), named).where(long_pred)
+    long_pred = _any_between([(F.col("v"), "v", lo, hi) for _, lo, hi in wanted], [cid for cid, _, _ in wanted])
+    local = (_long_form(df.where(raw_pred), named, kind).where(long_pred)
              .groupBy("cid", "v").agg(F.count(F.lit(1)).alias("c")))
     t = tdf.where(F.col("k").isNotNull()).alias("t")
     joined = local.alias("h").join(
         F.broadcast(t),  # at most #columns x #probs rows
         (F.col("h.cid") == F.col("t.cid")) & F.col("h.v").between(F.col("t.lo"), F.col("t.hi")))
-    picked = (joined.select(F.col("t.cid").alias("cid"), F.col("t.pi").alias("pi"), F.col("t.k").alias("k"),
-                            F.col("h.v").alias("v"), F.col("h.c").alias("c"))
-              .withColumn("run", F.sum("c").over(Window.partitionBy("cid", "pi").orderBy("v")
-                                                 .rowsBetween(Window.unboundedPreceding, 0)))
-              .where((F.col("run") >= F.col("k")) & (F.col("run") - F.col("c") < F.col("k")))
+    rows = joined.select("t.cid", "t.pi", "t.k", "h.v", "h.c").repartitionByRange(shuffle_partitions(spark), "cid", "pi", "v")
+    rows = Store(spark, "quantiles").cut(rows.withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy("cid", "pi").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    parts = rows.groupBy("cid", "pi", "k", "part").agg(F.sum("c").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    parts = parts.where("before < k and k <= before + n").select("cid", "pi", "part", "before")
+    run = F.sum("c").over(Window.partitionBy("cid", "pi").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    picked = (rows.join(F.broadcast(parts), ["cid", "pi", "part"])  # one row per wanted quantile
+              .withColumn("run", F.col("before") + run).where((F.col("run") >= F.col("k")) & (F.col("run") - F.col("c") < F.col("k")))
               .select("cid", "pi", F.col("v").alias("value")))
-    # Keep every (column, p), also for empty columns; the targets are broadcast.
-    return (picked.join(F.broadcast(tdf), ["cid", "pi"], "right")
-            .select("column", "p", "value"))
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    """Size of the data behind ``df``: the optimizer's estimates of its leaf
-    scans, summed (whole file sizes). The estimate at the top
-    of a join without statistics is a product of its inputs, which says
-    nothing about the data."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:  # no estimate: assume large
-        return _BUCKETS_FROM_BYTES
-
-
-def _range_counts(df: DataFrame, named, nparts: int) -> dict:
-    """Per column: (order, lo, hi, n) of disjoint value ranges, from the value
-    histogram range-partitioned on (column, value)."""
-    hist = _long_form(df, named).groupBy("cid", "v").agg(F.count(F.lit(1)).alias("c"))
-    rows = (hist.repartitionByRange(nparts, "cid", "v")
-            .select(F.spark_partition_id().alias("part"), "cid", "v", "c")
-            .groupBy("part", "cid")
-            .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-            .collect())
-    by_col: dict = {}
-    for r in rows:
-        by_col.setdefault(r["cid"], []).append((r["part"], r["lo"], r["hi"], int(r["n"])))
-    return by_col
+    # Every (column, p) stays, also for empty columns; the targets are few rows.
+    return picked.join(F.broadcast(tdf), ["cid", "pi"], "right").select("column", "p", "value")
 
 
-def _bucket_counts(df: DataFrame, named, buckets: int) -> dict:
+def _bucket_counts(df: DataFrame, named, kind: T.DataType, buckets: int) -> dict:
     """Per column: (order, lo, hi, n) of disjoint value ranges, from exact row
     counts per bucket. Buckets are cut at sketch quantiles (one aggregate) and
-    assigned by a JVM binary search (``Bucketizer``); the count is an aggregate
-    with at most one row per (column, bucket) and task to shuffle, never a
+    assigned by a JVM binary search (``Bucketizer``) on the value as a double, which keeps the order; the
+    count is an aggregate with at most one row per (column, bucket) and task to shuffle, never a
     histogram of all values. The sketch only balances the buckets: lo, hi and n
     are observed exactly, so the quantiles do not depend on it. NaN values get
     a bucket of their own after all others (NaN sorts last)."""
     from pyspark.ml.feature import Bucketizer
 
-    acc = max(10000, 2 * buckets)
-    wide = df.select(*[e.cast("double").alias(f"x{i}") for i, (_, e) in enumerate(named)])
+    acc, several = max(10000, 2 * buckets), range(len(named))
+    wide = df.select(*[e.cast("double").alias(f"x{i}") for i, (_, e) in enumerate(named)],
+                     *[e.cast(kind).alias(f"v{i}") for i, (_, e) in enumerate(named)])
     # The grid goes to the JVM as SQL text: a Python list costs one round trip per element.
-    grid = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    row = (wide.agg(*[F.expr(f"percentile_approx(x{i}, array({grid}), {acc})").alias(f"g{i}")
-                      for i in range(len(named))]).first()
-           if buckets > 1 else None)
+    grid = ", ".join(f"{i / buckets!r}D" for i in range(1, max(2, buckets)))
+    row = wide.agg(*[F.expr(f"percentile_approx(x{i}, array({grid}), {acc})").alias(f"g{i}") for i in several]).first()
     splits = []
-    for i in range(len(named)):
-        got = (row[f"g{i}"] if row is not None else None) or []
-        cuts = sorted({float(x) for x in got if x is not None and math.isfinite(x)})
+    for i in several:
+        cuts = sorted({float(x) for x in (row[f"g{i}"] or []) if x is not None and math.isfinite(x)})
         splits.append([-math.inf, *(cuts or [0.0]), math.inf])
-    bz = Bucketizer(splitsArray=splits, inputCols=[f"x{i}" for i in range(len(named))],
-                    outputCols=[f"b{i}" for i in range(len(named))], handleInvalid="keep")
-    items = [F.struct(F.lit(i).alias("cid"), F.col(f"b{i}").cast("int").alias("b"), F.col(f"x{i}").alias("v"))
-             for i in range(len(named))]
+    bz = Bucketizer(splitsArray=splits, inputCols=[f"x{i}" for i in several], outputCols=[f"b{i}" for i in several], handleInvalid="keep")
+    items = [F.struct(F.lit(i).alias("cid"), F.col(f"b{i}").cast("int").alias("b"), F.col(f"v{i}").alias("v")) for i in several]
     rows = (bz.transform(wide).select(F.inline(F.array(*items))).where(F.col("v").isNotNull())
             .groupBy("cid", "b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"))
             .collect())  # at most #columns x (buckets + 1) rows
@@ -216,8 +175,12 @@ def _sql_name(cols, cid: int) -> str | None:
     return f"`{c.replace('`', '``')}`" if isinstance(c, str) else None
 
 
-def _double_sql(x: float) -> str | None:
-    """A Spark SQL double literal that parses back to exactly ``x``."""
+def _double_sql(x) -> str | None:
+    """A Spark SQL literal that parses back to exactly ``x``."""
+    if isinstance(x, int):
+        return f"{x}L"
+    if isinstance(x, Decimal):
+        return f"{format(x, 'f')}BD"
     return f"{float(x)!r}D" if math.isfinite(x) else None
 
 
@@ -250,10 +213,30 @@ def approx_quantiles(df: DataFrame, cols, probs, accuracy: int = 10000) -> DataF
     return agg.select(F.inline(F.array(*items)))
 
 
-def quantiles(df: DataFrame, cols, probs, method: str = "exact", accuracy: int = 10000,
-              partitions: int | None = None) -> DataFrame:
+def approx_within_bounds(df: DataFrame, cols, probs, accuracy: int = 10000) -> DataFrame:
+    """(column, p, within): whether each approximate quantile's rank is within n / accuracy of p * n.
+
+    A value's rank is any from the number of smaller values plus 1 to the number of values up to it. One
+    aggregate more than the quantiles themselves.
+    """
+    named, probs = _named(df, cols), [float(p) for p in probs]
+    got = {(r["column"], r["p"]): r["value"] for r in approx_quantiles(df, cols, probs, accuracy).collect()}
+    facts = [(i, label, p, e, got[(label, p)]) for i, (label, e) in enumerate(named) for p in probs]
+    x = [F.count(e).alias(f"n{i}") for i, (_, e) in enumerate(named)]
+    x += [c for k, (_, _, _, e, v) in enumerate(facts) for c in (
+        F.count_if(e.cast("double") < F.lit(v)).alias(f"a{k}"), F.count_if(e.cast("double") <= F.lit(v)).alias(f"b{k}"))]
+    one = df.agg(*x)
+    items = []
+    for k, (i, label, p, _, _) in enumerate(facts):
+        want, slack = F.lit(p) * F.col(f"n{i}"), F.col(f"n{i}") / F.lit(accuracy) + 1
+        ok = (F.col(f"a{k}") + 1 <= want + slack) & (F.col(f"b{k}") >= want - slack)
+        items.append(F.struct(F.lit(label).alias("column"), F.lit(p).alias("p"), ok.alias("within")))
+    return one.select(F.inline(F.array(*items)))
+
+
+def quantiles(df: DataFrame, cols, probs, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     if method == "exact":
-        return exact_quantiles(df, cols, probs, partitions)
+        return exact_quantiles(df, cols, probs)
     if method == "approx":
         return approx_quantiles(df, cols, probs, accuracy)
     raise ValueError("method must be 'exact' or 'approx'")

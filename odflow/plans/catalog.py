@@ -15,16 +15,19 @@ views. Computed columns carry the same alias on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from odflow.functions.columns import PAYMENT_TYPE_LABELS
 from odflow.operators import chain, outliers, pairs, profile, quantiles
 from odflow.roles import TripRoles
-from odflow.sources.parquet import schema_report
+from odflow.sources.parquet import load_trips, schema_report
 
 CHAIN_GAP = 300
+#: Rides a slice aims at in these queries: few enough that the smallest test table gives several slices.
+SLICE_ROWS = 2_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,9 +98,9 @@ thr AS (SELECT
 def _pair_totals_sql(where: str) -> str:
     return f"""
 tot AS (SELECT origin, dest,
-  CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount_sum, count(*) AS trip_count,
-  CAST(sum(CAST(distance AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(distance) AS DOUBLE) AS avg_distance,
-  CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_amount
+  CAST(sum(CAST(amount AS DECIMAL(38,6))) AS DOUBLE) AS total_amount_sum, count(*) AS trip_count,
+  CAST(sum(CAST(distance AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(distance) AS DOUBLE) AS avg_distance,
+  CAST(sum(CAST(amount AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_amount
   FROM src WHERE origin IS NOT NULL AND dest IS NOT NULL AND amount IS NOT NULL {where}
   GROUP BY origin, dest)"""
 
@@ -105,7 +108,7 @@ tot AS (SELECT origin, dest,
 def _neighbour_sql(where: str) -> str:
     return f"""
 ps AS (SELECT CAST(origin AS BIGINT) AS origin, CAST(dest AS BIGINT) AS dest,
-  sum(CAST(amount AS DECIMAL(18,2))) AS s_amt, count(*) AS trip_count
+  sum(CAST(amount AS DECIMAL(38,6))) AS s_amt, count(*) AS trip_count
   FROM src WHERE origin IS NOT NULL AND dest IS NOT NULL AND amount IS NOT NULL {where} GROUP BY 1, 2),
 offs AS (SELECT a.i AS di, b.j AS dj FROM range(-1, 2) a(i), range(-1, 2) b(j)),
 ex AS (SELECT origin + di AS canonical_origin, dest + dj AS canonical_dest, s_amt, trip_count
@@ -131,13 +134,9 @@ final AS (SELECT t.id, CAST(b.chain_length AS INTEGER) AS chain_length, c.prev_i
 
 # ------------------------------------------------------------------ queries
 
-def _elbow_threshold_value(df, col):
-    return outliers.find_threshold(df, col)
-
-
 def q_top_pairs(spark, sf):
     li = table(spark, sf, "lineitem")
-    t = _elbow_threshold_value(li, "l_quantity")
+    t = outliers.find_threshold(li, "l_quantity")
     return pairs.top_pairs(li, pair_roles(), threshold=t, n=10)
 
 
@@ -234,7 +233,7 @@ def q_period_split(spark, sf):
 
 def q_top_neighbour_pairs(spark, sf):
     li = table(spark, sf, "lineitem")
-    t = _elbow_threshold_value(li, "l_quantity")
+    t = outliers.find_threshold(li, "l_quantity")
     return pairs.top_neighbour_pairs(li, pair_roles(), threshold=t, n=10)
 
 
@@ -258,43 +257,61 @@ def q_predecessor_pairs(spark, sf):
     return chain.predecessor_pairs(_chain_trips(spark, sf), CHAIN_GAP)
 
 
+def _solve(spark, sf, gap, **kw):
+    return chain.solve_chain(_chain_trips(spark, sf), gap, slice_rows=SLICE_ROWS, **kw)
+
+
 def q_chain_lengths(spark, sf):
-    return chain.chain_lengths(_chain_trips(spark, sf), CHAIN_GAP)
+    return _solve(spark, sf, CHAIN_GAP).lengths()
 
 
 def q_chain_lengths_3600(spark, sf):
-    return chain.chain_lengths(_chain_trips(spark, sf), 3600)
+    return _solve(spark, sf, 3600).lengths()
 
 
 def q_chain_stats(spark, sf):
-    return chain.chain_stats(chain.chain_lengths(_chain_trips(spark, sf), CHAIN_GAP))
+    return chain.chain_stats(_solve(spark, sf, CHAIN_GAP).lengths())
 
 
-def _longest(spark, sf, gap):
-    values, nslices = chain.chain_lengths(_chain_trips(spark, sf), gap, return_sliced=True)
-    return chain.chain_listing(values, chain.longest_chain(values, nslices))
+def _listing(solved):
+    return chain.chain_listing(solved, chain.longest_chain(solved))
 
 
 def q_longest_chain(spark, sf):
-    return _longest(spark, sf, CHAIN_GAP)
+    return _listing(_solve(spark, sf, CHAIN_GAP))
 
 
 def q_longest_chain_3600(spark, sf):
-    return _longest(spark, sf, 3600)
-
-
-# The parallel form on the whole table, whatever its size: small inputs would
-# otherwise run as one slice.
-SLICED = 8
+    return _listing(_solve(spark, sf, 3600))
 
 
+# The same with time units of a quarter of a gap: trips reach over several units, and slices are cut closer.
 def q_chain_lengths_sliced(spark, sf):
-    return chain.chain_lengths(_chain_trips(spark, sf), CHAIN_GAP, slices=SLICED)
+    return _solve(spark, sf, CHAIN_GAP, unit_gaps=0.25).lengths()
 
 
 def q_longest_chain_3600_sliced(spark, sf):
-    values, nslices = chain.chain_lengths(_chain_trips(spark, sf), 3600, slices=SLICED, return_sliced=True)
-    return chain.chain_listing(values, chain.longest_chain(values, nslices))
+    return _listing(_solve(spark, sf, 3600, unit_gaps=0.25))
+
+
+def q_prepared_trips(spark, sf):
+    """C1 with the outlier cut and a time range."""
+    roles = replace(chain_roles(), distance="value")
+    return chain.prepare_trips(table(spark, sf, "events"), roles, 200.0,
+                               F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"), F.lit("2024-01-20 12:00:00").cast("timestamp_ntz"))
+
+
+def q_chronological_ids(spark, sf):
+    """Trips whose generated id follows the start. Neighbours by id are compared within partitions, and the
+    partitions (the id's upper bits) by their first and last start: one row each."""
+    trips = chain.prepare_trips(table(spark, sf, "events"), replace(chain_roles(), id=None))
+    part = F.shiftright("id", 33)
+    prev = F.lag("p").over(Window.partitionBy("part").orderBy("id"))
+    t = trips.withColumn("part", part).withColumn("back", (F.col("p") < prev).cast("int"))
+    ends = t.groupBy("part").agg(F.count("*").alias("n"), F.min("p").alias("first"), F.max("p").alias("last"), F.sum("back").alias("back"))
+    over = F.col("first") < F.lag("last").over(Window.orderBy("part"))
+    return (ends.withColumn("over", F.coalesce(over.cast("int"), F.lit(0)))
+            .agg(F.sum("n").alias("trips"), F.sum(F.coalesce("back", F.lit(0)) + F.col("over")).alias("out_of_order")))
 
 
 def q_chain_filter_report(spark, sf):
@@ -314,6 +331,43 @@ def q_union_by_name(spark, sf):
     return n.unionByName(r)
 
 
+def q_load_by_position(spark, sf):
+    return load_trips(spark, sf, "position", names=["region.parquet", "nation.parquet"], width=2)
+
+
+def q_load_by_name(spark, sf):
+    return load_trips(spark, sf, "name", names=["region.parquet", "nation.parquet"])
+
+
+def q_pair_totals_revenue(spark, sf):
+    """A measure with more than two decimals."""
+    li = table(spark, sf, "lineitem")
+    roles = replace(pair_roles(), amount=F.round(F.col("l_extendedprice") * F.col("l_discount"), 4), distance=F.col("l_quantity") / 8)
+    return pairs.pair_totals(li, roles)
+
+
+def q_distribution_labelled_double(spark, sf):
+    """Codes held as doubles."""
+    return profile.distribution(table(spark, sf, "lineitem"), ["l_quantity"], labels=PAYMENT_TYPE_LABELS)
+
+
+def q_distribution_ranked(spark, sf):
+    return profile.distribution(table(spark, sf, "lineitem"), ["l_returnflag", "l_linenumber"], ranked=True)
+
+
+def q_period_counts_ranked(spark, sf):
+    return profile.period_counts(table(spark, sf, "orders"), "o_orderdate", "month", ranked=True)
+
+
+def q_quantile_approx_bounds(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return quantiles.approx_within_bounds(li, ["l_extendedprice", "l_quantity"], quantiles.PROFILE_PROBS)
+
+
+def q_trip_profile(spark, sf):
+    return profile.profile_table(table(spark, sf, "customer"), ["c_nationkey", "c_mktsegment"], ["c_acctbal"])
+
+
 def q_schema_report(spark, sf):
     return schema_report(table(spark, sf, "lineitem"))
 
@@ -358,6 +412,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chain_lengths_sliced": q_chain_lengths_sliced,
     "longest_chain_3600_sliced": q_longest_chain_3600_sliced,
     "chain_filter_report": q_chain_filter_report,
+    "prepared_trips": q_prepared_trips,
+    "chronological_ids": q_chronological_ids,
+    "load_by_position": q_load_by_position,
+    "load_by_name": q_load_by_name,
+    "pair_totals_revenue": q_pair_totals_revenue,
+    "distribution_labelled_double": q_distribution_labelled_double,
+    "distribution_ranked": q_distribution_ranked,
+    "period_counts_ranked": q_period_counts_ranked,
+    "quantile_approx_bounds": q_quantile_approx_bounds,
+    "trip_profile": q_trip_profile,
     "union_by_position": q_union_by_position,
     "union_by_name": q_union_by_name,
     "schema_report": q_schema_report,
@@ -515,6 +579,32 @@ FROM information_schema.columns WHERE table_name = 'lineitem'""",
 }
 
 ORACLE["chain_lengths_sliced"] = ORACLE["chain_lengths"]
+ORACLE["prepared_trips"] = f"""SELECT * FROM ({CHAIN_SQL} AND value <= 200.0
+  AND ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-20 12:00:00') WHERE d >= p"""
+ORACLE["chronological_ids"] = f"SELECT count(*) AS trips, CAST(0 AS BIGINT) AS out_of_order FROM ({CHAIN_SQL}) WHERE d >= p"
+ORACLE["load_by_position"] = ORACLE["union_by_position"]
+ORACLE["load_by_name"] = "SELECT * FROM region UNION ALL BY NAME SELECT * FROM nation"
+ORACLE["pair_totals_revenue"] = f"""WITH src AS ({PAIR_SQL.replace('l_quantity AS', 'l_quantity / 8 AS').replace(
+    'l_extendedprice AS', 'round(l_extendedprice * l_discount, 4) AS')}), {_pair_totals_sql('')}
+SELECT origin, dest, total_amount_sum, trip_count, avg_distance, avg_amount FROM tot"""
+ORACLE["distribution_labelled_double"] = _distribution_sql("lineitem", ["l_quantity"]).replace(
+    "AS pct", "AS pct, CASE CAST(value AS DOUBLE) " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in PAYMENT_TYPE_LABELS.items())
+    + " ELSE 'Unknown code (' || CAST(CAST(CAST(value AS DOUBLE) AS BIGINT) AS VARCHAR) || ')' END AS description")
+ORACLE["distribution_ranked"] = f"""SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value) AS INTEGER) AS rank
+FROM ({_distribution_sql("lineitem", ["l_returnflag", "l_linenumber"])})"""
+ORACLE["period_counts_ranked"] = f"""SELECT period, count, pct, CAST(NULL AS BOOLEAN) AS expected,
+  CAST(row_number() OVER (ORDER BY period) AS INTEGER) AS rank FROM ({_period_sql("%Y-%m", "")})"""
+ORACLE["quantile_approx_bounds"] = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", CAST({p} AS DOUBLE) AS p, count({c}) > 0 AS within FROM lineitem"""
+    for c in ("l_extendedprice", "l_quantity") for p in quantiles.PROFILE_PROBS)
+_CUSTOMER = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+ORACLE["trip_profile"] = "\nUNION ALL\n".join(
+    [f"""SELECT 'nulls' AS section, '{c}' AS "column", 'null_count' AS item, CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) AS number FROM customer"""
+     for c in _CUSTOMER]
+    + [f"SELECT 'range', 'c_acctbal', '{n}', CAST({e} AS DOUBLE) FROM customer"
+       for n, e in (("min", "min(c_acctbal)"), ("max", "max(c_acctbal)"), ("negative_count", "count(*) FILTER (WHERE c_acctbal < 0)"))]
+    + [f"SELECT 'distribution', '{c}', CAST({c} AS VARCHAR), CAST(count(*) AS DOUBLE) FROM customer GROUP BY {c}"
+       for c in ("c_nationkey", "c_mktsegment")])
 
 for _gap, _key in ((CHAIN_GAP, "longest_chain"), (3600, "longest_chain_3600"),
                    (3600, "longest_chain_3600_sliced")):
@@ -522,5 +612,7 @@ for _gap, _key in ((CHAIN_GAP, "longest_chain"), (3600, "longest_chain_3600"),
 fin AS (SELECT * FROM final ORDER BY chain_length DESC, p, id LIMIT 1),
 walk(id) AS (SELECT id FROM fin UNION ALL
              SELECT f.prev_id FROM walk w JOIN final f ON f.id = w.id WHERE f.prev_id IS NOT NULL)
-SELECT f.chain_length AS seq, f.id, f.origin, f.dest, f.p AS start_s, f.d AS end_s, f.p - pr.d AS gap_s
+SELECT f.chain_length AS seq, f.id, f.origin, f.dest, f.p AS start_s, f.d AS end_s,
+  make_timestamp(f.p * 1000000) AS start_time, make_timestamp(f.d * 1000000) AS end_time, f.p - pr.d AS gap_s,
+  CASE WHEN f.prev_id IS NULL THEN 'START' ELSE coalesce(CAST(f.p - pr.d AS VARCHAR), 'N/A') END AS gap_text
 FROM walk w JOIN final f ON f.id = w.id LEFT JOIN final pr ON pr.id = f.prev_id"""

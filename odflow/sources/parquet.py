@@ -11,26 +11,41 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def list_parquet_files(spark: SparkSession, path: str) -> list[str]:
-    """Non-recursive listing of ``*.parquet`` files under ``path``, sorted by name."""
+def _data_files(fs, status) -> list[str]:
+    """The data files of one listed entry: the file itself, or all files of a folder that Spark would read."""
+    if status.isFile():
+        return [status.getPath().toString()]
+    out = []
+    for st in fs.listStatus(status.getPath()):
+        if not st.getPath().getName().startswith(("_", ".")):
+            out += _data_files(fs, st)
+    return sorted(out)
+
+
+def list_parquet_files(spark: SparkSession, path: str, names: list[str] | None = None) -> list[str]:
+    """Data files of the entries of ``path`` whose names end in ``.parquet``, in order of the entries' names.
+
+    An entry is a file, or a folder as Spark writes it (its files count, in order). ``names`` limits the
+    entries, in the order given.
+    """
     if path is None or str(path).strip() == "":
-        raise ValueError("a data path is required")
+        raise ValueError("load: no folder was named")
     jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    jpath = jvm.org.apache.hadoop.fs.Path(str(path))
-    fs = jpath.getFileSystem(hconf)
-    if not fs.exists(jpath) or not fs.getFileStatus(jpath).isDirectory():
-        raise ValueError(f"Path is not a directory: {path}")
-    names = sorted(
-        (st.getPath().getName(), st.getPath().toString())
-        for st in fs.listStatus(jpath)
-        if st.isFile() and st.getPath().getName().endswith(".parquet")
-    )
-    if not names:
-        raise ValueError(f"No Parquet files found in: {path}")
-    return [full for _, full in names]
+    folder = jvm.org.apache.hadoop.fs.Path(str(path))
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder) or not fs.getFileStatus(folder).isDirectory():
+        raise ValueError(f"load: {path} is no folder that can be listed")
+    entries = {st.getPath().getName(): st for st in fs.listStatus(folder) if st.getPath().getName().endswith(".parquet")}
+    missing = [n for n in names or [] if n not in entries]
+    if missing:
+        raise ValueError(f"load: {path} lacks {', '.join(missing)}")
+    files = [f for n in (names or sorted(entries)) for f in _data_files(fs, entries[n])]
+    if not files:
+        raise ValueError(f"load: nothing in {path} ends in .parquet")
+    return files
 
 
 def footer_layouts(spark: SparkSession, files: list[str], threads: int = 32) -> list[str]:
@@ -57,17 +72,19 @@ def footer_layouts(spark: SparkSession, files: list[str], threads: int = 32) ->
         return list(pool.map(layout, files))
 
 
-def load_trips(spark: SparkSession, path: str, merge: str = "position") -> DataFrame:
-    """Load every Parquet file of a directory as one DataFrame.
+def load_trips(spark: SparkSession, path: str, merge: str = "position", names: list[str] | None = None,
+               width: int | None = None) -> DataFrame:
+    """Load the Parquet files and Parquet folders of a directory as one DataFrame.
 
     ``merge='position'`` unions files by column position with the first file
-    naming the columns (the reference's behaviour). Files are grouped by their
+    naming the columns. Files are grouped by their
     footer's schema, read concurrently, and each distinct layout is one scan,
     so a directory of thousands of same-schema files is a single scan.
     ``merge='name'`` is a single scan with schema merging by column name
-    (missing columns become null).
+    (missing columns become null). ``names`` limits the entries read, ``width`` keeps the first
+    columns of every file only (by position).
     """
-    files = list_parquet_files(spark, path)
+    files = list_parquet_files(spark, path, names)
     if merge == "name":
         return spark.read.option("mergeSchema", "true").parquet(*files)
     if merge != "position":
@@ -76,6 +93,8 @@ def load_trips(spark: SparkSession, path: str, merge: str = "position") -> DataF
     for f, lay in zip(files, footer_layouts(spark, files)):
         groups.setdefault(lay, []).append(f)
     frames = [spark.read.parquet(*fs) for fs in groups.values()]
+    if width is not None:
+        frames = [fr.select(*[F.col(f"`{c}`") for c in fr.columns[:width]]) for fr in frames]
     first = frames[0].columns
     frames = [frames[0]] + [fr.toDF(*first) if len(fr.columns) == len(first) else fr for fr in frames[1:]]
     return reduce(lambda a, b: a.union(b), frames)

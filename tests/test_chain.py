@@ -2,6 +2,7 @@
 for random tables under any slicing and row order."""
 
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,11 +29,19 @@ def brute(rows, gap):
     return out
 
 
-def run(spark, rows, gap=300, slices=None):
-    df = spark.createDataFrame(rows, SCHEMA)
-    trips = chain.prepare_trips(df, ROLES)
-    res = chain.chain_lengths(trips, gap, slices=slices).collect()
-    return {r["id"]: (r["chain_length"], r["prev_id"]) for r in res}
+def solve(spark, rows, gap=300, slices=1, unit_gaps=0.5):
+    trips = chain.prepare_trips(spark.createDataFrame(rows, SCHEMA), ROLES)
+    return chain.solve_chain(trips, gap, slice_rows=max(1, -(-len(rows) // slices)), unit_gaps=unit_gaps)
+
+
+def result(solved):
+    got = {r["id"]: (r["chain_length"], r["prev_id"]) for r in solved.lengths().collect()}
+    solved.release()
+    return got
+
+
+def run(spark, rows, gap=300, slices=1, unit_gaps=0.5):
+    return result(solve(spark, rows, gap, slices, unit_gaps))
 
 
 def test_gap_boundaries(spark):
@@ -97,26 +106,27 @@ def test_long_trip_open_over_whole_slices(spark):
 
 def test_longest_chain_and_listing(spark):
     rows = _random_rows(11, 500, 2, 20000, 600)
-    df = spark.createDataFrame(rows, SCHEMA)
-    trips = chain.prepare_trips(df, ROLES)
-    values, n = chain.chain_lengths(trips, 300, slices=4, return_sliced=True)
+    solved = solve(spark, rows, slices=4)
+    assert solved.slices >= 4
     want = brute(rows, 300)
     longest = max(v[0] for v in want.values())
     starts = {r[0]: r[3] for r in rows}
-    end = min((i for i, v in want.items() if v[0] == longest), key=lambda i: (starts[i], i))
+    cur = min((i for i, v in want.items() if v[0] == longest), key=lambda i: (starts[i], i))
     path = []
-    cur = end
     while cur is not None:
         path.append(cur)
         cur = want[cur][1]
-    listing = chain.chain_listing(values, chain.longest_chain(values, n)).orderBy("seq").collect()
+    listing = chain.chain_listing(solved, chain.longest_chain(solved)).orderBy("seq").collect()
     assert [r["id"] for r in listing] == list(reversed(path))
-    doubled = chain.longest_chain(values, n, max_driver_links=0).collect()  # distributed branch
-    assert sorted(r["id"] for r in doubled) == sorted(path)
     assert [r["seq"] for r in listing] == list(range(1, longest + 1))
     assert listing[0]["gap_s"] is None and all(0 < r["gap_s"] <= 300 for r in listing[1:])
-    stats = chain.chain_stats(values.select("id", F.col("value").alias("chain_length"))).first()
+    assert listing[0]["gap_text"] == "START" and listing[1]["gap_text"] == str(listing[1]["gap_s"])
+    assert all((r["start_time"] - datetime(1970, 1, 1)).total_seconds() == r["start_s"] for r in listing)
+    stats = chain.chain_stats(solved.lengths()).first()
     assert stats["longest"] == longest and stats["trips"] == len(rows)
+    alone = chain.chain_listing(solved, spark.createDataFrame([(path[0],)], "id long")).first()
+    assert alone["gap_text"] == "N/A" and alone["gap_s"] is None
+    solved.release()
 
 
 def test_predecessor_pairs_match_brute_force(spark):
@@ -128,7 +138,7 @@ def test_predecessor_pairs_match_brute_force(spark):
 
 
 def test_empty_table(spark):
-    assert run(spark, [], slices=None) == {}
+    assert run(spark, []) == {}
 
 
 def _dense_rows(seed, n=1500, zones=3, span=15000):
@@ -144,44 +154,62 @@ def test_dense_chains_cross_slices_exactly(spark):
     rows = _dense_rows(1)
     want = brute(rows, 300)
     assert max(v[0] for v in want.values()) > 100  # chains run through every slice
-    assert run(spark, rows, slices=6) == want
-    assert chain.last_stats["slices"] == 6
+    solved = solve(spark, rows, slices=6)
+    assert solved.slices >= 6
+    assert result(solved) == want
 
 
 def test_verify_loop_repairs_a_bad_guess(spark, monkeypatch):
     rows = _dense_rows(2)
-    monkeypatch.setattr(chain, "_fold_offsets", lambda rows_, n: {s: 0 for s in range(n)})
-    before = len(chain._tables)
-    assert run(spark, rows, slices=5) == brute(rows, 300)
-    assert chain.last_stats["verify_rounds"] >= 1
-    # the result reads the first values table plus one table of rerun slices per round
-    assert len(chain._tables) - before == 1 + chain.last_stats["verify_rounds"]
+    right = chain._Slices.guess
+    monkeypatch.setattr(chain._Slices, "guess", lambda self: self.store.cut(right(self).withColumn("value", F.lit(1).cast("long"))))
+    solved = solve(spark, rows, slices=5)
+    assert solved.rounds >= 1
+    assert len(str(solved.values._jdf.queryExecution().analyzed())) < 2000  # the plan does not grow with the rounds
+    assert result(solved) == brute(rows, 300)
 
 
-def test_generated_ids_and_first_trips(spark):
-    rows = [(None, 0, 1, 30, 40), (None, 1, 2, 10, 20), (None, 2, 0, 50, 60)]
-    df = spark.createDataFrame(rows, SCHEMA)
-    roles = TripRoles(origin="o", dest="d", start="s", end="e", distance=None, amount=None, id=None)
-    trips = chain.prepare_trips(df, roles)
-    ids = [r["id"] for r in trips.collect()]
-    assert len(set(ids)) == 3 and ids == [r["id"] for r in trips.collect()]  # stable once written
-    assert [r["p"] for r in chain.first_trips(trips, 2).collect()] == [10, 30]
+def test_more_trips_than_a_slice_within_one_gap(spark):
+    """All starts within two gaps, slices far narrower than a gap: rounds, carry-in and exactness."""
+    rows = [(i, *r[1:3], 5000 + r[3] // 25, 5000 + r[3] // 25 + (r[4] - r[3]) // 8) for i, r in enumerate(_dense_rows(3, n=2000))]
+    solved = solve(spark, rows, slices=10, unit_gaps=0.05)
+    assert solved.slices >= 9
+    span = max(r[4] for r in rows) - min(r[3] for r in rows) + 1
+    parts = chain._Slices(solved.trips, 300, 200, 0.05, solved.store)
+    carry = parts.carry(solved.values, F.col("value"))
+    assert carry.groupBy("slice").count().agg(F.max("count")).first()[0] <= 3 * span  # zones x seconds
+    assert result(solved) == brute(rows, 300)
 
 
-def test_slice_count_rule(spark):
-    rows = _dense_rows(3, n=1500)
-    trips = chain.prepare_trips(spark.createDataFrame(rows, SCHEMA), ROLES)
-    assert chain.slice_trips(trips, 300)[1] == 1  # far below four slices of min_slice_rows
-    assert chain.slice_trips(trips, 300, slice_rows=500)[1] == 3  # bounded slice size wins
-    cores = spark.sparkContext.defaultParallelism
-    got = chain.slice_trips(trips, 300, min_slice_rows=100, min_parallel=4)[1]
-    assert got == (min(cores, 15) if min(cores, 15) >= 4 else 1)
-    got = chain.slice_trips(trips, 300, min_slice_rows=100)[1]  # default: at least 8 parallel slices
-    assert got == (min(cores, 15) if min(cores, 15) >= 8 else 1)
-    # the rule-chosen slicing is exact too
-    res = chain.chain_lengths(trips, 300, slice_rows=500).collect()
-    assert {r["id"]: (r["chain_length"], r["prev_id"]) for r in res} == brute(rows, 300)
-    assert chain.last_stats["slices"] == 3
+def test_equal_rides_are_one_and_all_trips_come_back(spark):
+    rows = [(i, 0, 1, 10, 20) for i in (9, 3, 5)] + [(20, 1, 2, 30, 40), (21, 1, 2, 30, 40), (22, 1, 0, 30, 40)]
+    assert run(spark, rows) == brute(rows, 300)
+    assert run(spark, rows)[20] == (2, 3)
+
+
+def test_duplicate_ids_are_refused(spark):
+    rows = [(1, 0, 1, 10, 20), (1, 0, 2, 30, 40)]
+    with pytest.raises(ValueError, match="more than once"):
+        run(spark, rows)
+
+
+def test_prepare_with_threshold_and_range(spark):
+    df = spark.createDataFrame([(1, 0, 1, 10, 20, 1.0), (2, 0, 1, 10, 20, 9.0), (3, 0, 1, 50, 60, 1.0), (4, 0, 1, 5, 20, None), (5, 0, 1, 30, 40, 2.0)],
+                               SCHEMA + ", x double")
+    roles = TripRoles(origin="o", dest="d", start="s", end="e", distance="x", amount=None, id="id")
+    assert {r["id"] for r in chain.prepare_trips(df, roles, 2.0, 10, 40).collect()} == {1, 5}
+
+
+def test_generated_ids_follow_the_start(spark):
+    rnd = random.Random(4)
+    rows = [(None, i % 3, i % 2, rnd.randint(0, 999), 1000) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    roles = TripRoles(origin="o", dest="d", start="s", end="e", distance=None, amount=None, id=None)
+    trips = chain.prepare_trips(df, roles)
+    got = sorted((r["id"], r["p"]) for r in trips.collect())
+    assert [p for _, p in got] == sorted(r[3] for r in rows) and len({i for i, _ in got}) == 300
+    assert got == sorted((r["id"], r["p"]) for r in trips.collect())  # stable once written
+    assert [r["p"] for r in chain.first_trips(trips, 2).collect()] == [p for _, p in got[:2]]
 
 
 @pytest.mark.parametrize("seed", range(40))
@@ -220,55 +248,26 @@ def test_scan_with_carry_matches_brute_force(seed):
         assert int(pslices[k]) == (-2 if prev is None else (0 if prev in early_ids else -1))
 
 
-def test_offsets_joined_without_broadcast_beyond_bound(spark, monkeypatch):
-    rows = _dense_rows(4, n=800)
-    monkeypatch.setattr(chain, "_BROADCAST_SLICES", 0)
-    assert run(spark, rows, slices=4) == brute(rows, 300)
-
-
-def test_slice_partitions_spread_slices(spark):
-    # the planner's own placement: at most one slice per partition when there
-    # are no more slices than cores
-    cores = spark.sparkContext.defaultParallelism
-    for n in (2, 3, min(cores, 8)):
-        m = chain.slice_partitions(spark, n)
-        fullest = (spark.range(n).select(F.col("id").cast("int").alias("slice")).repartition(m, "slice")
-                   .groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
-        assert fullest == 1, (n, m)
-
-
-def test_intermediate_tables_dropped(spark):
+def test_release_removes_all_files_and_the_catalogue_stays_empty(spark):
     import os
 
     rows = _dense_rows(5, n=600)
-    before = list(chain._tables)
-    got = run(spark, rows, slices=4)  # L, R frontier and values tables are written
-    new = [t for t in chain._tables if t not in before]
-    assert len(new) == 1  # only the result table is kept
-    name, path = new[0]
-    assert got == brute(rows, 300)
-    base = os.path.dirname(path.replace("file:", ""))
-    left = [d for d in os.listdir(base) if d.startswith("odflow_")]
-    assert os.path.basename(path) in left
-    assert not [d for d in left if d.startswith(("odflow_lpass_", "odflow_rfront_"))]
-    assert chain.release_stored_tables(spark) >= 1
-    assert not [d for d in os.listdir(base) if d.startswith("odflow_")]
-
-
-def test_hot_second_and_hot_zone_split_evenly_and_exactly(spark):
+    tables = {t.name for t in spark.catalog.listTables()}
+    solved = solve(spark, rows, slices=4)
+    root = solved.store.root.replace("file:", "")
+    assert os.path.isdir(root) and {t.name for t in spark.catalog.listTables()} == tables
+    assert result(solved) == brute(rows, 300)
+    assert not os.path.exists(root)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_hot_second_and_hot_zone(spark):
     # a third of the trips start in the same second, a third start in zone 0
     rnd = random.Random(9)
     rows = []
     for i in range(1800):
-        if i % 3 == 0:
-            s = 5000  # the hot second
-        else:
-            s = rnd.randint(0, 10000)
+        s = 5000 if i % 3 == 0 else rnd.randint(0, 10000)
         o = 0 if i % 3 == 1 else rnd.randint(1, 3)
         rows.append((i, o, rnd.randint(0, 3), s, s + rnd.randint(0, 250)))
     rnd.shuffle(rows)
-    trips = chain.prepare_trips(spark.createDataFrame(rows, SCHEMA), ROLES)
-    sliced, n = chain.slice_trips(trips, 300, slices=6)
-    sizes = [r["count"] for r in sliced.groupBy("slice").count().collect()]
-    assert n == 6 and max(sizes) < 2 * (len(rows) / 6)  # the hot second is spread over slices
     assert run(spark, rows, slices=6) == brute(rows, 300)

@@ -55,3 +55,9 @@ def test_neighbour_totals_and_stats(spark):
     # invariant: expanded trip count = sum over pairs of trips x valid neighbours
     total = pairs.neighbour_totals(df, ROLES).agg(F.sum("total_trip_count")).first()[0]
     assert total == 31
+
+
+def test_totals_keep_small_and_large_values(spark):
+    got = pairs.pair_totals(_df(spark, [(1, 1, 0.004, 0.004)] * 3 + [(2, 2, 1e17, 1e17), (2, 2, 1.0, 0.001)]), ROLES).orderBy("origin").collect()
+    assert (got[0]["total_amount_sum"], got[0]["avg_distance"]) == (0.012, 0.004)
+    assert got[1]["total_amount_sum"] == 1e17 and got[1]["trip_count"] == 2

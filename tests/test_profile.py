@@ -100,3 +100,16 @@ def test_empty_table_everywhere(spark):
     assert pairs.top_neighbour_pairs(empty, roles).count() == 0
     st = pairs.expansion_stats(empty, roles).first()
     assert (st["unique_pairs"], st["expanded_rows"], st["expansion_ratio"]) == (0, 0, None)
+
+
+def test_labels_compare_numbers(spark):
+    df = spark.createDataFrame([(1.0, "2"), (1.0, "x"), (7.0, "7"), (2.5, None)], "a double, b string")
+    got = {r["value"]: r["description"] for r in profile.distribution(df, ["a", "b"], labels=PAYMENT_TYPE_LABELS).collect()}
+    assert got == {"1.0": "Credit card", "7.0": "Unknown code (7)", "2.5": "Unknown code (2.5)", "2": "Cash", "7": "Unknown code (7)",
+                   "x": "Unknown code (x)", None: None}
+
+
+def test_profile_table(spark):
+    rows = {(r["section"], r["column"], r["item"]): r["number"] for r in profile.profile_table(_trips(spark), ["VendorID", "store_and_fwd_flag"], ["fare_amount"]).collect()}
+    assert rows[("nulls", "passenger_count", "null_count")] == 1 and rows[("range", "fare_amount", "negative_count")] == 2
+    assert rows[("distribution", "store_and_fwd_flag", None)] == 1 and rows[("range", "fare_amount", "min")] == -5.0

@@ -4,7 +4,10 @@ import random
 import duckdb
 import pytest
 
-from odflow.operators.quantiles import PROFILE_PROBS, exact_quantiles, prob_label, quantile_profile, target_rank
+from pyspark.sql import functions as F
+
+from odflow.operators.quantiles import (PROFILE_PROBS, approx_within_bounds, exact_quantiles, prob_label, quantile_profile,
+                                        target_rank)
 
 PROBS = [0.0, 0.001, 0.01, 0.25, 0.5, 0.75, 0.9997, 0.9999, 1.0]
 
@@ -75,14 +78,25 @@ def test_exact_with_nan_and_odd_names(spark):
             assert (math.isnan(g) and math.isnan(want)) or g == want, (label, p, g, want)
 
 
-@pytest.mark.parametrize("strategy,parts", [("buckets", None), ("buckets", 2), ("ranges", None), ("ranges", 5)])
-def test_strategies_match_quantile_disc(spark, strategy, parts):
+def test_types_are_kept(spark):
+    from decimal import Decimal
+
+    df = spark.createDataFrame([(2**53 + 1, Decimal("1.10"), 3), (5, Decimal("-2.25"), 1), (None, None, 2)], "a long, b decimal(10,2), c int")
+    assert [r["value"] for r in exact_quantiles(df, ["a", "c"], [1.0]).orderBy("column").collect()] == [2**53 + 1, 3]
+    assert exact_quantiles(df, ["b"], [0.0, 1.0]).orderBy("p").collect()[1]["value"] == Decimal("1.10")
+    assert {type(r["value"]) for r in exact_quantiles(df, ["b", ("x", F.col("c") / 2)], [0.5]).collect()} == {float}
+
+
+def test_heavy_ties_and_few_buckets(spark):
     rnd = random.Random(17)
-    vals = [float(rnd.choice([rnd.randint(-5, 5), rnd.gauss(0, 100)])) for _ in range(4000)] + [None] * 30
+    vals = [float(rnd.choice([rnd.randint(-5, 5), 3, 3, rnd.gauss(0, 100)])) for _ in range(4000)] + [None] * 30
     df = spark.createDataFrame([(v,) for v in vals], "a double")
-    got = {r["p"]: r["value"] for r in exact_quantiles(df, ["a"], PROBS, parts, strategy=strategy).collect()}
-    con = duckdb.connect()
-    con.execute("CREATE TABLE t(a DOUBLE)")
-    con.executemany("INSERT INTO t VALUES (?)", [(v,) for v in vals])
-    for p in PROBS:
-        assert got[p] == con.sql(f"SELECT quantile_disc(a, {p}) FROM t").fetchall()[0][0], (strategy, p)
+    have = sorted(v for v in vals if v is not None)
+    for buckets in (1, 2, 50):
+        got = {r["p"]: r["value"] for r in exact_quantiles(df, ["a"], PROBS, buckets).collect()}
+        assert got == {p: have[target_rank(p, len(have)) - 1] for p in PROBS}
+
+
+def test_approx_bounds(spark):
+    df = spark.range(5000).selectExpr("cast(id % 700 as double) as x", "id as y")
+    assert {r["within"] for r in approx_within_bounds(df, ["x", "y"], PROBS).collect()} == {True}

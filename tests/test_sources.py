@@ -66,3 +66,31 @@ def test_layouts_grouped_across_the_listing(spark, tmp_path):
     assert sorted(tuple(r) for r in df.collect()) == [(1, 10), (3, 30), (90, 9)]
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 2  # one scan per layout
+
+
+def test_folders_written_by_spark_are_entries(spark, tmp_path):
+    _write(tmp_path / "a.parquet", {"x": [1], "y": [10]})
+    spark.range(5).selectExpr("id as x", "id * 2 as y").repartition(3).write.parquet(str(tmp_path / "b.parquet"))
+    assert load_trips(spark, str(tmp_path)).count() == 6
+    assert load_trips(spark, str(tmp_path), merge="name").count() == 6
+    assert load_trips(spark, str(tmp_path), names=["b.parquet"], width=1).columns == ["x"]
+    with pytest.raises(ValueError):
+        load_trips(spark, str(tmp_path), names=["c.parquet"])
+
+
+def test_sinks_round_trip(spark, tmp_path):
+    from odflow.operators import chain
+    from odflow.roles import TripRoles
+    from odflow.sources import write_result
+
+    rows = [(1, 0, 1, 0, 100), (2, 1, 2, 200, 300), (3, 2, 3, 400, 450)]
+    roles = TripRoles(origin="o", dest="d", start="s", end="e", distance=None, amount=None, id="id")
+    trips = chain.prepare_trips(spark.createDataFrame(rows, "id long, o long, d long, s long, e long"), roles)
+    solved = chain.solve_chain(trips)
+    listing = chain.chain_listing(solved, chain.longest_chain(solved))
+    want = sorted(map(tuple, listing.collect()))
+    for fmt in ("parquet", "json"):
+        write_result(listing, str(tmp_path / fmt), fmt=fmt)
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "parquet")).collect())) == want
+    assert spark.read.json(str(tmp_path / "json")).count() == 3
+    solved.release()
