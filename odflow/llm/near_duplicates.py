@@ -5,12 +5,13 @@
 2. The signature's bands deal the classes into buckets. Within a bucket every class is paired with
    the smallest one only (so a bucket of any size gives as many pairs as it has members), and each pair is verified on
    the full sets, which are made anew for the documents concerned.
-3. Verified pairs give components. In buckets whose members are still in several components, the pairs
-   across components are compared by signature in blocks; promising ones are verified, the most similar
-   few of a class first, then more of them, until no untested pair across components is left.
+3. Verified pairs give components. In buckets whose members are still in several components, the members outside the
+   largest one are compared with all members in blocks: first by signature, which keeps the members of promising
+   pairs, then those on their full sets, so every promising pair across components is decided and only links
+   come out, one for a member and another component. No step emits pairs in the square of a bucket's size.
 
-A pair at the similarity limit shares no band with a probability of (1 - s**rows)**bands (3e-6 at s = 0.8);
-a signature estimate below ``LEAST_ESTIMATE`` means, with the same order of certainty, that the pair is below it.
+A pair at the similarity limit shares no band with a probability of (1 - s**rows)**bands (3e-6 at s = 0.8).
+A pair at the limit has an estimate below ``LEAST_ESTIMATE`` with a probability of 7e-5, falling fast above the limit.
 """
 
 from __future__ import annotations
@@ -21,15 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflow.llm.components import components
-from odflow.llm.store import Store
+from odflow.store import Store
 from odflow.llm.superminhash import signatures
 from odflow.llm.textarrays import mix, shingle_sets, slabs
 
 BANDS, ROWS = 32, 5
 PLACES = BANDS * ROWS
-LEAST_ESTIMATE = 0.64
-#: Members of a bucket that are compared in one block, and partners of a class verified in the first round.
-BLOCK, FIRST_PARTNERS, MORE = 1024, 4, 8
+LEAST_ESTIMATE = 0.68
+#: Members of a bucket that are compared in one block.
+BLOCK = 512
 _SALTS = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E6C63D0676A9A99))
 
 
@@ -77,55 +78,43 @@ def _sets(size: int):
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, store: Store) -> DataFrame:
+def _promising(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures agree in enough places."""
+    one, two = signs.select(F.col("rep").alias("a"), F.col("sig").alias("x")), signs.select(F.col("rep").alias("b"), F.col("sig").alias("y"))
+    equal = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, e: n + e)
+    return pairs.join(one, "a").join(two, "b").filter(equal >= _least()).select("a", "b").distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs whose sets share at least ``percent`` percent of their union."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = store.cut(texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(_sets(size), "id long, words array<bigint>"))
-    one, two = sets.toDF("a", "x"), sets.toDF("b", "y")
     common = F.size(F.array_intersect("x", "y"))
-    kept = store.cut(pairs.select("a", "b").join(one, "a").join(two, "b")
-                     .filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b").distinct())
-    store.drop(sets)
-    return kept
+    return (pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+            .filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b").distinct())
 
 
-def _across(partners: int):
-    """Task function on rows sorted by cell: the promising pairs across components in each cell.
+def _least() -> int:
+    return int(np.ceil(LEAST_ESTIMATE * PLACES))
 
-    A cell holds some members outside the bucket's largest component (``side`` 0) and a block of all its members
-    (``side`` 1). Of each of the former the ``partners`` best by estimate are put out, ``more`` telling that others are left.
-    """
-    least = int(np.ceil(LEAST_ESTIMATE * PLACES))
-
-    def cell(rep, comp, side, sig):
-        s, m = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        for a in range(0, len(s), 32):
-            some = s[a:a + 32]
-            same = (sig[some][:, None, :] == sig[m][None, :, :]).sum(axis=2)
-            same[comp[some][:, None] == comp[m][None, :]] = 0
-            for k, row in zip(some.tolist(), same):
-                good = np.flatnonzero(row >= least)
-                if len(good):
-                    best = good[np.lexsort((rep[m][good], -row[good]))]
-                    for p in best[:partners].tolist():
-                        x, y = int(rep[k]), int(rep[m[p]])
-                        yield min(x, y), max(x, y), len(best) > partners
+
+_CELL = ["band", "key", "sb", "mb"]
+
+
+def _cells(work, fields: list[str], types: list[pa.DataType]):
+    """Task function on rows sorted by cell: ``work`` gets the table of one cell and yields result rows."""
+
+    def flush(t):
+        out = list(work(t))
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(types)], fields)
 
     def run(batches):
         held = None
-        def flush(t):
-            out = list(cell(t["rep"].to_numpy(), t["comp"].to_numpy(), t["side"].to_numpy(),
-                            t["sig"].combine_chunks().flatten().to_numpy().reshape(-1, PLACES)))
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
-                                               pa.array([r[2] for r in out], pa.bool_())], ["a", "b", "more"])
         for batch in batches:
             if not batch.num_rows:
                 continue
             t = pa.Table.from_batches([batch])
             t = t if held is None else pa.concat_tables([held, t])
-            keys = np.stack([t[c].to_numpy() for c in ("band", "key", "sb", "mb")])
-            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            edges = [0, *cuts.tolist()]
+            keys = np.stack([t[c].to_numpy() for c in _CELL])
+            edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
             for a, b in zip(edges[:-1], edges[1:]):
                 yield flush(t.slice(a, b - a))
             held = t.slice(edges[-1])
@@ -135,26 +124,90 @@ def _across(partners: int):
     return run
 
 
+def _agreeing(t: pa.Table):
+    """Chunks of (members outside, members, agreeing places) of a cell. Only pairs of different components count, and each
+    pair only in the first band whose bucket it shares; other pairs have 0."""
+    side, comp = t["side"].to_numpy(), t["comp"].to_numpy()
+    sig = t["sig"].combine_chunks().flatten().to_numpy().reshape(-1, PLACES)
+    s, m, band = np.flatnonzero(side == 0), np.flatnonzero(side == 1), int(t["band"][0].as_py())
+    for a in range(0, len(s), 16):
+        some = s[a:a + 16]
+        for b in range(0, len(m), 256):
+            part = m[b:b + 256]
+            equal = sig[some][:, None, :] == sig[part][None, :, :]
+            n = equal.sum(axis=2)
+            earlier = equal[:, :, :band * ROWS].reshape(len(some), len(part), band, ROWS).all(axis=3).any(axis=2)
+            n[earlier | (comp[some][:, None] == comp[part][None, :]) | (n < _least())] = 0
+            yield some, part, n
+
+
+def _with_partner(t: pa.Table):
+    """(band, key, sb, mb, side, rep) of a cell's rows that are in a promising pair."""
+    wanted = np.zeros(t.num_rows, dtype=bool)
+    for some, part, n in _agreeing(t):
+        wanted[some] |= n.any(axis=1)
+        wanted[part] |= n.any(axis=0)
+    rows = t.select([*_CELL, "side", "rep"]).filter(pa.array(wanted)).to_pydict()
+    yield from zip(*rows.values())
+
+
+def _linked(percent: int):
+    """(a, b) links found in a cell: the promising pairs on their full sets, the most similar first, leaving out
+    pairs of components that a link of this cell has joined already."""
+
+    def work(t: pa.Table):
+        rep, comp = t["rep"].to_numpy(), t["comp"].to_numpy().copy()
+        words = t["words"].combine_chunks()
+        off, flat = words.offsets.to_numpy(), words.values.to_numpy()
+        found = []
+        for some, part, n in _agreeing(t):
+            i, j = np.nonzero(n)
+            found += zip((-n[i, j]).tolist(), some[i].tolist(), part[j].tolist())
+        for _, i, j in sorted(found):
+            if comp[i] == comp[j]:
+                continue
+            x, y = flat[off[i]:off[i + 1]], flat[off[j]:off[j + 1]]
+            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                continue
+            both = np.concatenate((x, y))
+            both.sort()
+            common = int((both[1:] == both[:-1]).sum())
+            if 100 * common >= percent * (len(x) + len(y) - common):
+                yield int(rep[i]), int(rep[j])
+                comp[comp == comp[j]] = comp[i]
+
+    return work
+
+
 def _block(rep: Column, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(rep), blocks)
 
 
-def _candidates(members: DataFrame, signs: DataFrame, comps: DataFrame, partners: int, partitions: int) -> DataFrame:
-    """Untested pairs across components of the buckets in ``members`` (band, key, rep), as (a, b, more)."""
+def _links_across(members: DataFrame, signs: DataFrame, sets: DataFrame, comps: DataFrame, percent: int, store: Store) -> DataFrame:
+    """Links between different components within the buckets of ``members`` (band, key, rep)."""
+    partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     of = members.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "band", "key", "rep", F.coalesce("component", "rep").alias("comp"))
     sizes = of.groupBy("band", "key", "comp").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("band", "key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "comp")).alias("top")).filter("top.c < n")
     of = of.join(largest.select("band", "key", "n", F.col("top.c").alias("c"), F.col("top.comp").alias("top")), ["band", "key"])
-    of = of.join(signs, "rep")
     few, all_blocks = F.ceil((F.col("n") - F.col("c")) / BLOCK), F.ceil(F.col("n") / BLOCK)
-    rest = of.filter("comp <> top").select("band", "key", "rep", "comp", "sig", F.lit(0).alias("side"), _block(F.col("rep"), few).alias("sb"),
+    rest = of.filter("comp <> top").select("band", "key", "rep", "comp", F.lit(0).alias("side"), _block(F.col("rep"), few).alias("sb"),
                                            F.explode(F.sequence(F.lit(0).cast("long"), all_blocks - 1)).alias("mb"))
-    every = of.select("band", "key", "rep", "comp", "sig", F.lit(1).alias("side"),
+    every = of.select("band", "key", "rep", "comp", F.lit(1).alias("side"),
                       F.explode(F.sequence(F.lit(0).cast("long"), few - 1)).alias("sb"), _block(F.col("rep"), all_blocks).alias("mb"))
-    cells = rest.unionByName(every).repartition(partitions, "band", "key", "sb", "mb").sortWithinPartitions("band", "key", "sb", "mb")
-    found = cells.select("band", "key", "sb", "mb", "rep", "comp", "side", "sig").mapInArrow(_across(partners), "a long, b long, more boolean")
-    return found.groupBy("a", "b").agg(F.max("more").alias("more"))
+    grid = store.cut(rest.unionByName(every))
+
+    def in_cells(df: DataFrame) -> DataFrame:
+        return df.repartition(partitions, *_CELL).sortWithinPartitions(*_CELL)
+
+    whole = in_cells(grid.join(signs, "rep")).select(*_CELL, "rep", "comp", "side", "sig")
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+    chosen = store.cut(whole.mapInArrow(_cells(_with_partner, [*_CELL, "side", "rep"], kinds),
+                                        "band int, key long, sb long, mb long, side int, rep long"))
+    full = in_cells(chosen.join(grid, [*_CELL, "side", "rep"]).join(signs, "rep").join(sets.withColumnRenamed("id", "rep"), "rep"))
+    return full.select(*_CELL, "rep", "comp", "side", "sig", "words").mapInArrow(
+        _cells(_linked(percent), ["a", "b"], [pa.int64(), pa.int64()]), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -186,23 +239,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     members = store.cut(keys.join(buckets, ["band", "key"]).select("band", "key", "rep", "n", "c", "low"))
     star = (members.filter("rep > low.rep and 100 * least(n, low.n) >= %d * greatest(n, low.n)" % percent)
             .select(F.col("low.rep").alias("a"), F.col("rep").alias("b")).distinct())
-    tested = store.cut(star)
-    edges = _verified(tested, texts, size, percent, store)
+    plain = signs.select("rep", "sig")
+    star = store.cut(_promising(star, plain))
+    large = members.filter("c > 2").select("band", "key", "rep")
+    ids = star.select(F.col("a").alias("id")).union(star.select("b")).union(large.select("rep")).distinct()
+    sets = store.cut(texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(_sets(size), "id long, words array<bigint>"))
     shared = rows.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z").select("id", "a")
-    edges = edges.union(rows.join(shared, "id").select("a", F.col("rep").alias("b")).filter("a <> b"))
+    edges = _verified(star, sets, percent).union(rows.join(shared, "id").select("a", F.col("rep").alias("b")).filter("a <> b"))
     comps = components(edges, store)
-    large, partners = members.filter("c > 2").select("band", "key", "rep"), FIRST_PARTNERS
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    plain = signs.select("rep", "sig").dropDuplicates(["rep"])
-    while True:
-        found = store.cut(_candidates(large, plain, comps, partners, partitions))
-        more = found.agg(F.coalesce(F.max(F.col("more").cast("int")), F.lit(0))).first()[0]
-        new = store.cut(found.select("a", "b").join(tested, ["a", "b"], "left_anti"))
-        linked = _verified(new, texts, size, percent, store)
-        comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(linked), store)
-        if not more:
-            break
-        tested, partners = store.cut(tested.union(new)), partners * MORE
+    across = _links_across(large, plain, sets, comps, percent, store)
+    comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(across), store)
     out = rows.select("id", "n", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "id", "n", F.coalesce("component", "rep").alias("component_id"))
     alone = signed.filter("n = 0 or id is null").select("id", "n", F.col("id").alias("component_id"))
