@@ -50,26 +50,29 @@ def blocks(page: str) -> list[Block]:
     references are decoded and white space is turned into single spaces. Comments, scripts, styles, the
     head's title and other raw content are no text; unclosed ones, and a cut-off tag, reach to the end.
 
-    The path has an entry for each open element: its name, and the words of its class, id and role.
+    The path has an entry for each element open where the block's text begins: its name, and the words of
+    its class, id and role.
     """
     out: list[Block] = []
     stack: list[tuple[str, str]] = []  # (element, path entry)
     pieces: list[str] = []
+    path: tuple[str, ...] = ()
     links = 0
 
     def end_block() -> None:
-        nonlocal links
-        if pieces:
-            text = " ".join("".join(pieces).split())
-            if text:
-                out.append(Block(text, tuple(e for _, e in stack), links))
-            pieces.clear()
-        links = 0
+        nonlocal links, path
+        text = " ".join("".join(pieces).split())
+        if text:
+            out.append(Block(text, path, links))
+        pieces.clear()
+        links, path = 0, ()
 
     def add(raw: str) -> None:
-        nonlocal links
+        nonlocal links, path
         if raw:
             text = html.unescape(raw) if "&" in raw else raw
+            if not path and not text.isspace():
+                path = tuple(e for _, e in stack)
             pieces.append(text)
             if any(n == "a" for n, _ in stack):
                 links += len("".join(text.split()))

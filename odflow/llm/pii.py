@@ -26,7 +26,7 @@ KEY = "corpus-key-1"
 # Fixed patterns; alternatives are tried in this order at each place of the text.
 _BEFORE, _AFTER = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 PATTERNS = {
-    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{40}|[0-9A-F]{40}|[0-9a-f]{32}|[0-9A-F]{32}|[0-9a-f]{64}|[0-9A-F]{64})(?![0-9A-Za-z])",
+    "secret": r"(?<![0-9A-Za-z])(?=[0-9]{0,63}[A-Fa-f])(?:[0-9a-f]{64}|[0-9A-F]{64}|[0-9a-f]{40}|[0-9A-F]{40}|[0-9a-f]{32}|[0-9A-F]{32})(?![0-9A-Za-z])",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?!\.?[0-9])",
     "date": _BEFORE + r"(?:[12][0-9]{3}-[01][0-9]-[0-3][0-9]|[0-3][0-9][/.][01][0-9][/.][12][0-9]{3})" + r"(?![-./]?[0-9])",
