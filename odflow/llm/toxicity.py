@@ -41,10 +41,12 @@ SHARED, LEAST_VALUE = 0.7, 0.2
 LIKE = 0.35
 #: Strings at least so many times as frequent in toxic texts as in others may become landmarks.
 RATIO = 8
+#: Margin from which a unit counts as toxic in a text's evidence.
+SURE = 0.4
 #: Worst sentences of a text that its score looks at.
 WORST = 3
 THRESHOLD = 0.7
-SVM_COST, RIDGE = 100.0, 0.3
+SVM_COST, RIDGE = 100.0, 0.03
 KEPT_UNITS = 400_000
 
 _INNER = re.compile(r"[\W_]+")
@@ -236,9 +238,9 @@ class ToxicityModel:
 
 def _evidence(margin: np.ndarray, sentence: np.ndarray, text: np.ndarray, n: int, constant: float) -> np.ndarray:
     """Rows of the logistic calibration: each text's worst sentences (a sentence is as bad as its worst unit),
-    its units on the toxic side, and its length if there are any."""
-    out = np.full((n, WORST + 2), np.clip(constant, -2.0, 2.0))
-    out[:, WORST] = np.log1p(np.bincount(text[margin > 0], minlength=n))
+    its units that are surely toxic, and its length if there are any."""
+    out = np.full((n, WORST + 2), np.clip(constant, -2.0, 1.0))
+    out[:, WORST] = np.log1p(np.bincount(text[margin > SURE], minlength=n))
     out[:, WORST + 1] = np.where(out[:, WORST] > 0, np.log1p(np.bincount(text, minlength=n)), 0.0)
     hit = np.flatnonzero(margin > constant)
     if len(hit):
@@ -249,7 +251,7 @@ def _evidence(margin: np.ndarray, sentence: np.ndarray, text: np.ndarray, n: int
         margin, text = margin[order], text[order]
         rank = np.arange(len(text)) - np.searchsorted(text, text)
         top = rank < WORST
-        out[text[top], rank[top]] = np.clip(margin[top], -2, 2)
+        out[text[top], rank[top]] = np.clip(margin[top], -2, 1)
     return out
 
 
