@@ -286,10 +286,14 @@ class Chain:
     trips: DataFrame
     values: DataFrame
     store: Store
-    slices: int
+    units: DataFrame
     rounds: int
     reruns: int
 
+    @property
+    def slices(self) -> int:
+        return self.units.agg(F.countDistinct("slice")).first()[0]
+
     def lengths(self) -> DataFrame:
         """(id, chain_length, prev_id) of every trip."""
         v = self.values.select("origin", "dest", "p", "d", F.col("value").cast("int").alias("chain_length"), "prev_id")
@@ -385,22 +389,20 @@ def solve_chain(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = SL
         rounds = reruns = 0
         while True:
             now = store.cut(parts.carry(values, F.col("value")))
-            dirty = store.cut(_changed(used, now))
-            n = dirty.count()
-            if n == 0:
+            if _changed(used, now).isEmpty():
                 break
-            rounds, reruns = rounds + 1, reruns + n
+            dirty = store.cut(_changed(used, now))
+            rounds, reruns = rounds + 1, reruns + dirty.count()
             redo = parts.run(values.join(dirty, "slice", "left_semi"), now.join(dirty, "slice", "left_semi"))
             merged = store.cut(values.join(dirty, "slice", "left_anti").select(*redo.columns).unionByName(redo))
             for old in (values, used, dirty):
                 store.drop(old)
             values, used = merged, now
-        slices = parts.units.agg(F.countDistinct("slice")).first()[0]
     except BaseException:
         store.release()
         raise
-    log.info("chain: %d slices, %d verify rounds, %d slice reruns", slices, rounds, reruns)
-    return Chain(trips, values, store, slices, rounds, reruns)
+    log.info("chain: %d verify rounds, %d slice reruns", rounds, reruns)
+    return Chain(trips, values, store, parts.units, rounds, reruns)
 
 
 def chain_lengths(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = SLICE_ROWS) -> DataFrame:
