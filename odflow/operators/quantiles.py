@@ -12,9 +12,8 @@ The exact method is the same at every size and never gathers a column into one t
    each bucket: at most #columns x (buckets + 1) rows reach the driver. Prefix sums over
    them find, for every (column, p), the bucket holding the wanted rank and the rank within it.
 3. *Pick.* A scan reads only rows inside the wanted buckets (the range predicate is pushed to the Parquet
-   reader) and counts them per value. These counts are range partitioned on
-   (quantile, value) and stored; partition totals tell the partition that holds the rank, and a running
-   sum goes over that partition's values only.
+   reader) and counts them per value. A wanted bucket is cut into cells of equal width; the cells' totals tell
+   the one that holds the rank, and a running sum goes over that cell's values only.
 
 Integer and decimal columns are compared and returned in their own type where all columns of a call have
 one; a call that mixes kinds works in double, which holds whole numbers up to 2^53 exactly.
@@ -33,10 +32,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odflow.session import shuffle_partitions
-from odflow.store import Store
-
 _BUCKETS = 4096  # per column; step 3 reads about 1/_BUCKETS of a column per wanted quantile
+_CELLS = 256  # equal widths a wanted bucket is cut into before its values are put in order
 
 # The probabilities of the quantile profile.
 PROFILE_PROBS = (0.001, 0.01, 0.05, 0.25, 0.50, 0.75, 0.95, 0.99, 0.999)
@@ -86,8 +83,8 @@ def _long_form(df: DataFrame, named: list[tuple[str, Column]], kind: T.DataType)
 def exact_quantiles(df: DataFrame, cols, probs, buckets: int = _BUCKETS) -> DataFrame:
     """Long table (column, p, value) of exact ``percentile_disc`` quantiles.
 
-    ``cols`` are column names or (label, Column) pairs. Steps 1 to 3 run eagerly up to the stored value
-    counts; the returned DataFrame is the lazy rest. A column without values has null quantiles.
+    ``cols`` are column names or (label, Column) pairs. Steps 1 and 2 run eagerly; the returned DataFrame is
+    the lazy step 3. A column without values has null quantiles.
     """
     spark = df.sparkSession
     named = _named(df, cols)
@@ -125,13 +122,15 @@ def exact_quantiles(df: DataFrame, cols, probs, buckets: int = _BUCKETS) -> Data
     joined = local.alias("h").join(
         F.broadcast(t),  # at most #columns x #probs rows
         (F.col("h.cid") == F.col("t.cid")) & F.col("h.v").between(F.col("t.lo"), F.col("t.hi")))
-    rows = joined.select("t.cid", "t.pi", "t.k", "h.v", "h.c").repartitionByRange(shuffle_partitions(spark), "cid", "pi", "v")
-    rows = Store(spark, "quantiles").cut(rows.withColumn("part", F.spark_partition_id()))
-    before = Window.partitionBy("cid", "pi").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    parts = rows.groupBy("cid", "pi", "k", "part").agg(F.sum("c").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    parts = parts.where("before < k and k <= before + n").select("cid", "pi", "part", "before")
-    run = F.sum("c").over(Window.partitionBy("cid", "pi").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    picked = (rows.join(F.broadcast(parts), ["cid", "pi", "part"])  # one row per wanted quantile
+    x, lo, hi = (F.col(c).cast("double") for c in ("h.v", "t.lo", "t.hi"))
+    cell = F.floor((x - lo) / (hi - lo) * _CELLS)
+    cell = F.when((hi > lo) & ~F.isnan(hi) & (F.abs(lo) < math.inf) & (F.abs(hi) < math.inf), F.least(F.lit(_CELLS - 1), cell)).otherwise(0)
+    rows = joined.select("t.cid", "t.pi", "t.k", "h.v", "h.c", cell.alias("cell"))
+    before = Window.partitionBy("cid", "pi").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # one row per cell
+    cells = rows.groupBy("cid", "pi", "k", "cell").agg(F.sum("c").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    cells = cells.where("before < k and k <= before + n").select("cid", "pi", "cell", "before")
+    run = F.sum("c").over(Window.partitionBy("cid", "pi", "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    picked = (rows.join(F.broadcast(cells), ["cid", "pi", "cell"])  # one row per wanted quantile
               .withColumn("run", F.col("before") + run).where((F.col("run") >= F.col("k")) & (F.col("run") - F.col("c") < F.col("k")))
               .select("cid", "pi", F.col("v").alias("value")))
     # Every (column, p) stays, also for empty columns; the targets are few rows.
