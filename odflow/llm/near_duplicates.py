@@ -231,7 +231,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     classes = linkable.groupBy("f1", "f2").agg(F.min("id").alias("rep"))
     rows = store.cut(linkable.select("id", "n", "f1", "f2").join(classes, ["f1", "f2"]).select("id", "n", "rep", "f1", "f2"))
     # Sets of fewer than 4 shingles are only linked to equal ones: 3 of 4 are 75 percent.
-    wide = linkable.filter("n >= 4").join(classes.withColumnRenamed("rep", "id"), ["f1", "f2", "id"], "left_semi")
+    lead = rows.filter("id = rep").select("id", "f1", "f2")  # met by id, so copies do not gather in one task
+    wide = linkable.filter("n >= 4").join(lead, ["id", "f1", "f2"], "left_semi")
     signs = store.cut(wide.select(F.col("id").alias("rep"), "n", "f1", "f2", "sig").dropDuplicates(["rep", "f1", "f2"]))
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.slice("sig", k * ROWS + 1, ROWS)))
     keys = signs.select("rep", "n", F.posexplode(bands).alias("band", "key"))
