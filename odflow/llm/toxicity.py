@@ -33,7 +33,7 @@ from odflow.llm.training import held_out, labelled_sample, logistic, logistic_fi
 ORDER, DECAY = 3, 0.6
 #: Units longer than this are compared in overlapping parts of this length.
 UNIT_CHARS = 24
-LANDMARKS, CONFUSABLE, PER_CLASS, MAX_CHARS = 64, 48, 2000, 40_000
+LANDMARKS, CONFUSABLE, PER_CLASS, MAX_CHARS = 64, 48, 1500, 40_000
 #: A pair is evaluated when the unit has this share of the landmark's characters, in their order;
 #: smaller values than ``LEAST_VALUE`` count as 0.
 SHARED, LEAST_VALUE = 0.7, 0.2
@@ -213,15 +213,16 @@ class Units:
         return unit, sentence, text
 
 
-def _near(landmarks: Landmarks, typical: int, units: list[str]) -> np.ndarray:
-    """Kernel values of units: units not ``LIKE`` any of the first, typical landmarks have zeros throughout."""
-    out = np.zeros((len(units), len(landmarks.strings)), dtype=np.float32)
-    first = landmarks.take(0, typical).values(units)
-    some = np.flatnonzero(first.max(axis=1) >= LIKE)
-    out[some, :typical] = first[some]
-    if typical < len(landmarks.strings):
-        out[some, typical:] = landmarks.take(typical, len(landmarks.strings)).values([units[i] for i in some.tolist()])
-    return out
+def _near(landmarks: Landmarks, typical: int, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Units that are ``LIKE`` one of the first, typical landmarks, and their kernel values with all landmarks."""
+    first, rest = landmarks.take(0, typical), landmarks.take(typical, len(landmarks.strings))
+    found, values = [np.zeros(0, np.int64)], [np.zeros((0, len(landmarks.strings)), np.float32)]
+    for a in range(0, len(units), 16384):
+        v = first.values(units[a:a + 16384])
+        some = np.flatnonzero(v.max(axis=1, initial=0) >= LIKE)
+        found.append(some + a)
+        values.append(np.concatenate((v[some], rest.values([units[a + i] for i in some.tolist()])), axis=1) if rest.strings else v[some])
+    return np.concatenate(found), np.concatenate(values)
 
 
 @dataclass(frozen=True)
@@ -233,7 +234,10 @@ class ToxicityModel:
     scale: np.ndarray  # of the logistic calibration
 
     def margins(self, units: list[str]) -> np.ndarray:
-        return _near(self.landmarks, self.typical, units) @ self.weights + self.constant
+        out = np.full(len(units), self.constant)
+        some, values = _near(self.landmarks, self.typical, units)
+        out[some] += values @ self.weights
+        return out
 
 
 def _evidence(margin: np.ndarray, sentence: np.ndarray, text: np.ndarray, n: int, constant: float) -> np.ndarray:
@@ -289,6 +293,12 @@ def _copies(units: list[np.ndarray]) -> np.ndarray:
     return first
 
 
+def _different(text: np.ndarray, unit: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different (text, unit) pairs, by text."""
+    pairs = np.unique(text.astype(np.int64) * n + unit)
+    return pairs // n, pairs % n
+
+
 def choose_landmarks(strings: list[str], unit: np.ndarray, text: np.ndarray, y: np.ndarray) -> list[str]:
     """Strings typical of units of toxic texts: greedily those that cover most of their tell-tale units.
 
@@ -296,8 +306,8 @@ def choose_landmarks(strings: list[str], unit: np.ndarray, text: np.ndarray, y:
     once) as in others; candidates are its substrings of 4 to 8 characters, its markers included, and
     the whole unit. Of equal ones the longest is taken.
     """
-    pairs = np.unique(np.stack((text, unit)), axis=1)
-    per_text = np.split(pairs[1], np.searchsorted(pairs[0], np.arange(1, len(y))))
+    of_text, of_unit = _different(text, unit, len(strings))
+    per_text = np.split(of_unit, np.searchsorted(of_text, np.arange(1, len(y))))
     first = _copies(per_text)
     counts = {0: defaultdict(int), 1: defaultdict(int)}
     lone = [i for i in range(len(y)) if first[i] == i]
@@ -366,7 +376,7 @@ def fit(sample: list[tuple[str, int]]) -> ToxicityModel:
     done = 0
     for i, j, data, off in slabs(texts):
         u, s, t = units.split(data, off)
-        rows.append((u, s + done, t + i))
+        rows.append((u.astype(np.int32), (s + done).astype(np.int32), (t + i).astype(np.int32)))
         done += int(s[-1]) + 1 if len(s) else 0
     unit, sentence, text = (np.concatenate(c) if rows else np.zeros(0, np.int64) for c in (zip(*rows) if rows else ((), (), ())))
     chosen = choose_landmarks(units.strings, unit, text, y) if len(y) else []
@@ -376,21 +386,22 @@ def fit(sample: list[tuple[str, int]]) -> ToxicityModel:
         return ToxicityModel(Landmarks.of(["^none$"]), 1, np.zeros(1), 0.0,
                              np.array([0.0] * (WORST + 2) + [np.log(share / (1 - share))]))
     # The clean units most like them, frequent ones first, are landmarks too, so that both sides of the border are.
-    seen = np.unique(np.stack((text, unit)), axis=1)
-    clean = np.bincount(seen[1][y[seen[0]] == 0], minlength=len(units.strings))  # clean texts with each unit
-    like = Landmarks.of(chosen).values(units.strings).max(axis=1)
-    order = np.argsort(np.where(like >= LIKE, -(clean + like), 0.0), kind="stable")[:CONFUSABLE]
-    chosen += [units.strings[k] for k in order if like[k] >= LIKE and len(units.strings[k]) <= 20 and units.strings[k] not in chosen]
+    of_text, of_unit = _different(text, unit, len(units.strings))
+    clean = np.bincount(of_unit[y[of_text] == 0], minlength=len(units.strings))  # clean texts with each unit
+    some, values = _near(Landmarks.of(chosen), len(chosen), units.strings)
+    order = some[np.argsort(-(clean[some] + values.max(axis=1)), kind="stable")][:CONFUSABLE].tolist()
+    chosen += [units.strings[k] for k in order if len(units.strings[k]) <= 20 and units.strings[k] not in chosen]
     marks = Landmarks.of(chosen)
     gram = np.array([subsequence_kernel(np.repeat(marks.codes[i:i + 1], len(chosen), axis=0),
                                         np.where(marks.codes == -2, -3, marks.codes)) for i in range(len(chosen))])
     gram = gram / np.sqrt(np.outer(marks.own, marks.own))
     value, vector = np.linalg.eigh((gram + gram.T) / 2)
     root = vector / np.sqrt(np.maximum(value, 0.05)) @ vector.T  # the Nystroem map
-    x = _near(marks, len(typical), units.strings)
-    strength, x = x[:, :len(typical)].max(axis=1), x @ root
-    extra = _near(marks, len(typical), _with_insertions(typical)) @ root
-    against = np.flatnonzero((clean > 0) & (strength > 0))
+    some, values = _near(marks, len(typical), units.strings)
+    x, at, strength = values @ root, np.full(len(units.strings), -1), np.zeros(len(units.strings))
+    at[some], strength[some] = np.arange(len(some)), values[:, :len(typical)].max(axis=1)
+    extra = _near(marks, len(typical), _with_insertions(typical))[1] @ root
+    against = some[clean[some] > 0]
     of_toxic = np.flatnonzero((y[text] == 1) & (strength[unit] > 0))
     margin, w = strength - 0.9, None
     for _ in range(5):
@@ -398,14 +409,15 @@ def fit(sample: list[tuple[str, int]]) -> ToxicityModel:
         u, s = unit[of_toxic], sentence[of_toxic]
         order = np.lexsort((-margin[u], s))
         worst = u[order][np.concatenate(([True], np.diff(s[order]) > 0))] if len(u) else u
-        support = np.bincount(worst[margin[worst] > 0], minlength=len(x))
+        support = np.bincount(worst[margin[worst] > 0], minlength=len(at))
         toxic = np.flatnonzero(support)
-        rows = np.concatenate((x[toxic], extra, x[against], np.zeros((1, x.shape[1]))))
+        rows = np.concatenate((x[at[toxic]], extra, x[at[against]], np.zeros((1, x.shape[1]))))
         label = np.concatenate((np.ones(len(toxic) + len(extra)), -np.ones(len(against) + 1)))
         weight = np.concatenate((support[toxic] / max(1, support.sum()), np.full(len(extra), 0.2 / max(1, len(extra))),
                                  clean[against] / max(1, clean[against].sum()), [0.2]))
         w = _svm(rows, label, SVM_COST * weight)
-        before, margin = margin, x @ w[:-1] + w[-1]
+        before, margin = margin, np.full(len(at), w[-1])
+        margin[some] += x @ w[:-1]
         if ((before > 0) == (margin > 0)).all():
             break
     rows = _evidence(margin[unit], sentence, text, len(y), float(w[-1]))
