@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odflow.llm.textarrays import slabs
-from odflow.llm.training import held_out, labelled_sample, logistic, logistic_fit
+from odflow.llm.training import fit_in_task, held_out, labelled_sample, logistic, logistic_fit
 
 #: Sample bounds, dictionary size and zstandard parameters.
 PER_CLASS, MAX_CHARS = 3000, 40_000
@@ -108,7 +108,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     Null and empty texts get the model's score of the empty text; repeated rows are scored each for
     itself; null ids count as not held out; without labels every score is 0.5; an empty table gives an empty result.
     """
-    model = fit(labelled_sample(docs, labels, label, per_class, MAX_CHARS, id_col, text_col))
+    model = fit_in_task(labelled_sample(docs, labels, label, per_class, MAX_CHARS, id_col, text_col), fit)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of at most DICT_BYTES
     new = ("held_out", "score", "predicted")
     keep = [c for c in docs.columns if c not in new and c != text_col]

@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odflow.llm.textarrays import ASCII_LOWER, NOT_SPACE, mix, slabs, word_hashes, word_spans
-from odflow.llm.training import held_out, labelled_sample, logistic, logistic_fit
+from odflow.llm.training import fit_in_task, held_out, labelled_sample, logistic, logistic_fit
 
 ORDER, DECAY = 3, 0.6
 #: Units longer than this are compared in overlapping parts of this length.
 UNIT_CHARS = 24
-LANDMARKS, CONFUSABLE, PER_CLASS, MAX_CHARS = 64, 48, 1500, 40_000
+LANDMARKS, CONFUSABLE, PER_CLASS, MAX_CHARS = 64, 48, 1200, 40_000
 #: A pair is evaluated when the unit has this share of the landmark's characters, in their order;
 #: smaller values than ``LEAST_VALUE`` count as 0.
 SHARED, LEAST_VALUE = 0.7, 0.2
@@ -47,7 +47,7 @@ SURE = 0.4
 WORST = 3
 THRESHOLD = 0.7
 SVM_COST, RIDGE = 100.0, 0.03
-KEPT_UNITS = 400_000
+KEPT_UNITS = 200_000
 
 _INNER = re.compile(r"[\W_]+")
 
@@ -435,7 +435,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     are scored each for itself; null ids count as not held out; without labels every
     score is 0.02; an empty table gives an empty result.
     """
-    model = fit(labelled_sample(docs, labels, label, per_class, MAX_CHARS, id_col, text_col))
+    model = fit_in_task(labelled_sample(docs, labels, label, per_class, MAX_CHARS, id_col, text_col), fit)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most LANDMARKS short strings
     new = ("held_out", "score", "predicted")
     keep = [c for c in docs.columns if c not in new and (keep_text or c != text_col)]

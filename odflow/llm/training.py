@@ -1,8 +1,12 @@
-"""Bounded samples of labelled documents for fitting classifiers on the driver, and a small logistic fit."""
+"""Bounded samples of labelled documents, fitting a classifier on one in a task, and a small logistic fit."""
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +19,8 @@ def held_out(id_col: str):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int,
-                    id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
-    """At most ``per_class`` (text, label) of each class, in an order that depends on the ids only.
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(at, y, text) of at most ``per_class`` ids of each class, chosen by a hash ``at`` of the ids.
 
     Rows held out, null labels and ids, ids with two different labels, empty texts and texts over
     ``max_chars`` characters are left out; of repeated ids one text counts.
@@ -29,9 +33,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     chosen = ids.filter("y = 0").orderBy("at").limit(per_class).unionByName(ids.filter("y = 1").orderBy("at").limit(per_class))
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("text")).filter(
         (F.char_length("text") > 0) & (F.char_length("text") <= max_chars))
-    rows = texts.join(F.broadcast(chosen), "_id").select("at", "y", "text").collect()  # at most 2 * per_class ids
-    one = {r["at"]: r for r in sorted(rows, key=lambda r: (r["at"], r["text"]))}
-    return [(one[a]["text"], one[a]["y"]) for a in sorted(one)]
+    return texts.join(F.broadcast(chosen), "_id").select("at", "y", "text")  # at most 2 * per_class ids
+
+
+def fit_in_task(sample: DataFrame, fit: Callable):
+    """``fit`` of the sample's (text, label) pairs in the order of ``at``, run in one task; the model comes back pickled.
+
+    The sample is bounded, so neither that task nor the driver holds more with more input.
+    """
+
+    def run(batches):
+        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        one = {at: (text, y) for at, y, text in rows}
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(list(one.values())))], pa.binary())], ["model"])
+
+    row = sample.select("at", "y", "text").repartition(1).mapInArrow(run, "model binary").first()
+    return fit([]) if row is None else pickle.loads(row["model"])
 
 
 def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
