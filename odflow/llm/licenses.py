@@ -80,14 +80,19 @@ RULES = [
     ("CC0-1.0", ["cc0-short"]), ("CC-BY-4.0", ["cc-by-short"]), ("CC-BY-SA-4.0", ["cc-by-sa-short"]), ("CC-BY-NC-4.0", ["cc-by-nc-short"]),
     ("CC-BY-ND-4.0", ["cc-by-nd-short"]), ("All-Rights-Reserved", ["reserved"]),
 ]
-#: Other sentences allowed between two sentences of a rule, and lines of one sentence that are also tried in parts.
+#: Other sentences allowed between two sentences of a rule; a known sentence of fewer words than SHORT_WORDS may not run over
+#: the end of a sentence or an empty line (a heading "MIT", then a heading "License").
 GAP = 2
-PART_LINES = 12
+SHORT_WORDS = 8
 
 _KNOWN = {sentence: name for name, many in SENTENCES.items() for sentence in many}
+_SHORT = {s for s in _KNOWN if len(s.split()) < SHORT_WORDS}
+#: First words of every known sentence, one entry for each number of words.
+_PREFIXES = {" ".join(words[:n]) for words in map(str.split, _KNOWN) for n in range(1, len(words) + 1)}
 _WORDS = re.compile(r"[a-z0-9]+")
-#: A sentence ends after . ! ? : or ; before white space, and at an empty line.
-_END = re.compile(r"(?<=[.!?:;])\s+|\n[ \t\r]*(?=\n)")
+#: Texts are cut after . ! ? : or ; before white space, at line ends, and after the Apache address in running text. Known
+#: sentences hold such cuts themselves ('(the "License"); you may', 'v. 2.0'), so they are looked up over runs of pieces.
+_CUT = re.compile(r"(?<=[.!?:;])\s+|\n\s*|(?<=-2\.0)\s+(?=[Uu]nless\s)")
 #: Every known sentence has one of these words, so a text without them has none.
 _QUICK = re.compile(r"licen[sc]e|spdx|reserved|permission|permitted|copyright|redistribution|software|warrant|\bmpl\b|\bcc0\b", re.I)
 
@@ -97,35 +102,42 @@ def normalise(sentence: str) -> str:
     return " ".join(_WORDS.findall(sentence.lower()))
 
 
+def _pieces(text: str) -> list[tuple[str, bool]]:
+    """The normalised pieces that have words, each with whether a sentence ended or an empty line stood before it."""
+    out, start, ended = [], 0, True
+    for cut in _CUT.finditer(text):
+        piece = normalise(text[start:cut.start()])
+        if piece:
+            out.append((piece, ended))
+            ended = False
+        ended = ended or text[cut.start() - 1:cut.start()] in (".", "!", "?", ";") or cut.group().count("\n") > 1
+        start = cut.end()
+    piece = normalise(text[start:])
+    return [*out, (piece, ended)] if piece else out
+
+
 def sentence_ids(text: str) -> list[tuple[int, str]]:
     """(number of the sentence, identifier) of the known sentences, in order.
 
-    A sentence that is not known as a whole is tried without its first lines (a heading above it), without its last
-    ones, and line by line; each part found counts as a sentence of its own.
+    A known sentence is a run of neighbouring pieces, however it is wrapped and with the cuts of its own wording; at each
+    piece the longest one counts. Each one found counts as a sentence, and so does each piece outside of them.
     """
     if not _QUICK.search(text):
         return []
-    out, at = [], 0
-    for sentence in _END.split(text):
-        if not sentence.strip():
-            continue
-        name = _KNOWN.get(normalise(sentence))
-        if name:
-            out.append((at, name))
-            at += 1
-            continue
-        lines = [x for x in (normalise(x) for x in sentence.split("\n")) if x]
-        k = 0
-        while len(lines) > 1 and k < len(lines):
-            for n in range(min(PART_LINES, len(lines) - k), 0, -1):
-                name = _KNOWN.get(" ".join(lines[k:k + n]))
-                if name:
-                    out.append((at, name))
-                    k += n - 1
-                    break
-            at += 1
-            k += 1
-        at += len(lines) <= 1
+    out, at, k, pieces = [], 0, 0, _pieces(text)
+    while k < len(pieces):
+        joined, over, found, after = pieces[k][0], False, None, k + 1
+        for n in range(k + 1, len(pieces) + 1):
+            if joined not in _PREFIXES:
+                break
+            if joined in _KNOWN and not (over and joined in _SHORT):
+                found, after = _KNOWN[joined], n
+            if n < len(pieces):
+                joined, over = f"{joined} {pieces[n][0]}", over or pieces[n][1]
+        if found:
+            out.append((at, found))
+        at += 1
+        k = after
     return out
 
 

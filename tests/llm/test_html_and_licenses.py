@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from odflow.llm import html_extract as H
 from odflow.llm import licenses as L
@@ -91,6 +92,48 @@ def test_rules():
     assert all(s == L.normalise(s) and L._QUICK.search(s) for s in L._KNOWN)
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL2 = GPL3.replace("software:", "software;").replace("Foundation, either version 3", "Foundation; either version 2")
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+@pytest.mark.parametrize("notice, licence, n", [(APACHE, "Apache-2.0", 4), (GPL2, "GPL-2.0", 3), (GPL3, "GPL-3.0", 3), (MPL, "MPL-2.0", 2),
+                                                ("SPDX-License-Identifier: Apache-2.0", "Apache-2.0", 1), ("SPDX-License-Identifier: MIT", "MIT", 1)])
+def test_standard_notices(notice, licence, n):
+    words = notice.split()
+    narrow = "\n".join(" ".join(words[i:i + 4]) for i in range(0, len(words), 4))
+    for text in (notice, " ".join(words), narrow, "".join(f" * {x}\n" for x in notice.split("\n")), notice.replace("\n", "\r\n"), notice.replace("\n", "\n\n"),
+                 f"Copyright 2020 A. Person\n{notice}\n\nSome other text."):
+        found = L.sentence_ids(text)
+        assert (L.match_rules(found), len(found)) == (([licence], []), n), text
+
+
+def test_short_sentences_end_with_their_sentence():
+    assert L.sentence_ids("MIT\n\nLicense") == L.sentence_ids("We met at MIT. License plates") == []
+    assert L.match_rules(L.sentence_ids(GPL3.replace("WARRANTY; without", "WARRANTY; with")))[0] == []
+
+
 def test_scan(spark):
     rows = [(1, "x y.\nLicensed under CC BY-NC 4.0.\nAll rights reserved. Released under the MIT License."), (2, None), (3, ""),
             (4, "no licence here, software"), (5, "This work is licensed under the GNU General Public License, version 3."), (5, "MIT License"), (None, "All rights reserved.")]
