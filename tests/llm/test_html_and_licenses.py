@@ -148,3 +148,10 @@ def test_scan(spark):
                                                 "Licensed under the Apache License, Version 2.0.",
                                                 "This work is licensed under the GNU General Public License, version 3.")) for r in texts.collect()}
     assert {r.doc_id: len(set(r.licenses)) for r in L.scan_licenses(texts).collect()} == want
+
+
+def test_sentence_on_many_lines_under_a_heading():
+    words = MIT.split("\n\n")[2].split()
+    for width in (1, 2, 3, 5):
+        lines = "\n".join(" ".join(words[i:i + width]) for i in range(0, len(words), width))
+        assert L.sentence_ids(lines) and [x[1] for x in L.sentence_ids("A heading\n" + lines)] == [x[1] for x in L.sentence_ids(lines)]
