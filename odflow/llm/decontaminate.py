@@ -37,7 +37,7 @@ def _windows(size: int):
                 for k in range(j - i):
                     a, b = words[k], words[k + 1]
                     n = min(size, b - a)
-                    if items[i + k] is None or n <= 0:
+                    if n <= 0:
                         continue
                     own = [raw[s:e] for s, e in zip(starts[a:b].tolist(), ends[a:b].tolist())]
                     rows += [(items[i + k], n, b" ".join(own[p:p + n])) for p in range(len(own) - n + 1)]
@@ -49,10 +49,12 @@ def _windows(size: int):
 
 
 def benchmark_windows(benchmark: DataFrame, size: int, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Distinct windows of the benchmark with the sorted items that hold each of them."""
+    """Distinct windows of the benchmark with the sorted items that hold each of them; last a null if any of these has no id."""
     raw = benchmark.select(F.col(item_col).cast("string"), F.col(text_col)).mapInArrow(
         _windows(size), "item string, len int, words binary")
-    return raw.groupBy("words", "len").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return raw.groupBy("words", "len").agg(F.concat(
+        F.sort_array(F.collect_set("item")),
+        F.when(F.bool_or(F.col("item").isNull()), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))).alias("items"))
 
 
 def _table(rows) -> tuple:
@@ -105,7 +107,7 @@ def _scan(part, last: bool, text_at: int, n_cols: int, want_spans: bool):
                     own = np.flatnonzero(hit[a:b])
                     counts.append(b - a)
                     hits.append(own.tolist())
-                    items.append(sorted(found[k]))
+                    items.append(sorted(found[k] - {None}) + [None] * (None in found[k]))
                     if last and want_spans:
                         spans.append(_char_spans(data[off[k]:off[k + 1]], starts[a:b] - off[k], ends[a:b] - off[k], own))
             kept = [batch.column(c) for c in range(n_cols)]
@@ -117,7 +119,7 @@ def _scan(part, last: bool, text_at: int, n_cols: int, want_spans: bool):
                 continue
             extra = [pa.array(counts, pa.int64()), pa.array([len(x) for x in hits], pa.int64()),
                      pa.array([len(x) for x in items], pa.int64()),
-                     pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
+                     pa.array([hashlib.sha256(",".join(v for v in x if v is not None).encode()).hexdigest() for x in items], pa.string()),
                      pa.array([bool(x) for x in hits], pa.bool_())]
             more = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
             if want_spans:
@@ -147,11 +149,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_co
     a window is ``size`` words of an item, or all words of a shorter, non-empty item.
     Every column of ``docs`` is kept (an input column with the name of a result is replaced)
     and these are added: n_words, n_hit (words inside any occurrence), n_items, items_sha256
-    (of the sorted item ids as strings, comma-joined; of the empty string without hits),
+    (of the sorted item ids as strings, comma-joined; of the empty string without any),
     contaminated; with ``spans`` also items and spans ([first, end) character positions).
 
     Null or empty texts have no words and no hits; an empty or all-null benchmark hits
-    nothing; repeated rows are scanned each for itself; items with a null id are left out.
+    nothing; repeated rows are scanned each for itself. Items with a null id hit like any other; in
+    n_items (and items) they count as one item together, in items_sha256 they have no part.
     """
     spark = docs.sparkSession
     more = [("n_words", "bigint"), ("n_hit", "bigint"), ("n_items", "bigint"), ("items_sha256", "string"),

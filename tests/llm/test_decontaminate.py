@@ -77,3 +77,21 @@ def test_removal_leaves_no_hit_and_no_clean_document_changed(spark):
             assert (i, t) in left
         elif hits[i][2] > 0.5 * hits[i][1]:
             assert i not in {x for x, _ in left}
+
+
+def test_items_without_id_hit_as_in_the_sql(spark):
+    import duckdb
+
+    from odflow.llm.queries import OP10_SQL
+    docs = [(1, "a zz yy xx b"), (2, "zz yy"), (3, "q r s, zz yy xx"), (4, "one zz yy xx two three q r s " + "w " * 20), (5, None)]
+    bench = [(None, "ZZ yy-xx"), (None, "one"), (3, "q r s"), (4, "zz yy xx")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    for items, parts in ((bench[:3], 500), (bench, 500), (bench, 1)):
+        b = spark.createDataFrame(items, "item_id long, text string")
+        con = duckdb.connect()
+        for name, rows in (("documents", docs), ("benchmark", items)):
+            con.execute(f"CREATE TABLE {name} ({'doc_id' if name == 'documents' else 'item_id'} BIGINT, text VARCHAR)")
+            con.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+        assert got(contamination(d, b, part_windows=parts)) == sorted(con.execute(OP10_SQL).fetchall(), key=str)
+    left = {r.doc_id: r.text for r in remove_contaminated(d, b).collect()}
+    assert set(left) == {2, 4, 5} and "zz" not in left[4] and "one" not in left[4]
