@@ -25,13 +25,29 @@ KEY = "corpus-key-1"
 
 # Fixed patterns; alternatives are tried in this order at each place of the text.
 _BEFORE, _AFTER = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
+#: Phone numbers: with a country code; (ddd) ddd-dddd, ddd-ddd-dddd, ddd.ddd.dddd, ddd ddd dddd; groups of 3 2 2 2 or 2 3 2 2; with a
+#: leading 0, in brackets or before a separator, 8 digits or more. None asks for a digit that a pseudonym may change, and
+#: those with a 0 do not take the forms of a date or of an ssn.
+_ZERO_PLACE = r"(?<![0-9][./-])"
+#: A group after a space belongs to the number unless something else that is known begins there.
+_GROUP = (r" (?!(?:(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.)|[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}"
+          r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})(?![0-9]))")
+_PHONES = [
+    r"\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:(?:[.-]?|" + _GROUP + r")[0-9]{2,4}){1,5}(?:-[0-9])?",
+    r"\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}", r"[0-9]{3}-[0-9]{3}-[0-9]{4}",
+    _ZERO_PLACE + r"(?:[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?!\.?[0-9])|[0-9]{3} [0-9]{3} [0-9]{4}(?! ?[0-9]))",
+    _ZERO_PLACE + r"(?:[0-9]{3} [0-9]{2}|[0-9]{2} [0-9]{3}) [0-9]{2} [0-9]{2}(?! ?[0-9])",
+    r"\(0[0-9]{1,5}\)(?=(?:[ ./-]?[0-9]){5}) ?[0-9]{2,8}(?:(?:[./-]|" + _GROUP + r")[0-9]{2,8}){0,4}(?:-[0-9])?",
+    _ZERO_PLACE + r"(?![0-9]{2}[./ -][0-9]{2}[./ -][0-9]{4}(?![./ -]?[0-9]))(?![0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))(?=0(?:[ ./-]?[0-9]){7})"
+    r"(?:0[0-9]{1,4}[ /-][0-9]{2,8}(?:(?:-|" + _GROUP + r")[0-9]{2,8}){0,4}(?:-[0-9])?|0[0-9]{1,3}(?:\.[0-9]{2,4}){2,4})(?![./]?[0-9])",
+]
 PATTERNS = {
     "secret": r"(?<![0-9A-Za-z])(?=[0-9]{0,63}[A-Fa-f])(?:[0-9a-f]{64}|[0-9A-F]{64}|[0-9a-f]{40}|[0-9A-F]{40}|[0-9a-f]{32}|[0-9A-F]{32})(?![0-9A-Za-z])",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?!\.?[0-9])",
     "date": _BEFORE + r"(?:[12][0-9]{3}-[01][0-9]-[0-3][0-9]|[0-3][0-9][/.][01][0-9][/.][12][0-9]{3})" + r"(?![-./]?[0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){1,3}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9])",
+    "phone": _BEFORE + "(?:" + "|".join(_PHONES) + ")(?![0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
 }
 KINDS = tuple(PATTERNS)
@@ -111,10 +127,11 @@ def _card(v: Column, key: str, inverse: bool) -> Column:
 
 
 def _phone(v: Column, key: str, inverse: bool) -> Column:
-    """All digits but a leading country code's."""
+    """All digits but a leading country code's, or a leading 0 where the form is only known by it."""
 
     def body(d: Column) -> Column:
-        code = F.when(v.startswith("+"), F.char_length(F.regexp_extract(v, r"^\+([0-9]{1,3})", 1))).otherwise(0)
+        code = F.when(v.startswith("+"), F.char_length(F.regexp_extract(v, r"^\+([0-9]{1,3})", 1))).when(
+            v.rlike(r"^\(?0") & ~v.rlike("^(?:" + "|".join(_PHONES[1:5]) + ")$"), 1).otherwise(0)
         return let(code, lambda c: F.when(
             (F.char_length(d) - c).between(6, 15) & (F.char_length(d) <= 15),
             _refill(v, F.concat(F.substr(d, F.lit(1), c), permute_digits(F.substr(d, c + 1, F.lit(36)), key, "phone", inverse))))

@@ -57,3 +57,31 @@ def test_every_date_of_a_cycle_goes_to_a_valid_date(spark):
     out = pii.pseudonymise(days)
     assert out.select("text").distinct().count() == days.count()
     assert out.filter("to_date(text) < date'1800-01-01' or to_date(text) >= date'2200-01-01'").count() == 0
+
+
+def test_phone_forms(spark):
+    phones = ["+33 1 23 45 67 89", "+33 6 12 34 56 78", "+49 (0)30 1234567", "+49 30 12345-0", "+34 612 34 56 78", "+44 20 7946 0958", "+4915123456789",
+              "+36 1 234 5678", "06 12 34 56 78", "01.44.55.66.77", "01-44-55-66-77", "(030) 1234567", "030 1234567", "030/1234567", "0171-1234567", "020 7946 0958",
+              "089 12 34 56 78", "415.555.2671", "415 555 2671", "612 34 56 78", "91 123 45 67", "(415) 555-2671", "415-555-2671", "(030) 123-4567", "089 12 34 56"]
+    others = ["01-02-2024", "05/24/1999", "03 04 2024", "01.02", "0.123 0.456", "012-34-56", "version 1.02.03", "09 30", "2024 01 02", "1 000 000", "12 500 000",
+              "0-306-40615-2", "10 20 30 40", "666-12-1234"]
+    texts = [f"call {p}, or {p} now." for p in phones] + [f"see {x}, then {x}." for x in others]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for key in ("k1", "k2", "k3"):
+        out = pii.pseudonymise(df, key=key).orderBy("doc_id").collect()
+        for p, r in zip(phones, out):
+            new = r.text[5:5 + len(p)]
+            assert [x.kind for x in r.pii] == ["phone"] * 2 and r.pii[0].was_valid and r.text == f"call {new}, or {new} now.", (p, r.text)
+            assert new != p and [x for x in new if not x.isdigit()] == [x for x in p if not x.isdigit()]
+        assert [r.text for r in out[len(phones):]] == texts[len(phones):]
+        back = pii.pseudonymise(spark.createDataFrame([(r.doc_id, r.text) for r in out], "doc_id long, text string"), key=key, inverse=True)
+        assert [r.text for r in back.orderBy("doc_id").collect()] == texts
+
+
+def test_what_follows_a_phone_number_is_not_taken_for_a_part_of_it(spark):
+    after = {"190.137.223.204": "ip", "2024-01-02": "date", "02.01.2024": "date", "123-45-6789": "ssn", "212-555-1212": "phone", "4111 1111 1111 1111": "card",
+             "4111111111111111": "card"}
+    texts = [(f"{p} {x}", k) for p in ("+1 (843) 555-7672", "+33 1 23 45 67 89", "(030) 1234567", "06 12 34 56 78") for x, k in after.items()]
+    out = pii.pseudonymise(spark.createDataFrame(list(enumerate(t for t, _ in texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    for (t, k), r in zip(texts, out):
+        assert [(x.kind, x.was_valid) for x in r.pii] == [("phone", True), (k, True)], (t, r.text)
