@@ -260,9 +260,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, the one with the smallest id, with the columns of ``docs``.
 
-    Of rows that share an id one stays; rows with a null id all stay.
+    Rows that share an id are one document: the one whose text, then whose other columns as JSON, come first stays. Rows with
+    a null id all stay.
     """
     kept = near_duplicates(docs, size, percent, id_col, text_col).filter(F.col("kept") & F.col(id_col).isNotNull())
     ids = kept.select(F.col(id_col).alias("_kept")).distinct()
-    once = docs.join(ids, F.col(f"`{id_col}`").cast("long") == F.col("_kept"), "left_semi").dropDuplicates([id_col])
-    return once.unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
+    rest = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (id_col, text_col)]
+    order = F.struct(F.col(f"`{text_col}`"), F.to_json(F.struct(*rest, F.lit(0).alias("_"))))
+    once = (docs.join(ids, F.col(f"`{id_col}`").cast("long") == F.col("_kept"), "left_semi")
+            .groupBy(F.col(f"`{id_col}`").alias("_id")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("_row")))
+    return once.select("_row.*").unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))

@@ -102,3 +102,11 @@ def test_words_of_slabs():
                 seen.append([bytes(data[s:e]).decode() for s, e in zip(starts[a:b], ends[a:b])])
                 assert len(set(h[a:b].tolist())) == len(set(seen[-1]))
         assert seen == [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+
+
+def test_row_that_stays_of_a_shared_id_does_not_depend_on_the_order_of_rows(spark):
+    rows = [(i, f"text {k} of its own {i}", s) for i in range(12) for k in "cab" for s in "yx"] + [(20, None, "y"), (20, "z", "x")]
+    want = sorted([(i, f"text a of its own {i}", "x") for i in range(12)] + [(20, None, "y")])
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, source string").coalesce(1)
+        assert sorted(map(tuple, N.drop_near_duplicates(df, 2).collect())) == want
