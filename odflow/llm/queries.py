@@ -15,6 +15,9 @@ from odflow.llm.licenses import scan_licenses
 from odflow.llm.near_duplicates import near_duplicates
 from odflow.llm.pii import KINDS, pseudonymise
 from odflow.llm.quality_model import quality_scores
+from odflow.llm.simhash import simhash_groups
+from odflow.llm.spelling import spelling_forms
+from odflow.llm.token_alignment import align_tokens
 from odflow.llm.token_counts import token_counts
 from odflow.llm.toxicity import toxicity_scores
 
@@ -29,6 +32,20 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, distance=2)
+    return groups.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, size=2, percent=80)
@@ -188,7 +205,8 @@ runs AS (SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT rid,
 twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM runs) WHERE c > 1),
 rep AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS j FROM twice) GROUP BY rid),
 lin AS (SELECT rid, count(*) - count(DISTINCT l) AS n FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM d)
-        WHERE regexp_matches(l, '[^ 	-]') GROUP BY rid),
+        WHERE regexp_matches(l, '[^ 	-
+]') GROUP BY rid),
 m AS (SELECT d.rid, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
         {count(rules.SYMBOLS)} AS n_symbols, coalesce(lin.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
         {count(rules.UPPER)} AS n_upper, {count(rules.MARKS)} AS n_marks
@@ -219,6 +237,9 @@ QUERIES = {
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_quality_rules": op9_quality_rules,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_simhash_groups": op11_simhash_groups,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLE = {
