@@ -6,9 +6,10 @@ cuts. Where several tokens share the span of one character (parts of a multibyte
 that the tokens decode to cut it finely.
 
 Texts are read in units that end before a single space which follows a character other than ASCII white space and precedes a visible
-ASCII character or one of U+00C0 to U+00FF. The split pattern of A starts a new piece at every such space; B cannot merge across it if no
-piece holds a space after another character. Both are proved from the files before any text is read (otherwise whole texts are one unit). So each distinct unit is encoded once per worker
-and kept in a dictionary of bounded size. A text with a unit that the tokens do not give back is decided as a whole.
+ASCII character or one of U+00C0 to U+00FF. The split pattern of A starts a new piece at every such space; B cannot merge across it
+if no piece holds a space after another character. Both are proved from the files before any text is read (otherwise whole
+texts are one unit). A worker reads a unit it does not know yet together with the others of its slab, and keeps what came out in arrays
+of bounded size; units met once only leave first. A text with a unit that the tokens do not give back is decided as a whole.
 
 Pass 1 counts the links of all texts per id pair: partial counts per task, then one aggregate. Pass 2 reads the texts again and
 looks the pairs up: the ``HEAVY`` most frequent pairs at most are broadcast, links of rarer pairs are joined by pair and added up
@@ -20,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +35,12 @@ from odflow.llm.textarrays import slabs
 from odflow.llm.token_counts import byte_characters
 from odflow.store import Store
 
-#: Most pairs that are broadcast (16 bytes each), units and unit bytes a worker keeps, pairs a task holds before it sends them on.
-HEAVY, KEPT, KEPT_BYTES, HELD = 1_000_000, 200_000, 64, 1_000_000
+#: Most pairs that are broadcast (17 bytes each); units a worker keeps (with ten links each at most); bytes of units read together.
+HEAVY, KEPT, JOINED = 1_000_000, 600_000, 1 << 13
+_SLAB = 2 << 20
 _CUT = re.compile(rb"(?<=[!-~\x80-\xff]) (?=[!-~\xc3])")
+#: A text without any of these is cut at every space.
+_UNEVEN = re.compile(rb"[\x00-\x20] |\x7f | [\x00-\x20\x7f-\xc2\xc4-\xff]")
 _SHIFT = 32
 
 
@@ -49,150 +54,218 @@ def byte_ends(lengths: np.ndarray, coarse: np.ndarray) -> np.ndarray:
 class Aligner:
     """Both tokenizers and what is kept of the units read so far."""
 
-    def __init__(self, bpe: str, pieces: bytes):
+    def __init__(self, bpe: str, pieces: bytes, kept: int = KEPT, texts: bool = True):
+        self.most, self.texts = kept, texts
         self.a = Tokenizer.from_str(bpe)
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
         back = {c: b for b, c in enumerate(byte_characters())}
-        self.a_bytes = {}
-        for entry, i in self.a.get_vocab(with_added_tokens=True).items():
+        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for entry, i in vocabulary.items():
             self.a_bytes[i] = bytes(back[c] for c in entry) if all(c in back for c in entry) else entry.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
-        self.b_bytes = {}
+        self.b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
-            self.b_bytes[i] = bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
+            self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, t)), dtype=np.int64) for t in (self.a_bytes, self.b_bytes))
         spec = json.loads(bpe)
         split = spec.get("pre_tokenizer") or {}
         self.separable = (spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
                           and not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())))
         #: Whether the second library counts its spans in bytes or in characters.
         self.b_spans_bytes = max(p.end for p in self.b.encode("é", return_type="proto").pieces) == 2
-        self.kept: dict = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all units."""
+        self.slot: dict = {}
+        self.groups: list[str] = []
+        self.valid = np.zeros(0, dtype=bool)
+        self.numbers = np.zeros((3, 0), dtype=np.int64)  # n_a, n_b, n_groups of each slot
+        self.bounds, self.links = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.hits = np.zeros(0, dtype=np.int64)
+
+    @property
+    def full(self) -> bool:
+        return len(self.groups) > self.most or len(self.links) > 10 * self.most
+
+    def trim(self) -> None:
+        """Drop the units met only once since the last time, or all if that leaves too many. The rest get new slots."""
+        stay = np.flatnonzero(self.hits > 1)
+        if 2 * len(stay) > self.most or 2 * int(np.diff(self.bounds)[stay].sum()) > 10 * self.most:
+            stay = stay[:0]
+        new = np.full(len(self.groups), -1)
+        new[stay] = np.arange(len(stay))
+        self.slot = {w: k for w, k in zip(self.slot, new[list(self.slot.values())].tolist()) if k >= 0}
+        self.groups = [self.groups[k] for k in stay.tolist()]
+        lens = np.diff(self.bounds)[stay]
+        self.links = self.links[_ranges(self.bounds[stay], lens)]
+        self.bounds = np.concatenate(([0], np.cumsum(lens)))
+        self.valid, self.numbers, self.hits = self.valid[stay], self.numbers[:, stay], np.zeros(len(stay), dtype=np.int64)
 
     def tokens_a(self, text: str, data: bytes):
         """(ids, byte ends) of the first vocabulary over ``text`` (bytes ``data``), or None if the bytes differ."""
         e = self.a.encode(text, add_special_tokens=False)
-        own = [self.a_bytes[i] for i in e.ids]
-        if b"".join(own) != data:
+        ids = e.ids
+        if b"".join(map(self.a_bytes.__getitem__, ids)) != data:
             return None
-        ends = np.array([b for _, b in e.offsets], dtype=np.int64)
+        ends = np.fromiter((b for _, b in e.offsets), dtype=np.int64, count=len(ids))
         if len(text) != len(data):  # characters to bytes
-            starts = np.concatenate((np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80), [len(data)]))
-            ends = starts[ends]
-        lengths = np.array([len(x) for x in own], dtype=np.int64)
-        return e.ids, byte_ends(lengths, ends)
+            ends = np.concatenate((np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80), [len(data)]))[ends]
+        ids = np.array(ids, dtype=np.int64)
+        return ids, byte_ends(self.a_sizes[ids], ends)
 
     def tokens_b(self, text: str, data: bytes):
         """(ids, byte ends) of the second vocabulary over the space it adds and ``text``."""
-        spans = self.b.encode(text, return_type="proto").pieces
-        ids = [p.id for p in spans]
-        own = [self.b_bytes[i] for i in ids]
-        if b"".join(own) != data:
+        spans = [(p.id, p.end) for p in self.b.encode(text, return_type="proto").pieces]
+        if b"".join([self.b_bytes[i] for i, _ in spans]) != data:
             return None
+        ids, ends = np.array(spans, dtype=np.int64).reshape(-1, 2).T
         if not self.b_spans_bytes:
-            starts = np.concatenate((np.flatnonzero((np.frombuffer(data[1:], np.uint8) & 0xC0) != 0x80), [len(data) - 1]))
-            ends = starts[[p.end for p in spans]]
-        else:
-            ends = np.array([p.end for p in spans], dtype=np.int64)
-        lengths = np.array([len(x) for x in own], dtype=np.int64)
-        return ids, byte_ends(lengths, ends + 1)  # spans are of the text without the added space
-
-    def align(self, unit: bytes):
-        """(n_a, n_b, n_groups, groups text, pair keys) of space + text as bytes, or None if it has no tokens."""
-        text = unit.decode()
-        a, b = self.tokens_a(text, unit), self.tokens_b(text[1:], unit)
-        if a is None or b is None:
-            return None
-        (ids_a, ends_a), (ids_b, ends_b) = a, b
-        common = np.intersect1d(ends_a, ends_b)
-        cut_a, cut_b = np.searchsorted(ends_a, common, "right").tolist(), np.searchsorted(ends_b, common, "right").tolist()
-        groups, x, y = [], 0, 0
-        for i, j in zip(cut_a, cut_b):
-            groups.append(",".join(map(str, ids_a[x:i])) + "|" + ",".join(map(str, ids_b[y:j])))
-            x, y = i, j
+            ends = np.concatenate((np.flatnonzero((np.frombuffer(data[1:], np.uint8) & 0xC0) != 0x80), [len(data) - 1]))[ends]
+        return ids, byte_ends(self.b_sizes[ids], ends + 1)  # spans are of the text without the added space
+
+    def align(self, units: list[bytes]):
+        """Of space + unit, for each unit: validity, (n_a, n_b, n_groups), number of links, groups text; and all links back to back.
+
+        Units are read as one text, which they are independent parts of; where that does not come back byte for byte the
+        halves are read on their own, down to the unit that is the cause, which has no tokens.
+        """
+        data = b"".join([b" " + u for u in units])
+        text = data.decode()
+        a, b = self.tokens_a(text, data), self.tokens_b(text[1:], data)
+        ends = np.cumsum([len(u) + 1 for u in units])
+        marks = np.zeros(len(data) + 1, dtype=np.uint8)
+        if a is not None and b is not None:
+            marks[a[1]] |= 1
+            marks[b[1]] |= 2
+        if (marks[ends] != 3).any():
+            half = len(units) // 2
+            if half:
+                x, y = self.align(units[:half]), self.align(units[half:])
+                return (x[0] + y[0], np.concatenate((x[1], y[1]), axis=1), np.concatenate((x[2], y[2])), x[3] + y[3], np.concatenate((x[4], y[4])))
+            return [False], np.zeros((3, 1), dtype=np.int64), np.zeros(1, dtype=np.int64), [""], np.zeros(0, dtype=np.int64)
         # Every stretch between two ends of either side lies in one token of each, and is one link.
-        every = np.union1d(ends_a, ends_b)
-        at_a, at_b = np.searchsorted(ends_a, every), np.searchsorted(ends_b, every)
-        keys = np.array(ids_a, dtype=np.int64)[at_a] << _SHIFT | np.array(ids_b, dtype=np.int64)[at_b]
-        return len(ids_a), len(ids_b), len(groups), ";".join(groups), tuple(keys.tolist())
+        every = np.flatnonzero(marks)
+        kind = marks[every]
+        has_a, has_b, both = kind & 1, kind >> 1, kind == 3
+        upto_a, upto_b, upto = np.cumsum(has_a, dtype=np.int64), np.cumsum(has_b, dtype=np.int64), np.cumsum(both, dtype=np.int64)
+        links = a[0][upto_a - has_a] << _SHIFT | b[0][upto_b - has_b]
+        last = np.searchsorted(every, ends)
+        numbers = np.diff(np.stack([x[last] for x in (upto_a, upto_b, upto)]), axis=1, prepend=0)
+        texts = [""] * len(units)
+        if self.texts:
+            text_a, text_b = list(map(str, a[0].tolist())), list(map(str, b[0].tolist()))
+            groups, x, y = [], 0, 0
+            for i, j in zip(upto_a[both].tolist(), upto_b[both].tolist()):
+                groups.append((text_a[x] if i - x == 1 else ",".join(text_a[x:i])) + "|" + (text_b[y] if j - y == 1 else ",".join(text_b[y:j])))
+                x, y = i, j
+            at = 0
+            for k, g in enumerate(upto[last].tolist()):
+                texts[k], at = ";".join(groups[at:g]), g
+        return [True] * len(units), numbers, np.diff(last, prepend=-1), texts, links
+
+    def learn(self, units: list[bytes]) -> None:
+        """Give every unit a slot."""
+        found, at = [], 0
+        while at < len(units):
+            end, size = at, 0
+            while end < len(units) and (end == at or size + len(units[end]) < JOINED):
+                size += len(units[end])
+                end += 1
+            found.append(self.align(units[at:end]))
+            at = end
+        valid, numbers, lens, texts, links = zip(*found)
+        first = len(self.groups)
+        self.slot.update(zip(units, range(first, first + len(units))))
+        self.groups += chain.from_iterable(texts)
+        self.valid = np.concatenate((self.valid, *valid))
+        self.numbers = np.concatenate((self.numbers, *numbers), axis=1)
+        self.links = np.concatenate((self.links, *links))
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(np.concatenate(lens))))
+        self.hits = np.concatenate((self.hits, np.zeros(len(units), dtype=np.int64)))
 
     def units(self, data: bytes) -> list[bytes]:
-        """Space + text, cut into units that both vocabularies read independently."""
+        """The units of a text, each without the space before it; none for an empty text."""
+        if not data:
+            return []
         if not self.separable:
-            return [b" " + data]
+            return [data]
+        if data[0] > 32 and data[-1] > 32 and not _UNEVEN.search(data):
+            return data.split(b" ")
         cuts = [m.start() for m in _CUT.finditer(data)]
-        if not cuts:
-            return [b" " + data]
-        return [b" " + data[:cuts[0]], *(data[i:j] for i, j in zip(cuts, [*cuts[1:], len(data)]))]
-
-    def of_text(self, data: bytes) -> list | None:
-        """The alignments of a text's units; None if the text has no tokens."""
-        if not data:
-            return None
-        out = []
-        for unit in self.units(data):
-            if unit in self.kept:
-                found = self.kept[unit]
-            else:
-                found = self.align(unit)
-                if len(unit) <= KEPT_BYTES:
-                    if len(self.kept) >= KEPT:
-                        self.kept.clear()
-                    self.kept[unit] = found
-            if found is None:  # not given back by its own tokens: the whole text decides
-                whole = self.align(b" " + data)
-                return None if whole is None else [whole]
-            out.append(found)
-        return out
+        return [data[i:j] for i, j in zip([0, *(c + 1 for c in cuts)], [*cuts, len(data)])]
+
+    def slots(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Slots of the units of all texts back to back, and each text's range in them; none for a text without tokens."""
+        units = [self.units(t) for t in texts]
+        every = list(chain.from_iterable(units))
+        got = np.fromiter(map(self.slot.get, every, repeat(-1)), dtype=np.int64, count=len(every))
+        unknown = np.flatnonzero(got < 0)
+        if len(unknown):
+            self.learn(list(dict.fromkeys(every[k] for k in unknown.tolist())))
+            got[unknown] = [self.slot[every[k]] for k in unknown.tolist()]
+        bounds = np.concatenate(([0], np.cumsum([len(u) for u in units]))).astype(np.int64)
+        bad = np.unique(np.searchsorted(bounds, np.flatnonzero(~self.valid[got]), "right") - 1)
+        if len(bad):  # a unit is not given back by its own tokens: the whole text decides
+            per = [got[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+            for k in bad.tolist():
+                if texts[k] not in self.slot:
+                    self.learn([texts[k]])
+                whole = self.slot[texts[k]]
+                per[k] = np.array([whole] if self.valid[whole] else [], dtype=np.int64)
+            got, bounds = np.concatenate(per), np.concatenate(([0], np.cumsum([len(p) for p in per]))).astype(np.int64)
+        self.hits += np.bincount(got, minlength=len(self.hits))
+        return got, bounds
+
+
+def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """All positions of the runs that start at ``starts`` and are ``lens`` long."""
+    return np.repeat(starts - np.concatenate(([0], np.cumsum(lens)[:-1])), lens) + np.arange(int(lens.sum())) if len(lens) else np.zeros(0, np.int64)
 
 
 _WORKER: dict = {}
 
 
-def _aligner(shared) -> Aligner:
+def _aligner(shared, texts: bool) -> Aligner:
     """The worker's aligner for these vocabularies; a worker keeps one."""
-    if _WORKER.get("files") != shared.value:
+    use = (*shared.value, texts)
+    if _WORKER.get("use") != use:
         _WORKER.clear()
-        _WORKER.update(files=shared.value, aligner=Aligner(*shared.value))
+        _WORKER.update(use=use, aligner=Aligner(*use))
     return _WORKER["aligner"]
 
 
-def _texts(column):
-    for _, _, data, off in slabs(column):
+def _slabs_of_texts(column):
+    for _, _, data, off in slabs(column, _SLAB):
         raw = data.tobytes()
-        for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
-            yield raw[a:b]
+        yield [raw[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
 
 
 def _count_pairs(shared):
     """Task function: text -> partial (pair, n)."""
 
-    def emit(units: dict):
-        pairs: dict = {}
-        for found, n in units.values():
-            for key in found[4]:
-                pairs[key] = pairs.get(key, 0) + n
-        units.clear()
-        return pa.RecordBatch.from_arrays([pa.array(list(pairs), pa.int64()), pa.array(list(pairs.values()), pa.int64())], ["pair", "n"])
+    def emit(aligner: Aligner):
+        lens = np.diff(aligner.bounds)
+        pairs, of = np.unique(aligner.links, return_inverse=True)
+        n = np.zeros(len(pairs), dtype=np.int64)
+        np.add.at(n, of, np.repeat(aligner.hits, lens))
+        return pa.RecordBatch.from_arrays([pa.array(pairs[n > 0]), pa.array(n[n > 0])], ["pair", "n"])
 
     def run(batches):
-        aligner, units, links = _aligner(shared), {}, 0
+        aligner = _aligner(shared, False)
+        aligner.hits[:] = 0
         for batch in batches:
-            for data in _texts(batch.column(0)):
-                for found in aligner.of_text(data) or ():
-                    key = id(found)  # alignments of kept units are one object; the entry holds it, so the id stays taken
-                    if key in units:
-                        units[key][1] += 1
-                    else:
-                        units[key] = [found, 1]
-                        links += len(found[4])
-                if links > HELD:
-                    yield emit(units)
-                    links = 0
-        yield emit(units)
-        aligner.kept.clear()
+            for texts in _slabs_of_texts(batch.column(0)):
+                aligner.slots(texts)
+                if aligner.full:
+                    yield emit(aligner)
+                    aligner.trim()
+        yield emit(aligner)
+        aligner.hits[:] = 0
 
     return run
 
@@ -201,57 +274,63 @@ def _digest(shared, heavy, n_cols: int, names: list[str]):
     """Task function: carried columns and text -> carried columns, counts, sums over heavy pairs, links of rare pairs."""
 
     def run(batches):
-        aligner, (pairs, counts, best) = _aligner(shared), heavy.value
-        sums: dict = {}
-
-        def summed(found):
-            """(sum of counts, best links, rare links) of one unit."""
-            got = sums.get(found[4])
-            if got is None:
-                keys = np.array(found[4], dtype=np.int64)
-                at = np.searchsorted(pairs, keys).clip(max=max(len(pairs) - 1, 0))
-                hit = pairs[at] == keys if len(pairs) else np.zeros(len(keys), dtype=bool)
-                got = int(counts[at[hit]].sum()) if len(pairs) else 0, int(best[at[hit]].sum()) if len(pairs) else 0, keys[~hit].tolist()
-                if len(found[4]) <= KEPT_BYTES:
-                    if len(sums) >= KEPT:
-                        sums.clear()
-                    sums[found[4]] = got
-            return got
+        aligner, (pairs, counts, best) = _aligner(shared, True), heavy.value
+        known, sums, tops, rare = 0, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), {}
+
+        def price(first):
+            """Sum of counts, best links and rare links of the slots from ``first`` on."""
+            keys, bounds = aligner.links[aligner.bounds[first]:], aligner.bounds[first:] - aligner.bounds[first]
+            if len(pairs):
+                at = np.searchsorted(pairs, keys).clip(max=len(pairs) - 1)
+                hit = pairs[at] == keys
+                n, top = np.where(hit, counts[at], 0), hit & best[at]
+            else:
+                hit, n, top = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+            for k in np.unique(np.searchsorted(bounds, np.flatnonzero(~hit), "right") - 1).tolist():
+                own = slice(bounds[k], bounds[k + 1])
+                rare[first + k] = keys[own][~hit[own]].tolist()
+            return _run_sums(n, bounds), _run_sums(top, bounds)
 
         for batch in batches:
-            rows = []
-            for data in _texts(batch.column(n_cols)):
-                found = aligner.of_text(data)
-                if found is None:
-                    rows.append((0, 0, 0, 0, 0, 0, "", None))
-                    continue
-                parts = [summed(f) for f in found]
-                text = ";".join([f[3] for f in found])
-                rows.append((sum(f[0] for f in found), sum(f[1] for f in found), sum(f[2] for f in found), sum(len(f[4]) for f in found),
-                             sum(p[1] for p in parts), sum(p[0] for p in parts), hashlib.sha256(text.encode()).hexdigest(),
-                             [k for p in parts for k in p[2]] or None))
-            cols = list(zip(*rows)) if rows else [()] * 8
+            parts = []
+            for texts in _slabs_of_texts(batch.column(n_cols)):
+                got, bounds = aligner.slots(texts)
+                if known < len(aligner.groups):
+                    more = price(known)
+                    sums, tops, known = np.concatenate((sums, more[0])), np.concatenate((tops, more[1])), len(aligner.groups)
+                own = [got[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+                sha = [hashlib.sha256(";".join([aligner.groups[k] for k in o]).encode()).hexdigest() if o else "" for o in own]
+                left = [[x for k in o if k in rare for x in rare[k]] or None for o in own] if rare else [None] * len(own)
+                values = [*aligner.numbers[:, got], np.diff(aligner.bounds)[got], tops[got], sums[got]]
+                parts.append([_run_sums(v, bounds) for v in values] + [sha, left])
+                if aligner.full:
+                    aligner.trim()
+                    known, sums, tops, rare = 0, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), {}
             kinds = [pa.int64()] * 6 + [pa.string(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n_cols], *(pa.array(c, k) for c, k in zip(cols, kinds))], names)
-        aligner.kept.clear()
+            cols = [pa.concat_arrays([pa.array(p[i], k) for p in parts] or [pa.array([], k)]) for i, k in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n_cols], *cols], names)
 
     return run
 
 
+def _run_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    total = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
 _NEW = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
-def pair_counts(docs: DataFrame, bpe: str, pieces: bytes, text_col: str = "text") -> DataFrame:
+def pair_counts(docs: DataFrame, shared, store: Store, text_col: str = "text") -> DataFrame:
     """(a, b, n, best): how many links of the corpus hold an id pair linked, and whether no pair of that b has more."""
-    shared = docs.sparkSession.sparkContext.broadcast((bpe, pieces))  # bounded by the two files
-    counts = (docs.select(F.col(f"`{text_col}`").cast("string")).mapInArrow(_count_pairs(shared), "pair long, n long")
+    counts = store.cut(docs.select(F.col(f"`{text_col}`").cast("string")).mapInArrow(_count_pairs(shared), "pair long, n long")
               .groupBy("pair").agg(F.sum("n").alias("n"))
               .select(F.shiftright("pair", _SHIFT).alias("a"), F.col("pair").bitwiseAND(F.lit((1 << _SHIFT) - 1)).alias("b"), "n"))
     top = counts.groupBy("b").agg(F.max("n").alias("top"))  # at most one row per id of b
     return counts.join(top, "b").select("a", "b", "n", (F.col("n") == F.col("top")).alias("best"))
 
 
-def align_tokens(docs: DataFrame, bpe_path: str, pieces_path: str, text_col: str = "text", heavy: int = HEAVY) -> DataFrame:
+def align_tokens(docs: DataFrame, bpe_path: str, pieces_path: str, text_col: str = "text", heavy: int = HEAVY, kept: int = KEPT) -> DataFrame:
     """Documents (all columns but the text; same-named inputs replaced) with n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
     The paths are files the driver can read; tasks get their content. n_a and n_b are tokens, n_groups the stretches between
@@ -269,8 +348,8 @@ def align_tokens(docs: DataFrame, bpe_path: str, pieces_path: str, text_col: str
         bpe = f.read()
     with open(pieces_path, "rb") as f:
         pieces = f.read()
-    shared = spark.sparkContext.broadcast((bpe, pieces))
-    counts = store.cut(pair_counts(docs, bpe, pieces, text_col))
+    shared = spark.sparkContext.broadcast((bpe, pieces, kept))  # bounded by the two files
+    counts = store.cut(pair_counts(docs, shared, store, text_col))
     least = _heavy_from(counts, heavy)
     frequent = counts.filter(F.col("n") >= least).select(F.shiftleft("a", _SHIFT).bitwiseOR(F.col("b")).alias("pair"), "n", "best")
     got = frequent.toPandas().sort_values("pair")  # at most ``heavy`` rows

@@ -101,19 +101,28 @@ def test_rare_pairs_are_joined(spark):
     assert run(spark, texts, heavy=0) == brute(texts)
 
 
-def test_without_units(spark, monkeypatch):
+def test_without_units():
     """Whole texts as one unit give the same."""
     texts = ODD + mixed(3, 20)
     with open(BPE, encoding="utf-8") as f, open(PIECES, "rb") as g:
         aligner = A.Aligner(f.read(), g.read())
     assert aligner.separable and aligner.b_spans_bytes
     for t in texts:
-        if t:
-            cut, whole = aligner.of_text(t.encode()), aligner.align(b" " + t.encode())
-            if whole is None:
-                assert cut is None
-            else:
-                assert ";".join(f[3] for f in cut) == whole[3] and sum((f[4] for f in cut), ()) == whole[4]
+        t = (t or "").encode()
+        assert b" ".join(aligner.units(t)) == t
+        got, bounds = aligner.slots([t])
+        valid, numbers, _, groups, links = aligner.align([t]) if t else ([False], None, None, None, None)
+        if not valid[0]:
+            assert len(got) == 0
+        else:
+            assert ";".join(aligner.groups[k] for k in got) == groups[0] and aligner.numbers[:, got].sum(axis=1).tolist() == numbers[:, 0].tolist()
+            assert sum((aligner.links[aligner.bounds[k]:aligner.bounds[k + 1]].tolist() for k in got), []) == links.tolist()
+
+
+def test_few_units_are_kept(spark):
+    texts = (ODD + mixed(4) + ODD) * 20
+    out = run(spark, texts, heavy=30, kept=20)
+    assert out == brute(texts)
 
 
 def test_spans_are_refined_inside_characters():
