@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odflow.llm.textarrays import ALNUM, ASCII_LOWER, slabs, window_hashes, word_hashes, word_spans
+from odflow.llm.workers import tidy
 
 PART_WINDOWS = 500_000
 _BITS = 22
@@ -51,7 +52,7 @@ def _windows(size: int):
 def benchmark_windows(benchmark: DataFrame, size: int, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Distinct windows of the benchmark with the sorted items that hold each of them; last a null if any of these has no id."""
     raw = benchmark.select(F.col(item_col).cast("string"), F.col(text_col)).mapInArrow(
-        _windows(size), "item string, len int, words binary")
+        tidy(_windows(size)), "item string, len int, words binary")
     return raw.groupBy("words", "len").agg(F.concat(
         F.sort_array(F.collect_set("item")),
         F.when(F.bool_or(F.col("item").isNull()), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))).alias("items"))
@@ -177,7 +178,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_co
         schema = carried
         if last:
             schema = T.StructType([*fields, *T._parse_datatype_string(", ".join(f"_new_{m} {t}" for m, t in more)).fields])
-        out = out.mapInArrow(_scan(table, last, keep.index(text_col), len(cols), spans), schema)
+        out = out.mapInArrow(tidy(_scan(table, last, keep.index(text_col), len(cols), spans)), schema)
     windows.unpersist()
     return out.select(*[F.col(a).alias(c) for c, a in zip(keep, cols)],
                       *[F.col("_new_" + m).alias(m) for m, _ in more])

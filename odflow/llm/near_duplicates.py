@@ -25,6 +25,7 @@ from odflow.llm.components import components
 from odflow.store import Store
 from odflow.llm.superminhash import signatures
 from odflow.llm.textarrays import mix, shingle_sets, slabs
+from odflow.llm.workers import tidy
 
 BANDS, ROWS = 32, 5
 PLACES = BANDS * ROWS
@@ -203,11 +204,11 @@ def _links_across(members: DataFrame, signs: DataFrame, sets: DataFrame, comps:
 
     whole = in_cells(grid.join(signs, "rep")).select(*_CELL, "rep", "comp", "side", "sig")
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-    chosen = store.cut(whole.mapInArrow(_cells(_with_partner, [*_CELL, "side", "rep"], kinds),
+    chosen = store.cut(whole.mapInArrow(tidy(_cells(_with_partner, [*_CELL, "side", "rep"], kinds)),
                                         "band int, key long, sb long, mb long, side int, rep long"))
     full = in_cells(chosen.join(grid, [*_CELL, "side", "rep"]).join(signs, "rep").join(sets.withColumnRenamed("id", "rep"), "rep"))
     return full.select(*_CELL, "rep", "comp", "side", "sig", "words").mapInArrow(
-        _cells(_linked(percent), ["a", "b"], [pa.int64(), pa.int64()]), "a long, b long")
+        tidy(_cells(_linked(percent), ["a", "b"], [pa.int64(), pa.int64()])), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,7 +227,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     spark = docs.sparkSession
     store = Store(spark, "near_duplicates")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    signed = store.cut(texts.mapInArrow(_sign(size), "id long, n long, f1 long, f2 long, sig array<smallint>"))
+    signed = store.cut(texts.mapInArrow(tidy(_sign(size)), "id long, n long, f1 long, f2 long, sig array<smallint>"))
     linkable = signed.filter("n > 0 and id is not null")
     classes = linkable.groupBy("f1", "f2").agg(F.min("id").alias("rep"))
     rows = store.cut(linkable.select("id", "n", "f1", "f2").join(classes, ["f1", "f2"]).select("id", "n", "rep", "f1", "f2"))
@@ -244,7 +245,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     star = store.cut(_promising(star, plain))
     large = members.filter("c > 2").select("band", "key", "rep")
     ids = star.select(F.col("a").alias("id")).union(star.select("b")).union(large.select("rep")).distinct()
-    sets = store.cut(texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(_sets(size), "id long, words array<bigint>"))
+    sets = store.cut(texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(tidy(_sets(size)), "id long, words array<bigint>"))
     shared = rows.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z").select("id", "a")
     edges = _verified(star, sets, percent).union(rows.join(shared, "id").select("a", F.col("rep").alias("b")).filter("a <> b"))
     comps = components(edges, store)

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from odflow.llm.textarrays import ASCII_LOWER, NOT_SPACE, mix, slabs, word_hashes, word_spans
 from odflow.llm.training import fit_in_task, held_out, labelled_sample, logistic, logistic_fit
+from odflow.llm.workers import tidy
 
 ORDER, DECAY = 3, 0.6
 #: Units longer than this are compared in overlapping parts of this length.
@@ -424,9 +425,6 @@ def fit(sample: list[tuple[str, int]]) -> ToxicityModel:
     return ToxicityModel(marks, len(typical), root @ w[:-1], float(w[-1]), logistic_fit(rows, y, ridge=RIDGE))
 
 
-_WORKER: dict = {}
-
-
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label: str = "toxic", per_class: int = PER_CLASS, keep_text: bool = False) -> DataFrame:
     """Documents with held_out, score and predicted (1 from a score of 0.7); same-named input columns are replaced.
@@ -443,14 +441,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     src = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(keep, cols)], F.col(f"`{text_col}`").alias("_text"))
 
     def run(batches):
-        scorer = _WORKER.get("scorer")
-        if scorer is None or scorer.model is not shared.value:
-            scorer = _WORKER["scorer"] = Scorer(shared.value)
+        scorer = Scorer(shared.value)
         for batch in batches:
             score = scorer.scores(batch.column(len(cols)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(cols)], pa.array(score, pa.float64())], [*cols, "score"])
 
-    out = src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
+    out = src.mapInArrow(tidy(run), T.StructType([*src.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
     out = out.select(*[F.col(a).alias(c) for c, a in zip(keep, cols)], "score")
     return (out.withColumn("held_out", held_out(id_col) if id_col in keep else F.lit(False))
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odflow.llm.columns import fraction_text
+from odflow.llm.workers import tidy
 
 
 def held_out(id_col: str):
@@ -47,7 +48,7 @@ def fit_in_task(sample: DataFrame, fit: Callable):
         one = {at: (text, y) for at, y, text in rows}
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(list(one.values())))], pa.binary())], ["model"])
 
-    row = sample.select("at", "y", "text").repartition(1).mapInArrow(run, "model binary").first()
+    row = sample.select("at", "y", "text").repartition(1).mapInArrow(tidy(run), "model binary").first()
     return fit([]) if row is None else pickle.loads(row["model"])
 
 
