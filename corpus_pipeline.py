@@ -51,6 +51,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, docs = Store(spark, "pipeline"), spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = store.cut(stage(spark, docs, sf_dir))
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, store.cut(stage(spark, docs, sf_dir))
+        if i:  # the last stage's input only
+            store.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
