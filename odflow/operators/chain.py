@@ -11,21 +11,25 @@ Plan, the same at every size:
 
 * Rides. A length depends on a trip's origin and start second only, so trips
   that agree in origin, destination, start and end are one ride (smallest id).
-* Slices. Rides are counted per time unit of ``UNIT_GAPS`` gaps; prefix sums over the
-  units (one row per unit of time) cut slices of about ``slice_rows`` rides.
-  A slice is one Python group; no slice is shorter than a unit.
+* Blocks and slices. Trips are counted per start second; prefix sums over time units of ``UNIT_GAPS`` gaps (one row per unit
+  of time) cut blocks. A unit with too many trips is a block of its own and is cut further at start seconds, into steps; a
+  second with too many is a step by itself, dealt by hash, as rides that start in one second never link to each
+  other. A slice is one such part: no slice holds more than ``slice_rows`` rides (a hashed second about that), whatever the density.
 * Carry-in. A later slice needs of an earlier one, per zone and end second,
   only the best ride ending there: one JVM aggregate, so a slice's carry-in is at
   most zones x seconds rows however dense the data.
+* A pass runs all blocks at once, and the steps of a block one after the other with a carry from step to step; blocks that are
+  not dense have one step.
 * Pass L (no carry-in) and pass R (carry-in = L values, no chain may start in
-  the slice) run all slices at once. After a few hours of trips nearly all
-  lengths differ from the L lengths by one shift per slice (rank convergence);
-  the shifts add up over the slices as a waiting line does (prefix sums and a running
-  minimum over one row per slice), which gives a guess of every carry-in.
-* Verify. All slices run from the guessed carry-in. A slice whose carry-in
-  equals what the values upstream give is exact by induction from the first slice
+  the block) run first. After a few hours of trips nearly all
+  lengths differ from the L lengths by one shift per block (rank convergence);
+  the shifts add up over the blocks as a waiting line does (prefix sums and a running
+  minimum over one row per block), which gives a guess of every carry-in.
+* Verify. All blocks run from the guessed carry-in. A block whose carry-in
+  equals what the values upstream give is exact by induction from the first one
   (which has none). The others are rerun until nothing changes; each round
-  settles at least one more slice, so the loop ends whatever the guess.
+  settles at least one more block, so the loop ends whatever the guess. Values and what a block gives to later
+  ones are kept in versions: a round writes the blocks it reran and the carry-in of the blocks these reach, nothing else.
 * Trace back. Each pass records for every ride the ride of an earlier slice
   its pointers lead to (its root). Pointer doubling over those cross-slice
   links finds the chain's exit in every slice it visits; each such slice then walks
@@ -51,11 +55,11 @@ from pyspark.sql import types as T
 
 from odflow.functions.columns import pct
 from odflow.roles import TripRoles
-from odflow.store import Store
+from odflow.store import Store, Versions
 
 # Fixed value: the chain rule links trips at most 300 seconds apart.
 DEFAULT_GAP_S = 300
-#: Rides a slice aims at, and length of the time unit slices are made of, in gaps.
+#: Rides a slice holds at most, and length of the time unit blocks are made of, in gaps.
 SLICE_ROWS, UNIT_GAPS = 200_000, 4
 
 log = logging.getLogger(__name__)
@@ -253,13 +257,23 @@ def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool)
     vals = pd.array(val[:n], dtype="Int64")
     prevs = pd.array(prev_out, dtype="Int64")
     return (vals, prevs, np.array(pslice_out, dtype=np.int64),
-            pd.array(root_id, dtype="Int64"), np.array(root_sl, dtype=np.int32))
+            pd.array(root_id, dtype="Int64"), np.array(root_sl, dtype=np.int64))
 
 
 _RIDE = ["id", "origin", "dest", "p", "d", "slice", "front"]
 _RIDE_SCHEMA = "id long, origin long, dest long, p long, d long, slice long, front boolean"
 _PASS_SCHEMA = "value long, prev_id long, prev_slice long, root_id long, root_slice long"
 _CARRY = ["slice", "dest", "d", "value", "p", "id", "src"]
+#: A slice number is block, step and part in one, so that numbers grow with time from step to step.
+_BLOCK, _STEP = 40, 20
+
+
+def _block(c) -> Column:
+    return F.shiftright(c, _BLOCK)
+
+
+def _step(c) -> Column:
+    return F.shiftright(c, _STEP).bitwiseAND(F.lit((1 << _BLOCK - _STEP) - 1))
 
 
 def _pass_fn(gap: int, allow_start: bool, keep: list[str], frontier_only: bool):
@@ -286,13 +300,13 @@ class Chain:
     trips: DataFrame
     values: DataFrame
     store: Store
-    units: DataFrame
+    cells: DataFrame
     rounds: int
     reruns: int
 
     @property
     def slices(self) -> int:
-        return self.units.agg(F.countDistinct("slice")).first()[0]
+        return self.cells.agg(F.countDistinct("slice")).first()[0]
 
     def lengths(self) -> DataFrame:
         """(id, chain_length, prev_id) of every trip."""
@@ -310,66 +324,149 @@ class _Slices:
     def __init__(self, trips: DataFrame, gap: int, slice_rows: int, unit_gaps: float, store: Store):
         self.gap, self.store = gap, store
         self.unit = max(1, int(gap * unit_gaps))
+        self.half = max(1, slice_rows // 2)
+        self.scratch: list[DataFrame] = []
+        units, self.cells, self.steps = self._cut(trips)
         rides = trips.groupBy("origin", "dest", "p", "d").agg(F.min("id").alias("id"))
-        rides = store.cut(rides.withColumn("unit", F.floor(F.col("p") / self.unit)))
-        before = Window.orderBy("unit").rowsBetween(Window.unboundedPreceding, -1)
-        counts = rides.groupBy("unit").agg(F.count(F.lit(1)).alias("n"))  # one row per unit of time
-        self.units = store.cut(counts.select(
-            "unit", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / slice_rows).alias("slice")))
-        front = F.floor((F.col("d") + gap) / self.unit) > F.col("unit")
-        self.rides = store.cut(rides.join(self.units, "unit").withColumn("front", front).select(*_RIDE))
-        store.drop(rides)
-
-    def carry(self, values: DataFrame, value: Column) -> DataFrame:
-        """Best ride per (later slice, zone, end second): largest value, then earliest start, then smallest id."""
+        at = F.size(F.filter("starts", lambda s: s <= F.col("p"))) - 1
+        step = F.when(F.col("starts").isNull(), F.lit(0)).otherwise(at)
+        parts = F.coalesce(F.get("parts", at), F.lit(1))
+        number = (F.shiftleft("block", _BLOCK) + F.shiftleft(step.cast("long"), _STEP)
+                  + F.pmod(F.xxhash64("origin", "dest", "p", "d"), parts))
+        self.rides = store.cut(rides.withColumn("unit", self._unit_of("p")).join(units, "unit").select(
+            "id", "origin", "dest", "p", "d", number.alias("slice"), (F.col("d") + gap > F.col("hi")).alias("front")))
+
+    def _unit_of(self, second: str) -> Column:
+        return F.floor(F.col(second) / self.unit)
+
+    def _cut(self, trips: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+        """Units (unit, block, hi: last start of the block, starts and parts of the steps if the unit is dense),
+        cells (unit, slice, lo, hi: first and last start of the slice), and the largest number of steps of a block."""
+        half = self.half
+        order = Window.orderBy("unit")
+        units = trips.groupBy(self._unit_of("p").alias("unit")).agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi"))
+        dense = (F.col("n") > half).cast("int")
+        units = units.withColumn("was", F.lag(dense, 1, 0).over(order))
+        units = units.withColumn("run", F.sum(dense + F.col("was")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        inside = Window.partitionBy("run").orderBy("unit").rowsBetween(Window.unboundedPreceding, -1)
+        units = units.withColumn("fill", F.floor(F.coalesce(F.sum("n").over(inside), F.lit(0)) / half))
+        units = units.withColumn("block", F.dense_rank().over(Window.orderBy("run", "fill")).cast("long") - 1)
+        own = Window.partitionBy("block")
+        units = self.store.cut(units.select("unit", "block", dense.alias("dense"), F.min("lo").over(own).alias("lo"), F.max("hi").over(own).alias("hi")))
+        coarse = units.filter("dense = 0").select("unit", F.shiftleft("block", _BLOCK).alias("slice"), "lo", "hi")
+        known = units.select("unit", "block", "hi")
+        if units.filter("dense = 1").isEmpty():
+            nothing = F.lit(None).cast("array<long>")
+            return known.select("*", nothing.alias("starts"), nothing.alias("parts")), coarse, 1
+        # The same cut once more, over the seconds of each dense unit.
+        seconds = (trips.groupBy(self._unit_of("p").alias("unit"), "p").agg(F.count(F.lit(1)).alias("n"))  # one row per start second
+                   .join(units.filter("dense = 1").select("unit", "block"), "unit"))
+        own = Window.partitionBy("unit").orderBy("p")
+        hot = (F.col("n") > half).cast("int")
+        s = seconds.withColumn("was", F.lag(hot, 1, 0).over(own))
+        s = s.withColumn("run", F.sum(hot + F.col("was")).over(own.rowsBetween(Window.unboundedPreceding, 0)))
+        within = Window.partitionBy("unit", "run").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+        s = s.withColumn("fill", F.floor(F.coalesce(F.sum("n").over(within), F.lit(0)) / half))
+        s = s.withColumn("step", F.dense_rank().over(Window.partitionBy("unit").orderBy("run", "fill")).cast("long") - 1)
+        steps = self.store.cut(s.groupBy("unit", "block", "step").agg(
+            F.min("p").alias("lo"), F.max("p").alias("hi"), F.max(F.when(hot == 1, F.ceil(F.col("n") / half)).otherwise(1)).alias("parts")))
+        listed = steps.groupBy("unit").agg(F.sort_array(F.collect_list(F.struct("lo", "parts"))).alias("x")).select(  # one entry per step
+            "unit", F.col("x.lo").alias("starts"), F.col("x.parts").alias("parts"))
+        base = F.shiftleft("block", _BLOCK) + F.shiftleft("step", _STEP)
+        fine = steps.select("unit", base.alias("base"), "lo", "hi", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+        cells = self.store.cut(coarse.unionByName(fine.select("unit", (F.col("base") + F.col("part")).alias("slice"), "lo", "hi")))
+        return self.store.cut(known.join(listed, "unit", "left")), cells, 1 + steps.agg(F.max("step")).first()[0]
+
+    def _reached(self, values: DataFrame, value: Column, cells: DataFrame, later) -> DataFrame:
+        """Best ride per (block of the ride, slice it may link into, zone, end second): largest value, then earliest start, then smallest id.
+        ``later`` tells of two blocks whether rides of the first count for slices of the second."""
+        best = F.max(F.struct(value.alias("value"), (-F.col("p")).alias("p"), (-F.col("id")).alias("id"), F.col("slice").alias("src"))).alias("b")
+        one = values.where(value.isNotNull()).groupBy(_block("slice").alias("block"), "dest", "d").agg(best)
         reach = F.sequence(F.floor((F.col("d") + 1) / self.unit), F.floor((F.col("d") + self.gap) / self.unit))
-        out = (values.where("front").select("id", "dest", "p", "d", value.alias("value"), F.col("slice").alias("src"),
-                                            F.explode(reach).alias("unit"))
-               .where(F.col("value").isNotNull())
-               .join(self.units, "unit").where(F.col("slice") > F.col("src")))
-        best = F.max(F.struct(F.col("value"), (-F.col("p")).alias("p"), (-F.col("id")).alias("id"), F.col("src"))).alias("b")
-        return out.groupBy("slice", "dest", "d").agg(best).select(
+        return (one.withColumn("unit", F.explode(reach)).join(cells, "unit")
+                .where(later(F.col("block"), _block("slice")) & (F.col("hi") > F.col("d")) & (F.col("lo") <= F.col("d") + self.gap))
+                .select("block", "slice", "dest", "d", "b.value", (-F.col("b.p")).alias("p"), (-F.col("b.id")).alias("id"), "b.src").distinct())
+
+    def gives(self, values: DataFrame, value: Column) -> DataFrame:
+        """What each block gives to the slices of later blocks."""
+        return self._reached(values.where("front"), value, self.cells, lambda a, b: a < b)
+
+    @staticmethod
+    def merged(gives: DataFrame) -> DataFrame:
+        """Carry-in of each slice: the best of what all blocks give."""
+        best = F.max(F.struct("value", (-F.col("p")).alias("p"), (-F.col("id")).alias("id"), "src")).alias("b")
+        return gives.groupBy("slice", "dest", "d").agg(best).select(
             "slice", "dest", "d", "b.value", (-F.col("b.p")).alias("p"), (-F.col("b.id")).alias("id"), "b.src")
 
+    def carry(self, values: DataFrame, value: Column) -> DataFrame:
+        """Best ride per (later slice, zone, end second)."""
+        return self.merged(self.gives(values, value))
+
     def run(self, rides: DataFrame, carry: DataFrame | None, allow_start: bool = True, keep: tuple[str, ...] = (),
             frontier_only: bool = False) -> DataFrame:
+        """One pass: rides with value, predecessor and root. With dense blocks one job per step, whose tables go to ``scratch``."""
         if carry is None:
             carry = rides.sparkSession.createDataFrame([], "slice long, dest long, d long, value long, p long, id long, src long")
-        # Names of their own: cogroup drops right-side columns that the left side shares.
-        right = carry.select(*[F.col(c).alias("c_" + c) for c in _CARRY])
         schema = _RIDE_SCHEMA + "".join(f", {k} long" for k in keep) + ", " + _PASS_SCHEMA
-        fn = _pass_fn(self.gap, allow_start, list(keep), frontier_only)
-        return (rides.select(*_RIDE, *keep).groupBy("slice").cogroup(right.groupBy("c_slice")).applyInPandas(fn, schema))
+        rides = rides.select(*_RIDE, *keep)
+
+        def once(some: DataFrame, given: DataFrame, only: bool) -> DataFrame:
+            # Names of their own: cogroup drops right-side columns that the left side shares.
+            right = given.select(*[F.col(c).alias("c_" + c) for c in _CARRY])
+            return some.groupBy("slice").cogroup(right.groupBy("c_slice")).applyInPandas(
+                _pass_fn(self.gap, allow_start, list(keep), only), schema)
+
+        if self.steps == 1:
+            return once(rides, carry, frontier_only)
+        done = self.store.cut(once(rides.where(_step("slice") == 0), carry.where(_step("slice") == 0), False))
+        self.scratch.append(done)
+        for k in range(1, self.steps):
+            cells = self.cells.where(_step("slice") == k)
+            inside = self._reached(done, F.col("value"), cells, lambda a, b: a == b).select(*_CARRY)
+            given = self.merged(carry.where(_step("slice") == k).select(*_CARRY).unionByName(inside))
+            more = self.store.cut(once(rides.where(_step("slice") == k), given, False))
+            self.scratch.append(more)
+            done = done.unionByName(more)
+        return done.where("front") if frontier_only else done
 
     def guess(self) -> DataFrame:
         """Carry-in of every slice from passes L and R and the shifts they show."""
         low = self.store.cut(self.run(self.rides, None).select(*_RIDE, F.col("value").alias("lval")))
         high = self.run(low, self.carry(low, F.col("lval")), allow_start=False, keep=("lval",), frontier_only=True)
-        high = self.store.cut(high.select(*_RIDE, "lval", F.col("value").alias("rval")))
-        counts = high.groupBy("slice", (F.col("rval") - F.col("lval")).alias("shift")).agg(F.count(F.lit(1)).alias("n"))
-        usual = counts.groupBy("slice").agg(F.max_by("shift", F.struct("n", -F.coalesce("shift", F.lit(0)))).alias("shift"))
+        high = self.store.cut(high.select(*_RIDE, "lval", F.col("value").alias("rval")).withColumn("block", _block("slice")))
+        counts = high.groupBy("block", (F.col("rval") - F.col("lval")).alias("shift")).agg(F.count(F.lit(1)).alias("n"))
+        usual = counts.groupBy("block").agg(F.max_by("shift", F.struct("n", -F.coalesce("shift", F.lit(0)))).alias("shift"))
         # carry(s + 1) = max(0, carry(s) + shift(s)), and 0 where rides of s mostly were not reached.
-        order = Window.orderBy("slice")
+        order = Window.orderBy("block")
         before = order.rowsBetween(Window.unboundedPreceding, -1)
         usual = usual.withColumn("part", F.coalesce(F.sum(F.col("shift").isNull().cast("int")).over(before), F.lit(0)))
-        inside = Window.partitionBy("part").orderBy("slice")
+        inside = Window.partitionBy("part").orderBy("block")
         earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
         usual = usual.withColumn("sum", F.sum(F.coalesce("shift", F.lit(0))).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        off = usual.select("slice", (F.coalesce(F.sum(F.coalesce("shift", F.lit(0))).over(earlier), F.lit(0))
+        off = usual.select("block", (F.coalesce(F.sum(F.coalesce("shift", F.lit(0))).over(earlier), F.lit(0))
                                      - F.least(F.lit(0), F.coalesce(F.min("sum").over(earlier), F.lit(0)))).alias("off"))
         guess = F.greatest("lval", F.coalesce(F.col("rval") + F.coalesce("off", F.lit(0)), F.col("lval")))
-        out = self.store.cut(self.carry(high.join(off, "slice", "left"), guess))
-        self.store.drop(low)
-        self.store.drop(high)
-        return out
+        self.scratch += [low, high]
+        return self.carry(high.join(off, "block", "left"), guess)
+
+    def tidy(self) -> None:
+        """Remove tables that only fed what has been written since."""
+        for df in self.scratch:
+            self.store.drop(df)
+        self.scratch.clear()
 
 
 def _changed(used: DataFrame, now: DataFrame) -> DataFrame:
-    """Slices whose carry-in differs."""
+    """Blocks whose carry-in differs."""
     key, rest = ["slice", "dest", "d"], ["value", "p", "id", "src"]
     a = used.select(*key, F.struct(*rest).alias("a"))
     b = now.select(*key, F.struct(*rest).alias("b"))
-    return a.join(b, key, "full").where(~F.col("a").eqNullSafe(F.col("b"))).select("slice").distinct()
+    return a.join(b, key, "full").where(~F.col("a").eqNullSafe(F.col("b"))).select(_block("slice").alias("block")).distinct()
+
+
+def _of(df: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Rows of slices in ``blocks``."""
+    return df.join(blocks.select(F.col("block").alias("_b")), _block("slice") == F.col("_b"), "left_semi")
 
 
 def solve_chain(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = SLICE_ROWS, unit_gaps: float = UNIT_GAPS) -> Chain:
@@ -384,25 +481,32 @@ def solve_chain(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = SL
         if twice is not None:
             raise ValueError(f"trip id {twice['id']} occurs more than once")
         parts = _Slices(trips, gap, slice_rows, unit_gaps, store)
-        used = parts.guess()
-        values = store.cut(parts.run(parts.rides, used))
+        values, gives, used = Versions(store, "block"), Versions(store, "block"), Versions(store, "block")
+        with_block = _block("slice").alias("block")
+        used.put(parts.guess().select("*", with_block))
+        values.put(parts.run(parts.rides, used.latest()).select("*", with_block))
+        gives.put(parts.gives(values.latest(), F.col("value")))
+        parts.tidy()
+        now = parts.merged(gives.latest())
+        dirty = store.cut(_changed(used.latest(), now))
         rounds = reruns = 0
-        while True:
-            now = store.cut(parts.carry(values, F.col("value")))
-            if _changed(used, now).isEmpty():
-                break
-            dirty = store.cut(_changed(used, now))
-            rounds, reruns = rounds + 1, reruns + dirty.count()
-            redo = parts.run(values.join(dirty, "slice", "left_semi"), now.join(dirty, "slice", "left_semi"))
-            merged = store.cut(values.join(dirty, "slice", "left_anti").select(*redo.columns).unionByName(redo))
-            for old in (values, used, dirty):
-                store.drop(old)
-            values, used = merged, now
+        while (n := dirty.count()) > 0:  # a number; the blocks stay in Spark
+            rounds, reruns = rounds + 1, reruns + n
+            used.put(_of(now, dirty).select("*", with_block), dirty)
+            values.put(parts.run(_of(parts.rides, dirty), used.part(rounds).drop("block")).select("*", with_block), dirty)
+            parts.tidy()
+            gives.put(parts.gives(values.part(rounds), F.col("value")), dirty)
+            touched = store.cut(gives.part(rounds).select(with_block).distinct())
+            now = parts.merged(_of(gives.latest(), touched))
+            again = store.cut(_changed(_of(used.latest(), touched), now))
+            store.drop(dirty)
+            dirty = again
+        found = values.latest().drop("block") if not rounds else store.cut(values.latest().drop("block"))
     except BaseException:
         store.release()
         raise
-    log.info("chain: %d verify rounds, %d slice reruns", rounds, reruns)
-    return Chain(trips, values, store, parts.units, rounds, reruns)
+    log.info("chain: %d verify rounds, %d block reruns", rounds, reruns)
+    return Chain(trips, found, store, parts.cells, rounds, reruns)
 
 
 def chain_lengths(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = SLICE_ROWS) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from odflow.session import ensure_checkpoint_dir
 
@@ -41,3 +43,35 @@ class Store:
 
     def release(self) -> None:
         self._delete(self.root)
+
+
+class Versions:
+    """A table kept in versions: version 0 is whole, a later one holds all rows of the keys it replaces and nothing else."""
+
+    def __init__(self, store: Store, key: str):
+        self.store, self.key, self.n = store, key, 0
+        store.count += 1
+        self.root = f"{store.root}/{store.count}"
+        self.schema = None
+
+    def put(self, rows: DataFrame, keys: DataFrame | None = None) -> None:
+        """Write the next version; ``keys`` are the keys it replaces (also those left without rows)."""
+        rows.write.parquet(f"{self.root}/rows/_v={self.n}")
+        if self.n == 0:
+            self.schema = rows.schema
+        else:
+            keys.select(self.key).write.parquet(f"{self.root}/keys/_v={self.n}")
+        self.n += 1
+
+    def part(self, version: int) -> DataFrame:
+        return self.store.spark.read.schema(self.schema).parquet(f"{self.root}/rows/_v={version}")
+
+    def latest(self) -> DataFrame:
+        """The rows of each key's last version. One scan and one join, however many versions there are."""
+        if self.n == 1:
+            return self.part(0)
+        spark = self.store.spark
+        read = spark.read.schema(StructType([*self.schema.fields, StructField("_v", IntegerType())])).parquet(f"{self.root}/rows")
+        owner = (spark.read.schema(StructType([self.schema[self.key], StructField("_v", IntegerType())])).parquet(f"{self.root}/keys")
+                 .groupBy(self.key).agg(F.max("_v").alias("_last")))
+        return read.join(owner, self.key, "left").where(F.col("_v") == F.coalesce("_last", F.lit(0))).drop("_v", "_last")

@@ -271,3 +271,46 @@ def test_hot_second_and_hot_zone(spark):
         rows.append((i, o, rnd.randint(0, 3), s, s + rnd.randint(0, 250)))
     rnd.shuffle(rows)
     assert run(spark, rows, slices=6) == brute(rows, 300)
+
+
+def _groups(solved):
+    """Rides per group that one Python call gets."""
+    return [r["count"] for r in solved.values.groupBy("slice").count().collect()]
+
+
+def test_no_group_above_the_limit_whatever_the_density(spark):
+    """A third of the rides in one second, the rest within a few gaps: all groups stay below slice_rows, lengths and path are exact."""
+    rnd = random.Random(21)
+    rows = []
+    for i in range(1500):
+        s = 5000 if i % 3 == 0 else rnd.randint(4300, 6200)
+        rows.append((i, rnd.randint(0, 5), rnd.randint(0, 5), s, s + rnd.randint(0, 400)))
+    want = brute(rows, 300)
+    trips = chain.prepare_trips(spark.createDataFrame(rows, SCHEMA), ROLES)
+    solved = chain.solve_chain(trips, 300, slice_rows=240)  # units of four gaps: every unit is dense
+    sizes = _groups(solved)
+    assert max(sizes) <= 240 and len(sizes) >= 8
+    assert solved.values.where("p = 5000").select("slice").distinct().count() >= 3  # the hot second is dealt by hash
+    longest = max(v[0] for v in want.values())
+    listing = chain.chain_listing(solved, chain.longest_chain(solved)).orderBy("seq").collect()
+    assert len(listing) == longest and all(want[r["id"]][0] == r["seq"] for r in listing)
+    assert result(solved) == want
+
+
+def test_a_round_writes_what_it_reran(spark, monkeypatch):
+    """A wrong guess for the middle of 200 blocks: the rounds write the blocks they rerun, not the table."""
+    rows = [(i, i % 2, (i + 1) % 2, 60 * i, 60 * i + 10) for i in range(400)]  # one chain through all blocks
+    right = chain._Slices.guess
+
+    def wrong(self):
+        c = right(self)
+        late = (F.shiftright("slice", 40) >= 196) & (F.shiftright("slice", 40) < 199)
+        return self.store.cut(c.withColumn("value", F.when(late, F.lit(1).cast("long")).otherwise(F.col("value"))))
+
+    monkeypatch.setattr(chain._Slices, "guess", wrong)
+    trips = chain.prepare_trips(spark.createDataFrame(rows, SCHEMA), ROLES)
+    solved = chain.solve_chain(trips, 300, slice_rows=4, unit_gaps=0.4)
+    assert solved.slices == 200 and 1 <= solved.rounds <= 6 and solved.reruns <= 12
+    versions = spark.read.parquet(f"{solved.store.root}/*/rows/_v=[1-9]*")  # of values, gives and carry-in
+    assert versions.count() <= 40 * solved.reruns
+    assert result(solved) == {i: (i + 1, i - 1 if i else None) for i in range(400)}
