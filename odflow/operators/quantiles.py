@@ -12,8 +12,9 @@ The exact method is the same at every size and never gathers a column into one t
    each bucket: at most #columns x (buckets + 1) rows reach the driver. Prefix sums over
    them find, for every (column, p), the bucket holding the wanted rank and the rank within it.
 3. *Pick.* A scan reads only rows inside the wanted buckets (the range predicate is pushed to the Parquet
-   reader) and counts them per value. A wanted bucket is cut into cells of equal width; the cells' totals tell
-   the one that holds the rank, and a running sum goes over that cell's values only.
+   reader) and counts them per value. A wanted bucket is cut into cells at values drawn from the bucket (a sketch of its
+   distinct values), so no cell holds much more than 1/256 of them, also with values far outside the others; the cells'
+   totals tell the one that holds the rank, and a running sum goes over that cell's values only.
 
 Integer and decimal columns are compared and returned in their own type where all columns of a call have
 one; a call that mixes kinds works in double, which holds whole numbers up to 2^53 exactly.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _BUCKETS = 4096  # per column; step 3 reads about 1/_BUCKETS of a column per wanted quantile
-_CELLS = 256  # equal widths a wanted bucket is cut into before its values are put in order
+_CELLS = 256  # parts, about equally many values each, a wanted bucket is cut into before its values are put in order
 
 # The probabilities of the quantile profile.
 PROFILE_PROBS = (0.001, 0.01, 0.05, 0.25, 0.50, 0.75, 0.95, 0.99, 0.999)
@@ -122,10 +123,7 @@ def exact_quantiles(df: DataFrame, cols, probs, buckets: int = _BUCKETS) -> Data
     joined = local.alias("h").join(
         F.broadcast(t),  # at most #columns x #probs rows
         (F.col("h.cid") == F.col("t.cid")) & F.col("h.v").between(F.col("t.lo"), F.col("t.hi")))
-    x, lo, hi = (F.col(c).cast("double") for c in ("h.v", "t.lo", "t.hi"))
-    cell = F.floor((x - lo) / (hi - lo) * _CELLS)
-    cell = F.when((hi > lo) & ~F.isnan(hi) & (F.abs(lo) < math.inf) & (F.abs(hi) < math.inf), F.least(F.lit(_CELLS - 1), cell)).otherwise(0)
-    rows = joined.select("t.cid", "t.pi", "t.k", "h.v", "h.c", cell.alias("cell"))
+    rows = _with_cells(joined.select("t.cid", "t.pi", "t.k", "h.v", "h.c"))
     before = Window.partitionBy("cid", "pi").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # one row per cell
     cells = rows.groupBy("cid", "pi", "k", "cell").agg(F.sum("c").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     cells = cells.where("before < k and k <= before + n").select("cid", "pi", "cell", "before")
@@ -137,6 +135,15 @@ def exact_quantiles(df: DataFrame, cols, probs, buckets: int = _BUCKETS) -> Data
     return picked.join(F.broadcast(tdf), ["cid", "pi"], "right").select("column", "p", "value")
 
 
+def _with_cells(rows: DataFrame) -> DataFrame:
+    """``rows`` (cid, pi, k, v, c; one row per distinct value) with the cell of each value: its bucket is cut at quantiles of a sketch of the
+    distinct values themselves, so cells are about equally full whatever lies between or far outside them."""
+    grid = ", ".join(f"{i / _CELLS!r}D" for i in range(1, _CELLS))
+    cuts = rows.groupBy("cid", "pi").agg(F.expr(f"array_distinct(percentile_approx(v, array({grid}), {10 * _CELLS}))").alias("cuts"))
+    # One row per wanted quantile; a value belongs to the cell after all cuts below it.
+    return rows.join(F.broadcast(cuts), ["cid", "pi"]).withColumn("cell", F.size(F.filter("cuts", lambda x: x < F.col("v")))).drop("cuts")
+
+
 def _bucket_counts(df: DataFrame, named, kind: T.DataType, buckets: int) -> dict:
     """Per column: (order, lo, hi, n) of disjoint value ranges, from exact row
     counts per bucket. Buckets are cut at sketch quantiles (one aggregate) and

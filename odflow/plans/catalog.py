@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from odflow.functions.columns import PAYMENT_TYPE_LABELS
-from odflow.operators import chain, outliers, pairs, profile, quantiles
+from odflow.operators import chain, links, outliers, pairs, profile, quantiles
 from odflow.roles import TripRoles
 from odflow.sources.parquet import load_trips, schema_report
 
@@ -368,6 +368,19 @@ def q_trip_profile(spark, sf):
     return profile.profile_table(table(spark, sf, "customer"), ["c_nationkey", "c_mktsegment"], ["c_acctbal"])
 
 
+def q_best_predecessor(spark, sf):
+    """J2 with the trip's duration as value."""
+    return links.best_predecessor(_chain_trips(spark, sf).withColumn("value", F.col("d") - F.col("p")), 3600)
+
+
+def q_link_counts(spark, sf):
+    return links.link_counts(_chain_trips(spark, sf), 3600)
+
+
+def q_link_summary(spark, sf):
+    return links.link_summary(_chain_trips(spark, sf), CHAIN_GAP)
+
+
 def q_schema_report(spark, sf):
     return schema_report(table(spark, sf, "lineitem"))
 
@@ -422,6 +435,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_counts_ranked": q_period_counts_ranked,
     "quantile_approx_bounds": q_quantile_approx_bounds,
     "trip_profile": q_trip_profile,
+    "best_predecessor": q_best_predecessor,
+    "link_counts": q_link_counts,
+    "link_summary": q_link_summary,
     "union_by_position": q_union_by_position,
     "union_by_name": q_union_by_name,
     "schema_report": q_schema_report,
@@ -578,6 +594,18 @@ SELECT total, valid, total - valid AS removed_invalid,
 FROM information_schema.columns WHERE table_name = 'lineitem'""",
 }
 
+_LINKS = f"""WITH trips AS ({CHAIN_SQL}), ok AS (SELECT * FROM trips WHERE d >= p),
+e AS (SELECT a.id AS a, b.id AS b, a.d - a.p AS value, a.p AS ap FROM ok a JOIN ok b ON a.dest = b.origin AND b.p - a.d > 0 AND b.p - a.d <= {{gap}})"""
+ORACLE["best_predecessor"] = _LINKS.format(gap=3600) + """
+SELECT ok.id, x.a AS prev_id, x.value AS prev_value FROM ok LEFT JOIN
+  (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY b ORDER BY value DESC, ap, a) = 1) x ON x.b = ok.id"""
+_COUNTS = """,
+c AS (SELECT ok.id, coalesce(x.n, 0) AS predecessors, coalesce(y.n, 0) AS successors FROM ok
+  LEFT JOIN (SELECT b, count(*) AS n FROM e GROUP BY b) x ON x.b = ok.id LEFT JOIN (SELECT a, count(*) AS n FROM e GROUP BY a) y ON y.a = ok.id)"""
+ORACLE["link_counts"] = _LINKS.format(gap=3600) + _COUNTS + " SELECT * FROM c"
+ORACLE["link_summary"] = _LINKS.format(gap=CHAIN_GAP) + _COUNTS + """
+SELECT CAST(coalesce(sum(predecessors), 0) AS BIGINT) AS links, count(*) FILTER (WHERE predecessors > 0) AS with_predecessor,
+  count(*) FILTER (WHERE successors > 0) AS with_successor, max(predecessors) AS most_predecessors, max(successors) AS most_successors FROM c"""
 ORACLE["chain_lengths_sliced"] = ORACLE["chain_lengths"]
 ORACLE["prepared_trips"] = f"""SELECT * FROM ({CHAIN_SQL} AND value <= 200.0
   AND ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-20 12:00:00') WHERE d >= p"""

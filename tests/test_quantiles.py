@@ -6,6 +6,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from odflow.operators import quantiles as Q
 from odflow.operators.quantiles import (PROFILE_PROBS, approx_within_bounds, exact_quantiles, prob_label, quantile_profile,
                                         target_rank)
 
@@ -100,3 +101,23 @@ def test_heavy_ties_and_few_buckets(spark):
 def test_approx_bounds(spark):
     df = spark.range(5000).selectExpr("cast(id % 700 as double) as x", "id as y")
     assert {r["within"] for r in approx_within_bounds(df, ["x", "y"], PROBS).collect()} == {True}
+
+
+def test_cells_stay_even_in_a_heavy_tail(spark):
+    """10**6 distinct values and one at 1e300 in one bucket: no cell, which is what one task orders, gets more than 1/100 of them."""
+    df = spark.range(1_000_000).select((F.col("id") * 1.5).alias("x")).unionByName(spark.createDataFrame([(1e300,), (float("inf"),)], "x double"))
+    probs = [0.001, 0.5, 0.99985, 1.0]
+    got = {r["p"]: r["value"] for r in Q.exact_quantiles(df, ["x"], probs, buckets=1).collect()}
+    n = 1_000_002
+    assert got == {p: 1.5 * (Q.target_rank(p, n) - 1) if p < 1 else float("inf") for p in probs}
+    rows = df.select(F.lit(0).alias("cid"), F.lit(0).alias("pi"), F.lit(1).cast("long").alias("k"), F.col("x").alias("v"), F.lit(1).cast("long").alias("c"))
+    most = Q._with_cells(rows).groupBy("cell").count().agg(F.max("count")).first()[0]
+    assert most <= n / 100
+
+
+def test_cells_of_whole_numbers_and_decimals(spark):
+    for kind in ("long", "decimal(30,4)"):
+        df = spark.range(3000).select((F.col("id") * F.col("id") % 977).cast(kind).alias("x"))
+        values = sorted(r["x"] for r in df.collect())
+        got = {r["p"]: r["value"] for r in Q.exact_quantiles(df, ["x"], [0.1, 0.5, 0.999], buckets=2).collect()}
+        assert got == {p: values[Q.target_rank(p, 3000) - 1] for p in (0.1, 0.5, 0.999)}
