@@ -9,7 +9,7 @@ Texts are read in units that end before a single space which follows a character
 ASCII character or one of U+00C0 to U+00FF. The split pattern of A starts a new piece at every such space; B cannot merge across it
 if no piece holds a space after another character. Both are proved from the files before any text is read (otherwise whole
 texts are one unit). A worker reads a unit it does not know yet together with the others of its slab, and keeps what came out in arrays
-of bounded size; units met once only leave first. A text with a unit that the tokens do not give back is decided as a whole.
+of bounded size; units met least often leave first. A text with a unit that the tokens do not give back is decided as a whole.
 
 Pass 1 counts the links of all texts per id pair: partial counts per task, then one aggregate. Pass 2 reads the texts again and
 looks the pairs up: the ``HEAVY`` most frequent pairs at most are broadcast, links of rarer pairs are joined by pair and added up
@@ -36,7 +36,7 @@ from odflow.llm.token_counts import byte_characters
 from odflow.store import Store
 
 #: Most pairs that are broadcast (17 bytes each); units a worker keeps (with ten links each at most); bytes of units read together.
-HEAVY, KEPT, JOINED = 1_000_000, 600_000, 1 << 13
+HEAVY, KEPT, JOINED = 1_000_000, 1_200_000, 1 << 13
 _SLAB = 2 << 20
 _CUT = re.compile(rb"(?<=[!-~\x80-\xff]) (?=[!-~\xc3])")
 #: A text without any of these is cut at every space.
@@ -93,10 +93,10 @@ class Aligner:
         return len(self.groups) > self.most or len(self.links) > 10 * self.most
 
     def trim(self) -> None:
-        """Drop the units met only once since the last time, or all if that leaves too many. The rest get new slots."""
-        stay = np.flatnonzero(self.hits > 1)
-        if 2 * len(stay) > self.most or 2 * int(np.diff(self.bounds)[stay].sum()) > 10 * self.most:
-            stay = stay[:0]
+        """Keep the units met most often since the last time (twice at least), half as many as there may be. They get new slots."""
+        often = np.argsort(-self.hits, kind="stable")[:self.most // 2]
+        often = often[self.hits[often] > 1]
+        stay = np.sort(often[np.cumsum(np.diff(self.bounds)[often]) <= 5 * self.most])
         new = np.full(len(self.groups), -1)
         new[stay] = np.arange(len(stay))
         self.slot = {w: k for w, k in zip(self.slot, new[list(self.slot.values())].tolist()) if k >= 0}
