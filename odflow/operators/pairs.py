@@ -103,11 +103,23 @@ def expand_neighbours(pairs: DataFrame, radius: int = 1, min_id: int = 1, max_id
 
 def neighbour_totals(df: DataFrame, roles: TripRoles, threshold=None, radius: int = 1, min_id: int = 1,
                      max_id: int | None = None, scale: int | None = 12) -> DataFrame:
-    """Per canonical pair, the amount and trip count of its whole neighbourhood."""
-    ex = expand_neighbours(pair_sums(df, roles, threshold, scale), radius, min_id, max_id)
-    return (ex.groupBy("canonical_origin", "canonical_dest")
-            .agg(F.sum("s_amt").cast("double").alias("total_amount_sum"),
-                 F.sum("trip_count").alias("total_trip_count")))
+    """Per canonical pair, the amount and trip count of its whole neighbourhood.
+
+    A square neighbourhood is a sum along origins followed by one along destinations: each pass copies a
+    pair 2 * radius + 1 times and adds up before the next.
+    """
+    sums = pair_sums(df, roles, threshold, scale)
+    for side in ("origin", "dest"):
+        near = F.sequence(F.greatest(F.col(side) - radius, F.lit(min_id).cast("long")),
+                          F.col(side) + radius if max_id is None else F.least(F.col(side) + radius, F.lit(max_id).cast("long")))
+        reach = F.col(side) + radius >= min_id
+        if max_id is not None:
+            reach = reach & (F.col(side) - radius <= max_id)
+        other = "dest" if side == "origin" else "origin"
+        sums = (sums.where(reach).select(F.explode(near).alias(side), other, "s_amt", "trip_count")
+                .groupBy("origin", "dest").agg(F.sum("s_amt").alias("s_amt"), F.sum("trip_count").alias("trip_count")))
+    return sums.select(F.col("origin").alias("canonical_origin"), F.col("dest").alias("canonical_dest"),
+                       F.col("s_amt").cast("double").alias("total_amount_sum"), F.col("trip_count").alias("total_trip_count"))
 
 
 def top_neighbour_pairs(df: DataFrame, roles: TripRoles, threshold=None, n: int = 10, radius: int = 1,

@@ -61,3 +61,24 @@ def test_totals_keep_small_and_large_values(spark):
     got = pairs.pair_totals(_df(spark, [(1, 1, 0.004, 0.004)] * 3 + [(2, 2, 1e17, 1e17), (2, 2, 1.0, 0.001)]), ROLES).orderBy("origin").collect()
     assert (got[0]["total_amount_sum"], got[0]["avg_distance"]) == (0.012, 0.004)
     assert got[1]["total_amount_sum"] == 1e17 and got[1]["trip_count"] == 2
+
+
+def test_two_passes_equal_the_square(spark):
+    """Sums along origins, then destinations, against copying every pair to its whole square."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from odflow.operators import pairs as P
+    from odflow.roles import TripRoles
+
+    rnd = random.Random(3)
+    rows = [(rnd.randint(-4, 12), rnd.randint(-4, 12), rnd.random()) for _ in range(400)] + [(None, 1, 2.0), (1, 1, None)]
+    df = spark.createDataFrame(rows, "o int, d int, a double")
+    roles = TripRoles(origin="o", dest="d", start=None, end=None, distance=None, amount="a")
+    for radius, low, high in ((1, 1, None), (2, 1, 6), (3, -9, None)):
+        square = (P.expand_neighbours(P.pair_sums(df, roles), radius, low, high).groupBy("canonical_origin", "canonical_dest")
+                  .agg(F.sum("s_amt").cast("double").alias("x"), F.sum("trip_count").alias("n")))
+        want = sorted(tuple(r) for r in square.collect())
+        got = P.neighbour_totals(df, roles, radius=radius, min_id=low, max_id=high)
+        assert sorted(tuple(r) for r in got.collect()) == want
