@@ -189,9 +189,12 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, t
     """Documents without the benchmark's passages; the columns of ``docs`` as they were.
 
     A document with more than ``whole_share`` of its words hit is dropped; from any other
-    the hit spans are cut out, each leaving one space. Clean documents stay untouched.
+    the hit spans are cut out, each leaving one space. Clean documents stay untouched. Null and empty texts are clean; repeated rows
+    are decided each for itself; an empty benchmark changes nothing; columns named like results of ``contamination`` are kept as they are.
     """
-    found = contamination(docs.select(*docs.columns, F.col(f"`{text_col}`").alias("_text")), benchmark, size,
+    rest = [c for c in docs.columns if c != text_col]  # in one struct, so that no name clashes with a result
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)]).alias("_row")
+    found = contamination(docs.select(row, F.col(f"`{text_col}`").alias("_text")), benchmark, size,
                           "_text", spans=True, **names)
     ends = F.col("spans")
     n = F.size(ends)
@@ -203,4 +206,4 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, t
     cleaned = F.when(n == 0, F.col("_text")).otherwise(F.array_join(pieces, " "))
     return (found.filter(F.col("n_hit") <= whole_share * F.col("n_words"))
             .withColumn("_text", cleaned)
-            .select(*[F.col("_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]))
+            .select(*[F.col("_text" if c == text_col else f"_row.c{rest.index(c)}").alias(c) for c in docs.columns]))

@@ -95,3 +95,15 @@ def test_items_without_id_hit_as_in_the_sql(spark):
         assert got(contamination(d, b, part_windows=parts)) == sorted(con.execute(OP10_SQL).fetchall(), key=str)
     left = {r.doc_id: r.text for r in remove_contaminated(d, b).collect()}
     assert set(left) == {2, 4, 5} and "zz" not in left[4] and "one" not in left[4]
+
+
+def test_removal_keeps_columns_named_like_results(spark):
+    passage = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, "clean words here", 77, "x", [5]), (2, "a b c d e f g h i j k l m n " + passage + " o p q", 78, "y", None), (3, None, 79, None, None)],
+                                 "doc_id long, text string, n_words long, _text string, spans array<int>")
+    bench = spark.createDataFrame([("q", passage)], "item_id string, text string")
+    out = remove_contaminated(docs, bench)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: tuple(r)[1:] for r in out.collect()}
+    assert got[1] == ("clean words here", 77, "x", [5]) and got[3] == (None, 79, None, None)
+    assert got[2][1:] == (78, "y", None) and "w3" not in got[2][0]
