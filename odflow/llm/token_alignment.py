@@ -11,9 +11,10 @@ if no piece holds a space after another character. Both are proved from the file
 texts are one unit). A worker reads a unit it does not know yet together with the others of its slab, and keeps what came out in arrays
 of bounded size; units met least often leave first. A text with a unit that the tokens do not give back is decided as a whole.
 
-Pass 1 counts the links of all texts per id pair: partial counts per task, then one aggregate. Pass 2 reads the texts again and
-looks the pairs up: the ``HEAVY`` most frequent pairs at most are broadcast, links of rarer pairs are joined by pair and added up
-by row, so what is broadcast is bounded whatever the corpus.
+Texts are read once. The ids of every text's links are written beside its counts and digest, and so are each task's partial counts of
+the links per id pair, which one aggregate adds up. A second step reads the links back and looks the pairs up: the ``HEAVY`` most frequent
+pairs at most are broadcast, links of rarer pairs are joined by pair and added up by row, so what is broadcast is bounded whatever
+the corpus.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from odflow.store import Store
 #: Most pairs that are broadcast (17 bytes each); units a worker keeps (with ten links each at most); bytes of units read together.
 HEAVY, KEPT, JOINED = 1_000_000, 1_200_000, 1 << 13
 _SLAB = 2 << 20
+#: Links looked up at once (or those of one text); pair counts in a row of the stored table.
+_LINKS, _PAIRS_A_ROW = 1 << 20, 1 << 14
 _CUT = re.compile(rb"(?<=[!-~\x80-\xff]) (?=[!-~\xc3])")
 #: A text without any of these is cut at every space.
 _UNEVEN = re.compile(rb"[\x00-\x20] |\x7f | [\x00-\x20\x7f-\xc2\xc4-\xff]")
@@ -230,85 +233,81 @@ def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
 _WORKER: dict = {}
 
 
-def _aligner(shared, texts: bool) -> Aligner:
+def _aligner(shared) -> Aligner:
     """The worker's aligner for these vocabularies; a worker keeps one."""
-    use = (*shared.value, texts)
+    use = shared.value
     if _WORKER.get("use") != use:
         _WORKER.clear()
         _WORKER.update(use=use, aligner=Aligner(*use))
     return _WORKER["aligner"]
 
 
-def _slabs_of_texts(column):
-    for _, _, data, off in slabs(column, _SLAB):
-        raw = data.tobytes()
-        yield [raw[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+def _read(shared, n_cols: int, names: list[str]):
+    """Task function: carried columns and text -> the same with counts, digest and links of every text, then rows of partial pair counts."""
 
+    def row_batch(carried, values, sha, links, at):
+        offsets = pa.array(at, pa.int32())
+        ids = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (links >> _SHIFT, links & ((1 << _SHIFT) - 1))]
+        none = pa.nulls(len(sha), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([*carried, *[pa.array(v, pa.int64()) for v in values], pa.array(sha, pa.string()), *ids, none, none], names)
 
-def _count_pairs(shared):
-    """Task function: text -> partial (pair, n)."""
-
-    def emit(aligner: Aligner):
-        lens = np.diff(aligner.bounds)
+    def pair_batches(aligner: Aligner, types):
         pairs, of = np.unique(aligner.links, return_inverse=True)
         n = np.zeros(len(pairs), dtype=np.int64)
-        np.add.at(n, of, np.repeat(aligner.hits, lens))
-        return pa.RecordBatch.from_arrays([pa.array(pairs[n > 0]), pa.array(n[n > 0])], ["pair", "n"])
+        np.add.at(n, of, np.repeat(aligner.hits, np.diff(aligner.bounds)))
+        pairs, n = pairs[n > 0], n[n > 0]
+        for at in range(0, len(pairs), _PAIRS_A_ROW):
+            lists = [pa.array([x[at:at + _PAIRS_A_ROW]], pa.list_(pa.int64())) for x in (pairs, n)]
+            empty = [pa.nulls(1, t) for t in [*types, *[pa.int64()] * 4, pa.string(), *[pa.list_(pa.int32())] * 2]]
+            yield pa.RecordBatch.from_arrays([*empty, *lists], names)
 
     def run(batches):
-        aligner = _aligner(shared, False)
+        aligner, types = _aligner(shared), None
         aligner.hits[:] = 0
         for batch in batches:
-            for texts in _slabs_of_texts(batch.column(0)):
-                aligner.slots(texts)
+            types = [c.type for c in batch.columns[:n_cols]]
+            for first, end, data, off in slabs(batch.column(n_cols), _SLAB):
+                raw = data.tobytes()
+                got, bounds = aligner.slots([raw[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())])
+                own = [got[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+                sha = [hashlib.sha256(";".join([aligner.groups[k] for k in o]).encode()).hexdigest() if o else "" for o in own]
+                lens = np.diff(aligner.bounds)[got]
+                values = [_run_sums(v, bounds) for v in (*aligner.numbers[:, got], lens)]
+                links = aligner.links[_ranges(aligner.bounds[got], lens)]
+                carried = [c.slice(first, end - first) for c in batch.columns[:n_cols]]
+                yield row_batch(carried, values, sha, links, np.concatenate(([0], np.cumsum(values[3]))))
                 if aligner.full:
-                    yield emit(aligner)
+                    yield from pair_batches(aligner, types)
                     aligner.trim()
-        yield emit(aligner)
+        if types is not None:
+            yield from pair_batches(aligner, types)
         aligner.hits[:] = 0
 
     return run
 
 
-def _digest(shared, heavy, n_cols: int, names: list[str]):
-    """Task function: carried columns and text -> carried columns, counts, sums over heavy pairs, links of rare pairs."""
+def _price(heavy, n_cols: int, names: list[str]):
+    """Task function: carried columns and links of texts -> carried columns, best links and sum of counts of heavy pairs, links of rare pairs."""
 
-    def run(batches):
-        aligner, (pairs, counts, best) = _aligner(shared, True), heavy.value
-        known, sums, tops, rare = 0, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), {}
-
-        def price(first):
-            """Sum of counts, best links and rare links of the slots from ``first`` on."""
-            keys, bounds = aligner.links[aligner.bounds[first]:], aligner.bounds[first:] - aligner.bounds[first]
-            if len(pairs):
-                at = np.searchsorted(pairs, keys).clip(max=len(pairs) - 1)
-                hit = pairs[at] == keys
-                n, top = np.where(hit, counts[at], 0), hit & best[at]
-            else:
-                hit, n, top = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-            for k in np.unique(np.searchsorted(bounds, np.flatnonzero(~hit), "right") - 1).tolist():
-                own = slice(bounds[k], bounds[k + 1])
-                rare[first + k] = keys[own][~hit[own]].tolist()
-            return _run_sums(n, bounds), _run_sums(top, bounds)
+    def price(keys: np.ndarray, at: np.ndarray):
+        pairs, counts, best = heavy.value
+        found = np.searchsorted(pairs, keys).clip(max=len(pairs) - 1) if len(pairs) else None
+        hit = pairs[found] == keys if len(pairs) else np.zeros(len(keys), dtype=bool)
+        n, top = (np.where(hit, counts[found], 0), hit & best[found]) if len(pairs) else (np.zeros(len(keys), np.int64), hit)
+        rare = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(~hit)))[at], pa.int32()), pa.array(keys[~hit], pa.int64()))
+        return [pa.array(_run_sums(top, at), pa.int64()), pa.array(_run_sums(n, at), pa.int64()), rare]
 
+    def run(batches):
         for batch in batches:
-            parts = []
-            for texts in _slabs_of_texts(batch.column(n_cols)):
-                got, bounds = aligner.slots(texts)
-                if known < len(aligner.groups):
-                    more = price(known)
-                    sums, tops, known = np.concatenate((sums, more[0])), np.concatenate((tops, more[1])), len(aligner.groups)
-                own = [got[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
-                sha = [hashlib.sha256(";".join([aligner.groups[k] for k in o]).encode()).hexdigest() if o else "" for o in own]
-                left = [[x for k in o if k in rare for x in rare[k]] or None for o in own] if rare else [None] * len(own)
-                values = [*aligner.numbers[:, got], np.diff(aligner.bounds)[got], tops[got], sums[got]]
-                parts.append([_run_sums(v, bounds) for v in values] + [sha, left])
-                if aligner.full:
-                    aligner.trim()
-                    known, sums, tops, rare = 0, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), {}
-            kinds = [pa.int64()] * 6 + [pa.string(), pa.list_(pa.int64())]
-            cols = [pa.concat_arrays([pa.array(p[i], k) for p in parts] or [pa.array([], k)]) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n_cols], *cols], names)
+            a, b = batch.column(n_cols), batch.column(n_cols + 1)
+            at = np.asarray(a.offsets, dtype=np.int64)
+            first = 0
+            while first < len(batch):  # some rows at a time: as many as hold ``_LINKS`` links, one at least
+                end = max(first + 1, int(np.searchsorted(at, at[first] + _LINKS, "right")) - 1)
+                x, y = (c.slice(first, end - first).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in (a, b))
+                carried = [c.slice(first, end - first) for c in batch.columns[:n_cols]]
+                yield pa.RecordBatch.from_arrays([*carried, *price(x << _SHIFT | y, at[first:end + 1] - at[first])], names)
+                first = end
 
     return run
 
@@ -321,11 +320,11 @@ def _run_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 _NEW = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
-def pair_counts(docs: DataFrame, shared, store: Store, text_col: str = "text") -> DataFrame:
+def pair_counts(partial: DataFrame, store: Store) -> DataFrame:
     """(a, b, n, best): how many links of the corpus hold an id pair linked, and whether no pair of that b has more."""
-    counts = store.cut(docs.select(F.col(f"`{text_col}`").cast("string")).mapInArrow(_count_pairs(shared), "pair long, n long")
-              .groupBy("pair").agg(F.sum("n").alias("n"))
-              .select(F.shiftright("pair", _SHIFT).alias("a"), F.col("pair").bitwiseAND(F.lit((1 << _SHIFT) - 1)).alias("b"), "n"))
+    each = partial.select(F.explode(F.arrays_zip("_pairs", "_ns")).alias("p"))
+    counts = store.cut(each.groupBy(F.col("p._pairs").alias("pair")).agg(F.sum("p._ns").alias("n"))
+                       .select(F.shiftright("pair", _SHIFT).alias("a"), F.col("pair").bitwiseAND(F.lit((1 << _SHIFT) - 1)).alias("b"), "n"))
     top = counts.groupBy("b").agg(F.max("n").alias("top"))  # at most one row per id of b
     return counts.join(top, "b").select("a", "b", "n", (F.col("n") == F.col("top")).alias("best"))
 
@@ -349,18 +348,25 @@ def align_tokens(docs: DataFrame, bpe_path: str, pieces_path: str, text_col: str
     with open(pieces_path, "rb") as f:
         pieces = f.read()
     shared = spark.sparkContext.broadcast((bpe, pieces, kept))  # bounded by the two files
-    counts = store.cut(pair_counts(docs, shared, store, text_col))
+    keep = [c for c in docs.columns if c not in _NEW and c != text_col]
+    cols = [f"c{i}" for i in range(len(keep))]
+    src = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(keep, cols)], F.col(f"`{text_col}`").cast("string").alias("_text"))
+    carried = [T.StructField(f.name, f.dataType) for f in src.schema.fields[:-1]]
+    long, ids, longs = T.LongType(), T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
+    counted = [T.StructField(n, long) for n in ("_n_a", "_n_b", "_n_groups", "_n_links")] + [T.StructField("_groups_sha256", T.StringType())]
+    schema = T.StructType([*carried, *counted, T.StructField("_a", ids), T.StructField("_b", ids),
+                           T.StructField("_pairs", longs), T.StructField("_ns", longs)])
+    read = store.cut(src.mapInArrow(_read(shared, len(cols), schema.names), schema))
+    counts = store.cut(pair_counts(read.filter("_pairs is not null").select("_pairs", "_ns"), store))
     least = _heavy_from(counts, heavy)
     frequent = counts.filter(F.col("n") >= least).select(F.shiftleft("a", _SHIFT).bitwiseOR(F.col("b")).alias("pair"), "n", "best")
     got = frequent.toPandas().sort_values("pair")  # at most ``heavy`` rows
     table = spark.sparkContext.broadcast((got["pair"].to_numpy(np.int64), got["n"].to_numpy(np.int64), got["best"].to_numpy(bool)))
 
-    keep = [c for c in docs.columns if c not in _NEW and c != text_col]
-    cols = [f"c{i}" for i in range(len(keep))]
-    src = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(keep, cols)], F.col(f"`{text_col}`").cast("string").alias("_text"))
-    types = [T.LongType()] * 6 + [T.StringType(), T.ArrayType(T.LongType())]
-    schema = T.StructType([*src.schema.fields[:-1], *(T.StructField(f"_{n}", t) for n, t in zip([*_NEW, "rare"], types))])
-    out = src.mapInArrow(_digest(shared, table, len(cols), [f.name for f in schema.fields]), schema)
+    known = [*carried, *counted]
+    schema = T.StructType([*known, T.StructField("_n_best", long), T.StructField("_count_sum", long), T.StructField("_rare", longs)])
+    texts = read.filter("_pairs is null").select(*[f.name for f in known], "_a", "_b")
+    out = texts.mapInArrow(_price(table, len(known), schema.names), schema)
     if least > 1 and not counts.filter(F.col("n") < least).isEmpty():
         out = _with_rare(out, counts.filter(F.col("n") < least), store)
     return out.select(*[F.col(a).alias(c) for c, a in zip(keep, cols)], *[F.col(f"_{n}").alias(n) for n in _NEW])
@@ -380,7 +386,7 @@ def _heavy_from(counts: DataFrame, heavy: int) -> int:
 def _with_rare(out: DataFrame, rare: DataFrame, store: Store) -> DataFrame:
     """Adds the counts of rare pairs: their links meet the pairs by a shuffle and are added up by row."""
     rows = store.cut(out.withColumn("_row", F.monotonically_increasing_id()))
-    links = rows.filter("_rare is not null").select("_row", F.explode("_rare").alias("pair"))
+    links = rows.select("_row", F.explode("_rare").alias("pair"))
     rare = rare.select(F.shiftleft("a", _SHIFT).bitwiseOR(F.col("b")).alias("pair"), "n", F.col("best").cast("long").alias("best"))
     more = links.join(rare, "pair").groupBy("_row").agg(F.sum("n").alias("_more"), F.sum("best").alias("_more_best"))
     zero = F.lit(0).cast("long")
