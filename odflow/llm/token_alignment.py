@@ -34,10 +34,11 @@ from tokenizers import Tokenizer
 
 from odflow.llm.textarrays import slabs
 from odflow.llm.token_counts import byte_characters
+from odflow.llm.workers import release, tidy
 from odflow.store import Store
 
 #: Most pairs that are broadcast (17 bytes each); units a worker keeps (with ten links each at most); bytes of units read together.
-HEAVY, KEPT, JOINED = 1_000_000, 1_200_000, 1 << 13
+HEAVY, KEPT, JOINED = 1_000_000, 600_000, 1 << 13
 _SLAB = 2 << 20
 #: Links looked up at once (or those of one text); pair counts in a row of the stored table.
 _LINKS, _PAIRS_A_ROW = 1 << 20, 1 << 14
@@ -298,6 +299,8 @@ def _price(heavy, n_cols: int, names: list[str]):
         return [pa.array(_run_sums(top, at), pa.int64()), pa.array(_run_sums(n, at), pa.int64()), rare]
 
     def run(batches):
+        _WORKER.clear()  # texts are read: the worker needs no units any more
+        release()
         for batch in batches:
             a, b = batch.column(n_cols), batch.column(n_cols + 1)
             at = np.asarray(a.offsets, dtype=np.int64)
@@ -356,7 +359,7 @@ def align_tokens(docs: DataFrame, bpe_path: str, pieces_path: str, text_col: str
     counted = [T.StructField(n, long) for n in ("_n_a", "_n_b", "_n_groups", "_n_links")] + [T.StructField("_groups_sha256", T.StringType())]
     schema = T.StructType([*carried, *counted, T.StructField("_a", ids), T.StructField("_b", ids),
                            T.StructField("_pairs", longs), T.StructField("_ns", longs)])
-    read = store.cut(src.mapInArrow(_read(shared, len(cols), schema.names), schema))
+    read = store.cut(src.mapInArrow(tidy(_read(shared, len(cols), schema.names)), schema))
     counts = store.cut(pair_counts(read.filter("_pairs is not null").select("_pairs", "_ns"), store))
     least = _heavy_from(counts, heavy)
     frequent = counts.filter(F.col("n") >= least).select(F.shiftleft("a", _SHIFT).bitwiseOR(F.col("b")).alias("pair"), "n", "best")
@@ -366,7 +369,7 @@ def align_tokens(docs: DataFrame, bpe_path: str, pieces_path: str, text_col: str
     known = [*carried, *counted]
     schema = T.StructType([*known, T.StructField("_n_best", long), T.StructField("_count_sum", long), T.StructField("_rare", longs)])
     texts = read.filter("_pairs is null").select(*[f.name for f in known], "_a", "_b")
-    out = texts.mapInArrow(_price(table, len(known), schema.names), schema)
+    out = texts.mapInArrow(tidy(_price(table, len(known), schema.names)), schema)
     if least > 1 and not counts.filter(F.col("n") < least).isEmpty():
         out = _with_rare(out, counts.filter(F.col("n") < least), store)
     return out.select(*[F.col(a).alias(c) for c, a in zip(keep, cols)], *[F.col(f"_{n}").alias(n) for n in _NEW])
