@@ -27,6 +27,7 @@ from itertools import chain, repeat
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -243,14 +244,27 @@ def _aligner(shared) -> Aligner:
     return _WORKER["aligner"]
 
 
+def pack(links: np.ndarray, at: np.ndarray, wide: bool) -> list[bytes]:
+    """The links of each text as compressed id pairs: two bytes an id, four if a vocabulary is ``wide``; nothing for no links."""
+    ids = np.stack((links >> _SHIFT, links & ((1 << _SHIFT) - 1)), axis=1).astype("<u4" if wide else "<u2")
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    return [squeeze(ids[a:b].tobytes()) if a < b else b"" for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def unpack(packed: list[bytes], n: int) -> np.ndarray:
+    """The ``n`` links that several packed texts hold, back to back."""
+    unsqueeze = zstandard.ZstdDecompressor().decompress
+    raw = b"".join([unsqueeze(p) for p in packed if p])
+    ids = np.frombuffer(raw, dtype="<u4" if len(raw) == 8 * n else "<u2").reshape(-1, 2).astype(np.int64)
+    return ids[:, 0] << _SHIFT | ids[:, 1]
+
+
 def _read(shared, n_cols: int, names: list[str]):
     """Task function: carried columns and text -> the same with counts, digest and links of every text, then rows of partial pair counts."""
 
-    def row_batch(carried, values, sha, links, at):
-        offsets = pa.array(at, pa.int32())
-        ids = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (links >> _SHIFT, links & ((1 << _SHIFT) - 1))]
-        none = pa.nulls(len(sha), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([*carried, *[pa.array(v, pa.int64()) for v in values], pa.array(sha, pa.string()), *ids, none, none], names)
+    def row_batch(carried, values, sha, links, at, wide):
+        packed, none = pa.array(pack(links, at, wide), pa.binary()), pa.nulls(len(sha), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([*carried, *[pa.array(v, pa.int64()) for v in values], pa.array(sha, pa.string()), packed, none, none], names)
 
     def pair_batches(aligner: Aligner, types):
         pairs, of = np.unique(aligner.links, return_inverse=True)
@@ -259,11 +273,12 @@ def _read(shared, n_cols: int, names: list[str]):
         pairs, n = pairs[n > 0], n[n > 0]
         for at in range(0, len(pairs), _PAIRS_A_ROW):
             lists = [pa.array([x[at:at + _PAIRS_A_ROW]], pa.list_(pa.int64())) for x in (pairs, n)]
-            empty = [pa.nulls(1, t) for t in [*types, *[pa.int64()] * 4, pa.string(), *[pa.list_(pa.int32())] * 2]]
+            empty = [pa.nulls(1, t) for t in [*types, *[pa.int64()] * 4, pa.string(), pa.binary()]]
             yield pa.RecordBatch.from_arrays([*empty, *lists], names)
 
     def run(batches):
         aligner, types = _aligner(shared), None
+        wide = max(len(aligner.a_bytes), len(aligner.b_bytes)) > 1 << 16
         aligner.hits[:] = 0
         for batch in batches:
             types = [c.type for c in batch.columns[:n_cols]]
@@ -276,7 +291,7 @@ def _read(shared, n_cols: int, names: list[str]):
                 values = [_run_sums(v, bounds) for v in (*aligner.numbers[:, got], lens)]
                 links = aligner.links[_ranges(aligner.bounds[got], lens)]
                 carried = [c.slice(first, end - first) for c in batch.columns[:n_cols]]
-                yield row_batch(carried, values, sha, links, np.concatenate(([0], np.cumsum(values[3]))))
+                yield row_batch(carried, values, sha, links, np.concatenate(([0], np.cumsum(values[3]))), wide)
                 if aligner.full:
                     yield from pair_batches(aligner, types)
                     aligner.trim()
@@ -288,7 +303,7 @@ def _read(shared, n_cols: int, names: list[str]):
 
 
 def _price(heavy, n_cols: int, names: list[str]):
-    """Task function: carried columns and links of texts -> carried columns, best links and sum of counts of heavy pairs, links of rare pairs."""
+    """Task function: carried columns (the number of links last) and packed links of texts -> carried columns, best links and sum of counts of heavy pairs, links of rare pairs."""
 
     def price(keys: np.ndarray, at: np.ndarray):
         pairs, counts, best = heavy.value
@@ -302,14 +317,13 @@ def _price(heavy, n_cols: int, names: list[str]):
         _WORKER.clear()  # texts are read: the worker needs no units any more
         release()
         for batch in batches:
-            a, b = batch.column(n_cols), batch.column(n_cols + 1)
-            at = np.asarray(a.offsets, dtype=np.int64)
+            at = np.concatenate(([0], np.cumsum(batch.column(n_cols - 1).to_numpy())))
             first = 0
             while first < len(batch):  # some rows at a time: as many as hold ``_LINKS`` links, one at least
                 end = max(first + 1, int(np.searchsorted(at, at[first] + _LINKS, "right")) - 1)
-                x, y = (c.slice(first, end - first).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in (a, b))
+                keys = unpack(batch.column(n_cols).slice(first, end - first).to_pylist(), int(at[end] - at[first]))
                 carried = [c.slice(first, end - first) for c in batch.columns[:n_cols]]
-                yield pa.RecordBatch.from_arrays([*carried, *price(x << _SHIFT | y, at[first:end + 1] - at[first])], names)
+                yield pa.RecordBatch.from_arrays([*carried, *price(keys, at[first:end + 1] - at[first])], names)
                 first = end
 
     return run
@@ -355,9 +369,9 @@ def align_tokens(docs: DataFrame, bpe_path: str, pieces_path: str, text_col: str
     cols = [f"c{i}" for i in range(len(keep))]
     src = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(keep, cols)], F.col(f"`{text_col}`").cast("string").alias("_text"))
     carried = [T.StructField(f.name, f.dataType) for f in src.schema.fields[:-1]]
-    long, ids, longs = T.LongType(), T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
+    long, longs = T.LongType(), T.ArrayType(T.LongType())
     counted = [T.StructField(n, long) for n in ("_n_a", "_n_b", "_n_groups", "_n_links")] + [T.StructField("_groups_sha256", T.StringType())]
-    schema = T.StructType([*carried, *counted, T.StructField("_a", ids), T.StructField("_b", ids),
+    schema = T.StructType([*carried, *counted, T.StructField("_links", T.BinaryType()),
                            T.StructField("_pairs", longs), T.StructField("_ns", longs)])
     read = store.cut(src.mapInArrow(tidy(_read(shared, len(cols), schema.names)), schema))
     counts = store.cut(pair_counts(read.filter("_pairs is not null").select("_pairs", "_ns"), store))
@@ -366,9 +380,9 @@ def align_tokens(docs: DataFrame, bpe_path: str, pieces_path: str, text_col: str
     got = frequent.toPandas().sort_values("pair")  # at most ``heavy`` rows
     table = spark.sparkContext.broadcast((got["pair"].to_numpy(np.int64), got["n"].to_numpy(np.int64), got["best"].to_numpy(bool)))
 
-    known = [*carried, *counted]
+    known = [*carried, *(f for f in counted if f.name != "_n_links"), T.StructField("_n_links", long)]
     schema = T.StructType([*known, T.StructField("_n_best", long), T.StructField("_count_sum", long), T.StructField("_rare", longs)])
-    texts = read.filter("_pairs is null").select(*[f.name for f in known], "_a", "_b")
+    texts = read.filter("_pairs is null").select(*[f.name for f in known], "_links")
     out = texts.mapInArrow(tidy(_price(table, len(known), schema.names)), schema)
     if least > 1 and not counts.filter(F.col("n") < least).isEmpty():
         out = _with_rare(out, counts.filter(F.col("n") < least), store)

@@ -131,6 +131,17 @@ def test_spans_are_refined_inside_characters():
     assert A.byte_ends(np.array([1, 1, 1, 1]), np.array([1, 1, 1, 4])).tolist() == [1, 2, 3, 4]
 
 
+def test_packed_links_come_back():
+    at = np.array([0, 2, 2, 5])
+    for wide, most in ((False, 1 << 16), (True, 1 << 20)):
+        links = np.array([[1, 0], [most - 1, 7], [3, most - 1], [3, 3], [0, 0]], dtype=np.int64)
+        links = links[:, 0] << 32 | links[:, 1]
+        packed = A.pack(links, at, wide)
+        assert packed[1] == b"" and A.unpack(packed, 5).tolist() == links.tolist()
+        assert A.unpack(packed[2:], 3).tolist() == links[2:].tolist()
+    assert A.unpack([b""], 0).tolist() == []
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(1, "a b", 7, "x"), (1, "a b", 7, "x"), (None, None, None, None)], "doc_id long, text string, n_a int, pair string")
     out = A.align_tokens(df, BPE, PIECES)
