@@ -24,6 +24,8 @@ from odflow.functions.columns import PAYMENT_TYPE_LABELS
 from odflow.operators import chain, links, outliers, pairs, profile, quantiles
 from odflow.roles import TripRoles
 from odflow.sources.parquet import load_trips, schema_report
+from odflow.sources.published import publish_result, read_result, retire_versions
+from odflow.store import Store
 
 CHAIN_GAP = 300
 #: Rides a slice aims at in these queries: few enough that the smallest test table gives several slices.
@@ -339,6 +341,16 @@ def q_load_by_name(spark, sf):
     return load_trips(spark, sf, "name", names=["region.parquet", "nation.parquet"])
 
 
+def q_published_result(spark, sf):
+    """Two versions of a result are published; the last one is checked against its manifest and read."""
+    path = f"{Store(spark, 'published').root}/orders"
+    orders = table(spark, sf, "orders")
+    publish_result(orders.filter("o_totalprice < 0"), path)
+    publish_result(orders, path)
+    retire_versions(spark, path)
+    return read_result(spark, path, verify=True)
+
+
 def q_pair_totals_revenue(spark, sf):
     """A measure with more than two decimals."""
     li = table(spark, sf, "lineitem")
@@ -429,6 +441,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chronological_ids": q_chronological_ids,
     "load_by_position": q_load_by_position,
     "load_by_name": q_load_by_name,
+    "published_result": q_published_result,
     "pair_totals_revenue": q_pair_totals_revenue,
     "distribution_labelled_double": q_distribution_labelled_double,
     "distribution_ranked": q_distribution_ranked,
@@ -612,6 +625,7 @@ ORACLE["prepared_trips"] = f"""SELECT * FROM ({CHAIN_SQL} AND value <= 200.0
 ORACLE["chronological_ids"] = f"SELECT count(*) AS trips, CAST(0 AS BIGINT) AS out_of_order FROM ({CHAIN_SQL}) WHERE d >= p"
 ORACLE["load_by_position"] = ORACLE["union_by_position"]
 ORACLE["load_by_name"] = "SELECT * FROM region UNION ALL BY NAME SELECT * FROM nation"
+ORACLE["published_result"] = "SELECT * FROM orders"
 ORACLE["pair_totals_revenue"] = f"""WITH src AS ({PAIR_SQL.replace('l_quantity AS', 'l_quantity / 8 AS').replace(
     'l_extendedprice AS', 'round(l_extendedprice * l_discount, 4) AS')}), {_pair_totals_sql('')}
 SELECT origin, dest, total_amount_sum, trip_count, avg_distance, avg_amount FROM tot"""
