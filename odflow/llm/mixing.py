@@ -86,7 +86,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP,
         block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: str = SEED,
         keep_text: bool = True) -> DataFrame:
-    """Documents (input columns of the same names replaced) with size, source_size, target and taken.
+    """Documents (input columns of the same names, whatever their case, replaced; all others kept as they are) with size, source_size, target and taken.
 
     ``taken`` are the words the mix takes from a document, repeats counted: a shard whose blocks hold
     c times its words and r more gives c whole copies of each document, and r words from the documents
@@ -139,14 +139,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
                     F.col("a.size").alias("end_size"), (F.col("s.rest") - F.col("a.before")).alias("end_words")))
     ends = store.cut(ends.select(F.col("source").alias("_source"), "shard", "copies", "end_rank", "end_size", "end_words"))
 
+    # The input row travels as one struct, so its columns may have any names.
     if keep_text:
-        base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names],
-                           F.col(f"`{source_col}`").alias("_src"), rank.alias("rank"),
+        kept = [c for c in docs.columns if c.lower() not in names]
+        row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+        base = docs.select(row.alias("row"), F.col(f"`{source_col}`").alias("_src"), rank.alias("rank"),
                            n_words(F.col(f"`{text_col}`")).alias("size"))
-        id_cols = [c for c in docs.columns if c not in names]
     else:
-        base = narrow.select(F.col("id").alias(id_col), F.col("source").alias("_src"), "rank", "size")
-        id_cols = [id_col]
+        kept = [id_col]
+        base = narrow.select(F.struct(F.col("id").alias("c0")).alias("row"), F.col("source").alias("_src"), "rank", "size")
     totals = plan.select(F.col("source").alias("_s"), "shards", F.col("source_size").cast("long").alias("source_size"), "target")
     dealt = (base.join(totals, F.col("_src").eqNullSafe(F.col("_s"))).drop("_s")
              .withColumn("_shard", _shard(F.col("rank"), F.col("shards"))).drop("shards"))
@@ -155,4 +156,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
              .when(F.col("rank") == F.col("end_rank"), F.floor(F.col("size") * F.col("end_words") / F.col("end_size")))
              .otherwise(0))
     taken = F.coalesce(F.col("copies") * F.col("size") + extra, F.lit(0)).cast("long")
-    return out.select(*id_cols, "size", "source_size", "target", taken.alias("taken"))
+    return out.select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(kept)], "size", "source_size", "target", taken.alias("taken"))

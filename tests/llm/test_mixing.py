@@ -82,3 +82,18 @@ def test_apportionment_is_by_highest_quotients(spark):
     df = spark.createDataFrame([(g, k, v, seats[g]) for g, k, v in parties], "g int, k int, v long, s long")
     got = {(r.g, r.k): r.q for r in apportion(df, ["g"], [F.col("k")], "v", "s", "q").collect()}
     assert got == want
+
+
+def test_any_extra_column_names(spark):
+    data = rows(5)
+    plain = spark.createDataFrame(data, "doc_id int, source string, text string")
+    clash = ["rank", "shard", "shards", "copies", "end_rank", "end_size", "end_words", "row", "id", "group", "a.b", "_s", "_src", "_source",
+             "_shard", "c0", "Size", "target", "taken", "source_size"]
+    wide = plain.selectExpr("*", *[f"{k} as `{c}`" for k, c in enumerate(clash)])
+    out = mix(wide, shard_words=500)
+    kept = [c for c in clash if c.lower() not in ("size", "target", "taken", "source_size")]
+    assert out.columns == ["doc_id", "source", "text", *kept, "size", "source_size", "target", "taken"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    want = {r["doc_id"]: r for r in mix(plain, shard_words=500).collect()}
+    assert {i: (r["size"], r["target"], r["taken"]) for i, r in got.items()} == {i: (r["size"], r["target"], r["taken"]) for i, r in want.items()}
+    assert all(r[c] == clash.index(c) for r in got.values() for c in kept)
