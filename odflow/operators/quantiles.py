@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from odflow.store import Store
+
 _BUCKETS = 4096  # per column; step 3 reads about 1/_BUCKETS of a column per wanted quantile
 _CELLS = 256  # parts, about equally many values each, a wanted bucket is cut into before its values are put in order
 
@@ -87,11 +89,19 @@ def exact_quantiles(df: DataFrame, cols, probs, buckets: int = _BUCKETS) -> Data
     ``cols`` are column names or (label, Column) pairs. Steps 1 and 2 run eagerly; the returned DataFrame is
     the lazy step 3. A column without values has null quantiles.
     """
-    spark = df.sparkSession
     named = _named(df, cols)
     kind = _common_type(df, named)
+    return pick_quantiles(df, cols, kind, probs, _bucket_counts(df, named, kind, buckets))
+
+
+def pick_quantiles(df: DataFrame, cols, kind: T.DataType, probs, by_col: dict, store: Store | None = None) -> DataFrame:
+    """Step 3: (column, p, value) from the exact bucket counts ``by_col`` of step 2, {column number: [(order, lo, hi, n)]}.
+
+    The counts per value are used three times. With ``store`` they are written once, else Spark's reuse of the exchange is relied on.
+    """
+    spark = df.sparkSession
+    named = _named(df, cols)
     probs = [float(p) for p in probs]
-    by_col = _bucket_counts(df, named, kind, buckets)
     targets = []  # (cid, column, pi, p, lo, hi, local_rank)
     for cid, (label, _) in enumerate(named):
         rs = [r[1:] for r in sorted(by_col.get(cid, []), key=lambda r: r[0])]  # in value order
@@ -119,6 +129,8 @@ def exact_quantiles(df: DataFrame, cols, probs, buckets: int = _BUCKETS) -> Data
     long_pred = _any_between([(F.col("v"), "v", lo, hi) for _, lo, hi in wanted], [cid for cid, _, _ in wanted])
     local = (_long_form(df.where(raw_pred), named, kind).where(long_pred)
              .groupBy("cid", "v").agg(F.count(F.lit(1)).alias("c")))
+    if store is not None:
+        local = store.cut(local)
     t = tdf.where(F.col("k").isNotNull()).alias("t")
     joined = local.alias("h").join(
         F.broadcast(t),  # at most #columns x #probs rows
@@ -152,21 +164,12 @@ def _bucket_counts(df: DataFrame, named, kind: T.DataType, buckets: int) -> dict
     histogram of all values. The sketch only balances the buckets: lo, hi and n
     are observed exactly, so the quantiles do not depend on it. NaN values get
     a bucket of their own after all others (NaN sorts last)."""
-    from pyspark.ml.feature import Bucketizer
-
-    acc, several = max(10000, 2 * buckets), range(len(named))
+    several = range(len(named))
     wide = df.select(*[e.cast("double").alias(f"x{i}") for i, (_, e) in enumerate(named)],
                      *[e.cast(kind).alias(f"v{i}") for i, (_, e) in enumerate(named)])
-    # The grid goes to the JVM as SQL text: a Python list costs one round trip per element.
-    grid = ", ".join(f"{i / buckets!r}D" for i in range(1, max(2, buckets)))
-    row = wide.agg(*[F.expr(f"percentile_approx(x{i}, array({grid}), {acc})").alias(f"g{i}") for i in several]).first()
-    splits = []
-    for i in several:
-        cuts = sorted({float(x) for x in (row[f"g{i}"] or []) if x is not None and math.isfinite(x)})
-        splits.append([-math.inf, *(cuts or [0.0]), math.inf])
-    bz = Bucketizer(splitsArray=splits, inputCols=[f"x{i}" for i in several], outputCols=[f"b{i}" for i in several], handleInvalid="keep")
+    row = wide.agg(*cut_aggregates([f"x{i}" for i in several], buckets)).first()
     items = [F.struct(F.lit(i).alias("cid"), F.col(f"b{i}").cast("int").alias("b"), F.col(f"v{i}").alias("v")) for i in several]
-    rows = (bz.transform(wide).select(F.inline(F.array(*items))).where(F.col("v").isNotNull())
+    rows = (with_buckets(wide, [f"x{i}" for i in several], row).select(F.inline(F.array(*items))).where(F.col("v").isNotNull())
             .groupBy("cid", "b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"))
             .collect())  # at most #columns x (buckets + 1) rows
     by_col: dict = {}
@@ -175,6 +178,24 @@ def _bucket_counts(df: DataFrame, named, kind: T.DataType, buckets: int) -> dict
     return by_col
 
 
+def cut_aggregates(xs: list[str], buckets: int = _BUCKETS) -> list[Column]:
+    """Aggregates g0, g1, ... of the cut points of double columns ``xs``, for ``with_buckets``."""
+    # The grid goes to the JVM as SQL text: a Python list costs one round trip per element.
+    grid = ", ".join(f"{i / buckets!r}D" for i in range(1, max(2, buckets)))
+    return [F.expr(f"percentile_approx({x}, array({grid}), {max(10000, 2 * buckets)})").alias(f"g{i}") for i, x in enumerate(xs)]
+
+
+def with_buckets(wide: DataFrame, xs: list[str], row) -> DataFrame:
+    """``wide`` with the bucket b0, b1, ... (double) of each column of ``xs``, cut at the points of ``row``."""
+    from pyspark.ml.feature import Bucketizer
+
+    splits = []
+    for i in range(len(xs)):
+        cuts = sorted({float(x) for x in (row[f"g{i}"] or []) if x is not None and math.isfinite(x)})
+        splits.append([-math.inf, *(cuts or [0.0]), math.inf])
+    return Bucketizer(splitsArray=splits, inputCols=xs, outputCols=[f"b{i}" for i in range(len(xs))], handleInvalid="keep").transform(wide)
+
+
 def _sql_name(cols, cid: int) -> str | None:
     """SQL text of column ``cid`` if it was given by name, else None."""
     c = list(cols)[cid]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from odflow.functions.columns import PAYMENT_TYPE_LABELS
-from odflow.operators import chain, links, outliers, pairs, profile, quantiles
+from odflow.operators import chain, full_profile, links, outliers, pairs, profile, quantiles, sketches
 from odflow.roles import TripRoles
 from odflow.sources.parquet import load_trips, schema_report
 from odflow.sources.published import publish_result, read_result, retire_versions
@@ -380,6 +380,33 @@ def q_trip_profile(spark, sf):
     return profile.profile_table(table(spark, sf, "customer"), ["c_nationkey", "c_mktsegment"], ["c_acctbal"])
 
 
+def _month_sketches(spark, sf):
+    """Sketches per ship year of two columns, stored one year group after the other and read back."""
+    li = table(spark, sf, "lineitem")
+    path = f"{Store(spark, 'sketches').root}/years"
+    year = F.year("l_shipdate")
+    for group in (0, 1, 2):  # three loads, the last one repeats the second
+        some = li.where(F.coalesce(year % 2, F.lit(0)) == (group if group < 2 else 1))
+        sketches.add_sketches(sketches.sketch_parts(some, ["l_extendedprice", "l_quantity"], year), path)
+    return li, sketches.read_sketches(spark, path)
+
+
+def q_sketch_parts(spark, sf):
+    return _month_sketches(spark, sf)[1].select("part", "column", "n")
+
+
+def q_sketch_bounds(spark, sf):
+    li, kept = _month_sketches(spark, sf)
+    return sketches.sketches_within_bounds(li, ["l_extendedprice", "l_quantity"], kept)
+
+
+def q_full_profile(spark, sf):
+    """Every profile section over the events, with the trip's end as ``done``."""
+    ev = table(spark, sf, "events").withColumn("done", F.timestamp_seconds(F.unix_timestamp("ts") + F.floor("value")).cast("timestamp_ntz"))
+    return full_profile.full_profile(ev.withColumn("change", F.col("value") - 5), ["event_type", "user_id"], ["value", "change"], "ts", "done",
+                                     "2024-01", ("change", "event_type"), {"user_id": PAYMENT_TYPE_LABELS})
+
+
 def q_best_predecessor(spark, sf):
     """J2 with the trip's duration as value."""
     return links.best_predecessor(_chain_trips(spark, sf).withColumn("value", F.col("d") - F.col("p")), 3600)
@@ -448,6 +475,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_counts_ranked": q_period_counts_ranked,
     "quantile_approx_bounds": q_quantile_approx_bounds,
     "trip_profile": q_trip_profile,
+    "full_profile": q_full_profile,
+    "sketch_parts": q_sketch_parts,
+    "sketch_bounds": q_sketch_bounds,
     "best_predecessor": q_best_predecessor,
     "link_counts": q_link_counts,
     "link_summary": q_link_summary,
@@ -648,6 +678,52 @@ ORACLE["trip_profile"] = "\nUNION ALL\n".join(
     + [f"SELECT 'distribution', '{c}', CAST({c} AS VARCHAR), CAST(count(*) AS DOUBLE) FROM customer GROUP BY {c}"
        for c in ("c_nationkey", "c_mktsegment")])
 
+ORACLE["sketch_parts"] = "\nUNION ALL\n".join(
+    f"""SELECT CAST(year(l_shipdate) AS VARCHAR) AS part, '{c}' AS "column", count({c}) AS n FROM lineitem GROUP BY 1"""
+    for c in ("l_extendedprice", "l_quantity"))
+ORACLE["sketch_bounds"] = ORACLE["quantile_approx_bounds"]
+
+
+def _full_profile_sql() -> str:
+    qty = ("value", "change", "duration_minutes")
+    rows = "CAST(count(*) AS DOUBLE)"
+    no = "CAST(NULL AS DOUBLE)"
+    none = "CAST(NULL AS VARCHAR)"
+
+    def fact(section, column, item, number, share=False):
+        part = f"100.0 * CAST({number} AS DOUBLE) / {rows}" if share else no
+        return f"""SELECT '{section}' AS section, {f"'{column}'" if column else none} AS "column", '{item}' AS item, CAST({number} AS DOUBLE) AS number, {part} AS pct, {none} AS text FROM src"""
+
+    parts = [fact("rows", None, "count", "count(*)")]
+    parts += [fact("nulls", c, "null_count", f"count(*) FILTER (WHERE {c} IS NULL)", True)
+              for c in ("event_id", "ts", "user_id", "event_type", "value", "props", "done", "change")]
+    for c in qty:
+        parts += [fact("range", c, "min", f"min({c})"), fact("range", c, "max", f"max({c})"),
+                  fact("range", c, "negative_count", f"count(*) FILTER (WHERE {c} < 0)", True)]
+    parts.append(fact("range", "duration_minutes", "mean", "CAST(sum(secs) AS DOUBLE) / count(secs) / 60.0"))
+    inside = "coalesce(strftime(ts, '%Y-%m') = '2024-01', false)"
+    parts += [fact("period", "ts", "in_period", f"count(*) FILTER (WHERE {inside})", True),
+              fact("period", "ts", "out_period", f"count(*) FILTER (WHERE NOT {inside})", True)]
+    parts += [f"SELECT 'date_range', 'ts', '{n}_date', {no}, {no}, CAST(CAST({n}(ts) AS DATE) AS VARCHAR) FROM src" for n in ("min", "max")]
+    label = "CASE item " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PAYMENT_TYPE_LABELS.items()) + " ELSE 'Unknown code (' || item || ')' END"
+    expected = "CASE WHEN item = substr('2024-01', 1, length(item)) THEN 'expected' END"
+
+    def groups(section, column, item, text=none, where="true"):
+        return (f"SELECT '{section}', '{column}', item, n, 100.0 * n / sum(n) OVER (), {text} FROM "
+                f"(SELECT CAST({item} AS VARCHAR) AS item, {rows} AS n FROM src WHERE {where} GROUP BY 1)")
+
+    parts += [groups("distribution", "event_type", "event_type"), groups("negative_by", "event_type", "event_type", where="change < 0"),
+              groups("distribution", "user_id", "user_id", f"CASE WHEN item IS NOT NULL THEN {label} END")]
+    parts += [f"SELECT * FROM ({groups(s, 'ts', f'strftime(ts, {f!r})', expected)}) WHERE item IS NOT NULL" for s, f in (("month", "%Y-%m"), ("year", "%Y"))]
+    parts += [f"SELECT 'quantiles', '{c}', '{quantiles.prob_label(p)}', CAST(quantile_disc({c}, {p}) AS DOUBLE), {no}, {none} FROM src"
+              for c in qty for p in quantiles.PROFILE_PROBS]
+    return ("WITH ev AS (SELECT *, epoch_us(ts) // 1000000 AS start_s FROM events), src AS (SELECT * EXCLUDE (start_s), start_s + CAST(floor(value) AS BIGINT) AS done, "
+            "value - 5 AS change, CAST(floor(value) AS BIGINT) + 0 * start_s AS secs, (CAST(floor(value) AS BIGINT) + 0 * start_s) / 60.0 AS duration_minutes FROM ev)\n"
+            + "\nUNION ALL\n".join(parts))
+
+
+ORACLE["full_profile"] = _full_profile_sql()
+
 for _gap, _key in ((CHAIN_GAP, "longest_chain"), (3600, "longest_chain_3600"),
                    (3600, "longest_chain_3600_sliced")):
     ORACLE[_key] = _chain_sql(_gap) + """,
