@@ -21,17 +21,37 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
             "option": ({"option"}, {"select"})}
 
 _TOKEN = re.compile(r"<!--|<!|<\?|<(/?)([A-Za-z][A-Za-z0-9:-]*)", re.S)
-_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
-_REST = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*>""", re.S)
+#: Attributes as the HTML standard reads them: quotes count only right after the equals sign; elsewhere they are ordinary characters.
+_ATTR = re.compile(r"""(=?[^\s/>=]+|=)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|((?!["'])[^\s>]+)))?""")
+_REST = re.compile(r"""(?:[\s/]++|(?>=?[^\s/>=]++|=)(?>\s*+=\s*+(?>"[^"]*"|'[^']*'|(?=>)|(?!["'])[^\s>]++))?+)*+>""")
 _NAMES = re.compile(r"[a-z]+")
 
 
+class Open:
+    """An open element: name, path entry (its name and the words of class, id and role) and the element around it. Blocks share
+    these, so a page of any depth takes memory in proportion to its length."""
+
+    __slots__ = ("name", "entry", "parent")
+
+    def __init__(self, name: str, entry: str, parent: "Open | None"):
+        self.name, self.entry, self.parent = name, entry, parent
+
+
 @dataclass(slots=True)
 class Block:
     text: str
-    path: tuple[str, ...]
+    inside: Open | None
     link_chars: int
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Entries of the elements open where the block's text begins, outermost first."""
+        out, node = [], self.inside
+        while node is not None:
+            out.append(node.entry)
+            node = node.parent
+        return tuple(reversed(out))
+
 
 def _names(attributes: str) -> tuple[str, ...]:
     """Lower-case words of the class, id and role attributes."""
@@ -51,39 +71,46 @@ def blocks(page: str) -> list[Block]:
     head's title and other raw content are no text; unclosed ones, and a cut-off tag, reach to the end.
 
     The path has an entry for each element open where the block's text begins: its name, and the words of
-    its class, id and role.
+    its class, id and role. Time and memory grow with the page's length, however deep its elements lie.
     """
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []  # (element, path entry)
+    stack: list[Open] = []
+    places: dict[str, list[int]] = {}  # of each name's open elements in the stack
     pieces: list[str] = []
-    path: tuple[str, ...] = ()
+    inside: Open | None = None
+    begun = False
     links = 0
 
     def end_block() -> None:
-        nonlocal links, path
+        nonlocal links, inside, begun
         text = " ".join("".join(pieces).split())
         if text:
-            out.append(Block(text, path, links))
+            out.append(Block(text, inside, links))
         pieces.clear()
-        links, path = 0, ()
+        links, inside, begun = 0, None, False
 
     def add(raw: str) -> None:
-        nonlocal links, path
+        nonlocal links, inside, begun
         if raw:
             text = html.unescape(raw) if "&" in raw else raw
-            if not path and not text.isspace():
-                path = tuple(e for _, e in stack)
+            if not begun and not text.isspace():
+                inside, begun = stack[-1] if stack else None, True
             pieces.append(text)
-            if any(n == "a" for n, _ in stack):
+            if places.get("a"):
                 links += len("".join(text.split()))
 
-    def pop_to(names: set[str] | frozenset[str], stops: set[str]) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                del stack[k:]
-                return
-            if stack[k][0] in stops:
-                return
+    def last(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
+    def push(name: str, entry: str) -> None:
+        places.setdefault(name, []).append(len(stack))
+        stack.append(Open(name, entry, stack[-1] if stack else None))
+
+    def pop_to(names: set[str] | frozenset[str], stops: set[str] | frozenset[str]) -> None:
+        k = last(names)
+        if k >= 0 and k > last(stops):
+            while len(stack) > k:
+                places[stack.pop().name].pop()
 
     at, n = 0, len(page)
     while at < n:
@@ -108,16 +135,14 @@ def blocks(page: str) -> list[Block]:
         name = name.lower()
         if m.group(1):
             if name in INLINE:
-                if any(s[0] == name for s in stack):
-                    pop_to({name}, set(CLOSES_P))
+                pop_to({name}, CLOSES_P)
             else:
                 end_block()
-                if any(s[0] == name for s in stack):
-                    pop_to({name}, set())
+                pop_to({name}, set())
             continue
         if name in INLINE:
             if name not in VOID:
-                stack.append((name, name))
+                push(name, name)
             continue
         end_block()
         if name in RAW:
@@ -133,6 +158,6 @@ def blocks(page: str) -> list[Block]:
             pop_to({"p"}, {"button", "table", "td", "th"})
         if name in SIBLINGS:
             pop_to(*SIBLINGS[name])
-        stack.append((name, " ".join((name, *_names(attributes)))))
+        push(name, " ".join((name, *_names(attributes))))
     end_block()
     return out

@@ -22,10 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odflow.llm.html_blocks import Block, blocks
+from odflow.llm.html_blocks import Block, Open, blocks
 from odflow.llm.textarrays import ASCII_LOWER, NOT_SPACE, word_hashes, word_spans
+from odflow.llm.training import fit_in_task
+from odflow.llm.workers import tidy
 
-SAMPLE_PAGES, SAMPLE_CHARS, MADE_PAGES = 300, 30_000, 900
+SAMPLE_PAGES, SAMPLE_CHARS, SAMPLE_DEPTH, MADE_PAGES = 300, 30_000, 200, 900
+KEPT_PATHS = 20_000
 PATH_ROWS, WORD_ROWS, PATH_DIM, WORD_DIM, PLAIN, HIDDEN = 512, 512, 20, 6, 8, 20
 EPOCHS, BATCH, RATE, SEED = 6, 32, 0.01, 17
 #: Steps that one padded batch may hold when pages are labelled.
@@ -332,10 +335,21 @@ def made_page(rng: np.random.Generator, words: list[str]) -> tuple[str, list[tup
     return f"<html><head><title>{html.escape(run(4))}</title></head><body>{body}</body></html>", labels
 
 
+def _shallow(inside: Open | None) -> bool:
+    depth = 0
+    while inside is not None and depth <= SAMPLE_DEPTH:
+        inside, depth = inside.parent, depth + 1
+    return depth <= SAMPLE_DEPTH
+
+
+def fit_pages(sample: list[tuple[str, int]]) -> Labeller:
+    return train([page for page, _ in sample])
+
+
 def train(sample: list[str], made: int = MADE_PAGES, epochs: int = EPOCHS, seed: int = SEED) -> Labeller:
     """Labeller from a sample of raw pages (none is fine) and made ones."""
     rng = np.random.default_rng(seed)
-    own = [b for b in (blocks(p) for p in sample) if b]
+    own = [b for b in (blocks(p) for p in sample) if b and all(_shallow(x.inside) for x in b)]
     words = [w for page in own for b in page for w in b.text.split()[:60]] or [f"{a}{b}" for a in "ka lo mi ter an".split() for b in "s re nto li".split()]
     pages, labels = [Page.of(p) for p in own], [plain_labels(p) for p in own]
     for _ in range(made):
@@ -354,19 +368,45 @@ class Extractor:
     """Labels pages in batches of bounded size; the vectors of tag paths are kept up to a bound."""
 
     def __init__(self, model: Labeller):
-        self.model, self.paths = model, {}
-
-    def _path(self, path: tuple[str, ...]) -> np.ndarray:
-        v = self.paths.get(path)
-        if v is None:
-            if len(self.paths) > 20_000:
-                self.paths.clear()
-            rows = path_features(path)
-            v = self.paths[path] = self.model.p["path"][rows].sum(axis=0) / np.sqrt(len(rows))
-        return v
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        """Path number 0 is no element; a path is the number of the one around it and its own entry."""
+        self.known: dict[tuple[int, str], int] = {}
+        self.sums, self.counts, self.names = [np.zeros(PATH_DIM, np.float32)], [0], [("", "")]
+        self.vector: dict[int, np.ndarray] = {}
+
+    def _inner(self, around: int, entry: str) -> int:
+        n = self.known.get((around, entry))
+        if n is None:
+            n = self.known[around, entry] = len(self.sums)
+            words = entry.split()
+            rows = [_entry_hash(w, PATH_ROWS) for w in words]
+            self.sums.append(self.sums[around] + self.model.p["path"][rows].sum(axis=0))
+            self.counts.append(self.counts[around] + len(rows))
+            self.names.append((words[0], self.names[around][0]))
+        return n
+
+    def _path(self, inside: Open | None, seen: dict[Open, int]) -> np.ndarray:
+        """The embedding of ``path_features``, summed up along shared elements."""
+        chain = []
+        while inside is not None and inside not in seen:
+            chain.append(inside)
+            inside = inside.parent
+        k = seen[inside] if inside is not None else 0
+        for element in reversed(chain):
+            k = seen[element] = self._inner(k, element.entry)
+        if k not in self.vector:
+            rows = [_entry_hash(f"{i + 1}:{name}", PATH_ROWS) for i, name in enumerate(self.names[k]) if name] or [_entry_hash("(none)", PATH_ROWS)]
+            self.vector[k] = (self.sums[k] + self.model.p["path"][rows].sum(axis=0)) / np.sqrt(self.counts[k] + len(rows))
+        return self.vector[k]
 
     def _vectors(self, page: list[Block]) -> np.ndarray:
-        path = np.stack([self._path(b.path) for b in page])
+        if len(self.sums) > KEPT_PATHS:
+            self._forget()
+        seen: dict[Open, int] = {}
+        path = np.stack([self._path(b.inside, seen) for b in page])
         rows, at = _word_rows([b.text for b in page])
         words = np.add.reduceat(self.model.p["words"][rows], at[:-1], axis=0) / np.maximum(np.diff(at), 1)[:, None]
         return np.concatenate([path, words, plain_features(page)], axis=1).astype(np.float32)
@@ -390,14 +430,17 @@ class Extractor:
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """Pages (all columns but the HTML; same-named inputs replaced) with text and n_chars (code points).
 
-    The labeller is trained on at most ``sample_pages`` pages of at most ``SAMPLE_CHARS`` characters, chosen by a hash of their
-    ids, and on made pages. Null, empty and text-less pages give an empty text; repeated rows are labelled each for itself;
-    an empty table gives an empty result.
+    The labeller is trained, in one task, on at most ``sample_pages`` pages chosen by a hash of their ids, without those of more than
+    ``SAMPLE_CHARS`` characters or of elements more than ``SAMPLE_DEPTH`` deep, and on made pages. Null, empty and text-less pages give
+    an empty text; repeated rows are labelled each for itself; of a repeated id one page counts for the training; an empty table gives
+    an empty result.
     """
-    sample = (pages.filter(F.char_length(F.col(f"`{html_col}`")) <= SAMPLE_CHARS)
-              .select(F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")).alias("at"), F.col(f"`{html_col}`").alias("h"))
-              .orderBy("at", "h").limit(sample_pages).collect())  # bounded: sample_pages * SAMPLE_CHARS
-    shared = pages.sparkSession.sparkContext.broadcast(train([r["h"] for r in sample]))
+    at = F.md5(F.col(f"`{id_col}`").cast("string").cast("binary"))
+    ids = pages.select(at.alias("at")).filter("at is not null").distinct().orderBy("at").limit(sample_pages)
+    sample = (pages.select(at.alias("at"), F.col(f"`{html_col}`").alias("text")).filter(F.char_length("text") <= SAMPLE_CHARS)
+              .join(F.broadcast(ids), "at", "left_semi")  # at most sample_pages ids
+              .groupBy("at").agg(F.min("text").alias("text")).withColumn("y", F.lit(0)))
+    shared = pages.sparkSession.sparkContext.broadcast(fit_in_task(sample, fit_pages))
     keep = [c for c in pages.columns if c not in ("text", "n_chars", html_col)]
     cols = [f"c{i}" for i in range(len(keep))]
     src = pages.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(keep, cols)], F.col(f"`{html_col}`").alias("_html"))
@@ -410,5 +453,5 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", html_col: str =
                 texts = extractor.texts(part.column(len(cols)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(cols)], pa.array(texts, pa.string())], [*cols, "text"])
 
-    out = src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], T.StructField("text", T.StringType())]))
+    out = src.mapInArrow(tidy(run), T.StructType([*src.schema.fields[:-1], T.StructField("text", T.StringType())]))
     return out.select(*[F.col(a).alias(c) for c, a in zip(keep, cols)], "text", F.char_length("text").cast("long").alias("n_chars"))

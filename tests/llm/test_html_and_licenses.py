@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -19,6 +21,31 @@ def test_blocks():
     assert [b.text for b in blocks("x<!-- open")] == ["x"] and [b.text for b in blocks("1 < 2 <p>3")] == ["1 < 2", "3"]
 
 
+@pytest.mark.parametrize("tag, names", [
+    ("<p class=x title=today's>", "p x"), ("<p title=5\"x class='a b'>", "p a b"), ("<p a'b class=x>", "p x"), ("<p class = x id=\"y > z\">", "p x y z"),
+    ("<p class=>", "p"), ("<p =class class=x/>", "p x"), ("<p/class=x>", "p x"), ("<p title='it\"s' class=x>", "p x"), ("<p title=\"a'b\"class=x>", "p x")])
+def test_attributes_as_the_standard_reads_them(tag, names):
+    got = blocks(f"{tag}One sentence that's here.</p><p>Two \"quoted\".</p>")
+    assert [(b.text, b.path) for b in got] == [("One sentence that's here.", (names,)), ('Two "quoted".', ("p",))]
+
+
+def test_deep_pages_take_linear_time():
+    t0 = time.perf_counter()
+    page = blocks("<div>x " * 100_000 + "</b>" * 100_000)
+    assert len(page) == 100_000 and len(blocks("<p><b>" * 50_000 + "x")) == 1
+    rows = H.Extractor(H.Labeller())._vectors(page)
+    assert rows.shape[0] == 100_000 and time.perf_counter() - t0 < 30
+
+
+def test_path_vectors_equal_those_of_the_fit():
+    page = blocks('<html><body class=home>top<div id=main><p>a<ul><li>b<li class=x>c</ul></div><nav><a>d</a></nav>')
+    loose = blocks("no element<p>one</p>")
+    model = H.Labeller()
+    extractor = H.Extractor(model)
+    for blocks_ in (page, loose, page):
+        assert np.allclose(extractor._vectors(blocks_), model.vectors(H.Page.of(blocks_)), atol=1e-5)
+
+
 def test_gradients_by_differences():
     rng, pages, labels = np.random.default_rng(0), [], []
     while len(pages) < 3:
