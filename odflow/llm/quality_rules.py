@@ -55,15 +55,24 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(words) < window, F.lit(0).cast("long")).otherwise(let(hashes, covered))
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks")
+
+
 def rule_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents' other columns with the base counts; input columns with a count's name are replaced.
 
     n_words, word_chars, n_symbols, n_lines and n_dup_lines (lines with a word, and those equal to
     an earlier one), n_repeat_words, n_upper (A-Z), n_marks. A null text counts as empty.
     """
+    keep = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in {*COUNTS, text_col}]
+    return _row_counts(docs, text_col).select(*keep, *COUNTS)
+
+
+def _row_counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """The documents without their text as one struct ``row``, so that their columns may have any name, and the base counts."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks"]
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in {*names, text_col}]
+    keep = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    row = (F.struct(*keep) if keep else F.lit(None).cast("struct<none:int>")).alias("row")
 
     def counts(t: Column) -> Column:
         words = F.regexp_extract_all(t, F.lit(WORD), F.lit(0))
@@ -75,10 +84,10 @@ def rule_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.struct(of_words.alias("w"), of_lines.alias("l"), blank.alias("c"),
                         count_of(t, SYMBOLS).alias("s"), count_of(t, UPPER).alias("u"), count_of(t, MARKS).alias("m"))
 
-    one = docs.select(*keep, let(text, counts).alias("_n"))
+    one = docs.select(row, let(text, counts).alias("_n"))
     n = F.col("_n")
     values = [n["w"]["n"], n["c"], n["s"], n["l"]["n"], n["l"]["d"], n["w"]["r"], n["u"], n["m"]]
-    return one.select(*keep, *[v.alias(c) for v, c in zip(values, names)])
+    return one.select("row", *[v.alias(c) for v, c in zip(values, COUNTS)])
 
 
 def _share(part: str, whole: str) -> Column:
@@ -145,17 +154,20 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_
                   text_col: str = "text", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """Documents (all columns but the text) with their counts, base_failed, rejected_by and kept.
 
-    Null and empty texts have zero counts and fail the base rule (fewer than 20 words); a null stratum
-    is a stratum of its own; repeated rows are judged each for itself; without labels nothing is
-    certified and ``kept`` is the opposite of base_failed; an empty table gives an empty result.
+    Input columns named like one of these results are replaced; any other name is free. Null and empty texts have zero counts and
+    fail the base rule (fewer than 20 words); a null stratum is a stratum of its own; repeated rows are judged each for itself;
+    without labels nothing is certified and ``kept`` is the opposite of base_failed; an empty table gives an empty result.
     """
-    counts = Store(docs.sparkSession, "quality_rules").cut(rule_counts(docs, text_col))
-    cuts = certified_cutoffs(counts, labels, stratum, id_col, alpha, delta)
+    counts = Store(docs.sparkSession, "quality_rules").cut(_row_counts(docs, text_col))
+    row = F.col("row")
+    plain = counts.select(row.getField(stratum).alias("_stratum"), row.getField(id_col).alias("_doc"), *COUNTS)
+    cuts = certified_cutoffs(plain, labels.select(F.col(id_col).alias("_doc"), "quality"), "_stratum", "_doc", alpha, delta)
     cuts = cuts.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("metric", "cutoff"))).alias("cuts"))
-    cuts = cuts.withColumnRenamed("stratum", "_stratum")
     over = [F.when(METRICS[m]() > F.col("cuts")[m], F.lit(m)) for m in METRICS]
-    return (counts.join(cuts, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
-            .withColumn("base_failed", base_failed())
-            .withColumn("rejected_by", F.array_compact(F.array(*over)))
-            .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
-            .drop("_stratum", "cuts"))
+    judged = (counts.join(cuts, row.getField(stratum).eqNullSafe(F.col("stratum")), "left")
+              .withColumn("base_failed", base_failed())
+              .withColumn("rejected_by", F.array_compact(F.array(*over)))
+              .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)))
+    new = [*COUNTS, "base_failed", "rejected_by", "kept"]
+    keep = [row.getField(c).alias(c) for c in docs.columns if c not in {*new, text_col}]
+    return judged.select(*keep, *new)

@@ -9,7 +9,9 @@ values with them, mapped by the inverse square root of the landmarks' own kernel
 linear SVM gives units a margin, and a sentence is as bad as its worst unit. The SVM is trained on
 the sentences of labelled documents: all units of clean documents are on the clean side, and
 which sentences of a toxic document are toxic is settled in turns with the fit. A document's worst
-sentences, its units on the toxic side and its length go through a logistic calibration.
+sentences and its units on the toxic side go through a logistic calibration whose weights are positive, so a
+text never scores lower for one more unit on the toxic side, and one without any has the lowest score. (Letters
+spaced out in two words in a row are one run, so the second word may hide the first.)
 
 Kernel values of a unit and a landmark that share too few characters to matter count as 0; each
 distinct unit is evaluated once per worker. Texts are scored where they lie.
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odflow.llm.textarrays import ASCII_LOWER, NOT_SPACE, mix, slabs, word_hashes, word_spans
-from odflow.llm.training import fit_in_task, held_out, labelled_sample, logistic, logistic_fit
+from odflow.llm.training import fit_in_task, held_out, labelled_sample, logistic, rising_fit
 from odflow.llm.workers import tidy
 
 ORDER, DECAY = 3, 0.6
@@ -46,6 +48,9 @@ RATIO = 8
 SURE = 0.4
 #: Worst sentences of a text that its score looks at.
 WORST = 3
+EVIDENCE = WORST + 2
+#: Every kind of evidence weighs at least this much in the calibration, so no score falls with more of it.
+LEAST_WEIGHT = 0.05
 THRESHOLD = 0.7
 SVM_COST, RIDGE = 100.0, 0.03
 KEPT_UNITS = 200_000
@@ -77,21 +82,20 @@ def _codes(strings: list[str], width: int, pad: int) -> np.ndarray:
 
 def subsequence_kernel(s: np.ndarray, t: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
     """Gap-weighted subsequence kernel of row pairs of two code matrices (padding must not match)."""
-    n, ls = s.shape
-    lt = t.shape[1]
+    s, t = np.ascontiguousarray(s.T), np.ascontiguousarray(t.T)
+    same = s[:, None, :] == t[None, :, :]
     d2 = np.float32(decay * decay)
     decay = np.float32(decay)
-    same = s[:, :, None] == t[:, None, :]
-    part = np.ones((n, ls + 1, lt + 1), dtype=np.float32)
+    part = same * d2  # [i, j] weighs the common subsequences of one character that end at or before i and j
     for level in range(1, order):
-        new = np.zeros_like(part)
-        for i in range(1, ls + 1):
-            run = np.zeros(n, dtype=np.float32)
-            for j in range(1, lt + 1):
-                run = decay * run + np.where(same[:, i - 1, j - 1], d2 * part[:, i - 1, j - 1], np.float32(0))
-                new[:, i, j] = decay * new[:, i - 1, j] + run
-        part = new
-    return (same * part[:, :-1, :-1]).sum(axis=(1, 2), dtype=np.float32) * d2
+        for j in range(1, part.shape[1]):
+            part[:, j] += decay * part[:, j - 1]
+        for i in range(1, part.shape[0]):
+            part[i] += decay * part[i - 1]
+        longer = np.zeros_like(part)
+        np.multiply(part[:-1, :-1], d2, out=longer[1:, 1:], where=same[1:, 1:])
+        part = longer
+    return part.sum(axis=(0, 1), dtype=np.float32)
 
 
 def _buckets(codes: np.ndarray) -> np.ndarray:
@@ -241,12 +245,19 @@ class ToxicityModel:
         return out
 
 
-def _evidence(margin: np.ndarray, sentence: np.ndarray, text: np.ndarray, n: int, constant: float) -> np.ndarray:
-    """Rows of the logistic calibration: each text's worst sentences (a sentence is as bad as its worst unit),
-    its units that are surely toxic, and its length if there are any."""
-    out = np.full((n, WORST + 2), np.clip(constant, -2.0, 1.0))
-    out[:, WORST] = np.log1p(np.bincount(text[margin > SURE], minlength=n))
-    out[:, WORST + 1] = np.where(out[:, WORST] > 0, np.log1p(np.bincount(text, minlength=n)), 0.0)
+def _whole(units: list[str]) -> np.ndarray:
+    """Units of two characters or more."""
+    return np.array([len(u) > 3 for u in units], dtype=bool)
+
+
+def _evidence(margin: np.ndarray, whole: np.ndarray, sentence: np.ndarray, text: np.ndarray, n: int, constant: float) -> np.ndarray:
+    """Rows of the logistic calibration: each text's worst sentences (a sentence is as bad as its worst unit), and its units that
+    are surely toxic, as a count and as a percentage of them and the clean units (``whole`` ones, so not the letters of a spaced
+    word). Another unit on the toxic side lowers none of them."""
+    out = np.full((n, EVIDENCE), np.clip(constant, -2.0, 1.0))
+    sure = np.bincount(text[margin > SURE], minlength=n)
+    out[:, WORST] = np.log1p(sure)
+    out[:, WORST + 1] = np.log1p(100 * sure / np.maximum(sure + np.bincount(text[whole & (margin <= 0)], minlength=n), 1))
     hit = np.flatnonzero(margin > constant)
     if len(hit):
         margin, sentence, text = margin[hit], sentence[hit], text[hit]
@@ -265,15 +276,20 @@ class Scorer:
 
     def __init__(self, model: ToxicityModel):
         self.model = model
-        self.units, self.margin = Units(), np.zeros(0)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.units, self.margin, self.whole = Units(), np.zeros(0), np.zeros(0, dtype=bool)
 
     def evidence(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Rows of the calibration for every text of a slab."""
         if len(self.units.number) > KEPT_UNITS:
-            self.units, self.margin = Units(), np.zeros(0)
+            self._forget()
         unit, sentence, text = self.units.split(data, off)
-        self.margin = np.concatenate((self.margin, self.model.margins(self.units.strings[len(self.margin):])))
-        return _evidence(self.margin[unit], sentence, text, len(off) - 1, self.model.constant)
+        new = self.units.strings[len(self.margin):]
+        self.margin = np.concatenate((self.margin, self.model.margins(new)))
+        self.whole = np.concatenate((self.whole, _whole(new)))
+        return _evidence(self.margin[unit], self.whole[unit], sentence, text, len(off) - 1, self.model.constant)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         rows = [self.evidence(data, off) for _, _, data, off in slabs(texts)]
@@ -385,7 +401,7 @@ def fit(sample: list[tuple[str, int]]) -> ToxicityModel:
     typical = tuple(chosen)
     if not chosen or y.min() == y.max():
         return ToxicityModel(Landmarks.of(["^none$"]), 1, np.zeros(1), 0.0,
-                             np.array([0.0] * (WORST + 2) + [np.log(share / (1 - share))]))
+                             np.array([0.0] * EVIDENCE + [np.log(share / (1 - share))]))
     # The clean units most like them, frequent ones first, are landmarks too, so that both sides of the border are.
     of_text, of_unit = _different(text, unit, len(units.strings))
     clean = np.bincount(of_unit[y[of_text] == 0], minlength=len(units.strings))  # clean texts with each unit
@@ -421,8 +437,8 @@ def fit(sample: list[tuple[str, int]]) -> ToxicityModel:
         margin[some] += x @ w[:-1]
         if ((before > 0) == (margin > 0)).all():
             break
-    rows = _evidence(margin[unit], sentence, text, len(y), float(w[-1]))
-    return ToxicityModel(marks, len(typical), root @ w[:-1], float(w[-1]), logistic_fit(rows, y, ridge=RIDGE))
+    rows = _evidence(margin[unit], _whole(units.strings)[unit], sentence, text, len(y), float(w[-1]))
+    return ToxicityModel(marks, len(typical), root @ w[:-1], float(w[-1]), rising_fit(rows, y, LEAST_WEIGHT, RIDGE))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -52,13 +52,14 @@ def fit_in_task(sample: DataFrame, fit: Callable):
     return fit([]) if row is None else pickle.loads(row["model"])
 
 
-def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
-    """Weights (last one the constant) of a logistic regression by Newton steps; classes weigh as they are."""
+def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60, base: np.ndarray | float = 0.0) -> np.ndarray:
+    """Weights (last one the constant) of a logistic regression by Newton steps; classes weigh as they are. ``base`` is
+    added to every row's sum."""
     x = np.column_stack([x, np.ones(len(x))])
     w, pen = np.zeros(x.shape[1]), np.full(x.shape[1], ridge * max(1, len(x)) / 100)
     pen[-1] = 1e-6
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
+        p = 1 / (1 + np.exp(-np.clip(x @ w + base, -35, 35)))
         grad = x.T @ (p - y) + pen * w
         hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag(pen + 1e-9)
         step = np.linalg.solve(hess, grad)
@@ -69,5 +70,23 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
     return w
 
 
+def rising_fit(x: np.ndarray, y: np.ndarray, least: float, ridge: float = 1e-2) -> np.ndarray:
+    """Logistic regression whose weights (not the constant) are ``least`` or more: the likeliest fit over all choices of columns
+    held at ``least``. For a handful of columns."""
+    best, loss, n = None, np.inf, x.shape[1]
+    for held in range(1 << n):
+        free = np.array([k for k in range(n) if not held >> k & 1], dtype=int)
+        w = np.full(n + 1, least)
+        fitted = logistic_fit(x[:, free], y, ridge, base=least * np.delete(x, free, axis=1).sum(axis=1))
+        w[free], w[-1] = fitted[:-1], fitted[-1]
+        if (w[:-1] < least - 1e-9).any():
+            continue
+        z = np.clip(x @ w[:-1] + w[-1], -35, 35)
+        cost = np.logaddexp(0, np.where(y == 1, -z, z)).sum() + ridge * max(1, len(x)) / 200 * (w[:-1] ** 2).sum()
+        if cost < loss:
+            best, loss = w, cost
+    return best
+
+
 def logistic(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -35, 35)))

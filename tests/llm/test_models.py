@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 from odflow.llm import quality_model as Q
 from odflow.llm import token_counts as C
 from odflow.llm import toxicity as X
+from odflow.llm.training import rising_fit
 
 SF = "/root/testdata/sf0.1"
 INSULTS = "idiot moron loser clown trash".split()
@@ -77,6 +78,40 @@ def test_held_out_documents(spark, model, column, least):
     assert got.agg(F.avg((F.col("predicted") == F.col(column)).cast("int"))).first()[0] > least
 
 
+def test_more_insults_never_lower_a_score(spark):
+    """Fitted on real labels: whatever is there before, another insult raises the score or leaves it, and none scores lowest."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = X.fit_in_task(X.labelled_sample(docs, labels, "toxic", 400, X.MAX_CHARS), X.fit)
+    assert (model.scale[:-1] >= X.LEAST_WEIGHT - 1e-9).all()
+    rng, scorer = random.Random(8), X.Scorer(model)
+    for _ in range(40):
+        w = words(rng, rng.randint(12, 300))
+        texts = [" ".join(w)]
+        for _ in range(6):
+            # Not beside spaced letters: the letters of two spaced words in a row are one run.
+            at = rng.choice([i for i in range(len(w) + 1) if not any(" " in x for x in w[max(0, i - 1):i + 1])])
+            w.insert(at, rng.choice([*INSULTS, "idxiot", "lo-ser", "moron.", "m o r o n"]))
+            texts.append(" ".join(w))
+        scores = scorer.scores(pa.array(texts))
+        assert (np.diff(scores) >= -1e-12).all(), (texts, scores)
+    empty, short, long = scorer.scores(pa.array(["", "you are an idiot", "a fine day in the park with friends " * 40 + "you are an idiot"]))
+    assert empty < long <= short
+
+
+def test_rising_fit_against_a_grid():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 2))
+    y = (x[:, 0] - 0.5 * x[:, 1] + rng.normal(size=400) > 0).astype(int)
+    w = rising_fit(x, y, 0.1, 0.5)
+
+    def cost(v):
+        v = np.array(v)
+        return np.logaddexp(0, np.where(y == 1, -1, 1) * (x @ v[:-1] + v[-1])).sum() + 0.5 * 400 / 200 * (v[:-1] ** 2).sum()
+
+    assert w[1] == 0.1 and all(cost(w) <= cost([a, b, c]) + 1e-6 for a in np.arange(0.1, 3, 0.1) for b in (0.1, 0.2, 0.5) for c in np.arange(-1, 1, 0.1))
+
+
 def test_kernel_by_enumeration():
     rng = random.Random(3)
 

@@ -67,3 +67,17 @@ def test_cutoffs_and_verdicts(spark):
     bare = {r.doc_id: r for r in R.quality_rules(d, y.limit(0)).collect()}
     assert all(r.kept is (not r.base_failed) for r in bare.values())
     assert R.quality_rules(d.limit(0), y).count() == 0
+
+
+def test_columns_with_clashing_names(spark):
+    rng = random.Random(4)
+    inner = ["cuts", "_stratum", "_n", "row", "stratum", "metric", "_doc", "_id", "_q", "quality", "good", "none"]
+    docs = spark.createDataFrame([(i, "en", " ".join(words(rng, 30)), *(f"{c}{i}" for c in inner), 77) for i in range(9)],
+                                 ", ".join(["doc_id long", "lang string", "text string", *(f"{c} string" for c in inner), "n_lines long"]))
+    labels = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, quality int")
+    out = R.quality_rules(docs, labels)
+    assert out.columns[:2 + len(inner)] == ["doc_id", "lang", *inner] and out.columns.count("n_lines") == 1
+    rows = out.collect()
+    assert len(rows) == 9 and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in inner) and {r.n_lines for r in rows} == {1}
+    only = R.quality_rules(docs.selectExpr("doc_id", "text", "lang as n_words"), labels, stratum="n_words")
+    assert only.count() == 9 and {r.n_words for r in only.collect()} == {30}
