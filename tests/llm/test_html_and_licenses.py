@@ -182,3 +182,50 @@ def test_sentence_on_many_lines_under_a_heading():
     for width in (1, 2, 3, 5):
         lines = "\n".join(" ".join(words[i:i + width]) for i in range(0, len(words), width))
         assert L.sentence_ids(lines) and [x[1] for x in L.sentence_ids("A heading\n" + lines)] == [x[1] for x in L.sentence_ids(lines)]
+
+
+@pytest.mark.parametrize("text, licences", [
+    ("This project is licensed under the MIT License.", ["MIT"]), ("The code is licensed under the Apache License, Version 2.0.", ["Apache-2.0"]),
+    ("# SPDX-License-Identifier: MIT OR Apache-2.0", ["MIT", "Apache-2.0"]), ("// SPDX-License-Identifier: GPL-2.0-or-later\nint x;", ["GPL-2.0"]),
+    ("/* SPDX-License-Identifier: (GPL-2.0+ WITH Classpath-exception-2.0) AND bsd-3-clause */", ["GPL-2.0", "BSD-3-Clause"]),
+    ("It is distributed under the terms of the\nGNU Lesser General Public License, version 2.1.", ["LGPL-2.1"]),
+    ("Text is available under CC BY-NC-SA 4.0 for all.", ["CC-BY-NC-SA-4.0"]),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", ["CC-BY-NC-SA-4.0"]),
+    ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+     "copyright notice and this permission notice appear in all copies.", ["ISC"]),
+    ("This is not licensed under the MIT License.", []), ("He was licensed under the old rules. The MIT License plates", []), ("SPDX-License-Identifier:", []),
+    ("Unlike the MIT license, this one is long.", []), ("0spdx0 licensed", [])])
+def test_statements_inside_sentences(text, licences):
+    narrow = text if "SPDX" in text or not licences else text.replace(" ", "\n * ")  # a lone line "MIT License" is a heading, not a mention
+    for form in (text, narrow, f"Some words first. {text}" if "SPDX" not in text else f"x\n{text}"):
+        assert L.match_rules(L.sentence_ids(form))[0] == licences, form
+
+
+def test_bsd_with_any_holder():
+    parts = [x for k in ("bsd-1", "bsd-2", "bsd-3") for x in L.SENTENCES[k]]
+    for holder, others in (("the University", "its contributors"), ("Example Software Ltd", "other contributors to this work"), ("the copyright holder", "its contributors")):
+        last = L.SENTENCES["bsd-4"][0].replace(L.SLOT, holder, 1).replace(L.SLOT, others, 1)
+        notice = ":\n* ".join([*parts, last])
+        assert L.match_rules(L.sentence_ids(notice)) == (["BSD-3-Clause"], [])
+        noted = ".\n* ".join([*parts, L.SENTENCES["bsd-notice"][0], last])
+        assert L.match_rules(L.sentence_ids(noted)) == (["BSD-4-Clause"], [])
+
+
+def test_lookup_by_brute_force():
+    """Made texts of known sentences and other words: the found ones are those of a scan that tries every sentence at every word."""
+    rng = np.random.default_rng(5)
+    known = [k for k in L._KNOWN if L.SLOT not in k and k in L._ANYWHERE and len(k.split()) >= L.SHORT_WORDS]
+    for _ in range(60):
+        parts = [str(rng.choice(known)) if rng.random() < 0.5 else " ".join(rng.choice(["the", "license", "permission", "is", "software", "to"], rng.integers(1, 9)))
+                 for _ in range(12)]
+        words, at, want = " ".join(parts).split(), 0, []
+        while at < len(words):
+            fits = [k for k in L._KNOWN if k in L._ANYWHERE and words[at:at + len(k.split())] == k.split()]
+            if fits:
+                best = max(fits, key=lambda k: len(k.split()))
+                want.append(L._KNOWN[best])
+                at += len(best.split())
+            else:
+                at += 1
+        text = "".join(w + str(rng.choice([" ", "\n", ", "], p=[0.7, 0.15, 0.15])) for w in words)
+        assert [x for _, x in L.sentence_ids(text)] == want
