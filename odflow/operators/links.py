@@ -33,9 +33,10 @@ def _window_fold(points: DataFrame, queries: DataFrame, gap: int, fold: Callable
     asked = queries.distinct().select("zone", "at", F.explode(F.when(block(first) == block(at), F.array(tail)).otherwise(F.array(tail, head))).alias("q"))
     asked = asked.select("zone", "q.block", "q.t", "at", "q.tail")
     rows = points.select("zone", block(F.col("t")).alias("block"), "t", "x").unionByName(asked, allowMissingColumns=True)
-    own = Window.partitionBy("zone", "block").orderBy("t")
-    so_far = fold("x").over(own.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    from_here = fold("x").over(own.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    # Both folds run: a frame that ends at unboundedFollowing would be folded anew for every row, in quadratic time.
+    own = Window.partitionBy("zone", "block")
+    so_far = fold("x").over(own.orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    from_here = fold("x").over(own.orderBy(F.col("t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow))
     part = rows.select("zone", "at", F.when(F.col("tail"), from_here).otherwise(so_far).alias("x")).where("at is not null")
     return part.groupBy("zone", "at").agg(fold("x").alias("x"))
 

@@ -55,6 +55,20 @@ def test_no_pairs_and_bounded_partitions(spark):
         assert got[r[0]] == sum(0 < r[3] - d <= 300 for d in ends)
 
 
+def test_folds_run_instead_of_starting_anew_for_every_row(spark):
+    """One zone with a trip in every second of two gaps: no window frame reaches to the end of its partition."""
+    gap = 500
+    rows = [(i, 0, 0, i, i, i % 7) for i in range(2 * gap)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    best, counts = links.best_predecessor(df, gap), links.link_counts(df, gap)
+    for out in (best, counts):
+        plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+    want = {i: max(range(max(0, i - gap), i), key=lambda a: (a % 7, -a), default=None) for i in range(2 * gap)}
+    assert {r["id"]: r["prev_id"] for r in best.collect()} == want
+    assert {r["id"]: r["predecessors"] for r in counts.collect()} == {i: min(i, gap) for i in range(2 * gap)}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert links.best_predecessor(df).collect() == [] and links.link_counts(df).collect() == []
