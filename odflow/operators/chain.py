@@ -11,24 +11,24 @@ Plan, the same at every size:
 
 * Rides. A length depends on a trip's origin and start second only, so trips
   that agree in origin, destination, start and end are one ride (smallest id).
-* Blocks and slices. Trips are counted per start second; prefix sums over time units of ``UNIT_GAPS`` gaps (one row per unit
-  of time) cut blocks. A unit with too many trips is a block of its own and is cut further at start seconds, into steps; a
-  second with too many is a step by itself, dealt by hash, as rides that start in one second never link to each
-  other. A slice is one such part: no slice holds more than ``slice_rows`` rides (a hashed second about that), whatever the density.
-* Carry-in. A later slice needs of an earlier one, per zone and end second,
-  only the best ride ending there: one JVM aggregate, so a slice's carry-in is at
-  most zones x seconds rows however dense the data.
-* A pass runs all blocks at once, and the steps of a block one after the other with a carry from step to step; blocks that are
-  not dense have one step.
+* Slices. Trips are counted per start second; prefix sums over time units of ``UNIT_GAPS`` gaps (one row per unit
+  of time) cut slices. A unit with too many trips is cut further at start seconds; a second with too many is dealt by
+  hash, as rides that start in one second never link to each other. No slice holds more than ``slice_rows`` rides (a hashed second about that),
+  whatever the density. Slices are what the trace back walks.
+* Blocks. Consecutive slices make up at most ``MOST_BLOCKS`` + 1 blocks, however many slices there are. A run of blocks is scanned as one
+  stream in start order: a task holds one Arrow batch and the best ride per (zone, end second) that is under way or ended within the gap.
+* Carry-in. A later block needs of an earlier one, per zone and end second,
+  only the best ride ending there, and of those that ended by the block's last start only the ones no later end beats.
 * Pass L (no carry-in) and pass R (carry-in = L values, no chain may start in
-  the block) run first. After a few hours of trips nearly all
-  lengths differ from the L lengths by one shift per block (rank convergence);
-  the shifts add up over the blocks as a waiting line does (prefix sums and a running
-  minimum over one row per block), which gives a guess of every carry-in.
+  the run) scan stretches of ``STRETCH`` blocks. After a few hours of trips nearly all
+  lengths differ from the L lengths by one shift per stretch (rank convergence);
+  the shifts add up over the stretches as a waiting line does (prefix sums and a running
+  minimum over one row per stretch), which gives a guess of every block's carry-in.
 * Verify. All blocks run from the guessed carry-in. A block whose carry-in
   equals what the values upstream give is exact by induction from the first one
-  (which has none). The others are rerun until nothing changes; each round
-  settles at least one more block, so the loop ends whatever the guess. Values and what a block gives to later
+  (which has none). The others are rerun until nothing changes, in round k as runs of up to 2^k consecutive blocks: a round
+  settles the run of the first block that is left, so the rounds grow with the logarithm of the blocks whatever the guess, where they
+  follow each other. Values and what a block gives to later
   ones are kept in versions: a round writes the blocks it reran and the carry-in of the blocks these reach, nothing else.
 * Trace back. Each pass records for every ride the ride of an earlier slice
   its pointers lead to (its root). Pointer doubling over those cross-slice
@@ -41,6 +41,7 @@ session settings stay as they are.
 
 from __future__ import annotations
 
+import heapq
 import logging
 import sys
 from collections import deque
@@ -55,12 +56,15 @@ from pyspark.sql import types as T
 
 from odflow.functions.columns import pct
 from odflow.roles import TripRoles
+from odflow.session import shuffle_partitions
 from odflow.store import Store, Versions
 
 # Fixed value: the chain rule links trips at most 300 seconds apart.
 DEFAULT_GAP_S = 300
 #: Rides a slice holds at most, and length of the time unit blocks are made of, in gaps.
 SLICE_ROWS, UNIT_GAPS = 200_000, 4
+#: Most blocks there are, but for one, and blocks that make up a stretch.
+MOST_BLOCKS, STRETCH = 256, 4
 
 log = logging.getLogger(__name__)
 
@@ -169,92 +173,92 @@ def predecessor_pairs(trips: DataFrame, gap: int = DEFAULT_GAP_S) -> DataFrame:
 
 # ------------------------------------------------------------------ slice scan
 
-def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool):
-    """Chain recurrence over one slice, in start order.
+class _State:
+    """What a scan keeps of the rides it has passed: per zone the candidates that have ended, and per (end second, zone) the best ride
+    still under way. An entry is (value, -start, -id, end, slice, root id, root slice), so that the better one is the larger."""
+
+    def __init__(self):
+        self.zones: dict = {}
+        self.ends: dict = {}
+        self.due: list = []  # heap of the seconds in ``ends``
+
+    def add(self, dest: int, entry: tuple) -> None:
+        at = self.ends.get(entry[3])
+        if at is None:
+            self.ends[entry[3]] = {dest: entry}
+            heapq.heappush(self.due, entry[3])
+        elif dest not in at or at[dest] < entry:
+            at[dest] = entry
+
+    def release(self, now: int, gap: int) -> None:
+        """Rides that ended before ``now`` become candidates: a deque per zone with the best first; one is kept while no later end is better."""
+        while self.due and self.due[0] < now:
+            for zone, entry in self.ends.pop(heapq.heappop(self.due)).items():
+                dq = self.zones.get(zone)
+                if dq is None:
+                    dq = self.zones[zone] = deque()
+                while dq and dq[-1] < entry:
+                    dq.pop()
+                while dq and dq[0][3] < now - gap:
+                    dq.popleft()
+                dq.append(entry)
+
+
+def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool, state: _State | None = None):
+    """Chain recurrence over some rides, in start order.
 
-    ``trips``: id, origin, dest, p, d. ``carry``: id, dest, p, d, value, slice
-    of earlier trips that may link into this slice. Returns arrays aligned with
-    ``trips`` rows: value (None = unreachable when chains may not start here),
-    prev id, prev slice (-1 = inside this slice, -2 = none), and the root: the
-    carry-in trip (id, slice) that the trip's pointers inside this slice lead
-    to (None, -1 if the chain starts in this slice).
+    ``trips``: id, origin, dest, p, d and, if they are of several slices, slice. ``carry``: id, dest, p, d, value, slice
+    of earlier trips that may link to them or to later ones. ``state`` is what an earlier call left that scanned the rides before
+    these. Returns arrays aligned with ``trips`` rows: value (None = unreachable when chains may not start here),
+    prev id, prev slice (the ride's own, -1 without a slice column; -2 = none), and the root: the
+    ride of another slice (id, slice) that the trip's pointers inside its slice lead to (None, -1 if the chain starts in its slice).
 
     A trip becomes a candidate once its end is before the current start. Such
-    a trip started before the current one, so it has already been scanned: the
-    order in which trips become candidates is simply (end, start, id) over the
-    slice and its carry-in, sorted once up front (no heap).
+    a trip started before the current one, so it has already been scanned: what the scan holds is the best ride
+    per (zone, end second) that has not ended yet or ended within the gap.
     """
+    state = state or _State()
+    if len(carry):
+        c = carry[carry["value"].notna()]
+        for v, cp, i, e, z, sl in zip(*(c[k].astype("int64").tolist() for k in ("value", "p", "id", "d", "dest", "slice"))):
+            state.add(z, (v, -cp, -i, e, sl, None, -1))
     n = len(trips)
     ids = trips["id"].to_numpy(np.int64)
     ps = trips["p"].to_numpy(np.int64)
-    ds = trips["d"].to_numpy(np.int64)
     order = np.lexsort((ids, ps)).tolist()
-
-    # Rows 0..n-1 are the slice's trips, rows n.. the carry-in trips with a value.
+    id_l, p_l = ids.tolist(), ps.tolist()
+    org_l, dest_l, d_l = (trips[k].to_numpy(np.int64).tolist() for k in ("origin", "dest", "d"))
+    own = trips["slice"].to_numpy(np.int64).tolist() if "slice" in trips else [-1] * n
     val: list = [None] * n
-    src: list = [-1] * n
-    r_id, r_p, r_d, r_dest = ids, ps, ds, trips["dest"].to_numpy(np.int64)
-    if len(carry):
-        c = carry[carry["value"].notna()]
-        val += c["value"].astype("int64").tolist()
-        src += c["slice"].astype("int64").tolist()
-        r_id = np.concatenate([ids, c["id"].to_numpy(np.int64)])
-        r_p = np.concatenate([ps, c["p"].to_numpy(np.int64)])
-        r_d = np.concatenate([ds, c["d"].to_numpy(np.int64)])
-        r_dest = np.concatenate([r_dest, c["dest"].to_numpy(np.int64)])
-    release = np.lexsort((r_id, r_p, r_d))
-    rel_d = r_d[release].tolist()
-    rel_row = release.tolist()
-    id_l, p_l, dest_l = r_id.tolist(), r_p.tolist(), r_dest.tolist()
-    org_l = trips["origin"].to_numpy(np.int64).tolist()
-
-    zones: dict = {}
     prev_out: list = [None] * n
     pslice_out = [-2] * n
     root_id: list = [None] * n
     root_sl = [-1] * n
-    j, nrel = 0, len(rel_row)
+    zones, due = state.zones, state.due
     for i in order:
         pb = p_l[i]
-        # Release finished trips; per zone keep a deque with falling value
-        # (equal values: earliest start, then smallest id first).
-        while j < nrel and rel_d[j] < pb:
-            r = rel_row[j]
-            v = val[r]
-            if v is not None:
-                pa, ida = p_l[r], id_l[r]
-                dq = zones.get(dest_l[r])
-                if dq is None:
-                    dq = zones[dest_l[r]] = deque()
-                while dq:
-                    last = dq[-1]
-                    if last[1] < v or (last[1] == v and (last[2] > pa or (last[2] == pa and last[3] > ida))):
-                        dq.pop()
-                    else:
-                        break
-                dq.append((rel_d[j], v, pa, ida, src[r], r))
-            j += 1
+        if due and due[0] < pb:
+            state.release(pb, gap)
         dq = zones.get(org_l[i])
         if dq:
-            lim = pb - gap
-            while dq and dq[0][0] < lim:
+            while dq and dq[0][3] < pb - gap:
                 dq.popleft()
-            if dq:
-                best = dq[0]
-                val[i] = best[1] + 1
-                prev_out[i] = best[3]
-                pslice_out[i] = best[4]
-                if best[4] == -1:  # predecessor in this slice: inherit its root
-                    root_id[i] = root_id[best[5]]
-                    root_sl[i] = root_sl[best[5]]
-                else:
-                    root_id[i] = best[3]
-                    root_sl[i] = best[4]
-                continue
-        if allow_start:
+        if dq:
+            best = dq[0]
+            val[i] = best[0] + 1
+            prev_out[i] = -best[2]
+            pslice_out[i] = best[4]
+            if best[4] == own[i]:  # predecessor in this slice: inherit its root
+                root_id[i], root_sl[i] = best[5], best[6]
+            else:
+                root_id[i], root_sl[i] = -best[2], best[4]
+        elif allow_start:
             val[i] = 1
+        else:
+            continue
+        state.add(dest_l[i], (val[i], -pb, -id_l[i], d_l[i], own[i], root_id[i], root_sl[i]))
 
-    vals = pd.array(val[:n], dtype="Int64")
+    vals = pd.array(val, dtype="Int64")
     prevs = pd.array(prev_out, dtype="Int64")
     return (vals, prevs, np.array(pslice_out, dtype=np.int64),
             pd.array(root_id, dtype="Int64"), np.array(root_sl, dtype=np.int64))
@@ -263,7 +267,7 @@ def _scan(trips: pd.DataFrame, carry: pd.DataFrame, gap: int, allow_start: bool)
 _RIDE = ["id", "origin", "dest", "p", "d", "slice", "front"]
 _RIDE_SCHEMA = "id long, origin long, dest long, p long, d long, slice long, front boolean"
 _PASS_SCHEMA = "value long, prev_id long, prev_slice long, root_id long, root_slice long"
-_CARRY = ["slice", "dest", "d", "value", "p", "id", "src"]
+_CARRY = ["dest", "d", "value", "p", "id", "src"]
 #: A slice number is block, step and part in one, so that numbers grow with time from step to step.
 _BLOCK, _STEP = 40, 20
 
@@ -272,22 +276,33 @@ def _block(c) -> Column:
     return F.shiftright(c, _BLOCK)
 
 
-def _step(c) -> Column:
-    return F.shiftright(c, _STEP).bitwiseAND(F.lit((1 << _BLOCK - _STEP) - 1))
+def _stretch(block: Column) -> Column:
+    """First block of the stretch a block lies in."""
+    return block - F.pmod(block, F.lit(STRETCH))
 
 
 def _pass_fn(gap: int, allow_start: bool, keep: list[str], frontier_only: bool):
-    """One slice: rides and carry-in -> rides with value, predecessor and root."""
-
-    def run(rides: pd.DataFrame, carry: pd.DataFrame) -> pd.DataFrame:
-        out = rides[[*_RIDE, *keep]].copy()
-        carry = carry.rename(columns={"c_" + c: c for c in _CARRY}).drop(columns="slice").rename(columns={"src": "slice"})
-        vals, prevs, sources, roots, root_slices = _scan(rides, carry, gap, allow_start)
-        own = int(rides["slice"].iloc[0]) if len(rides) else 0
-        out["value"], out["prev_id"] = vals, prevs
-        out["prev_slice"] = np.where(sources == -1, own, np.where(sources == -2, -1, sources)).astype(np.int64)
-        out["root_id"], out["root_slice"] = roots, np.asarray(root_slices, dtype=np.int64)
-        return out[out["front"]] if frontier_only else out
+    """Rows by run, each run's carry-in (kind 0) first and its rides in start order -> rides with value, predecessor and root."""
+
+    def run(batches):
+        at = state = None
+        for batch in batches:
+            runs = batch["run"].to_numpy(np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(batch)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if state is None or runs[a] != at:
+                    at, state = runs[a], _State()
+                rows = batch.iloc[a:b]
+                carried = rows["kind"].to_numpy() == 0
+                rides = rows[~carried]
+                vals, prevs, sources, roots, root_slices = _scan(rides, rows[carried], gap, allow_start, state)
+                out = rides[[*_RIDE, *keep]].copy()
+                out["value"], out["prev_id"] = vals, prevs
+                out["prev_slice"] = np.where(sources == -2, -1, sources)
+                out["root_id"], out["root_slice"] = roots, root_slices
+                yield out[out["front"].to_numpy(bool)] if frontier_only else out
 
     return run
 
@@ -319,135 +334,125 @@ class Chain:
 
 
 class _Slices:
-    """Slices of a ride table, and the passes over them."""
+    """Slices and blocks of a ride table, and the passes over them."""
 
     def __init__(self, trips: DataFrame, gap: int, slice_rows: int, unit_gaps: float, store: Store):
         self.gap, self.store = gap, store
         self.unit = max(1, int(gap * unit_gaps))
         self.half = max(1, slice_rows // 2)
         self.scratch: list[DataFrame] = []
-        units, self.cells, self.steps = self._cut(trips)
+        seconds = self._cut(trips)
+        self.blocks = store.cut(seconds.groupBy("block").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).coalesce(1))
+        self.count = self.blocks.count()
+        part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+        self.cells = (seconds.groupBy("base", "parts").agg(F.min("p").alias("lo"), F.max("p").alias("hi"))
+                      .withColumn("part", part).select((F.col("base") + F.col("part")).alias("slice"), "lo", "hi"))
         rides = trips.groupBy("origin", "dest", "p", "d").agg(F.min("id").alias("id"))
-        at = F.size(F.filter("starts", lambda s: s <= F.col("p"))) - 1
-        step = F.when(F.col("starts").isNull(), F.lit(0)).otherwise(at)
-        parts = F.coalesce(F.get("parts", at), F.lit(1))
-        number = (F.shiftleft("block", _BLOCK) + F.shiftleft(step.cast("long"), _STEP)
-                  + F.pmod(F.xxhash64("origin", "dest", "p", "d"), parts))
-        self.rides = store.cut(rides.withColumn("unit", self._unit_of("p")).join(units, "unit").select(
+        number = F.col("base") + F.pmod(F.xxhash64("origin", "dest", "p", "d"), F.col("parts"))
+        self.rides = store.cut(rides.join(seconds, "p").select(
             "id", "origin", "dest", "p", "d", number.alias("slice"), (F.col("d") + gap > F.col("hi")).alias("front")))
 
-    def _unit_of(self, second: str) -> Column:
-        return F.floor(F.col(second) / self.unit)
-
-    def _cut(self, trips: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-        """Units (unit, block, hi: last start of the block, starts and parts of the steps if the unit is dense),
-        cells (unit, slice, lo, hi: first and last start of the slice), and the largest number of steps of a block."""
+    def _cut(self, trips: DataFrame) -> DataFrame:
+        """One row per start second: (p, block, hi: last start of the block, base: number of the slice the second's rides are in,
+        parts: slices they are dealt to, 1 unless the second is hot)."""
         half = self.half
+        seconds = self.store.cut(trips.groupBy("p").agg(F.count(F.lit(1)).alias("n")).withColumn("unit", F.floor(F.col("p") / self.unit)))
         order = Window.orderBy("unit")
-        units = trips.groupBy(self._unit_of("p").alias("unit")).agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi"))
-        dense = (F.col("n") > half).cast("int")
-        units = units.withColumn("was", F.lag(dense, 1, 0).over(order))
-        units = units.withColumn("run", F.sum(dense + F.col("was")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        before = order.rowsBetween(Window.unboundedPreceding, -1)
+        units = seconds.groupBy("unit").agg(F.sum("n").alias("n"))
+        total = units.agg(F.sum("n")).first()[0] or 0
+        block_rows = max(half, -(-total // MOST_BLOCKS))
+        # Pieces: consecutive units of at most slice_rows trips, or one dense unit.
+        units = units.withColumn("dense", (F.col("n") > half).cast("int")).withColumn("filled", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        units = units.withColumn("was", F.lag("dense", 1, 0).over(order))
+        units = units.withColumn("run", F.sum(F.col("dense") + F.col("was")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
         inside = Window.partitionBy("run").orderBy("unit").rowsBetween(Window.unboundedPreceding, -1)
         units = units.withColumn("fill", F.floor(F.coalesce(F.sum("n").over(inside), F.lit(0)) / half))
-        units = units.withColumn("block", F.dense_rank().over(Window.orderBy("run", "fill")).cast("long") - 1)
-        own = Window.partitionBy("block")
-        units = self.store.cut(units.select("unit", "block", dense.alias("dense"), F.min("lo").over(own).alias("lo"), F.max("hi").over(own).alias("hi")))
-        coarse = units.filter("dense = 0").select("unit", F.shiftleft("block", _BLOCK).alias("slice"), "lo", "hi")
-        known = units.select("unit", "block", "hi")
-        if units.filter("dense = 1").isEmpty():
-            nothing = F.lit(None).cast("array<long>")
-            return known.select("*", nothing.alias("starts"), nothing.alias("parts")), coarse, 1
-        # The same cut once more, over the seconds of each dense unit.
-        seconds = (trips.groupBy(self._unit_of("p").alias("unit"), "p").agg(F.count(F.lit(1)).alias("n"))  # one row per start second
-                   .join(units.filter("dense = 1").select("unit", "block"), "unit"))
+        # Blocks: consecutive pieces.
+        units = units.withColumn("filled", F.min("filled").over(Window.partitionBy("run", "fill")))
+        units = units.withColumn("block", F.dense_rank().over(Window.orderBy(F.floor(F.col("filled") / block_rows))).cast("long") - 1)
+        units = self.store.cut(units.select("unit", "block", "run", "fill", "dense"))
+        # Steps: a piece, or in a dense unit what the same cut over its seconds gives.
         own = Window.partitionBy("unit").orderBy("p")
-        hot = (F.col("n") > half).cast("int")
-        s = seconds.withColumn("was", F.lag(hot, 1, 0).over(own))
-        s = s.withColumn("run", F.sum(hot + F.col("was")).over(own.rowsBetween(Window.unboundedPreceding, 0)))
-        within = Window.partitionBy("unit", "run").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-        s = s.withColumn("fill", F.floor(F.coalesce(F.sum("n").over(within), F.lit(0)) / half))
-        s = s.withColumn("step", F.dense_rank().over(Window.partitionBy("unit").orderBy("run", "fill")).cast("long") - 1)
-        steps = self.store.cut(s.groupBy("unit", "block", "step").agg(
-            F.min("p").alias("lo"), F.max("p").alias("hi"), F.max(F.when(hot == 1, F.ceil(F.col("n") / half)).otherwise(1)).alias("parts")))
-        listed = steps.groupBy("unit").agg(F.sort_array(F.collect_list(F.struct("lo", "parts"))).alias("x")).select(  # one entry per step
-            "unit", F.col("x.lo").alias("starts"), F.col("x.parts").alias("parts"))
-        base = F.shiftleft("block", _BLOCK) + F.shiftleft("step", _STEP)
-        fine = steps.select("unit", base.alias("base"), "lo", "hi", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-        cells = self.store.cut(coarse.unionByName(fine.select("unit", (F.col("base") + F.col("part")).alias("slice"), "lo", "hi")))
-        return self.store.cut(known.join(listed, "unit", "left")), cells, 1 + steps.agg(F.max("step")).first()[0]
-
-    def _reached(self, values: DataFrame, value: Column, cells: DataFrame, later) -> DataFrame:
-        """Best ride per (block of the ride, slice it may link into, zone, end second): largest value, then earliest start, then smallest id.
-        ``later`` tells of two blocks whether rides of the first count for slices of the second."""
-        best = F.max(F.struct(value.alias("value"), (-F.col("p")).alias("p"), (-F.col("id")).alias("id"), F.col("slice").alias("src"))).alias("b")
-        one = values.where(value.isNotNull()).groupBy(_block("slice").alias("block"), "dest", "d").agg(best)
-        reach = F.sequence(F.floor((F.col("d") + 1) / self.unit), F.floor((F.col("d") + self.gap) / self.unit))
-        return (one.withColumn("unit", F.explode(reach)).join(cells, "unit")
-                .where(later(F.col("block"), _block("slice")) & (F.col("hi") > F.col("d")) & (F.col("lo") <= F.col("d") + self.gap))
-                .select("block", "slice", "dest", "d", "b.value", (-F.col("b.p")).alias("p"), (-F.col("b.id")).alias("id"), "b.src").distinct())
+        hot = (F.col("n") > half) & (F.col("dense") == 1)
+        s = seconds.join(units, "unit").withColumn("hot", hot.cast("int"))
+        s = s.withColumn("was", F.lag("hot", 1, 0).over(own))
+        s = s.withColumn("turn", F.when(F.col("dense") == 1, F.sum(F.col("hot") + F.col("was")).over(own.rowsBetween(Window.unboundedPreceding, 0))).otherwise(0))
+        within = Window.partitionBy("unit", "turn").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+        s = s.withColumn("level", F.when(F.col("dense") == 1, F.floor(F.coalesce(F.sum("n").over(within), F.lit(0)) / half)).otherwise(0))
+        step = F.dense_rank().over(Window.partitionBy("block").orderBy("run", "fill", "turn", "level")).cast("long") - 1
+        return self.store.cut(s.select(
+            "p", "block", F.max("p").over(Window.partitionBy("block")).alias("hi"),
+            (F.shiftleft("block", _BLOCK) + F.shiftleft(step, _STEP)).alias("base"),
+            F.when(F.col("hot") == 1, F.ceil(F.col("n") / half)).otherwise(1).cast("long").alias("parts")))
 
     def gives(self, values: DataFrame, value: Column) -> DataFrame:
-        """What each block gives to the slices of later blocks."""
-        return self._reached(values.where("front"), value, self.cells, lambda a, b: a < b)
+        """What each block gives to later ones: the best ride per (block, block ``to`` it may link into, zone, end second): largest value, then
+        earliest start, then smallest id. Of the rides that ended by the block's last start, one is left out where a better one ended
+        later: whatever starts in a later block within the gap of the first starts after the end and within the gap of the second."""
+        best = F.max(F.struct(value.alias("value"), (-F.col("p")).alias("p"), (-F.col("id")).alias("id"), F.col("slice").alias("src"))).alias("b")
+        one = values.where("front").where(value.isNotNull()).groupBy(_block("slice").alias("block"), "dest", "d").agg(best)
+        one = one.join(F.broadcast(self.blocks.select("block", "hi")), "block")
+        later = Window.partitionBy("block", "dest").orderBy(F.col("d").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        one = one.withColumn("better", F.max(F.when(F.col("d") <= F.col("hi"), F.col("b"))).over(later))
+        one = one.where((F.col("d") > F.col("hi")) | F.col("better").isNull() | (F.col("b") > F.col("better"))).drop("hi")
+        reach = (F.col("to") > F.col("block")) & (F.col("hi") > F.col("d")) & (F.col("lo") <= F.col("d") + self.gap)
+        return one.join(F.broadcast(self.blocks.withColumnRenamed("block", "to")), reach).select(
+            "block", "to", "dest", "d", "b.value", (-F.col("b.p")).alias("p"), (-F.col("b.id")).alias("id"), "b.src")
 
     @staticmethod
-    def merged(gives: DataFrame) -> DataFrame:
-        """Carry-in of each slice: the best of what all blocks give."""
+    def merged(gives: DataFrame, run: Column) -> DataFrame:
+        """Carry-in of each run of blocks: the best of what the blocks before it give."""
         best = F.max(F.struct("value", (-F.col("p")).alias("p"), (-F.col("id")).alias("id"), "src")).alias("b")
-        return gives.groupBy("slice", "dest", "d").agg(best).select(
-            "slice", "dest", "d", "b.value", (-F.col("b.p")).alias("p"), (-F.col("b.id")).alias("id"), "b.src")
+        return gives.withColumn("run", run).where("block < run").groupBy("run", "dest", "d").agg(best).select(
+            "run", "dest", "d", "b.value", (-F.col("b.p")).alias("p"), (-F.col("b.id")).alias("id"), "b.src")
+
+    def by_block(self, gives: DataFrame) -> DataFrame:
+        """Carry-in of each block, under the number of its first slice."""
+        return self.merged(gives, F.col("to")).select(F.shiftleft("run", _BLOCK).alias("slice"), *_CARRY)
 
     def carry(self, values: DataFrame, value: Column) -> DataFrame:
-        """Best ride per (later slice, zone, end second)."""
-        return self.merged(self.gives(values, value))
-
-    def run(self, rides: DataFrame, carry: DataFrame | None, allow_start: bool = True, keep: tuple[str, ...] = (),
-            frontier_only: bool = False) -> DataFrame:
-        """One pass: rides with value, predecessor and root. With dense blocks one job per step, whose tables go to ``scratch``."""
-        if carry is None:
-            carry = rides.sparkSession.createDataFrame([], "slice long, dest long, d long, value long, p long, id long, src long")
+        """Best ride per (later block, zone, end second)."""
+        return self.by_block(self.gives(values, value))
+
+    def scan(self, rides: DataFrame, carry: DataFrame | None, runs: int, allow_start: bool = True, keep: tuple[str, ...] = (),
+             frontier_only: bool = False) -> DataFrame:
+        """One pass: rides with value, predecessor and root. ``rides`` and ``carry`` name in ``run`` the run of blocks they belong to, of which there
+        are ``runs``. A task streams a run's rides in start order behind its carry-in."""
         schema = _RIDE_SCHEMA + "".join(f", {k} long" for k in keep) + ", " + _PASS_SCHEMA
-        rides = rides.select(*_RIDE, *keep)
-
-        def once(some: DataFrame, given: DataFrame, only: bool) -> DataFrame:
-            # Names of their own: cogroup drops right-side columns that the left side shares.
-            right = given.select(*[F.col(c).alias("c_" + c) for c in _CARRY])
-            return some.groupBy("slice").cogroup(right.groupBy("c_slice")).applyInPandas(
-                _pass_fn(self.gap, allow_start, list(keep), only), schema)
-
-        if self.steps == 1:
-            return once(rides, carry, frontier_only)
-        done = self.store.cut(once(rides.where(_step("slice") == 0), carry.where(_step("slice") == 0), False))
-        self.scratch.append(done)
-        for k in range(1, self.steps):
-            cells = self.cells.where(_step("slice") == k)
-            inside = self._reached(done, F.col("value"), cells, lambda a, b: a == b).select(*_CARRY)
-            given = self.merged(carry.where(_step("slice") == k).select(*_CARRY).unionByName(inside))
-            more = self.store.cut(once(rides.where(_step("slice") == k), given, False))
-            self.scratch.append(more)
-            done = done.unionByName(more)
-        return done.where("front") if frontier_only else done
+        none = F.lit(0).cast("long")
+        rows = rides.select("run", F.lit(1).alias("kind"), *_RIDE, *keep, none.alias("value"))
+        if carry is not None:
+            rows = rows.unionByName(carry.where("value is not null").select(
+                "run", F.lit(0).alias("kind"), "id", none.alias("origin"), "dest", "p", "d", F.col("src").alias("slice"),
+                F.lit(False).alias("front"), *[none.alias(k) for k in keep], "value"))
+        tasks = max(1, min(runs, shuffle_partitions(rides.sparkSession)))
+        return rows.repartition(tasks, "run").sortWithinPartitions("run", "kind", "p", "id").mapInPandas(
+            _pass_fn(self.gap, allow_start, list(keep), frontier_only), schema)
 
     def guess(self) -> DataFrame:
-        """Carry-in of every slice from passes L and R and the shifts they show."""
-        low = self.store.cut(self.run(self.rides, None).select(*_RIDE, F.col("value").alias("lval")))
-        high = self.run(low, self.carry(low, F.col("lval")), allow_start=False, keep=("lval",), frontier_only=True)
-        high = self.store.cut(high.select(*_RIDE, "lval", F.col("value").alias("rval")).withColumn("block", _block("slice")))
-        counts = high.groupBy("block", (F.col("rval") - F.col("lval")).alias("shift")).agg(F.count(F.lit(1)).alias("n"))
-        usual = counts.groupBy("block").agg(F.max_by("shift", F.struct("n", -F.coalesce("shift", F.lit(0)))).alias("shift"))
+        """Carry-in of every block from passes L and R over stretches of blocks and the shifts they show."""
+        stretch = _stretch(_block("slice"))
+        stretches = -(-self.count // STRETCH)
+        low = self.store.cut(self.scan(self.rides.withColumn("run", stretch), None, stretches).select(*_RIDE, F.col("value").alias("lval")))
+        given = self.merged(self.gives(low, F.col("lval")), _stretch(F.col("to")))
+        high = self.scan(low.withColumn("run", stretch), given, stretches, allow_start=False, keep=("lval",), frontier_only=True)
+        high = self.store.cut(high.select(*_RIDE, "lval", F.col("value").alias("rval")).withColumn("run", stretch))
+        last = high.where(_block("slice") == F.least(F.col("run") + STRETCH, F.lit(self.count)) - 1)
+        counts = last.groupBy("run", (F.col("rval") - F.col("lval")).alias("shift")).agg(F.count(F.lit(1)).alias("n"))
+        usual = counts.groupBy("run").agg(F.max_by("shift", F.struct("n", -F.coalesce("shift", F.lit(0)))).alias("shift"))
         # carry(s + 1) = max(0, carry(s) + shift(s)), and 0 where rides of s mostly were not reached.
-        order = Window.orderBy("block")
+        order = Window.orderBy("run")
         before = order.rowsBetween(Window.unboundedPreceding, -1)
         usual = usual.withColumn("part", F.coalesce(F.sum(F.col("shift").isNull().cast("int")).over(before), F.lit(0)))
-        inside = Window.partitionBy("part").orderBy("block")
+        inside = Window.partitionBy("part").orderBy("run")
         earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
         usual = usual.withColumn("sum", F.sum(F.coalesce("shift", F.lit(0))).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        off = usual.select("block", (F.coalesce(F.sum(F.coalesce("shift", F.lit(0))).over(earlier), F.lit(0))
-                                     - F.least(F.lit(0), F.coalesce(F.min("sum").over(earlier), F.lit(0)))).alias("off"))
+        off = usual.select("run", (F.coalesce(F.sum(F.coalesce("shift", F.lit(0))).over(earlier), F.lit(0))
+                                   - F.least(F.lit(0), F.coalesce(F.min("sum").over(earlier), F.lit(0)))).alias("off"))
         guess = F.greatest("lval", F.coalesce(F.col("rval") + F.coalesce("off", F.lit(0)), F.col("lval")))
         self.scratch += [low, high]
-        return self.carry(high.join(off, "block", "left"), guess)
+        return self.carry(high.join(F.broadcast(off), "run", "left"), guess)
 
     def tidy(self) -> None:
         """Remove tables that only fed what has been written since."""
@@ -464,9 +469,17 @@ def _changed(used: DataFrame, now: DataFrame) -> DataFrame:
     return a.join(b, key, "full").where(~F.col("a").eqNullSafe(F.col("b"))).select(_block("slice").alias("block")).distinct()
 
 
-def _of(df: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Rows of slices in ``blocks``."""
-    return df.join(blocks.select(F.col("block").alias("_b")), _block("slice") == F.col("_b"), "left_semi")
+def _runs(blocks: DataFrame, most: int) -> DataFrame:
+    """(block, run: first block of its run): consecutive blocks, at most ``most`` in a run."""
+    order = Window.orderBy("block")
+    place = F.row_number().over(Window.partitionBy("row").orderBy("block")) - 1
+    return blocks.select("block", (F.col("block") - F.row_number().over(order)).alias("row")).select(
+        "block", (F.col("block") - F.pmod(place, F.lit(most))).alias("run"))
+
+
+def _of(df: DataFrame, block: Column, blocks: DataFrame) -> DataFrame:
+    """Rows whose ``block`` is in ``blocks``, with the other columns of it."""
+    return df.join(F.broadcast(blocks.withColumnRenamed("block", "_b")), block == F.col("_b")).drop("_b")
 
 
 def solve_chain(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = SLICE_ROWS, unit_gaps: float = UNIT_GAPS) -> Chain:
@@ -482,24 +495,27 @@ def solve_chain(trips: DataFrame, gap: int = DEFAULT_GAP_S, slice_rows: int = SL
             raise ValueError(f"trip id {twice['id']} occurs more than once")
         parts = _Slices(trips, gap, slice_rows, unit_gaps, store)
         values, gives, used = Versions(store, "block"), Versions(store, "block"), Versions(store, "block")
-        with_block = _block("slice").alias("block")
+        with_block, to = _block("slice").alias("block"), F.col("to")
         used.put(parts.guess().select("*", with_block))
-        values.put(parts.run(parts.rides, used.latest()).select("*", with_block))
+        values.put(parts.scan(parts.rides.withColumn("run", with_block), used.latest().withColumn("run", F.col("block")), parts.count).select("*", with_block))
         gives.put(parts.gives(values.latest(), F.col("value")))
         parts.tidy()
-        now = parts.merged(gives.latest())
-        dirty = store.cut(_changed(used.latest(), now))
+        dirty = store.cut(_changed(used.latest(), parts.by_block(gives.latest())))
         rounds = reruns = 0
         while (n := dirty.count()) > 0:  # a number; the blocks stay in Spark
             rounds, reruns = rounds + 1, reruns + n
-            used.put(_of(now, dirty).select("*", with_block), dirty)
-            values.put(parts.run(_of(parts.rides, dirty), used.part(rounds).drop("block")).select("*", with_block), dirty)
-            parts.tidy()
+            runs = store.cut(_runs(dirty, 1 << min(rounds, 20)))
+            outside = store.cut(_of(gives.latest(), to, runs).where("block < run"))
+            values.put(parts.scan(_of(parts.rides, _block("slice"), runs), parts.merged(outside, F.col("run")), n).select("*", with_block), dirty)
             gives.put(parts.gives(values.part(rounds), F.col("value")), dirty)
-            touched = store.cut(gives.part(rounds).select(with_block).distinct())
-            now = parts.merged(_of(gives.latest(), touched))
-            again = store.cut(_changed(_of(used.latest(), touched), now))
-            store.drop(dirty)
+            # What the blocks of a run were given: by blocks before the run as it was, inside the run as it is now.
+            given = outside.unionByName(_of(gives.part(rounds), to, runs).where("block >= run")).drop("run")
+            used.put(parts.by_block(given).select("*", with_block), dirty)
+            touched = store.cut(gives.part(rounds).select(to.alias("block")).distinct())
+            now = parts.by_block(_of(gives.latest(), to, touched))
+            again = store.cut(_changed(_of(used.latest(), F.col("block"), touched), now))
+            for done in (dirty, runs, outside, touched):
+                store.drop(done)
             dirty = again
         found = values.latest().drop("block") if not rounds else store.cut(values.latest().drop("block"))
     except BaseException:

@@ -314,3 +314,21 @@ def test_a_round_writes_what_it_reran(spark, monkeypatch):
     versions = spark.read.parquet(f"{solved.store.root}/*/rows/_v=[1-9]*")  # of values, gives and carry-in
     assert versions.count() <= 40 * solved.reruns
     assert result(solved) == {i: (i + 1, i - 1 if i else None) for i in range(400)}
+
+
+def test_number_of_blocks_is_bounded_however_small_the_slices(spark):
+    """Slices far narrower than a gap: they share blocks, which are scanned as streams, so neither steps nor verify rounds grow with them."""
+    rows = _dense_rows(6, n=1200, span=12000)
+    trips = chain.prepare_trips(spark.createDataFrame(rows, SCHEMA), ROLES)
+    solved = chain.solve_chain(trips, 300, slice_rows=4, unit_gaps=0.04)
+    sizes = _groups(solved)
+    assert max(sizes) <= 4 and len(sizes) > 300
+    assert solved.values.select(F.shiftright("slice", 40)).distinct().count() <= chain.MOST_BLOCKS + 1
+    assert solved.rounds <= 8
+    assert result(solved) == brute(rows, 300)
+
+
+def test_runs_of_blocks(spark):
+    blocks = spark.createDataFrame([(b,) for b in (9, 3, 4, 5, 6, 7, 12, 13)], "block long")
+    got = {r["block"]: r["run"] for r in chain._runs(blocks, 2).collect()}
+    assert got == {3: 3, 4: 3, 5: 5, 6: 5, 7: 7, 9: 9, 12: 12, 13: 12}
