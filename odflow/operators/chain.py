@@ -27,8 +27,7 @@ Plan, the same at every size:
 * Verify. All blocks run from the guessed carry-in. A block whose carry-in
   equals what the values upstream give is exact by induction from the first one
   (which has none). The others are rerun until nothing changes, in round k as runs of up to 2^k consecutive blocks: a round
-  settles the run of the first block that is left, so the rounds grow with the logarithm of the blocks whatever the guess, where they
-  follow each other. Values and what a block gives to later
+  settles the run of the first block that is left, so the loop ends whatever the guess. Values and what a block gives to later
   ones are kept in versions: a round writes the blocks it reran and the carry-in of the blocks these reach, nothing else.
 * Trace back. Each pass records for every ride the ride of an earlier slice
   its pointers lead to (its root). Pointer doubling over those cross-slice
