@@ -14,6 +14,9 @@
    if it occurs at least twice as often; forms are followed to their last by pointer doubling.
 
 Rarity is read from hashed counters, which only decides how many pairs meet, never which are found.
+
+Joins whose sides both grow with the words are sort-merge joins by hint. Spark sizes a side by the stored file it came from, which knows
+nothing of the rows that task functions and explode make of it, nor of its compression, and would send a large one through the driver.
 """
 
 from __future__ import annotations
@@ -209,7 +212,8 @@ def near_words(words: DataFrame, store: Store) -> DataFrame:
     schema = "key long, word string, n long"
     found = store.cut(words.select("word", "n").mapInArrow(_keys(frequent, rarity, False), schema))
     asked = words.select("word", "n").mapInArrow(_keys(frequent, rarity, True), schema)
-    # Long lists are dealt over tasks by a salt; who looks there meets every part.
+    # Long lists are dealt over tasks by a salt; who looks there meets every part. Their keys are fewer than
+    # one in _LIST of the rows of ``found``, so this table alone may be broadcast.
     longer = store.cut(found.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > _LIST).select(
         "key", F.ceil(F.col("c") / _LIST).alias("salts")))
     one = F.lit(1).cast("long")
@@ -217,7 +221,7 @@ def near_words(words: DataFrame, store: Store) -> DataFrame:
         "key", F.pmod(F.xxhash64("word"), F.coalesce("salts", one)).alias("salt"), F.col("word").alias("b"), F.col("n").alias("nb"))
     looking = asked.join(longer, "key", "left").select(
         "key", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", one) - 1)).alias("salt"), F.col("word").alias("a"), F.col("n").alias("na"))
-    met = looking.join(dealt, ["key", "salt"]).filter(
+    met = looking.join(dealt.hint("merge"), ["key", "salt"]).filter(
         (F.col("a") != F.col("b")) & ((F.char_length("a") < F.char_length("b")) | (F.col("a") < F.col("b")))
         & (F.levenshtein("a", "b", 1) >= 0))
     return store.cut(met.select("a", "na", "b", "nb").distinct())
@@ -228,7 +232,7 @@ def _roots(forms: DataFrame, store: Store) -> DataFrame:
     now = store.cut(forms.select("word", F.col("form").alias("root")))
     while True:
         a, b = now.alias("a"), now.alias("b")
-        after = store.cut(a.join(b, F.col("a.root") == F.col("b.word"), "left").select(
+        after = store.cut(a.join(b.hint("merge"), F.col("a.root") == F.col("b.word"), "left").select(
             "a.word", F.coalesce("b.root", "a.root").alias("root"), F.col("b.word").isNotNull().alias("moved")))
         store.drop(now)
         if after.filter("moved").isEmpty():
@@ -255,8 +259,8 @@ def spelling_forms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         pairs.select(F.col("b").alias("word"), F.col("a").alias("other"), F.col("na").alias("other_n")))
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("less"), F.col("other"))).alias("top"))
     takes = F.col("top.less") <= -2 * F.col("n")
-    formed = store.cut(words.join(best, "word", "left").select(
+    formed = store.cut(words.join(best.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(takes, F.col("top.other")).alias("form"), F.when(takes, -F.col("top.less")).alias("form_n")))
     roots = _roots(formed.filter("form is not null"), store)
-    return formed.join(roots, "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
+    return formed.join(roots.hint("merge"), "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))

@@ -85,6 +85,18 @@ def test_long_lists_are_dealt(spark, monkeypatch):
     assert got(P.spelling_forms(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
 
+def test_sides_that_grow_are_not_broadcast(spark):
+    """A driver that has no room for a broadcast: only the table of long lists may be one, which is empty here."""
+    rows = texts(5)
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1")
+    try:
+        out = got(P.spelling_forms(spark.createDataFrame(rows, "doc_id long, text string")))
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    want = brute(rows)
+    assert out == want and any(r[5] not in (r[0], r[3]) for r in want)
+
+
 def test_edges(spark):
     long = "abcdé" * 9000
     rows = [(1, None), (2, ""), (None, "Straße straße STRAßE strasse"), (3, " -- 12 ab "), (4, f"{long} {long} {long} x{long} {long}x"), (5, f"x{long} x{long}"),
